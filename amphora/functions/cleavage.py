@@ -72,15 +72,16 @@ def sequential_fragments(seq: Column, rules: list[EnzymeRule]) -> Column:
     fragment of the previous one; order of fragments is kept. The terminal
     rule of each rule therefore applies per fragment, as in a real sequential
     hydrolysis."""
+    def splitter(rx: str):
+        # One-argument lambda: transform() reads a second parameter as the index.
+        return lambda f: F.split(f, rx)
+
     acc = F.array(seq)
     for rule in rules:
         rx = cleavage_regex(rule)
         if rx is None:
             continue
-        acc = F.filter(
-            F.flatten(F.transform(acc, lambda f, rx=rx: F.split(f, rx))),
-            lambda x: F.length(x) > 0,
-        )
+        acc = F.filter(F.flatten(F.transform(acc, splitter(rx))), lambda x: F.length(x) > 0)
     return acc
 
 
