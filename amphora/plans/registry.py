@@ -109,3 +109,169 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle() -> dict[str, str]:
     return {k: v.sql for k, v in REGISTRY.items() if v.sql is not None}
+
+
+# ================================================================ reward logs
+from amphora.operators import bandit as B  # noqa: E402
+from amphora.sources.reward_log import REWARD_LOG_SQL, reward_log_from_events  # noqa: E402
+from amphora.sources.sequences import load_table  # noqa: E402
+from amphora.streaming.action_values import stream_action_values  # noqa: E402
+
+_LOG = f"({REWARD_LOG_SQL})"
+
+
+def _log(spark, sf_dir):
+    return reward_log_from_events(load_table(spark, sf_dir, "events"))
+
+
+_VALUES_SQL = f"""
+    SELECT run_id, action_id, count(*) AS n, avg(reward) AS value
+    FROM {_LOG} GROUP BY run_id, action_id"""
+
+
+@register("action_values", f"SELECT run_id, action_id, n, round(value, 9) AS value FROM ({_VALUES_SQL})")
+def q_action_values(spark, sf_dir):
+    return B.action_values(_log(spark, sf_dir)).withColumn("value", F.round("value", 9))
+
+
+@register("episode_rewards", f"""
+    SELECT run_id, episode, round(sum(reward), 9) AS total_reward, count(*) AS steps
+    FROM {_LOG} GROUP BY run_id, episode""")
+def q_episode_rewards(spark, sf_dir):
+    return B.episode_rewards(_log(spark, sf_dir)).withColumn("total_reward", F.round("total_reward", 9))
+
+
+_BEST_SQL = f"""
+    SELECT v.run_id, m.best_value, min(v.action_id) AS best_action
+    FROM ({_VALUES_SQL}) v JOIN (SELECT run_id, max(value) AS best_value FROM ({_VALUES_SQL}) GROUP BY run_id) m
+      ON v.run_id = m.run_id AND v.value = m.best_value
+    GROUP BY v.run_id, m.best_value"""
+
+
+@register("best_action", f"SELECT run_id, round(best_value, 9) AS best_value, best_action FROM ({_BEST_SQL})")
+def q_best_action(spark, sf_dir):
+    out = B.best_action(B.action_values(_log(spark, sf_dir)))
+    return out.withColumn("best_value", F.round("best_value", 9))
+
+
+@register("moving_average", f"""
+    SELECT run_id, episode, total_reward, moving_avg FROM (
+      SELECT run_id, episode, round(total_reward, 9) AS total_reward,
+             round(avg(total_reward) OVER w, 9) AS moving_avg, count(*) OVER w AS n
+      FROM (SELECT run_id, episode, sum(reward) AS total_reward FROM {_LOG} GROUP BY run_id, episode)
+      WINDOW w AS (PARTITION BY run_id ORDER BY episode ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
+    ) WHERE n = 10""")
+def q_moving_average(spark, sf_dir):
+    out = B.moving_average(B.episode_rewards(_log(spark, sf_dir)), 10)
+    return out.withColumns({c: F.round(c, 9) for c in ("total_reward", "moving_avg")})
+
+
+@register("value_trajectory", f"""
+    SELECT run_id, episode, step, action_id, round(reward, 9) AS reward, n,
+           round(sum(reward) OVER w / n, 9) AS value
+    FROM (SELECT *, count(*) OVER w AS n FROM {_LOG}
+          WINDOW w AS (PARTITION BY run_id, action_id ORDER BY episode, step
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    WINDOW w AS (PARTITION BY run_id, action_id ORDER BY episode, step
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def q_value_trajectory(spark, sf_dir):
+    out = B.value_trajectory(_log(spark, sf_dir))
+    return out.withColumns({"value": F.round("value", 9), "reward": F.round("reward", 9)})
+
+
+@register("epsilon_schedule", f"""
+    SELECT run_id, episode, step, action_id, reward, n_updates,
+           round(greatest(0.1, 1.0 * pow(0.995, n_updates)), 12) AS epsilon
+    FROM (SELECT *, count(*) OVER (PARTITION BY run_id ORDER BY episode, step
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_updates FROM {_LOG})""")
+def q_epsilon_schedule(spark, sf_dir):
+    return B.epsilon_schedule(_log(spark, sf_dir)).withColumn("epsilon", F.round("epsilon", 12))
+
+
+@register("best_so_far", f"""
+    SELECT *, max(reward) OVER (PARTITION BY run_id, episode ORDER BY step
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far FROM {_LOG}""")
+def q_best_so_far(spark, sf_dir):
+    return B.best_so_far(_log(spark, sf_dir))
+
+
+@register("rank_actions", f"""
+    SELECT run_id, action_id, n, round(value, 9) AS value,
+           row_number() OVER (PARTITION BY run_id ORDER BY value DESC, action_id) AS rank,
+           row_number() OVER (PARTITION BY run_id ORDER BY value DESC, action_id) = 1 AS is_best
+    FROM ({_VALUES_SQL})""")
+def q_rank_actions(spark, sf_dir):
+    out = B.rank_actions(B.action_values(_log(spark, sf_dir)))
+    return out.withColumn("value", F.round("value", 9))
+
+
+@register("reward_history", f"""
+    SELECT *, count(*) OVER (PARTITION BY run_id, episode ORDER BY step
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS step_index FROM {_LOG}""")
+def q_reward_history(spark, sf_dir):
+    return B.reward_history(_log(spark, sf_dir))
+
+
+@register("label_actions", f"""
+    SELECT v.run_id, v.action_id, v.n, round(v.value, 9) AS value, a.label
+    FROM ({_VALUES_SQL}) v LEFT JOIN (
+      SELECT DISTINCT event_type AS action_id,
+             upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) AS label FROM events) a
+    ON v.action_id = a.action_id""")
+def q_label_actions(spark, sf_dir):
+    from amphora.functions.residues import capitalise
+
+    actions = load_table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("action_id")).distinct().withColumn("label", capitalise("action_id"))
+    out = B.label_actions(B.action_values(_log(spark, sf_dir)), actions)
+    return out.withColumn("value", F.round("value", 9))
+
+
+@register("assign_actions", f"""
+    WITH v AS ({_VALUES_SQL}),
+    best AS ({_BEST_SQL}),
+    pool AS (SELECT run_id, list_sort(list(DISTINCT action_id)) AS actions FROM v GROUP BY run_id),
+    req AS (SELECT event_id AS request_id, user_id AS run_id FROM events)
+    SELECT r.request_id, r.run_id, explore,
+           CASE WHEN explore THEN p.actions[
+               (('0x' || substr(md5(CAST(r.request_id AS VARCHAR) || '|42|action'), 1, 8))::BIGINT
+                % len(p.actions))::INTEGER + 1]
+                ELSE b.best_action END AS action_id
+    FROM (SELECT r.*, (('0x' || substr(md5(CAST(r.request_id AS VARCHAR) || '|42|explore'), 1, 8))::BIGINT
+                       / 4294967296.0) < 0.2 AS explore FROM req r) r
+    JOIN best b ON r.run_id = b.run_id JOIN pool p ON r.run_id = p.run_id""")
+def q_assign_actions(spark, sf_dir):
+    ev = load_table(spark, sf_dir, "events")
+    requests = ev.select(F.col("event_id").alias("request_id"), F.col("user_id").alias("run_id"))
+    return B.assign_actions(requests, B.action_values(_log(spark, sf_dir)), 0.2, seed=42)
+
+
+@register("training_summary", f"""
+    WITH eps AS (SELECT run_id, episode, sum(reward) AS total_reward, count(*) AS steps
+                 FROM {_LOG} GROUP BY run_id, episode),
+    agg AS (SELECT run_id, count(*) AS num_episodes, sum(total_reward) AS total_reward,
+                   avg(total_reward) AS mean_episode_reward, sum(steps) AS num_updates
+            FROM eps GROUP BY run_id)
+    SELECT a.run_id, a.num_episodes, round(a.total_reward, 9) AS total_reward,
+           round(a.mean_episode_reward, 9) AS mean_episode_reward, a.num_updates,
+           round(b.best_value, 9) AS best_value, b.best_action,
+           round(greatest(0.1, pow(0.995, a.num_updates)), 12) AS final_epsilon
+    FROM agg a JOIN ({_BEST_SQL}) b ON a.run_id = b.run_id""")
+def q_training_summary(spark, sf_dir):
+    out = B.training_summary(_log(spark, sf_dir))
+    return out.withColumns({
+        "total_reward": F.round("total_reward", 9),
+        "mean_episode_reward": F.round("mean_episode_reward", 9),
+        "best_value": F.round("best_value", 9),
+        "final_epsilon": F.round("final_epsilon", 12),
+        "num_updates": F.col("num_updates").cast("bigint"),
+    })
+
+
+@register("stream_action_values", f"""
+    SELECT action_id, count(*) AS n, round(sum(reward), 9) AS reward_sum, round(avg(reward), 9) AS value
+    FROM {_LOG} GROUP BY action_id""")
+def q_stream_action_values(spark, sf_dir):
+    schema = load_table(spark, sf_dir, "events").schema
+    out = stream_action_values(spark, sf_dir, schema, reward_log_from_events, glob="events.parquet")
+    return out.withColumns({c: F.round(c, 9) for c in ("reward_sum", "value")})
