@@ -104,3 +104,28 @@ def features_sql(col: str = "peptide") -> dict[str, str]:
     )
     return {"length": f"{n}::INTEGER", "net_charge": f"{charge}::INTEGER",
             "hydrophobic_fraction": hyd, "aromatic_fraction": aro, "score": score}
+
+
+def fraction_sql(col: str, letters: str) -> str:
+    return f"(CASE WHEN length({col}) = 0 THEN 0.0 ELSE {count_sql(col, letters)}::DOUBLE / length({col}) END)"
+
+
+def linear_logit_sql(col: str, weights, bias: float) -> str:
+    """bias + sum w_a * fraction_a, additions in alphabet order."""
+    z = f"{float(bias)!r}"
+    for a, w in zip(fixed.STANDARD_RESIDUES, weights):
+        if w != 0.0:
+            z = f"({z} + {float(w)!r} * {fraction_sql(col, a)})"
+    return z
+
+
+def linear_prob_sql(col: str, weights, bias: float) -> str:
+    """sigmoid of ``linear_logit_sql``."""
+    return f"(1.0 / (1.0 + exp(-{linear_logit_sql(col, weights, bias)})))"
+
+
+def dot_prob_sql(vec: str, weights, bias: float) -> str:
+    z = f"{float(bias)!r}"
+    for i, w in enumerate(weights):
+        z = f"({z} + {vec}[{i + 1}]::DOUBLE * {float(w)!r})"
+    return f"(1.0 / (1.0 + exp(-{z})))"

@@ -253,7 +253,7 @@ def q_assign_actions(spark, sf_dir):
                    avg(total_reward) AS mean_episode_reward, sum(steps) AS num_updates
             FROM eps GROUP BY run_id)
     SELECT a.run_id, a.num_episodes, round(a.total_reward, 9) AS total_reward,
-           round(a.mean_episode_reward, 9) AS mean_episode_reward, a.num_updates,
+           round(a.mean_episode_reward, 9) AS mean_episode_reward, a.num_updates::BIGINT AS num_updates,
            round(b.best_value, 9) AS best_value, b.best_action,
            round(greatest(0.1, pow(0.995, a.num_updates)), 12) AS final_epsilon
     FROM agg a JOIN ({_BEST_SQL}) b ON a.run_id = b.run_id""")
@@ -275,3 +275,219 @@ def q_stream_action_values(spark, sf_dir):
     schema = load_table(spark, sf_dir, "events").schema
     out = stream_action_values(spark, sf_dir, schema, reward_log_from_events, glob="events.parquet")
     return out.withColumns({c: F.round(c, 9) for c in ("reward_sum", "value")})
+
+
+# ================================================================ combinations
+from amphora.functions.cleavage import cut_sites  # noqa: E402
+from amphora.operators import classifier as C  # noqa: E402
+from amphora.operators import corpus as U  # noqa: E402
+from amphora.operators.digest import digest_sequential  # noqa: E402
+from amphora.operators.ranking import pivot_matrix, rank_within, top_k  # noqa: E402
+from amphora.operators.screening import peptide_counts  # noqa: E402
+from amphora.plans import combination_screening as Q  # noqa: E402
+from amphora.sources.sequences import attach_sequences, missing_sequences  # noqa: E402
+
+PRIOR = C.prior_scorer()
+_PRIOR_P = O.linear_prob_sql("peptide", PRIOR.weights, PRIOR.bias)
+
+
+@register("sequential_digest", O.sequential_digest_sql(_DOC))
+def q_sequential_digest(spark, sf_dir):
+    return digest_sequential(_doc_seqs(spark, sf_dir), "sequence", keep=KEYS)
+
+
+_COMBO_LABELS = " ".join(f"WHEN {c.action_id} THEN '{c.label}'" for c in fixed.COMBOS)
+_REWARDS_SQL = f"""
+    WITH agg AS (
+      SELECT protein, accession_id, action_id, count(*) AS num_peptides,
+             avg({_PRIOR_P}) AS avg_probability, max({_PRIOR_P}) AS max_probability
+      FROM ({O.sequential_digest_sql(_DOC)}) GROUP BY protein, accession_id, action_id),
+    grid AS (SELECT protein, accession_id, unnest({[c.action_id for c in fixed.COMBOS]}) AS action_id
+             FROM {_DOC})
+    SELECT g.protein, g.accession_id, g.action_id,
+           CASE g.action_id {_COMBO_LABELS} END AS label,
+           coalesce(a.num_peptides, 0) AS num_peptides,
+           a.avg_probability, a.max_probability,
+           coalesce(0.4 * a.avg_probability + 0.6 * a.max_probability, 0.0) AS reward
+    FROM grid g LEFT JOIN agg a
+      ON g.protein = a.protein AND g.accession_id = a.accession_id AND g.action_id = a.action_id"""
+
+
+def _round_cols(df, cols, digits=9):
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
+@register("combo_rewards", f"""
+    SELECT protein, accession_id, action_id, label, num_peptides,
+           round(avg_probability, 9) AS avg_probability, round(max_probability, 9) AS max_probability,
+           round(reward, 9) AS reward FROM ({_REWARDS_SQL})""")
+def q_combo_rewards(spark, sf_dir):
+    out = Q.combo_rewards(_doc_seqs(spark, sf_dir), PRIOR)
+    return _round_cols(out, ["avg_probability", "max_probability", "reward"])
+
+
+@register("rl_candidates", f"""
+    WITH r AS ({_REWARDS_SQL}),
+    best AS (SELECT protein, accession_id, action_id FROM (
+               SELECT protein, accession_id, action_id, row_number() OVER (
+                 PARTITION BY protein, accession_id ORDER BY reward DESC, action_id) AS k FROM r)
+             WHERE k = 1),
+    c AS (SELECT d.protein, d.accession_id, d.action_id, d.pos, d.peptide AS sequence,
+                 {_PRIOR_P} AS probability, {O.linear_logit_sql("peptide", PRIOR.weights, PRIOR.bias)} AS z
+          FROM ({O.sequential_digest_sql(_DOC)}) d JOIN best b
+          ON d.protein = b.protein AND d.accession_id = b.accession_id AND d.action_id = b.action_id)
+    SELECT protein, accession_id, action_id, pos, sequence, round(probability, 9) AS probability, rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY protein, accession_id
+                                       ORDER BY z DESC, pos) AS rank FROM c)""")
+def q_rl_candidates(spark, sf_dir):
+    seqs = _doc_seqs(spark, sf_dir)
+    out = Q.rank_candidates(seqs, Q.combo_rewards(seqs, PRIOR), PRIOR)
+    return _round_cols(out, ["probability"])
+
+
+@register("discovery_report", None)
+def q_discovery_report(spark, sf_dir):
+    from amphora.sources import catalog
+
+    seqs = _doc_seqs(spark, sf_dir)
+    rewards = Q.combo_rewards(seqs, PRIOR)
+    values = rewards.select(*KEYS, "action_id", F.col("reward").alias("value"))
+    cands = Q.rank_candidates(seqs, rewards, PRIOR).select(*KEYS, "sequence", "probability")
+    return B.discovery_report(values, catalog.combos(spark).drop("enzymes"), cands,
+                              5, keys=KEYS)
+
+
+# ================================================================ A5 / A9 / G1 / T3 / T5
+_ENZ = [e.name for e in fixed.ENZYMES]
+
+
+@register("peptide_counts", f"""
+    SELECT protein, {', '.join(f"count_if(enzyme = '{e}') AS {e}" for e in _ENZ)}
+    FROM ({O.digest_sql(_DOC)}) GROUP BY protein""")
+def q_peptide_counts(spark, sf_dir):
+    return peptide_counts(_doc_peptides(spark, sf_dir), "protein", "enzyme", _ENZ)
+
+
+@register("screening_matrix", f"""
+    SELECT protein, {', '.join(f"round(max(CASE WHEN enzyme = '{e}' THEN avg_score END), 9) AS {e}" for e in _ENZ)}
+    FROM ({_SCREEN_SQL}) GROUP BY protein""")
+def q_screening_matrix(spark, sf_dir):
+    res = screen(_doc_peptides(spark, sf_dir), KEYS)
+    out = pivot_matrix(res, "protein", "enzyme", "avg_score", _ENZ)
+    return _round_cols(out, _ENZ)
+
+
+def _cut_sites_sql() -> str:
+    parts = [f"SELECT accession_id, '{r.name}' AS enzyme, string_split({O.marker_sql('sequence', r)}, '|') AS frags "
+             f"FROM {_DOC}" for r in fixed.ENZYMES]
+    return f"""
+    WITH m AS ({' UNION ALL '.join(parts)}),
+    u AS (SELECT accession_id, enzyme, unnest(frags) AS f, unnest(range(len(frags))) AS i FROM m),
+    c AS (SELECT accession_id, enzyme,
+                 sum(length(f)) OVER (PARTITION BY accession_id, enzyme ORDER BY i) AS site FROM u)
+    SELECT accession_id, enzyme, list_sort(list_distinct(list_concat([0], list(site::INTEGER)))) AS cut_sites
+    FROM c GROUP BY accession_id, enzyme"""
+
+
+@register("cut_sites", _cut_sites_sql())
+def q_cut_sites(spark, sf_dir):
+    seqs = _doc_seqs(spark, sf_dir)
+    per = F.array(*[F.struct(F.lit(r.name).alias("enzyme"), cut_sites(F.col("sequence"), r).alias("cut_sites"))
+                    for r in fixed.ENZYMES])
+    return seqs.select("accession_id", F.inline(per))
+
+
+@register("rank_peptides", f"""
+    SELECT protein, enzyme, pos, peptide, {_F['score']} AS simple_amp_score,
+           row_number() OVER (PARTITION BY protein, enzyme ORDER BY {_F['score']} DESC, pos) AS rank
+    FROM ({O.digest_sql(_DOC)})""")
+def q_rank_peptides(spark, sf_dir):
+    from amphora.functions.residues import simple_amp_score
+
+    peps = _doc_peptides(spark, sf_dir).select("protein", "enzyme", "pos", "peptide",
+                                               simple_amp_score("peptide").alias("simple_amp_score"))
+    return rank_within(peps, ["protein", "enzyme"],
+                       [F.col("simple_amp_score").desc(), F.col("pos").asc()])
+
+
+@register("top_peptides", f"""
+    SELECT protein, enzyme, pos, peptide, {_F['score']} AS simple_amp_score
+    FROM ({O.digest_sql(_DOC)})
+    ORDER BY simple_amp_score DESC, length(peptide) DESC, protein, enzyme, pos LIMIT 10""")
+def q_top_peptides(spark, sf_dir):
+    from amphora.functions.residues import simple_amp_score
+
+    peps = _doc_peptides(spark, sf_dir).select("protein", "enzyme", "pos", "peptide",
+                                               simple_amp_score("peptide").alias("simple_amp_score"))
+    return top_k(peps, 10, [F.col("simple_amp_score").desc(), F.length("peptide").desc(),
+                            F.col("protein"), F.col("enzyme"), F.col("pos")])
+
+
+# ================================================================ S2 / J2
+_LABEL_CAT = "(SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS protein, CAST(doc_id AS VARCHAR) AS accession_id FROM labels)"
+
+
+def _label_catalogue(spark, sf_dir):
+    return load_table(spark, sf_dir, "labels").select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("protein"),
+        F.col("doc_id").cast("string").alias("accession_id"))
+
+
+@register("missing_sequences", f"""
+    SELECT * FROM {_LABEL_CAT} c WHERE NOT EXISTS (
+      SELECT 1 FROM {_DOC} d WHERE d.accession_id = c.accession_id)""")
+def q_missing_sequences(spark, sf_dir):
+    seqs = document_sequences(spark, sf_dir).select("accession_id", "sequence")
+    return missing_sequences(_label_catalogue(spark, sf_dir), seqs)
+
+
+@register("attach_sequences", f"""
+    SELECT c.protein, c.accession_id, d.sequence
+    FROM {_LABEL_CAT} c JOIN {_DOC} d ON c.accession_id = d.accession_id""")
+def q_attach_sequences(spark, sf_dir):
+    seqs = document_sequences(spark, sf_dir).select("accession_id", "sequence")
+    return attach_sequences(_label_catalogue(spark, sf_dir), seqs)
+
+
+# ================================================================ corpus
+def _tokens(spark, sf_dir):
+    docs = load_table(spark, sf_dir, "documents")
+    tok = docs.select("lang", "source", F.explode(F.split("text", r"\s+")).alias("sequence"))
+    tok = tok.where(F.length("sequence") > 0)
+    first = tok.where(F.col("lang") == "en").select("sequence", "source")
+    second = tok.where(~(F.col("lang") == "en") | F.col("lang").isNull()).select("sequence", "source")
+    return [first, second]
+
+
+_TOK_SQL = """(SELECT lang, source, unnest(regexp_split_to_array(text, '\\s+')) AS sequence FROM documents)"""
+_AMP_DB_SQL = f"""
+    SELECT sequence, arg_min(source, (prio::VARCHAR || '|' || source)) AS source FROM (
+      SELECT upper(replace(sequence, 'ß', 'ss')) AS sequence, source,
+             CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS prio
+      FROM {_TOK_SQL} WHERE length(sequence) > 0)
+    WHERE regexp_matches(sequence, '^[{fixed.STANDARD_RESIDUES}]+$') AND length(sequence) >= 4
+    GROUP BY sequence"""
+
+
+def _amp_db(spark, sf_dir):
+    return U.build_amp_database(_tokens(spark, sf_dir))
+
+
+@register("amp_database", _AMP_DB_SQL)
+def q_amp_database(spark, sf_dir):
+    return _amp_db(spark, sf_dir)
+
+
+@register("source_breakdown", f"SELECT source, count(*) AS count FROM ({_AMP_DB_SQL}) GROUP BY source")
+def q_source_breakdown(spark, sf_dir):
+    return U.source_breakdown(_amp_db(spark, sf_dir))
+
+
+@register("length_stats", f"""
+    SELECT count(*) AS n, min(length(sequence)) AS min_length, max(length(sequence)) AS max_length,
+           round(avg(length(sequence)), 9) AS mean_length, median(length(sequence))::DOUBLE AS median_length,
+           round(stddev_samp(length(sequence)), 9) AS std_length
+    FROM ({_AMP_DB_SQL})""")
+def q_length_stats(spark, sf_dir):
+    out = U.length_stats(_amp_db(spark, sf_dir))
+    return _round_cols(out, ["mean_length", "std_length"])
