@@ -115,16 +115,26 @@ def embed_with(df: DataFrame, seq_col: str, make_embedder: Callable[[], Callable
 
 
 def numpy_composition_embedder() -> Callable[[list[str]], np.ndarray]:
-    """A Python embedder for ``embed_with`` (composition, vectorised)."""
-    codes = np.frombuffer(ALPHABET.encode(), dtype=np.uint8)
+    """A Python embedder for ``embed_with``: residue composition computed
+    for a whole Arrow batch at once (one byte buffer, one ``bincount``)."""
+    lookup = np.full(256, -1, dtype=np.int64)
+    for j, a in enumerate(ALPHABET):
+        lookup[ord(a)] = j
+        lookup[ord(a.lower())] = j
+    k = len(ALPHABET)
 
     def embed(seqs: list[str]) -> np.ndarray:
-        out = np.zeros((len(seqs), len(ALPHABET)))
-        for i, s in enumerate(seqs):
-            b = np.frombuffer(s.upper().encode("ascii", "ignore"), dtype=np.uint8)
-            if len(s):
-                out[i] = (b[:, None] == codes[None, :]).sum(axis=0) / len(s)
-        return out
+        n = len(seqs)
+        lens = np.fromiter((len(s) for s in seqs), dtype=np.int64, count=n)
+        # 'replace' keeps one byte per character, so offsets stay aligned.
+        buf = np.frombuffer("".join(seqs).encode("ascii", "replace"), dtype=np.uint8)
+        idx = lookup[buf]
+        row = np.repeat(np.arange(n), lens)
+        ok = idx >= 0
+        counts = np.bincount(row[ok] * k + idx[ok], minlength=n * k).reshape(n, k)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            out = counts / lens[:, None]
+        return np.nan_to_num(out, nan=0.0)
 
     return embed
 
@@ -267,12 +277,15 @@ def classification_report(pred: DataFrame, label: str = "label",
         F.sum(F.col("recall") * F.col("support")).alias("wr"),
         F.sum(F.col("f1") * F.col("support")).alias("wf"),
         F.first("n").alias("n"), F.first("acc").alias("acc"))
+    def row(name, p, r, f):
+        return F.struct(F.lit(name).alias("metric"), p.alias("precision"), r.alias("recall"),
+                        f.alias("f1"), F.col("n").alias("support"))
+
     extra = summary.select(F.explode(F.array(
-        F.struct(F.lit("accuracy").alias("metric"), F.col("acc").alias("precision"),
-                 F.col("acc").alias("recall"), F.col("acc").alias("f1"), F.col("n").alias("support")),
-        F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), F.col("n")),
-        F.struct(F.lit("weighted avg"), safe(F.col("wp"), F.col("n")), safe(F.col("wr"), F.col("n")),
-                 safe(F.col("wf"), F.col("n")), F.col("n")),
+        row("accuracy", F.col("acc"), F.col("acc"), F.col("acc")),
+        row("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
+        row("weighted avg", safe(F.col("wp"), F.col("n")), safe(F.col("wr"), F.col("n")),
+            safe(F.col("wf"), F.col("n"))),
     )).alias("r")).select("r.*")
     return classes.unionByName(extra)
 

@@ -66,14 +66,17 @@ def rank_screening(results: DataFrame, with_rank: bool = True) -> DataFrame:
     return global_rank(results, order) if with_rank else results.orderBy(*order)
 
 
-def ml_order() -> list[Column]:
-    return [F.col("top_probability").desc(), F.col("protein").asc(), F.col("enzyme").asc()]
+def ml_order(key: str = "top_probability") -> list[Column]:
+    return [F.col(key).desc(), F.col("protein").asc(), F.col("enzyme").asc()]
 
 
 def rank_screening_ml(results: DataFrame, with_rank: bool = True) -> DataFrame:
-    """Classifier summary by top probability."""
-    order = ml_order()
-    return global_rank(results, order) if with_rank else results.orderBy(*order)
+    """Classifier summary by top probability. When the summary carries
+    ``_top_key`` (the top logit, same order) it is used and dropped."""
+    key = "_top_key" if "_top_key" in results.columns else "top_probability"
+    order = ml_order(key)
+    out = global_rank(results, order) if with_rank else results.orderBy(*order)
+    return out.drop("_top_key")
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Column],

@@ -8,6 +8,7 @@ one row per task in the shuffle, not one row per peptide.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -77,16 +78,24 @@ def screen_ml(
     min_length: int = fixed.DEFAULT_MIN_LENGTH,
     max_length: int = fixed.DEFAULT_MAX_LENGTH,
     threshold: float = fixed.PREDICT_THRESHOLD,
+    order_col: str | None = None,
 ) -> DataFrame:
     """A2: classifier summary per (keys, enzyme) from peptide rows carrying
-    a probability column (see ``classifier.score_peptides``)."""
+    a probability column (see ``classifier.score_peptides``). ``order_col``
+    (e.g. the logit) picks the top peptide when given; it must be monotone
+    in the probability."""
     p = F.col(prob_col)
+    top_key = F.col(order_col) if order_col else p
     agg = scored.groupBy(*keys, group).agg(
         F.count(F.lit(1)).alias("num_peptides"),
-        F.count_if(p > threshold).alias("num_predicted_amp"),
+        # With the logit at hand, p > t is decided as logit > log(t / (1 - t)):
+        # the same test, without the last-bit noise of exp().
+        F.count_if(F.col(order_col) > F.lit(math.log(threshold / (1 - threshold)))
+                   if order_col else p > threshold).alias("num_predicted_amp"),
         F.avg(p).alias("avg_probability"),
         F.max(p).alias("top_probability"),
-        first_at_max("peptide", p).alias("top_peptide"),
+        first_at_max("peptide", top_key).alias("top_peptide"),
+        F.max(top_key).alias("_top_key"),
     )
     return agg.select(
         *keys,
@@ -98,6 +107,7 @@ def screen_ml(
         "avg_probability",
         "top_probability",
         "top_peptide",
+        *(["_top_key"] if order_col else []),
     )
 
 

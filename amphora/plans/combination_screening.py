@@ -31,8 +31,9 @@ def screen_combinations_ml(sequences: DataFrame, scorer: LinearScorer | None = N
     scorer = scorer or prior_scorer()
     seqs = spread(sequences.select(*keys, "sequence"), keys[-1])
     peps = digest(seqs, "sequence", enzymes, min_length, max_length, keep=list(keys))
-    out = screen_ml(score_peptides(peps, scorer), keys, "enzyme", "amp_probability",
-                    min_length, max_length)
+    scored = score_peptides(peps.withColumn("_z", scorer.logit("peptide")), scorer)
+    out = screen_ml(scored, keys, "enzyme", "amp_probability", min_length, max_length,
+                    order_col="_z")
     return rank_screening_ml(out) if ranked else out
 
 

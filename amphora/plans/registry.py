@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -491,3 +493,204 @@ def q_source_breakdown(spark, sf_dir):
 def q_length_stats(spark, sf_dir):
     out = U.length_stats(_amp_db(spark, sf_dir))
     return _round_cols(out, ["mean_length", "std_length"])
+
+
+# ================================================================ classifier
+# Fixed-rule linear weights over the 64-wide driver embeddings (a stand-in
+# model, so both engines can replay the scores exactly).
+EMB_DIM = 64
+EMB_W = [((i % 7) - 3) / 10.0 for i in range(EMB_DIM)]
+EMB_B = 0.05
+_EMB_P = O.dot_prob_sql("embedding", EMB_W, EMB_B)
+
+
+def _emb_pred(spark, sf_dir):
+    emb = load_table(spark, sf_dir, "embeddings")
+    return emb.select(
+        "vec_id", "label", (F.col("label") >= 5).cast("int").alias("y"),
+        C.dot_probability("embedding", EMB_W, EMB_B).alias("probability"),
+    ).withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
+
+
+_EMB_PRED_SQL = f"""(SELECT vec_id, label, (label >= 5)::INTEGER AS y, {_EMB_P} AS probability,
+                     ({_EMB_P} > 0.5)::INTEGER AS prediction FROM embeddings)"""
+
+
+@register("dataset_split", """
+    SELECT vec_id, label, CASE WHEN (('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '|42|split'), 1, 8))::BIGINT
+                                    % 100) < 20 THEN 'test' ELSE 'train' END AS split
+    FROM embeddings""")
+def q_dataset_split(spark, sf_dir):
+    emb = load_table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    return C.split_dataset(emb, "vec_id", 20, 42)
+
+
+@register("predict_fixed", f"""
+    SELECT vec_id, label, y, round(probability, 9) AS probability, prediction FROM {_EMB_PRED_SQL}""")
+def q_predict_fixed(spark, sf_dir):
+    return _round_cols(_emb_pred(spark, sf_dir), ["probability"])
+
+
+_REPORT_SQL = f"""
+    WITH p AS (SELECT y, prediction AS pr FROM {_EMB_PRED_SQL}),
+    c AS (SELECT count_if(y = 0 AND pr = 0) AS tp0, count_if(y = 1 AND pr = 1) AS tp1,
+                 count_if(pr = 0) AS pp0, count_if(pr = 1) AS pp1,
+                 count_if(y = 0) AS s0, count_if(y = 1) AS s1, count(*) AS n FROM p),
+    k AS (SELECT '0' AS metric, CASE WHEN pp0 = 0 THEN 0.0 ELSE tp0::DOUBLE / pp0 END AS precision,
+                 CASE WHEN s0 = 0 THEN 0.0 ELSE tp0::DOUBLE / s0 END AS recall, s0 AS support,
+                 n, (tp0 + tp1)::DOUBLE / n AS acc FROM c
+          UNION ALL
+          SELECT '1', CASE WHEN pp1 = 0 THEN 0.0 ELSE tp1::DOUBLE / pp1 END,
+                 CASE WHEN s1 = 0 THEN 0.0 ELSE tp1::DOUBLE / s1 END, s1, n, (tp0 + tp1)::DOUBLE / n FROM c),
+    f AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+                         ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM k)
+    SELECT metric, precision, recall, f1, support FROM f
+    UNION ALL SELECT 'accuracy', max(acc), max(acc), max(acc), max(n) FROM f
+    UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), max(n) FROM f
+    UNION ALL SELECT 'weighted avg', sum(precision * support) / max(n), sum(recall * support) / max(n),
+                     sum(f1 * support) / max(n), max(n) FROM f"""
+
+
+@register("classification_report", f"""
+    SELECT metric, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1,
+           support::BIGINT AS support FROM ({_REPORT_SQL})""")
+def q_classification_report(spark, sf_dir):
+    pred = _emb_pred(spark, sf_dir)
+    out = C.classification_report(pred, "y", "prediction")
+    return _round_cols(out, ["precision", "recall", "f1"])
+
+
+_SCORES_SQL = f"(SELECT y AS label, round(probability, 6) AS score FROM {_EMB_PRED_SQL})"
+
+
+def _scores(spark, sf_dir):
+    return _emb_pred(spark, sf_dir).select(F.col("y").alias("label"),
+                                           F.round("probability", 6).alias("score"))
+
+
+@register("roc_auc", f"""
+    WITH c AS (SELECT score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg FROM {_SCORES_SQL} GROUP BY score),
+    r AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS neg_le FROM c)
+    SELECT round(sum(pos * (neg_le - neg * 0.5)) / (sum(pos)::DOUBLE * sum(neg)), 9) AS auc,
+           sum(pos)::BIGINT AS positives, sum(neg)::BIGINT AS negatives FROM r""")
+def q_roc_auc(spark, sf_dir):
+    return _round_cols(C.roc_auc(_scores(spark, sf_dir)), ["auc"])
+
+
+@register("roc_curve", f"""
+    WITH c AS (SELECT score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg FROM {_SCORES_SQL} GROUP BY score),
+    t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM c),
+    r AS (SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM c
+          WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    SELECT score AS threshold, round(fp::DOUBLE / N, 9) AS fpr, round(tp::DOUBLE / P, 9) AS tpr FROM r, t""")
+def q_roc_curve(spark, sf_dir):
+    return _round_cols(C.roc_curve(_scores(spark, sf_dir)), ["fpr", "tpr"])
+
+
+@register("mean_pool", """
+    SELECT label, list_transform(list(m ORDER BY i), lambda x: round(x, 9)) AS pooled FROM (
+      SELECT label, i, avg(x::DOUBLE) AS m FROM (
+        SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings)
+      GROUP BY label, i)
+    GROUP BY label""")
+def q_mean_pool(spark, sf_dir):
+    emb = load_table(spark, sf_dir, "embeddings")
+    out = C.mean_pool(emb, ["label"], "embedding", "pooled")
+    return out.withColumn("pooled", F.transform("pooled", lambda x: F.round(x, 9)))
+
+
+_COMP_SQL = "[" + ", ".join(O.fraction_sql("sequence", a) for a in fixed.STANDARD_RESIDUES) + "]"
+
+
+@register("embed_arrow", f"""
+    SELECT accession_id, list_transform({_COMP_SQL}, lambda x: round(x, 9)) AS embedding FROM {_DOC}""")
+def q_embed_arrow(spark, sf_dir):
+    seqs = _doc_seqs(spark, sf_dir).select("accession_id", "sequence")
+    out = C.embed_with(seqs, "sequence", C.numpy_composition_embedder, len(fixed.STANDARD_RESIDUES))
+    return out.select("accession_id", F.transform("embedding", lambda x: F.round(x, 9)).alias("embedding"))
+
+
+_ML_SCREEN_SQL = f"""
+    SELECT protein, accession_id, enzyme, {fixed.DEFAULT_MIN_LENGTH} AS min_length,
+           {fixed.DEFAULT_MAX_LENGTH} AS max_length, count(*) AS num_peptides,
+           count_if(z > 0.0) AS num_predicted_amp, avg(p) AS avg_probability, max(p) AS top_probability,
+           min(CASE WHEN k = 1 THEN peptide END) AS top_peptide, max(z) AS top_z
+    FROM (SELECT *, row_number() OVER (PARTITION BY protein, accession_id, enzyme ORDER BY z DESC, pos) AS k
+          FROM (SELECT *, {_PRIOR_P} AS p, {O.linear_logit_sql("peptide", PRIOR.weights, PRIOR.bias)} AS z
+                FROM ({O.digest_sql(_DOC)})))
+    GROUP BY protein, accession_id, enzyme"""
+
+
+@register("ml_screening", f"""
+    SELECT protein, accession_id, enzyme, min_length, max_length, num_peptides, num_predicted_amp,
+           round(avg_probability, 9) AS avg_probability, round(top_probability, 9) AS top_probability,
+           top_peptide, rank
+    FROM (SELECT *, row_number() OVER (ORDER BY top_z DESC, protein, enzyme) AS rank
+          FROM ({_ML_SCREEN_SQL}))""")
+def q_ml_screening(spark, sf_dir):
+    out = Q.screen_combinations_ml(_doc_seqs(spark, sf_dir), PRIOR)
+    return _round_cols(out, ["avg_probability", "top_probability"])
+
+
+@register("score_distinct", f"""
+    SELECT protein, accession_id, enzyme, pos, peptide, round({_PRIOR_P}, 9) AS amp_probability
+    FROM ({O.digest_sql(_DOC)})""")
+def q_score_distinct(spark, sf_dir):
+    w = np.asarray(PRIOR.weights)
+
+    def embed_score(df):
+        emb = C.embed_with(df, "peptide", C.numpy_composition_embedder, len(fixed.STANDARD_RESIDUES))
+        return emb.select("peptide", C.dot_probability("embedding", list(w), PRIOR.bias)
+                          .alias("amp_probability"))
+
+    out = C.score_distinct(_doc_peptides(spark, sf_dir), embed_score)
+    return _round_cols(out, ["amp_probability"])
+
+
+def _amp_positives(spark, sf_dir):
+    return _amp_db(spark, sf_dir)
+
+
+@register("negatives", f"""
+    WITH pos AS ({_AMP_DB_SQL}),
+    b AS (SELECT min(length(sequence)) AS lo, max(length(sequence)) AS hi, count(*) AS n FROM pos),
+    ids AS (SELECT unnest(range(2 * n)) AS id, lo, hi FROM b),
+    cand AS (SELECT id, array_to_string(list_transform(
+                 range(1, lo + (('0x' || substr(md5(CAST(id AS VARCHAR) || '|42|len'), 1, 8))::BIGINT
+                                % (hi - lo + 1)) + 1),
+                 lambda k: substr('{fixed.STANDARD_RESIDUES}',
+                     ((('0x' || substr(md5(CAST(id AS VARCHAR) || '|42|' || CAST(k AS VARCHAR)), 1, 8))::BIGINT
+                       % 20) + 1)::INTEGER, 1)), '') AS sequence FROM ids),
+    fresh AS (SELECT * FROM cand WHERE sequence NOT IN (SELECT sequence FROM pos)),
+    firsts AS (SELECT sequence, min(id) AS id FROM fresh GROUP BY sequence)
+    SELECT sequence, 'negative' AS source, 0 AS label
+    FROM (SELECT *, row_number() OVER (ORDER BY id) AS r FROM firsts)
+    WHERE r <= (SELECT n FROM b)""")
+def q_negatives(spark, sf_dir):
+    pos = _amp_positives(spark, sf_dir)
+    return C.generate_negatives(spark, pos, pos.count(), seed=42)
+
+
+@register("classifier_fit", None)
+def q_classifier_fit(spark, sf_dir):
+    emb = load_table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("embedding"),
+        (F.col("label") >= 5).cast("int").alias("label"))
+    data = C.split_dataset(emb, "vec_id", 20, 42)
+    model = C.fit_logistic(data.where("split = 'train'"), "embedding", "label", max_iter=200)
+    return C.predict(model, data.where("split = 'test'"), "embedding").select(
+        "vec_id", "label", "prediction", "probability_1")
+
+
+@register("classifier_eval", None)
+def q_classifier_eval(spark, sf_dir):
+    """The corpus-to-classifier flow on driver data: AMP corpus positives,
+    generated negatives, hash split, composition features, MLlib logistic
+    regression, report on the test split."""
+    pos = _amp_positives(spark, sf_dir).withColumn("source", F.lit("corpus"))
+    data = C.prepare_dataset(spark, pos, pos.count(), seed=42)
+    feats = data.withColumn("features", C.composition("sequence"))
+    model = C.fit_logistic(feats.where("split = 'train'"), "features", "label", max_iter=200)
+    pred = C.predict(model, feats.where("split = 'test'"), "features")
+    return C.classification_report(pred.withColumn("prediction", F.col("prediction").cast("int")),
+                                   "label", "prediction")
