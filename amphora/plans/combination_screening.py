@@ -14,7 +14,8 @@ from amphora import fixed
 from amphora.fixed import Combo
 from amphora.functions.residues import reward
 from amphora.operators.classifier import LinearScorer, prior_scorer, score_peptides
-from amphora.operators.digest import _combos, digest, digest_sequential
+from amphora.functions.cleavage import resolve_enzyme, sequential_fragments
+from amphora.operators.digest import _combos, digest, digest_sequential, explode_peptides
 from amphora.operators.ranking import rank_screening_ml
 from amphora.operators.screening import screen_ml
 from amphora.session import spread
@@ -31,7 +32,7 @@ def screen_combinations_ml(sequences: DataFrame, scorer: LinearScorer | None = N
     scorer = scorer or prior_scorer()
     seqs = spread(sequences.select(*keys, "sequence"), keys[-1])
     peps = digest(seqs, "sequence", enzymes, min_length, max_length, keep=list(keys))
-    scored = score_peptides(peps.withColumn("_z", scorer.logit("peptide")), scorer)
+    scored = score_peptides(peps, scorer, keep_logit=True)
     out = screen_ml(scored, keys, "enzyme", "amp_probability", min_length, max_length,
                     order_col="_z")
     return rank_screening_ml(out) if ranked else out
@@ -48,8 +49,8 @@ def combo_rewards(sequences: DataFrame, scorer: LinearScorer | None = None,
     combos = _combos(combos)
     seqs = spread(sequences.select(*keys, "sequence"), keys[-1])
     peps = digest_sequential(seqs, "sequence", combos, min_length, max_length, keep=list(keys))
-    p = scorer.probability("peptide")
-    agg = peps.groupBy(*keys, "action_id").agg(
+    p = F.col("amp_probability")
+    agg = score_peptides(peps, scorer).groupBy(*keys, "action_id").agg(
         F.count(F.lit(1)).alias("num_peptides"), F.avg(p).alias("avg_probability"),
         F.max(p).alias("max_probability"))
     grid = seqs.select(*keys).withColumn(
@@ -74,16 +75,26 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: LinearScor
                     min_length: int = fixed.DEFAULT_MIN_LENGTH,
                     max_length: int = fixed.DEFAULT_MAX_LENGTH) -> DataFrame:
     """T4: peptides of each protein's best combination with their
-    probability, ranked by probability (ties: position). A protein's
-    candidates come from one sequence, so the per-protein window is bounded
-    by that sequence's peptides."""
+    probability, ranked by probability (ties: position).
+
+    Only the best combination is digested again: the sequence row is joined
+    to its best action (one row per protein) and a lazy ``CASE`` evaluates
+    just that combination's cut expression. A protein's candidates come
+    from one sequence, so the per-protein window is bounded by it."""
     scorer = scorer or prior_scorer()
+    combos = _combos(combos)
     seqs = spread(sequences.select(*keys, "sequence"), keys[-1])
-    peps = digest_sequential(seqs, "sequence", combos, min_length, max_length, keep=list(keys))
     best = best_combination(rewards, keys).select(*keys, F.col("best_action").alias("action_id"))
-    cand = peps.join(best, [*keys, "action_id"], "inner").select(
-        *keys, "action_id", "pos", F.col("peptide").alias("sequence"),
-        scorer.logit("peptide").alias("_z"))
+    seq = F.upper(F.col("sequence"))
+    frags = F.lit(None).cast("array<string>")
+    for c in combos:
+        frags = F.when(F.col("action_id") == c.action_id,
+                       sequential_fragments(seq, [resolve_enzyme(e) for e in c.enzymes])
+                       ).otherwise(frags)
+    picked = seqs.join(best, list(keys), "inner").select(*keys, "action_id", frags.alias("frags"))
+    peps = explode_peptides(picked, "frags", [*keys, "action_id"], min_length, max_length)
+    cand = peps.select(*keys, "action_id", "pos", F.col("peptide").alias("sequence"),
+                       scorer.logit("peptide").alias("_z"))
     # Rank on the logit: same order as the probability, but free of the
     # last-bit differences of exp() between math libraries.
     w = Window.partitionBy(*keys).orderBy(F.col("_z").desc(), F.col("pos").asc())

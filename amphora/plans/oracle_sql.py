@@ -111,12 +111,16 @@ def fraction_sql(col: str, letters: str) -> str:
 
 
 def linear_logit_sql(col: str, weights, bias: float) -> str:
-    """bias + sum w_a * fraction_a, additions in alphabet order."""
-    z = f"{float(bias)!r}"
+    """bias + (sum over weight classes of w * count) / length, classes in
+    order of first appearance in the alphabet (the scorer's arithmetic)."""
+    classes: dict[float, str] = {}
     for a, w in zip(fixed.STANDARD_RESIDUES, weights):
         if w != 0.0:
-            z = f"({z} + {float(w)!r} * {fraction_sql(col, a)})"
-    return z
+            classes[float(w)] = classes.get(float(w), "") + a
+    num = "0.0"
+    for w, letters in classes.items():
+        num = f"({num} + {w!r} * {count_sql(col, letters)}::DOUBLE)"
+    return f"({float(bias)!r} + (CASE WHEN length({col}) = 0 THEN 0.0 ELSE {num} / length({col}) END))"
 
 
 def linear_prob_sql(col: str, weights, bias: float) -> str:
