@@ -72,7 +72,9 @@ class LinearScorer:
         num = F.lit(0.0)
         for w, letters in self.weight_classes():
             num = num + F.lit(w) * count_residues(seq, letters).cast("double")
-        frac = F.coalesce(F.try_divide(num, F.length(seq)), F.lit(0.0))
+        n = F.length(seq)
+        # 0 for the empty string, null for a null sequence.
+        frac = F.coalesce(F.try_divide(num, n), F.when(n.isNotNull(), F.lit(0.0)))
         return F.lit(float(self.bias)) + frac
 
     def probability(self, seq: str | Column) -> Column:

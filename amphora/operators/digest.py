@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from amphora import fixed
 from amphora.fixed import Combo, EnzymeRule
-from amphora.functions.cleavage import fragments, resolve_enzyme, sequential_fragments
+from amphora.functions.cleavage import nonempty_fragments, resolve_enzyme, sequential_fragments
 from amphora.functions.residues import length_between
 
 
@@ -77,7 +77,7 @@ def digest(
         *[
             F.struct(
                 F.lit(r.name).alias("enzyme"),
-                F.filter(fragments(seq, r), lambda x: F.length(x) > 0).alias("frags"),
+                nonempty_fragments(seq, r).alias("frags"),
             )
             for r in _rules(enzymes)
         ]
@@ -121,4 +121,4 @@ def digest_sequential(
 def peptide_array(seq: Column, enzyme: EnzymeRule | str) -> Column:
     """Digest as an ARRAY<STRING> column of non-empty fragments (no explode)."""
     rule = resolve_enzyme(enzyme) if isinstance(enzyme, str) else enzyme
-    return F.filter(fragments(F.upper(seq), rule), lambda x: F.length(x) > 0)
+    return nonempty_fragments(F.upper(seq), rule)

@@ -44,21 +44,33 @@ def combo_rewards(sequences: DataFrame, scorer: LinearScorer | None = None,
                   max_length: int = fixed.DEFAULT_MAX_LENGTH) -> DataFrame:
     """A6 (+J3, G3, P13): per (protein, combination) the number of peptides,
     mean and max probability and the reward 0.4 avg + 0.6 max. A
-    combination without peptides is kept with reward 0.0."""
+    combination without peptides is kept with reward 0.0.
+
+    One pass, one shuffle: every fragment array is exploded behind a null
+    placeholder, so each (protein, combination) group exists even when no
+    peptide survives the length filter; ``count(peptide)`` ignores it. No
+    second scan of the sequences and no join to a protein x combination grid.
+    """
     scorer = scorer or prior_scorer()
     combos = _combos(combos)
     seqs = spread(sequences.select(*keys, "sequence"), keys[-1])
-    peps = digest_sequential(seqs, "sequence", combos, min_length, max_length, keep=list(keys))
+    seq = F.upper(F.col("sequence"))
+    per_combo = F.array(*[
+        F.struct(F.lit(c.action_id).alias("action_id"),
+                 sequential_fragments(seq, [resolve_enzyme(e) for e in c.enzymes]).alias("frags"))
+        for c in combos])
+    rows = seqs.select(*keys, F.inline(per_combo))
+    peps = rows.select(*keys, "action_id", F.explode(
+        F.concat(F.array(F.lit(None).cast("string")), F.col("frags"))).alias("peptide"))
+    peps = peps.where(F.col("peptide").isNull()
+                      | F.length("peptide").between(min_length, max_length))
     p = F.col("amp_probability")
     agg = score_peptides(peps, scorer).groupBy(*keys, "action_id").agg(
-        F.count(F.lit(1)).alias("num_peptides"), F.avg(p).alias("avg_probability"),
+        F.count("peptide").alias("num_peptides"), F.avg(p).alias("avg_probability"),
         F.max(p).alias("max_probability"))
-    grid = seqs.select(*keys).withColumn(
-        "action_id", F.explode(F.array(*[F.lit(c.action_id) for c in combos])))
     labels = F.create_map(*[x for c in combos for x in (F.lit(c.action_id), F.lit(c.label))])
-    return grid.join(agg, [*keys, "action_id"], "left").select(
-        *keys, "action_id", labels[F.col("action_id")].alias("label"),
-        F.coalesce("num_peptides", F.lit(0)).alias("num_peptides"),
+    return agg.select(
+        *keys, "action_id", labels[F.col("action_id")].alias("label"), "num_peptides",
         "avg_probability", "max_probability",
         reward("avg_probability", "max_probability").alias("reward"))
 

@@ -66,7 +66,9 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     that round robin needs.
     """
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
+    # Several tasks per core: sequence lengths are skewed (a few very long
+    # documents), and smaller tasks even out the explode stage.
+    want = min_partitions or 8 * spark.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
     if have >= want:
         return df

@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amphora import fixed
 from amphora.functions.residues import drop_missing, protein_like
+from amphora.session import spread
 
 
 def read_sequence_files(spark: SparkSession, path: str) -> DataFrame:
@@ -46,10 +48,15 @@ def document_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-proteins from ``documents``: the residue letters of ``text``,
     upper-cased; ``protein = 'doc_' || doc_id``, ``accession_id = doc_id``.
     Documents without any residue letter are dropped (P10)."""
-    docs = load_table(spark, sf_dir, "documents")
+    # Spread the raw rows first: on a single-split input the text clean-up
+    # would otherwise run in one task (a no-op on a many-split input).
+    docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     seq = protein_like("text")
-    return docs.select(
+    # "Has a residue letter" is tested with an early-exit rlike: Catalyst
+    # pushes this filter below the repartition, so it must stay cheap.
+    letters = fixed.STANDARD_RESIDUES + fixed.STANDARD_RESIDUES.lower()
+    return docs.where(F.col("text").rlike(f"[{letters}]")).select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("protein"),
         F.col("doc_id").cast("string").alias("accession_id"),
         seq.alias("sequence"),
-    ).where(F.length("sequence") > 0)
+    )
