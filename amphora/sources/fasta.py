@@ -50,23 +50,35 @@ def read_apd(spark: SparkSession, paths: Sequence[str], source: str = "APD6") ->
     return out
 
 
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    """File names matching ``pattern`` on any Hadoop file system (names
+    only; no data passes through the driver)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(path)
+    return sorted(str(st.getPath().toString()) for st in (found or []) if st.isFile())
+
+
 def read_peptide_csvs(spark: SparkSession, path: str, source: str = "DBAASP",
                       column: str = "SEQUENCE") -> DataFrame:
-    """All CSV files under ``path`` (header row; only ``column`` is
-    read, so files with different extra columns union by name), renamed to
-    ``sequence`` and tagged; null and empty sequences dropped (P10). No file
-    at all gives an empty table with the schema."""
+    """All CSV files matching ``path`` (each with its own header row),
+    united by column name like a pandas concat: only ``column`` is kept,
+    renamed to ``sequence`` and tagged; null and empty sequences dropped
+    (P10). No file at all gives an empty table with the schema. Spark's
+    multi-file CSV read would apply one header to every file by position,
+    so files are read one by one (a small, known set of exports)."""
     schema = "sequence string, source string"
-    try:
-        df = spark.read.option("header", True).csv(path)
-    except Exception as e:  # noqa: BLE001 - missing path
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
-    if column not in df.columns:
+    out = None
+    for f in _glob(spark, path):
+        df = spark.read.option("header", True).csv(f)
+        if column not in df.columns:
+            continue
+        part = df.select(F.col(column).alias("sequence"), F.lit(source).alias("source"))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
         return spark.createDataFrame([], schema)
-    return df.select(F.col(column).alias("sequence"), F.lit(source).alias("source")).where(
-        F.col("sequence").isNotNull() & (F.col("sequence") != ""))
+    return out.where(F.col("sequence").isNotNull() & (F.col("sequence") != ""))
 
 
 SCREENING_SCHEMA = T.StructType([
