@@ -1,7 +1,8 @@
 """Column -> Column functions over amino-acid strings.
 
-All are built from JVM string expressions (``translate``, ``length``,
-``rlike``) so they stay inside whole-stage codegen; none is a Python UDF.
+All are built from JVM string expressions (``translate``, ``replace``,
+``length``, ``rlike``) so they stay inside whole-stage codegen; none is a
+Python UDF.
 """
 
 from __future__ import annotations
@@ -29,6 +30,43 @@ def count_residues(c: ColumnOrName, letters: str) -> Column:
     return F.length(c) - F.length(F.translate(c, letters, ""))
 
 
+# Private-use code points mark residue classes inside one translate().
+_CLASS_MARKS = [chr(0xE000 + i) for i in range(32)]
+
+
+def class_counts(c: ColumnOrName, classes: list[str]) -> list[Column]:
+    """Counts of disjoint residue classes with one ``translate`` (each class
+    mapped to its own marker) and one byte-level ``replace`` per class,
+    instead of one dictionary-driven ``translate`` per class."""
+    c = _c(c)
+    if len(classes) > len(_CLASS_MARKS):
+        raise ValueError("too many residue classes")
+    src = "".join(classes)
+    if len(set(src)) != len(src):
+        raise ValueError("residue classes must be disjoint")
+    dst = "".join(_CLASS_MARKS[i] * len(cls) for i, cls in enumerate(classes))
+    marked = F.translate(c, src, dst)
+    n = F.length(c)
+    return [n - F.length(F.replace(marked, F.lit(_CLASS_MARKS[i]), F.lit("")))
+            for i in range(len(classes))]
+
+
+# Disjoint atoms of the score's residue classes: positive, negative,
+# hydrophobic-but-not-aromatic, aromatic (hydrophobic = the last two).
+_ATOMS = [
+    fixed.POSITIVE_RESIDUES,
+    fixed.NEGATIVE_RESIDUES,
+    "".join(a for a in fixed.HYDROPHOBIC_RESIDUES if a not in fixed.AROMATIC_RESIDUES),
+    fixed.AROMATIC_RESIDUES,
+]
+assert set(fixed.AROMATIC_RESIDUES) <= set(fixed.HYDROPHOBIC_RESIDUES)
+
+
+def _atom_counts(c: Column) -> dict[str, Column]:
+    krh, de, avilm, fwy = class_counts(c, _ATOMS)
+    return {"pos": krh, "neg": de, "hyd": avilm + fwy, "aro": fwy}
+
+
 def net_charge(c: ColumnOrName) -> Column:
     """#{K,R,H} - #{D,E}; 0 for the empty string."""
     c = _c(c)
@@ -55,36 +93,39 @@ def aromatic_fraction(c: ColumnOrName) -> Column:
     return _fraction(_c(c), fixed.AROMATIC_RESIDUES)
 
 
-def simple_amp_score(c: ColumnOrName) -> Column:
-    """P5: rule score 0-5 (length, charge twice, hydrophobicity, aromatic)."""
-    c = _c(c)
+def _score_from(n: Column, counts: dict[str, Column]) -> tuple[Column, ...]:
     lo, hi = fixed.SCORE_LENGTH_RANGE
     c1, c2 = fixed.SCORE_CHARGE_STEPS
     h_lo, h_hi = fixed.SCORE_HYDROPHOBIC_RANGE
-    charge = net_charge(c)
-    parts = [
-        F.length(c).between(lo, hi),
-        charge >= c1,
-        charge >= c2,
-        hydrophobic_fraction(c).between(h_lo, h_hi),
-        aromatic_fraction(c) > 0,
-    ]
+    charge = counts["pos"] - counts["neg"]
+    hyd = F.coalesce(F.try_divide(counts["hyd"].cast("double"), n), F.lit(0.0))
+    aro = F.coalesce(F.try_divide(counts["aro"].cast("double"), n), F.lit(0.0))
+    parts = [n.between(lo, hi), charge >= c1, charge >= c2, hyd.between(h_lo, h_hi), aro > 0]
     total = parts[0].cast("int")
     for p in parts[1:]:
         total = total + p.cast("int")
-    return total
+    return charge, hyd, aro, total
+
+
+def simple_amp_score(c: ColumnOrName) -> Column:
+    """P5: rule score 0-5 (length, charge twice, hydrophobicity, aromatic)."""
+    c = _c(c)
+    return _score_from(F.length(c), _atom_counts(c))[3]
 
 
 def peptide_features(c: ColumnOrName) -> list[Column]:
-    """Upper-cased sequence plus the five features, as named columns."""
+    """Upper-cased sequence plus the five features, as named columns
+    (all from one class-count pass)."""
     seq = normalise_sequence(c)
+    n = F.length(seq)
+    charge, hyd, aro, score = _score_from(n, _atom_counts(seq))
     return [
         seq.alias("sequence"),
-        F.length(seq).alias("length"),
-        net_charge(seq).alias("net_charge"),
-        hydrophobic_fraction(seq).alias("hydrophobic_fraction"),
-        aromatic_fraction(seq).alias("aromatic_fraction"),
-        simple_amp_score(seq).alias("simple_amp_score"),
+        n.alias("length"),
+        charge.alias("net_charge"),
+        hyd.alias("hydrophobic_fraction"),
+        aro.alias("aromatic_fraction"),
+        score.alias("simple_amp_score"),
     ]
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from amphora import fixed
 from amphora.functions.hashing import hash32, uniform_int
-from amphora.functions.residues import count_residues, predict_label
+from amphora.functions.residues import class_counts, count_residues, predict_label
 from amphora.operators.ranking import global_rank
 
 ALPHABET = fixed.STANDARD_RESIDUES
@@ -69,9 +69,11 @@ class LinearScorer:
 
     def logit(self, seq: str | Column) -> Column:
         seq = F.col(seq) if isinstance(seq, str) else seq
+        classes = self.weight_classes()
+        counts = class_counts(seq, [letters for _, letters in classes])
         num = F.lit(0.0)
-        for w, letters in self.weight_classes():
-            num = num + F.lit(w) * count_residues(seq, letters).cast("double")
+        for (w, _), cnt in zip(classes, counts):
+            num = num + F.lit(w) * cnt.cast("double")
         n = F.length(seq)
         # 0 for the empty string, null for a null sequence.
         frac = F.coalesce(F.try_divide(num, n), F.when(n.isNotNull(), F.lit(0.0)))
