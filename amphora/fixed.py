@@ -87,3 +87,11 @@ PROTEINS: tuple[tuple[str, str], ...] = (
 
 # Corpus source tags and their precedence when a sequence occurs in both.
 SOURCE_PRIORITY = (("DBAASP", 0), ("APD6", 1))
+
+# --- fixed values: display names of the catalogue proteins ------------------
+PROTEIN_DISPLAY = {
+    "beta-lactoglobulin": "β-lactoglobulin",
+    "alpha-lactalbumin": "α-lactalbumin",
+    "lactoferrin": "Lactoferrin",
+    "BSA": "BSA",
+}

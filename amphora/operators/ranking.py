@@ -125,3 +125,14 @@ def pivot_matrix(results: DataFrame, row: str, col: str, value: str,
             ).cast("int"),
         )
     return out
+
+
+CANDIDATE_COLUMNS = ("protein", "enzyme", "top_peptide", "top_probability",
+                     "num_predicted_amp", "avg_probability")
+
+
+def candidate_columns(ranked_ml: DataFrame) -> DataFrame:
+    """The six-column view of the classifier ranking (plus ``rank``
+    when present)."""
+    extra = ["rank"] if "rank" in ranked_ml.columns else []
+    return ranked_ml.select(*CANDIDATE_COLUMNS, *extra)

@@ -694,3 +694,26 @@ def q_classifier_eval(spark, sf_dir):
     pred = C.predict(model, feats.where("split = 'test'"), "features")
     return C.classification_report(pred.withColumn("prediction", F.col("prediction").cast("int")),
                                    "label", "prediction")
+
+
+# ================================================================ P15/P16/P18/P19
+from amphora.functions.residues import capitalise, relabel, round_for_display  # noqa: E402
+from amphora.operators.ranking import candidate_columns  # noqa: E402
+
+ENZYME_DISPLAY = {e.name: e.name.capitalize() for e in fixed.ENZYMES}
+_ENZ_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ENZYME_DISPLAY.items())
+
+
+@register("screening_display", f"""
+    SELECT upper(substr(protein, 1, 1)) || lower(substr(protein, 2)) AS protein,
+           CASE enzyme {_ENZ_CASE} END AS enzyme, top_peptide,
+           round(top_probability, 4) AS top_probability, num_predicted_amp,
+           round(avg_probability, 4) AS avg_probability, rank
+    FROM (SELECT *, row_number() OVER (ORDER BY top_z DESC, protein, enzyme) AS rank
+          FROM ({_ML_SCREEN_SQL}))""")
+def q_screening_display(spark, sf_dir):
+    ranked = candidate_columns(Q.screen_combinations_ml(_doc_seqs(spark, sf_dir), PRIOR))
+    return ranked.select(
+        capitalise("protein").alias("protein"), relabel("enzyme", ENZYME_DISPLAY).alias("enzyme"),
+        "top_peptide", round_for_display("top_probability", 4).alias("top_probability"),
+        "num_predicted_amp", round_for_display("avg_probability", 4).alias("avg_probability"), "rank")

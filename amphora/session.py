@@ -42,7 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``. Only when nothing is configured (local tests)
     a fresh scratch folder is created and set."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -66,10 +69,13 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     that round robin needs.
     """
     spark = df.sparkSession
-    # Several tasks per core: sequence lengths are skewed (a few very long
-    # documents), and smaller tasks even out the explode stage.
-    want = min_partitions or 8 * spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        # Several tasks per core: sequence lengths are skewed (a few very long
+        # documents), and smaller tasks even out the explode stage.
+        want = min_partitions or 8 * spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (Spark Connect): leave as is
+        return df
     if have >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)

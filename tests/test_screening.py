@@ -55,3 +55,47 @@ def test_features_empty(spark):
 
 def test_enzyme_table():
     assert len(ENZYMES) == 6 and all(e.food_grade for e in ENZYMES)
+
+
+def test_conditions_and_display(spark):
+    from pyspark.sql import functions as F
+
+    from amphora.functions.enzymes import conditions
+    from amphora.functions.residues import capitalise, relabel
+    from amphora.fixed import PROTEIN_DISPLAY
+
+    df = spark.createDataFrame([(["pepsin", "trypsin"],), (["papain"],)], "e array<string>")
+    rows = df.select(*conditions("e")).collect()
+    assert (rows[0].ph, rows[0].temp) == ([2.0, 7.8], [37, 37])
+    assert (rows[1].ph, rows[1].temp) == ([6.5], [60])
+    names = spark.createDataFrame([("BSA",), ("lactoferrin",), ("casein",)], "p string")
+    out = names.select(capitalise("p").alias("c"), relabel("p", PROTEIN_DISPLAY).alias("d")).collect()
+    assert [r.c for r in out] == ["Bsa", "Lactoferrin", "Casein"]
+    assert [r.d for r in out] == ["BSA", "Lactoferrin", None]
+    assert F is not None
+
+
+def test_embeddings_and_model_roundtrip(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from amphora.operators import classifier as C
+    from amphora.sources.fasta import load_embeddings, save_embeddings
+    from amphora.sources.models import load_or_train
+
+    df = spark.range(200).select(
+        "id", F.array(*[(F.col("id") % (i + 2)).cast("double") for i in range(4)]).alias("embedding"),
+        (F.col("id") % 2).cast("int").alias("label"))
+    df = C.split_dataset(df, "id")
+    save_embeddings(df, str(tmp_path / "emb"))
+    test = load_embeddings(spark, str(tmp_path / "emb"), "test")
+    assert test.count() == df.where("split = 'test'").count()
+    calls = []
+
+    def train():
+        calls.append(1)
+        return C.fit_logistic(df.where("split = 'train'"), "embedding", "label", max_iter=50)
+
+    m1 = load_or_train(str(tmp_path / "model"), train)
+    m2 = load_or_train(str(tmp_path / "model"), train)
+    assert len(calls) == 1
+    assert list(m1.coefficients.toArray()) == list(m2.coefficients.toArray())
