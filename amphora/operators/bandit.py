@@ -59,15 +59,12 @@ def best_action(values: DataFrame, keys: Sequence[str] = ("run_id",)) -> DataFra
 
 
 def _best_action(values: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Ids may be strings, so the lowest-id tie-break is min() over the rows
-    # at the maximum. Both inputs have one row per (run, action): small.
-    mx = values.groupBy(*keys).agg(F.max("value").alias("best_value"))
-    return (
-        values.join(mx, list(keys))
-        .where(F.col("value") == F.col("best_value"))
-        .groupBy(*keys, "best_value")
-        .agg(F.min("action_id").alias("best_action"))
-    )
+    # One pass: a run has one row per action, so the run-partitioned window
+    # is bounded by the number of actions.
+    w = Window.partitionBy(*keys).orderBy(F.col("value").desc(), F.col("action_id").asc())
+    return values.select(*keys, F.col("value").alias("best_value"),
+                         F.col("action_id").alias("best_action"),
+                         F.row_number().over(w).alias("_r")).where("_r = 1").drop("_r")
 
 
 def moving_average(rewards: DataFrame, window: int = 10, keys: Sequence[str] = ("run_id",),
@@ -190,8 +187,14 @@ def discovery_report(values: DataFrame, combos: DataFrame, candidates: DataFrame
         *keys, F.lit("recommended").alias("section"), "rank", "label", "value", "ph", "temp")
     combos_sec = ranked.select(*keys, F.lit("ranked").alias("section"), "rank", "label", "value",
                                "ph", "temp")
-    w = Window.partitionBy(*keys).orderBy(F.col("probability").desc(), F.col("sequence"))
-    top = (candidates.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    # Top k per run: a precomputed candidate rank when given, else a
+    # group-limited row_number (at most k rows per task and run).
+    if "rank" in candidates.columns:
+        ranked_c = candidates
+    else:
+        w = Window.partitionBy(*keys).orderBy(F.col("probability").desc(), F.col("sequence"))
+        ranked_c = candidates.withColumn("rank", F.row_number().over(w))
+    top = (ranked_c.where(F.col("rank") <= k)
            .select(*keys, F.lit("candidate").alias("section"), "rank",
                    F.col("sequence").alias("label"), F.col("probability").alias("value"),
                    F.lit(None).cast("array<double>").alias("ph"),

@@ -282,34 +282,31 @@ def classification_report(pred: DataFrame, label: str = "label",
     def safe(a, b):
         return F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
 
-    rows = []
+    # Every metric is a function of the one-row count table: build the five
+    # report rows from it in one projection (no second pass over the input).
+    m = {}
     for k in (0, 1):
         prec = safe(F.col(f"tp{k}"), F.col(f"pp{k}"))
         rec = safe(F.col(f"tp{k}"), F.col(f"s{k}"))
-        f1 = safe(2 * prec * rec, prec + rec)
-        rows.append(F.struct(F.lit(str(k)).alias("metric"), prec.alias("precision"),
-                             rec.alias("recall"), f1.alias("f1"), F.col(f"s{k}").alias("support")))
-    base = per_class.select(F.array(*rows).alias("cls"), "n",
-                            safe(F.col("tp0") + F.col("tp1"), F.col("n")).alias("acc"))
-    cls = base.select(F.explode("cls").alias("r"), "n", "acc").select("r.*", "n", "acc")
-    classes = cls.select("metric", "precision", "recall", "f1", "support")
-    summary = cls.groupBy().agg(
-        F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-        F.sum(F.col("precision") * F.col("support")).alias("wp"),
-        F.sum(F.col("recall") * F.col("support")).alias("wr"),
-        F.sum(F.col("f1") * F.col("support")).alias("wf"),
-        F.first("n").alias("n"), F.first("acc").alias("acc"))
-    def row(name, p, r, f):
+        m[k] = (prec, rec, safe(2 * prec * rec, prec + rec), F.col(f"s{k}"))
+    n = F.col("n")
+    acc = safe(F.col("tp0") + F.col("tp1"), n)
+
+    def row(name, p, r, f, sup):
         return F.struct(F.lit(name).alias("metric"), p.alias("precision"), r.alias("recall"),
-                        f.alias("f1"), F.col("n").alias("support"))
-
-    extra = summary.select(F.explode(F.array(
-        row("accuracy", F.col("acc"), F.col("acc"), F.col("acc")),
-        row("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
-        row("weighted avg", safe(F.col("wp"), F.col("n")), safe(F.col("wr"), F.col("n")),
-            safe(F.col("wf"), F.col("n"))),
-    )).alias("r")).select("r.*")
-    return classes.unionByName(extra)
+                        f.alias("f1"), sup.cast("bigint").alias("support"))
+
+    def weighted(i):
+        return safe(m[0][i] * m[0][3] + m[1][i] * m[1][3], n)
+
+    rows = [
+        row("0", *m[0]), row("1", *m[1]),
+        row("accuracy", acc, acc, acc, n),
+        row("macro avg", (m[0][0] + m[1][0]) / 2, (m[0][1] + m[1][1]) / 2,
+            (m[0][2] + m[1][2]) / 2, n),
+        row("weighted avg", weighted(0), weighted(1), weighted(2), n),
+    ]
+    return per_class.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def _score_counts(pred: DataFrame, label: str, score: str) -> DataFrame:

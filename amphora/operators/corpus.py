@@ -38,9 +38,17 @@ def build_amp_database(corpora: Sequence[DataFrame],
     """P10 -> U1 -> P1 -> U2 -> P8 -> P9 as one plan (one shuffle, the
     dedupe). Filters that do not depend on the survivor run before the
     shuffle: alphabet and length only look at the upper-cased sequence."""
-    unioned = union_corpora([c.where(drop_missing("sequence")) for c in corpora])
+    return build_amp_database_tagged(union_corpora(corpora), min_len)
+
+
+def build_amp_database_tagged(tagged: DataFrame,
+                              min_len: int = fixed.CORPUS_MIN_LENGTH) -> DataFrame:
+    """U3 over one table already carrying ``source_priority`` (e.g. corpora
+    stored together and told apart by a column: one scan instead of one per
+    corpus)."""
     upper = F.upper("sequence")
-    kept = unioned.where(valid_alphabet(upper) & min_length(upper, min_len))
+    kept = tagged.where(drop_missing("sequence") & valid_alphabet(upper)
+                        & min_length(upper, min_len))
     return dedupe_by_sequence(kept)
 
 

@@ -81,11 +81,13 @@ def rank_screening_ml(results: DataFrame, with_rank: bool = True) -> DataFrame:
 
 def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
                 name: str = "rank") -> DataFrame:
-    """T3 per group: ``row_number`` inside each group (one shuffle on the
-    group key; a group's rows are ranked in one task, so this is for
-    groups bounded in size, such as the peptides of one protein/enzyme)."""
-    w = Window.partitionBy(*partition).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w))
+    """T3 per group: 1-based position inside each group following ``order``
+    (a total order inside the group). Computed as a distributed running
+    count, so a hot group (a third of all rows under one key) is split over
+    many tasks instead of being ranked by one ``row_number`` task."""
+    from amphora.operators.running import running
+
+    return running(df, order, {name: ("sum", F.lit(1).cast("bigint"))}, keys=list(partition))
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
@@ -95,9 +97,12 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
 
 def top_k_within(df: DataFrame, k: int, partition: Sequence[str],
                  order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """T5 per group: rank inside groups, keep rank <= k. Spark plans this as
-    a WindowGroupLimit, which drops rows beyond k before the shuffle too."""
-    return rank_within(df, partition, order, name).where(F.col(name) <= k)
+    """T5 per group: ``row_number`` inside groups, keep rank <= k. Spark
+    plans this with a WindowGroupLimit that keeps at most k rows per group
+    in every task before the shuffle, so even a hot group sends k rows per
+    task to the final window."""
+    w = Window.partitionBy(*partition).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 
 def pivot_matrix(results: DataFrame, row: str, col: str, value: str,

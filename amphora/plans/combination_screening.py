@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from amphora import fixed
@@ -16,7 +16,7 @@ from amphora.functions.residues import reward
 from amphora.operators.classifier import LinearScorer, prior_scorer, score_peptides
 from amphora.functions.cleavage import resolve_enzyme, sequential_fragments
 from amphora.operators.digest import _combos, digest, digest_sequential, explode_peptides
-from amphora.operators.ranking import rank_screening_ml
+from amphora.operators.ranking import rank_screening_ml, rank_within
 from amphora.operators.screening import screen_ml
 from amphora.session import spread
 
@@ -30,7 +30,7 @@ def screen_combinations_ml(sequences: DataFrame, scorer: LinearScorer | None = N
                            ranked: bool = True) -> DataFrame:
     """A2 (+C4, T2): classifier summary per (protein, enzyme)."""
     scorer = scorer or prior_scorer()
-    seqs = spread(sequences.select(*keys, "sequence"), keys[-1])
+    seqs = spread(sequences.select(*keys, "sequence"))
     peps = digest(seqs, "sequence", enzymes, min_length, max_length, keep=list(keys))
     scored = score_peptides(peps, scorer, keep_logit=True)
     out = screen_ml(scored, keys, "enzyme", "amp_probability", min_length, max_length,
@@ -53,7 +53,7 @@ def combo_rewards(sequences: DataFrame, scorer: LinearScorer | None = None,
     """
     scorer = scorer or prior_scorer()
     combos = _combos(combos)
-    seqs = spread(sequences.select(*keys, "sequence"), keys[-1])
+    seqs = spread(sequences.select(*keys, "sequence"))
     seq = F.upper(F.col("sequence"))
     per_combo = F.array(*[
         F.struct(F.lit(c.action_id).alias("action_id"),
@@ -95,7 +95,7 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: LinearScor
     from one sequence, so the per-protein window is bounded by it."""
     scorer = scorer or prior_scorer()
     combos = _combos(combos)
-    seqs = spread(sequences.select(*keys, "sequence"), keys[-1])
+    seqs = spread(sequences.select(*keys, "sequence"))
     best = best_combination(rewards, keys).select(*keys, F.col("best_action").alias("action_id"))
     seq = F.upper(F.col("sequence"))
     frags = F.lit(None).cast("array<string>")
@@ -108,8 +108,10 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: LinearScor
     cand = peps.select(*keys, "action_id", "pos", F.col("peptide").alias("sequence"),
                        scorer.logit("peptide").alias("_z"))
     # Rank on the logit: same order as the probability, but free of the
-    # last-bit differences of exp() between math libraries.
-    w = Window.partitionBy(*keys).orderBy(F.col("_z").desc(), F.col("pos").asc())
-    return cand.select("*", F.row_number().over(w).alias("rank")).select(
+    # last-bit differences of exp() between math libraries. The rank is a
+    # distributed running count per protein (no single task per protein).
+    ranked = rank_within(cand, list(keys),
+                         [F.col("_z").desc(), F.col("pos").asc(), F.col("sequence").asc()])
+    return ranked.select(
         *keys, "action_id", "pos", "sequence",
         (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z")))).alias("probability"), "rank")

@@ -44,7 +44,7 @@ def register(name: str, sql: str | None):
 
 
 def _doc_seqs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(document_sequences(spark, sf_dir), "accession_id")
+    return spread(document_sequences(spark, sf_dir))
 
 
 def _doc_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,7 +354,7 @@ def q_discovery_report(spark, sf_dir):
     seqs = _doc_seqs(spark, sf_dir)
     rewards = Q.combo_rewards(seqs, PRIOR)
     values = rewards.select(*KEYS, "action_id", F.col("reward").alias("value"))
-    cands = Q.rank_candidates(seqs, rewards, PRIOR).select(*KEYS, "sequence", "probability")
+    cands = Q.rank_candidates(seqs, rewards, PRIOR).select(*KEYS, "sequence", "probability", "rank")
     return B.discovery_report(values, catalog.combos(spark).drop("enzymes"), cands,
                               5, keys=KEYS)
 
@@ -452,15 +452,6 @@ def q_attach_sequences(spark, sf_dir):
 
 
 # ================================================================ corpus
-def _tokens(spark, sf_dir):
-    docs = load_table(spark, sf_dir, "documents")
-    tok = docs.select("lang", "source", F.explode(F.split("text", r"\s+")).alias("sequence"))
-    tok = tok.where(F.length("sequence") > 0)
-    first = tok.where(F.col("lang") == "en").select("sequence", "source")
-    second = tok.where(~(F.col("lang") == "en") | F.col("lang").isNull()).select("sequence", "source")
-    return [first, second]
-
-
 _TOK_SQL = """(SELECT lang, source, unnest(regexp_split_to_array(text, '\\s+')) AS sequence FROM documents)"""
 _AMP_DB_SQL = f"""
     SELECT sequence, arg_min(source, (prio::VARCHAR || '|' || source)) AS source FROM (
@@ -472,7 +463,12 @@ _AMP_DB_SQL = f"""
 
 
 def _amp_db(spark, sf_dir):
-    return U.build_amp_database(_tokens(spark, sf_dir))
+    # One scan: English documents are the preferred corpus (precedence 0).
+    docs = load_table(spark, sf_dir, "documents")
+    tok = docs.select(
+        F.explode(F.split("text", r"\s+")).alias("sequence"), "source",
+        F.when(F.col("lang") == "en", 0).otherwise(1).alias("source_priority"))
+    return U.build_amp_database_tagged(tok.where(F.length("sequence") > 0))
 
 
 @register("amp_database", _AMP_DB_SQL)

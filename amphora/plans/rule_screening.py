@@ -27,7 +27,7 @@ def screen_combinations(
     Plan: scan -> (spread) -> Generate (enzymes x fragments) -> Filter
     (length) -> partial aggregate -> exchange on the pair -> final aggregate.
     """
-    seqs = spread(sequences.select(*keys, "sequence"), keys[-1])
+    seqs = spread(sequences.select(*keys, "sequence"))
     peptides = digest(seqs, "sequence", enzymes, min_length, max_length, keep=list(keys))
     return screen(peptides, keys, "enzyme", min_length, max_length)
 

@@ -56,17 +56,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition ``df`` on ``keys`` only when the scan produced fewer
-    partitions than the cluster has cores.
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition ``df`` only when the scan produced fewer
+    partitions than 8 x the cores.
 
     Every generator in this package turns one sequence row into hundreds of
     peptide rows, so a single-split input (one small parquet file) would put
     the whole explosion in one task. On a large input the scan already yields
     thousands of splits and this is a no-op, so no shuffle of raw text is paid
-    where it is not needed. Hash partitioning on a row key (not round robin)
-    keeps the repartition deterministic under task retries without the sort
-    that round robin needs.
+    where it is not needed. Round robin (not hashing a key) spreads a hot key
+    and exact copies as evenly as anything else; Spark sorts locally before a
+    round-robin repartition, which keeps it deterministic under task retries,
+    and that sort is only ever paid on the small inputs this applies to.
     """
     spark = df.sparkSession
     try:
@@ -78,4 +79,4 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
         return df
     if have >= want:
         return df
-    return df.repartition(want, *keys) if keys else df.repartition(want)
+    return df.repartition(want)

@@ -50,7 +50,7 @@ def document_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     Documents without any residue letter are dropped (P10)."""
     # Spread the raw rows first: on a single-split input the text clean-up
     # would otherwise run in one task (a no-op on a many-split input).
-    docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
     seq = protein_like("text")
     # "Has a residue letter" is tested with an early-exit rlike: Catalyst
     # pushes this filter below the repartition, so it must stay cheap.
