@@ -183,19 +183,31 @@ def split_dataset(df: DataFrame, key: str | Column, test_percent: int = 20,
     return df.withColumn("split", F.when(bucket < test_percent, "test").otherwise("train"))
 
 
+def positive_bounds(positives: DataFrame, seq_col: str = "sequence"):
+    """(count, shortest, longest) of the positives in one aggregate: three
+    scalars for the driver, used as literals by ``generate_negatives``."""
+    b = positives.agg(F.count(F.lit(1)).alias("n"), F.min(F.length(seq_col)).alias("lo"),
+                      F.max(F.length(seq_col)).alias("hi")).first()
+    return int(b.n), b.lo, b.hi
+
+
 def generate_negatives(spark: SparkSession, positives: DataFrame, n: int, seed: int = 42,
-                       oversample: int = 2, seq_col: str = "sequence") -> DataFrame:
+                       oversample: int = 2, seq_col: str = "sequence",
+                       bounds: tuple[int, int] | None = None) -> DataFrame:
     """G5 + J4: ``n`` random sequences not among the positives, lengths
     uniform between the positives' shortest and longest, residues uniform.
     Candidates are ``range(oversample * n)``; each is a pure function of
     (id, seed). Known sequences are removed with an anti join, repeats keep
     the lowest id, and the ``n`` lowest ids are kept (distributed rank)."""
     # Two scalars (the length range) come back to the driver as literals.
-    b = positives.agg(F.min(F.length(seq_col)).alias("lo"), F.max(F.length(seq_col)).alias("hi")).first()
-    if b is None or b.lo is None:
+    if bounds is None:
+        _, lo, hi = positive_bounds(positives, seq_col)
+    else:
+        lo, hi = bounds
+    if lo is None:
         raise ValueError("no positives")
     cand = spark.range(oversample * n)
-    length = F.lit(b.lo) + uniform_int(b.hi - b.lo + 1, F.col("id"), F.lit(seed), F.lit("len"))
+    length = F.lit(lo) + uniform_int(hi - lo + 1, F.col("id"), F.lit(seed), F.lit("len"))
     letters = F.transform(
         F.sequence(F.lit(1), length.cast("int")),
         lambda k: F.substr(F.lit(ALPHABET),
@@ -218,7 +230,9 @@ def union_labelled(positives: DataFrame, negatives: DataFrame, seq_col: str = "s
 def prepare_dataset(spark: SparkSession, positives: DataFrame, n_negatives: int,
                     seed: int = 42, test_percent: int = 20) -> DataFrame:
     """Positives + generated negatives, with a train/test split column."""
-    labelled = union_labelled(positives, generate_negatives(spark, positives, n_negatives, seed))
+    _, lo, hi = positive_bounds(positives)
+    labelled = union_labelled(
+        positives, generate_negatives(spark, positives, n_negatives, seed, bounds=(lo, hi)))
     return split_dataset(labelled, "sequence", test_percent, seed)
 
 

@@ -664,7 +664,8 @@ def _amp_positives(spark, sf_dir):
     WHERE r <= (SELECT n FROM b)""")
 def q_negatives(spark, sf_dir):
     pos = _amp_positives(spark, sf_dir)
-    return C.generate_negatives(spark, pos, pos.count(), seed=42)
+    n, lo, hi = C.positive_bounds(pos)
+    return C.generate_negatives(spark, pos, n, seed=42, bounds=(lo, hi))
 
 
 @register("classifier_fit", None)
@@ -684,7 +685,7 @@ def q_classifier_eval(spark, sf_dir):
     generated negatives, hash split, composition features, MLlib logistic
     regression, report on the test split."""
     pos = _amp_positives(spark, sf_dir).withColumn("source", F.lit("corpus"))
-    data = C.prepare_dataset(spark, pos, pos.count(), seed=42)
+    data = C.prepare_dataset(spark, pos, C.positive_bounds(pos)[0], seed=42)
     feats = data.withColumn("features", C.composition("sequence"))
     model = C.fit_logistic(feats.where("split = 'train'"), "features", "label", max_iter=200)
     pred = C.predict(model, feats.where("split = 'test'"), "features")

@@ -29,6 +29,8 @@ def get_spark(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("AMPHORA_DRIVER_MEMORY", "16g"))
+        # Checkpoints pin ranked/running results; drop them once unreferenced.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
