@@ -328,7 +328,7 @@ def q_combo_rewards(spark, sf_dir):
     return _round_cols(out, ["avg_probability", "max_probability", "reward"])
 
 
-@register("rl_candidates", f"""
+_RL_CAND_SQL = f"""
     WITH r AS ({_REWARDS_SQL}),
     best AS (SELECT protein, accession_id, action_id FROM (
                SELECT protein, accession_id, action_id, row_number() OVER (
@@ -340,14 +340,42 @@ def q_combo_rewards(spark, sf_dir):
           ON d.protein = b.protein AND d.accession_id = b.accession_id AND d.action_id = b.action_id)
     SELECT protein, accession_id, action_id, pos, sequence, round(probability, 9) AS probability, rank
     FROM (SELECT *, row_number() OVER (PARTITION BY protein, accession_id
-                                       ORDER BY z DESC, pos) AS rank FROM c)""")
+                                       ORDER BY z DESC, pos) AS rank FROM c)"""
+
+
+@register("rl_candidates", _RL_CAND_SQL)
 def q_rl_candidates(spark, sf_dir):
     seqs = _doc_seqs(spark, sf_dir)
     out = Q.rank_candidates(seqs, Q.combo_rewards(seqs, PRIOR), PRIOR)
     return _round_cols(out, ["probability"])
 
 
-@register("discovery_report", None)
+def _combo_values_sql() -> str:
+    rows = []
+    for c in fixed.COMBOS:
+        rules = [fixed.ENZYME_BY_NAME[e] for e in c.enzymes]
+        ph = ", ".join(repr(float(r.ph_optimum)) for r in rules)
+        temp = ", ".join(str(int(r.temp_optimum_celsius)) for r in rules)
+        rows.append(f"({c.action_id}, '{c.label}', [{ph}]::DOUBLE[], [{temp}]::INTEGER[])")
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") t(action_id, label, ph, temp)"
+
+
+@register("discovery_report", f"""
+    WITH r AS ({_REWARDS_SQL}),
+    c AS ({_combo_values_sql()}),
+    ranked AS (SELECT protein, accession_id, action_id, reward AS value,
+                      row_number() OVER (PARTITION BY protein, accession_id
+                                         ORDER BY reward DESC, action_id) AS rank FROM r),
+    rc AS (SELECT ranked.protein, ranked.accession_id, ranked.rank, ranked.value,
+                  c.label, c.ph, c.temp FROM ranked LEFT JOIN c ON ranked.action_id = c.action_id),
+    cand AS ({_RL_CAND_SQL})
+    SELECT protein, accession_id, 'recommended' AS section, rank::BIGINT AS rank, label,
+           round(value, 9) AS value, ph, temp FROM rc WHERE rank = 1
+    UNION ALL
+    SELECT protein, accession_id, 'ranked', rank::BIGINT, label, round(value, 9), ph, temp FROM rc
+    UNION ALL
+    SELECT protein, accession_id, 'candidate', rank::BIGINT, sequence, probability,
+           NULL::DOUBLE[], NULL::INTEGER[] FROM cand WHERE rank <= 5""")
 def q_discovery_report(spark, sf_dir):
     from amphora.sources import catalog
 
@@ -355,8 +383,8 @@ def q_discovery_report(spark, sf_dir):
     rewards = Q.combo_rewards(seqs, PRIOR)
     values = rewards.select(*KEYS, "action_id", F.col("reward").alias("value"))
     cands = Q.rank_candidates(seqs, rewards, PRIOR).select(*KEYS, "sequence", "probability", "rank")
-    return B.discovery_report(values, catalog.combos(spark).drop("enzymes"), cands,
-                              5, keys=KEYS)
+    out = B.discovery_report(values, catalog.combos(spark).drop("enzymes"), cands, 5, keys=KEYS)
+    return _round_cols(out.withColumn("rank", F.col("rank").cast("bigint")), ["value"])
 
 
 # ================================================================ A5 / A9 / G1 / T3 / T5

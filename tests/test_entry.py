@@ -1,6 +1,6 @@
 import __spark_entry__ as E
 
-ROWS_ONLY = {"discovery_report", "classifier_fit", "classifier_eval"}
+ROWS_ONLY = {"classifier_fit", "classifier_eval"}
 
 
 def test_contract_keys():
