@@ -22,3 +22,21 @@ def conditions(enzymes: str | Column) -> tuple[Column, Column]:
     temp = _literal_map({e.name: int(e.temp_optimum_celsius) for e in fixed.ENZYMES})
     return (F.transform(enzymes, lambda e: F.try_element_at(ph, e)).alias("ph"),
             F.transform(enzymes, lambda e: F.try_element_at(temp, e)).alias("temp"))
+
+
+def resolve_enzyme_name(name: str | Column, strict: bool = True) -> Column:
+    """P11 on data: case-insensitive lookup of an enzyme name against the
+    rule table (a literal map, no join). Unknown names raise in strict mode
+    and give null otherwise (see ``unknown_enzymes`` for a report)."""
+    name = F.col(name) if isinstance(name, str) else name
+    known = _literal_map({e.name: e.name for e in fixed.ENZYMES})
+    found = F.try_element_at(known, F.lower(name))
+    if not strict:
+        return found
+    return F.when(found.isNotNull() | name.isNull(), found).otherwise(
+        F.raise_error(F.concat(F.lit("Unknown enzyme: "), name)))
+
+
+def unknown_enzymes(df, name: str):
+    """P11 non-strict report: rows whose enzyme name is not a known rule."""
+    return df.where(resolve_enzyme_name(name, strict=False).isNull() & F.col(name).isNotNull())

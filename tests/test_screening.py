@@ -99,3 +99,16 @@ def test_embeddings_and_model_roundtrip(spark, tmp_path):
     m2 = load_or_train(str(tmp_path / "model"), train)
     assert len(calls) == 1
     assert list(m1.coefficients.toArray()) == list(m2.coefficients.toArray())
+
+
+def test_resolve_enzyme_name(spark):
+    import pytest
+
+    from amphora.functions.enzymes import resolve_enzyme_name, unknown_enzymes
+
+    df = spark.createDataFrame([("Trypsin",), ("PEPSIN",), ("rennet",)], "e string")
+    assert [r.r for r in df.select(resolve_enzyme_name("e", strict=False).alias("r")).collect()] == \
+        ["trypsin", "pepsin", None]
+    assert [r.e for r in unknown_enzymes(df, "e").collect()] == ["rennet"]
+    with pytest.raises(Exception, match="Unknown enzyme"):
+        df.select(resolve_enzyme_name("e")).collect()
