@@ -120,12 +120,25 @@ def score_distinct(peptides: DataFrame, score: Callable[[DataFrame], DataFrame],
 
 
 # ------------------------------------------------------------------ E1 / E2
+def _ship_package_code() -> None:
+    """Pickle this package's functions by value, so Python workers run them
+    without the package being installed on the executors."""
+    try:
+        import amphora
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(amphora)
+    except (ImportError, AttributeError, ValueError):  # older cloudpickle
+        pass
+
+
 def embed_with(df: DataFrame, seq_col: str, make_embedder: Callable[[], Callable],
                dim: int, out_col: str = "embedding") -> DataFrame:
     """``make_embedder()`` is called once per task and returns a function
     ``list[str] -> np.ndarray (n, dim)``; batches are Arrow record batches
     (size: ``spark.sql.execution.arrow.maxRecordsPerBatch``)."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
+    _ship_package_code()
 
     def run(batches):
         embed = make_embedder()
