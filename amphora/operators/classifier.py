@@ -15,13 +15,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amphora import fixed
-from amphora.functions.hashing import hash32, uniform_int
+from amphora.functions.hashing import uniform_int
 from amphora.functions.residues import class_counts, count_residues, predict_label
 from amphora.operators.ranking import global_rank
 

@@ -25,7 +25,7 @@ def _rules(enzymes: Iterable[EnzymeRule | str] | None) -> list[EnzymeRule]:
     return [resolve_enzyme(e) if isinstance(e, str) else e for e in enzymes]
 
 
-def _combos(combos: Iterable[Combo | Sequence[str]] | None) -> list[Combo]:
+def resolve_combos(combos: Iterable[Combo | Sequence[str]] | None) -> list[Combo]:
     if combos is None:
         return list(fixed.COMBOS)
     out = []
@@ -109,7 +109,7 @@ def digest_sequential(
                     "frags"
                 ),
             )
-            for c in _combos(combos)
+            for c in resolve_combos(combos)
         ]
     )
     pairs = df.select(*keep, F.inline(per_combo))

@@ -15,7 +15,7 @@ from amphora.fixed import Combo
 from amphora.functions.residues import reward
 from amphora.operators.classifier import LinearScorer, prior_scorer, score_peptides
 from amphora.functions.cleavage import resolve_enzyme, sequential_fragments
-from amphora.operators.digest import _combos, digest, digest_sequential, explode_peptides
+from amphora.operators.digest import resolve_combos, digest, explode_peptides
 from amphora.operators.ranking import rank_screening_ml, rank_within
 from amphora.operators.screening import screen_ml
 from amphora.session import spread
@@ -52,7 +52,7 @@ def combo_rewards(sequences: DataFrame, scorer: LinearScorer | None = None,
     second scan of the sequences and no join to a protein x combination grid.
     """
     scorer = scorer or prior_scorer()
-    combos = _combos(combos)
+    combos = resolve_combos(combos)
     seqs = spread(sequences.select(*keys, "sequence"))
     seq = F.upper(F.col("sequence"))
     per_combo = F.array(*[
@@ -94,7 +94,7 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: LinearScor
     just that combination's cut expression. A protein's candidates come
     from one sequence, so the per-protein window is bounded by it."""
     scorer = scorer or prior_scorer()
-    combos = _combos(combos)
+    combos = resolve_combos(combos)
     seqs = spread(sequences.select(*keys, "sequence"))
     best = best_combination(rewards, keys).select(*keys, F.col("best_action").alias("action_id"))
     seq = F.upper(F.col("sequence"))

@@ -69,3 +69,15 @@ def test_write_read_results(spark, tmp_path, proteins):
     back = read_results(spark, out)
     assert back.count() == 24
     assert back.orderBy("rank").first().top_peptide == "QVLLHQQALFGK"
+
+
+def test_amp_database_from_files(spark, tmp_path):
+    from amphora.plans.amp_corpus import build_amp_database_from_files
+
+    (tmp_path / "peptides1.csv").write_text("SEQUENCE\nGLWSKIK\nAAAA\n")
+    (tmp_path / "apd.fasta").write_text(">x\nglwskik\n>y\nKKKK\n>z\nEL\n")
+    db = {r.sequence: r.source for r in build_amp_database_from_files(
+        spark, str(tmp_path / "peptides*.csv"), [str(tmp_path / "apd.fasta")]).collect()}
+    assert db == {"GLWSKIK": "DBAASP", "AAAA": "DBAASP", "KKKK": "APD6"}
+    only_csv = build_amp_database_from_files(spark, str(tmp_path / "peptides*.csv"))
+    assert only_csv.count() == 2
