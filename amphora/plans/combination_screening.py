@@ -91,8 +91,8 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: LinearScor
 
     Only the best combination is digested again: the sequence row is joined
     to its best action (one row per protein) and a lazy ``CASE`` evaluates
-    just that combination's cut expression. A protein's candidates come
-    from one sequence, so the per-protein window is bounded by it."""
+    just that combination's cut expression. The per-protein rank is a
+    distributed running count, so a hot protein is not ranked in one task."""
     scorer = scorer or prior_scorer()
     combos = resolve_combos(combos)
     seqs = spread(sequences.select(*keys, "sequence"))
