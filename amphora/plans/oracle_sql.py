@@ -57,7 +57,7 @@ def digest_sql(seq_table: str, keys: str = "protein, accession_id",
     return f"""
     SELECT * FROM (
       SELECT {keys}, enzyme, unnest(frags) AS peptide,
-             unnest(range(len(frags))) AS pos
+             unnest(range(len(frags)))::INTEGER AS pos
       FROM ({union}) m
     ) x WHERE length(peptide) BETWEEN {lo} AND {hi}"""
 
@@ -84,7 +84,7 @@ def sequential_digest_sql(seq_table: str, keys: str = "protein, accession_id",
     return f"""
     SELECT * FROM (
       SELECT {keys}, action_id, label, unnest(frags) AS peptide,
-             unnest(range(len(frags))) AS pos
+             unnest(range(len(frags)))::INTEGER AS pos
       FROM ({union}) m
     ) x WHERE length(peptide) BETWEEN {lo} AND {hi}"""
 

@@ -87,8 +87,8 @@ _SCREEN_SQL = f"""
            {fixed.DEFAULT_MIN_LENGTH} AS min_length, {fixed.DEFAULT_MAX_LENGTH} AS max_length,
            count(*) AS num_peptides, max(score) AS max_score,
            arg_max(peptide, score::BIGINT * 1000000000 - pos) AS top_peptide,
-           count_if(score >= 3) AS num_score_ge_3,
-           count_if(score >= 4) AS num_score_ge_4,
+           count_if(score >= 3)::BIGINT AS num_score_ge_3,
+           count_if(score >= 4)::BIGINT AS num_score_ge_4,
            avg(score) AS avg_score
     FROM (SELECT *, {_F['score']} AS score FROM ({O.digest_sql(_DOC)}))
     GROUP BY protein, accession_id, enzyme"""
@@ -199,7 +199,7 @@ def q_best_so_far(spark, sf_dir):
 
 @register("rank_actions", f"""
     SELECT run_id, action_id, n, round(value, 9) AS value,
-           row_number() OVER (PARTITION BY run_id ORDER BY value DESC, action_id) AS rank,
+           row_number() OVER (PARTITION BY run_id ORDER BY value DESC, action_id)::INTEGER AS rank,
            row_number() OVER (PARTITION BY run_id ORDER BY value DESC, action_id) = 1 AS is_best
     FROM ({_VALUES_SQL})""")
 def q_rank_actions(spark, sf_dir):
@@ -392,7 +392,7 @@ _ENZ = [e.name for e in fixed.ENZYMES]
 
 
 @register("peptide_counts", f"""
-    SELECT protein, {', '.join(f"count_if(enzyme = '{e}') AS {e}" for e in _ENZ)}
+    SELECT protein, {', '.join(f"count_if(enzyme = '{e}')::BIGINT AS {e}" for e in _ENZ)}
     FROM ({O.digest_sql(_DOC)}) GROUP BY protein""")
 def q_peptide_counts(spark, sf_dir):
     return peptide_counts(_doc_peptides(spark, sf_dir), "protein", "enzyme", _ENZ)
@@ -510,7 +510,8 @@ def q_source_breakdown(spark, sf_dir):
 
 
 @register("length_stats", f"""
-    SELECT count(*) AS n, min(length(sequence)) AS min_length, max(length(sequence)) AS max_length,
+    SELECT count(*) AS n, min(length(sequence))::INTEGER AS min_length,
+           max(length(sequence))::INTEGER AS max_length,
            round(avg(length(sequence)), 9) AS mean_length, median(length(sequence))::DOUBLE AS median_length,
            round(stddev_samp(length(sequence)), 9) AS std_length
     FROM ({_AMP_DB_SQL})""")
@@ -557,9 +558,9 @@ def q_predict_fixed(spark, sf_dir):
 
 _REPORT_SQL = f"""
     WITH p AS (SELECT y, prediction AS pr FROM {_EMB_PRED_SQL}),
-    c AS (SELECT count_if(y = 0 AND pr = 0) AS tp0, count_if(y = 1 AND pr = 1) AS tp1,
-                 count_if(pr = 0) AS pp0, count_if(pr = 1) AS pp1,
-                 count_if(y = 0) AS s0, count_if(y = 1) AS s1, count(*) AS n FROM p),
+    c AS (SELECT count_if(y = 0 AND pr = 0)::BIGINT AS tp0, count_if(y = 1 AND pr = 1)::BIGINT AS tp1,
+                 count_if(pr = 0)::BIGINT AS pp0, count_if(pr = 1)::BIGINT AS pp1,
+                 count_if(y = 0)::BIGINT AS s0, count_if(y = 1)::BIGINT AS s1, count(*) AS n FROM p),
     k AS (SELECT '0' AS metric, CASE WHEN pp0 = 0 THEN 0.0 ELSE tp0::DOUBLE / pp0 END AS precision,
                  CASE WHEN s0 = 0 THEN 0.0 ELSE tp0::DOUBLE / s0 END AS recall, s0 AS support,
                  n, (tp0 + tp1)::DOUBLE / n AS acc FROM c
@@ -593,7 +594,7 @@ def _scores(spark, sf_dir):
 
 
 @register("roc_auc", f"""
-    WITH c AS (SELECT score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg FROM {_SCORES_SQL} GROUP BY score),
+    WITH c AS (SELECT score, count_if(label = 1)::BIGINT AS pos, count_if(label <> 1)::BIGINT AS neg FROM {_SCORES_SQL} GROUP BY score),
     r AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS neg_le FROM c)
     SELECT round(sum(pos * (neg_le - neg * 0.5)) / (sum(pos)::DOUBLE * sum(neg)), 9) AS auc,
            sum(pos)::BIGINT AS positives, sum(neg)::BIGINT AS negatives FROM r""")
@@ -602,7 +603,7 @@ def q_roc_auc(spark, sf_dir):
 
 
 @register("roc_curve", f"""
-    WITH c AS (SELECT score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg FROM {_SCORES_SQL} GROUP BY score),
+    WITH c AS (SELECT score, count_if(label = 1)::BIGINT AS pos, count_if(label <> 1)::BIGINT AS neg FROM {_SCORES_SQL} GROUP BY score),
     t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM c),
     r AS (SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM c
           WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
@@ -637,7 +638,7 @@ def q_embed_arrow(spark, sf_dir):
 _ML_SCREEN_SQL = f"""
     SELECT protein, accession_id, enzyme, {fixed.DEFAULT_MIN_LENGTH} AS min_length,
            {fixed.DEFAULT_MAX_LENGTH} AS max_length, count(*) AS num_peptides,
-           count_if(z > 0.0) AS num_predicted_amp, avg(p) AS avg_probability, max(p) AS top_probability,
+           count_if(z > 0.0)::BIGINT AS num_predicted_amp, avg(p) AS avg_probability, max(p) AS top_probability,
            min(CASE WHEN k = 1 THEN peptide END) AS top_peptide, max(z) AS top_z
     FROM (SELECT *, row_number() OVER (PARTITION BY protein, accession_id, enzyme ORDER BY z DESC, pos) AS k
           FROM (SELECT *, {_PRIOR_P} AS p, {O.linear_logit_sql("peptide", PRIOR.weights, PRIOR.bias)} AS z
