@@ -492,7 +492,7 @@ _AMP_DB_SQL = f"""
 
 def _amp_db(spark, sf_dir):
     # One scan: English documents are the preferred corpus (precedence 0).
-    docs = load_table(spark, sf_dir, "documents")
+    docs = spread(load_table(spark, sf_dir, "documents").select("text", "lang", "source"))
     tok = docs.select(
         F.explode(F.split("text", r"\s+")).alias("sequence"), "source",
         F.when(F.col("lang") == "en", 0).otherwise(1).alias("source_priority"))
