@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amphora import fixed
-from amphora.functions.hashing import uniform_int
+from amphora.functions.hashing import hash32, uniform_int
 from amphora.functions.residues import class_counts, count_residues, predict_label
 from amphora.operators.ranking import global_rank
 
@@ -186,13 +186,38 @@ def mean_pool(tokens: DataFrame, keys: Sequence[str], vec_col: str = "embedding"
         .alias(out_col))
 
 
+def mean_pool_tokens(df: DataFrame, tokens_col: str, length_col: str,
+                     out_col: str = "pooled") -> DataFrame:
+    """E2 per sequence: mean over the L residue tokens of an
+    ARRAY<ARRAY<FLOAT>> of per-token vectors, skipping the start token (and
+    with it the end token, which follows the L residues). Per-row arrays are
+    bounded by the sequence length times the vector width."""
+    toks = F.slice(F.col(tokens_col), 2, F.col(length_col))
+    dim = F.size(toks[0])
+    summed = F.aggregate(
+        toks, F.array_repeat(F.lit(0.0), dim),
+        lambda acc, v: F.zip_with(acc, v, lambda a, b: a + b.cast("double")))
+    return df.withColumn(out_col, F.transform(summed, lambda x: x / F.size(toks)))
+
+
 # ------------------------------------------------------------------ C1 / G5
 def split_dataset(df: DataFrame, key: str | Column, test_percent: int = 20,
-                  seed: int = 42) -> DataFrame:
+                  seed: int = 42, exact: bool = False) -> DataFrame:
     """``split`` = 'test' for about ``test_percent`` % of rows, chosen by
-    a hash of (key, seed): stable under repartitioning and retries."""
-    bucket = uniform_int(100, key, F.lit(seed), F.lit("split"))
-    return df.withColumn("split", F.when(bucket < test_percent, "test").otherwise("train"))
+    a hash of (key, seed): stable under repartitioning and retries. With
+    ``exact`` the test split has exactly ceil(n * test_percent / 100) rows:
+    rows are ranked by (hash, key) with the distributed global rank and the
+    lowest ranks go to test (35 897 rows -> 7 180 at 20 %)."""
+    if not exact:
+        bucket = uniform_int(100, key, F.lit(seed), F.lit("split"))
+        return df.withColumn("split", F.when(bucket < test_percent, "test").otherwise("train"))
+    key_col = F.col(key) if isinstance(key, str) else key
+    h = hash32(key_col, F.lit(seed), F.lit("split"))
+    ranked = global_rank(df.withColumn("_h", h).withColumn("_k", key_col.cast("string")),
+                         [F.col("_h").asc(), F.col("_k").asc()], "_r")
+    n_test = -(-ranked.count() * test_percent // 100)
+    return ranked.withColumn("split", F.when(F.col("_r") <= n_test, "test").otherwise("train")).drop(
+        "_h", "_k", "_r")
 
 
 def positive_bounds(positives: DataFrame, seq_col: str = "sequence"):
@@ -229,6 +254,10 @@ def generate_negatives(spark: SparkSession, positives: DataFrame, n: int, seed:
     fresh = cand.join(positives.select(seq_col), seq_col, "left_anti")
     first = fresh.groupBy(seq_col).agg(F.min("id").alias("id"))
     ranked = global_rank(first, [F.col("id").asc()], "_r")
+    # The ranked rows are checkpointed, so counting them is a cheap read.
+    available = ranked.count()
+    if available < n:
+        raise ValueError(f"only {available} fresh negatives for {n} requested; raise oversample")
     return ranked.where(F.col("_r") <= n).select(seq_col, F.lit("negative").alias("source"),
                                                   F.lit(0).alias("label"))
 

@@ -96,3 +96,27 @@ def test_scorer_and_distinct(spark):
     via = sorted(r.amp_probability for r in C.score_distinct(peps, score).collect())
     assert np.allclose(direct, via) and len(via) == 3
     assert build_amp_database  # imported API stays available
+
+
+def test_exact_split_size(spark):
+    df = spark.range(35897)
+    out = C.split_dataset(df, "id", exact=True)
+    assert out.where("split = 'test'").count() == 7180
+    again = C.split_dataset(df.repartition(5), "id", exact=True).where("split = 'test'")
+    assert sorted(r.id for r in again.collect()) == sorted(r.id for r in out.where("split = 'test'").collect())
+
+
+def test_negatives_raise_when_short(spark):
+    import pytest
+
+    pos = spark.createDataFrame([("AAAA",)], "sequence string")
+    # 300 000 draws over 20^4 = 160 000 sequences leave ~135 000 distinct
+    with pytest.raises(ValueError):
+        C.generate_negatives(spark, pos, 150000, oversample=2)
+
+
+def test_mean_pool_tokens(spark):
+    # start token, two residues, end token; width 2
+    df = spark.createDataFrame([([[9.0, 9.0], [1.0, 2.0], [3.0, 4.0], [7.0, 7.0]], 2)],
+                               "tokens array<array<double>>, L int")
+    assert C.mean_pool_tokens(df, "tokens", "L").first().pooled == [2.0, 3.0]
