@@ -676,7 +676,7 @@ def _amp_positives(spark, sf_dir):
     return _amp_db(spark, sf_dir)
 
 
-@register("negatives", f"""
+_NEG_SQL = f"""
     WITH pos AS ({_AMP_DB_SQL}),
     b AS (SELECT min(length(sequence)) AS lo, max(length(sequence)) AS hi, count(*) AS n FROM pos),
     ids AS (SELECT unnest(range(2 * n)) AS id, lo, hi FROM b),
@@ -690,7 +690,10 @@ def _amp_positives(spark, sf_dir):
     firsts AS (SELECT sequence, min(id) AS id FROM fresh GROUP BY sequence)
     SELECT sequence, 'negative' AS source, 0 AS label
     FROM (SELECT *, row_number() OVER (ORDER BY id) AS r FROM firsts)
-    WHERE r <= (SELECT n FROM b)""")
+    WHERE r <= (SELECT n FROM b)"""
+
+
+@register("negatives", _NEG_SQL)
 def q_negatives(spark, sf_dir):
     pos = _amp_positives(spark, sf_dir)
     n, lo, hi = C.positive_bounds(pos)
@@ -743,3 +746,18 @@ def q_screening_display(spark, sf_dir):
         capitalise("protein").alias("protein"), relabel("enzyme", ENZYME_DISPLAY).alias("enzyme"),
         "top_peptide", round_for_display("top_probability", 4).alias("top_probability"),
         "num_predicted_amp", round_for_display("avg_probability", 4).alias("avg_probability"), "rank")
+
+
+@register("prepare_dataset", f"""
+    WITH pos AS ({_AMP_DB_SQL}), neg AS ({_NEG_SQL}),
+    lab AS (SELECT sequence, source, 1 AS label FROM pos
+            UNION ALL SELECT sequence, source, label FROM neg)
+    SELECT sequence, source, label,
+           CASE WHEN (('0x' || substr(md5(sequence || '|42|split'), 1, 8))::BIGINT % 100) < 20
+                THEN 'test' ELSE 'train' END AS split
+    FROM lab""")
+def q_prepare_dataset(spark, sf_dir):
+    """C5 (+U4, G5, C1): positives with label 1, as many generated
+    negatives with label 0, and the hash split on the sequence."""
+    pos = _amp_positives(spark, sf_dir)
+    return C.prepare_dataset(spark, pos, C.positive_bounds(pos)[0], seed=42)
