@@ -95,28 +95,30 @@ def sequential_fragments(seq: Column, rules: list[EnzymeRule]) -> Column:
     return F.array_remove(F.split(marked, last), F.lit(""))
 
 
+def _prefix_sums():
+    """Arrow-batched prefix sums of int arrays (numpy ``cumsum`` per row):
+    the one step Spark's built-ins cannot do in linear time."""
+    import numpy as np
+    import pandas as pd
+
+    from amphora.operators.classifier import _ship_package_code
+
+    _ship_package_code()
+
+    def prefix_sums(lengths):
+        return lengths.map(
+            lambda a: None if a is None else np.cumsum(np.asarray(a, dtype=np.int64)).astype(np.int32))
+
+    # Real (not postponed) annotations: pandas_udf reads them to pick the kind.
+    prefix_sums.__annotations__ = {"lengths": pd.Series, "return": pd.Series}
+    return F.pandas_udf(prefix_sums, "array<int>")
+
+
 def cut_sites(seq: Column, rule: EnzymeRule) -> Column:
-    """G1: 0-based cut positions including both ends, sorted and distinct."""
-    n = F.length(seq)
-    after = rule.cleaves_after.upper()
-    block = rule.not_before.upper()
-    before = rule.cleaves_before.upper()
-
-    def res(p):
-        return F.substr(seq, p, F.lit(1))
-
-    def is_in(letters: str, ch: Column) -> Column:
-        return F.lit(False) if not letters else F.instr(F.lit(letters), ch) > 0
-
-    inner = F.when(n >= 2, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
-    # 1-based residue p followed by p+1; the after-cut lands at offset p.
-    after_ok = lambda p: is_in(after, res(p)) & ~is_in(block, res(p + 1))
-    sites_after = F.filter(inner, after_ok)
-    sites_before = F.transform(
-        F.filter(inner, lambda p: is_in(before, res(p)) & ~after_ok(p)), lambda p: p - 1
-    )
-    return F.array_sort(
-        F.array_distinct(
-            F.concat(F.array(F.lit(0)), sites_after, sites_before, F.array(n))
-        )
-    )
+    """G1: 0-based cut positions including both ends, sorted and distinct.
+
+    The pieces come from the code-generated ``split`` (empty pieces kept, so
+    every cut is a boundary); their lengths' prefix sums are the cut sites,
+    the last one being the sequence length."""
+    lengths = F.transform(fragments(seq, rule), lambda f: F.length(f))
+    return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0)), _prefix_sums()(lengths))))
