@@ -673,7 +673,12 @@ def q_score_distinct(spark, sf_dir):
 
 
 def _amp_positives(spark, sf_dir):
-    return _amp_db(spark, sf_dir)
+    # Read twice (length bounds, then the anti join): build once and cut the
+    # lineage with a reliable checkpoint in the session's checkpoint folder.
+    from amphora.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    return _amp_db(spark, sf_dir).checkpoint(eager=True)
 
 
 _NEG_SQL = f"""
