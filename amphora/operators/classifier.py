@@ -50,8 +50,9 @@ class LinearScorer:
 
     Since every composition term shares the denominator, the logit is
     computed as ``b + (sum_w w * count(residues with weight w)) / length``:
-    residues with equal weight are counted by one ``translate``, so the
-    prior needs 4 string passes instead of 20. Input must be upper-case
+    residues with equal weight form one class, and ``class_counts`` counts
+    all classes with one ``translate`` plus one ``replace`` per class (the
+    prior has 4 classes instead of 20 terms). Input must be upper-case
     (digest output is)."""
 
     weights: tuple[float, ...]
