@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from amphora import fixed
@@ -18,9 +18,12 @@ from amphora.functions.cleavage import resolve_enzyme, sequential_fragments
 from amphora.operators.digest import resolve_combos, digest, explode_peptides
 from amphora.operators.ranking import rank_screening_ml, rank_within
 from amphora.operators.screening import screen_ml
-from amphora.session import spread
+from amphora.session import ensure_checkpoint_dir, spread
 
 KEYS = ("protein", "accession_id")
+# Largest number of candidate rows one task may rank for a single protein
+# with a plain window; beyond it the distributed running rank is used.
+WINDOW_GROUP_LIMIT = 1_000_000
 
 
 def screen_combinations_ml(sequences: DataFrame, scorer: LinearScorer | None = None,
@@ -91,11 +94,22 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: LinearScor
 
     Only the best combination is digested again: the sequence row is joined
     to its best action (one row per protein) and a lazy ``CASE`` evaluates
-    just that combination's cut expression. The per-protein rank is a
-    distributed running count, so a hot protein is not ranked in one task."""
+    just that combination's cut expression. The per-protein rank uses a
+    window only below a proven group size (read from the reward table),
+    else a distributed running count, so a hot protein is never ranked in
+    one task."""
     scorer = scorer or prior_scorer()
     combos = resolve_combos(combos)
     seqs = spread(sequences.select(*keys, "sequence"))
+    largest = None
+    if "num_peptides" in rewards.columns:
+        # The reward table is small (one row per protein and combination):
+        # pin it, and read the proven largest candidate group from it.
+        ensure_checkpoint_dir(rewards.sparkSession)
+        rewards = rewards.checkpoint(eager=True)
+        largest = rewards.groupBy(*keys).agg(
+            F.max_by("num_peptides", F.struct(F.col("reward"), -F.col("action_id"))).alias("n")
+        ).agg(F.max("n")).first()[0] or 0
     best = best_combination(rewards, keys).select(*keys, F.col("best_action").alias("action_id"))
     seq = F.upper(F.col("sequence"))
     frags = F.lit(None).cast("array<string>")
@@ -108,10 +122,15 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: LinearScor
     cand = peps.select(*keys, "action_id", "pos", F.col("peptide").alias("sequence"),
                        scorer.logit("peptide").alias("_z"))
     # Rank on the logit: same order as the probability, but free of the
-    # last-bit differences of exp() between math libraries. The rank is a
-    # distributed running count per protein (no single task per protein).
-    ranked = rank_within(cand, list(keys),
-                         [F.col("_z").desc(), F.col("pos").asc(), F.col("sequence").asc()])
+    # last-bit differences of exp() between math libraries. A plain window
+    # only when every protein's group is proven small; otherwise the
+    # distributed running count (a hot protein never ranked in one task).
+    order = [F.col("_z").desc(), F.col("pos").asc(), F.col("sequence").asc()]
+    if largest is not None and largest <= WINDOW_GROUP_LIMIT:
+        ranked = cand.withColumn(
+            "rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+    else:
+        ranked = rank_within(cand, list(keys), order)
     return ranked.select(
         *keys, "action_id", "pos", "sequence",
         (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z")))).alias("probability"), "rank")

@@ -44,3 +44,18 @@ def test_hot_key_rank_within(spark):
     hot = sorted((r.rank, r.v) for r in got.where("k = 'hot'").collect())
     assert [r for r, _ in hot] == list(range(1, len(hot) + 1))
     assert [v for _, v in hot] == sorted((v for _, v in hot), reverse=True)
+
+
+def test_candidate_rank_paths_agree(spark, proteins):
+    from amphora.plans import combination_screening as Q
+
+    rewards = Q.combo_rewards(proteins)
+    cols = ["protein", "action_id", "pos", "sequence", "rank"]
+    window = sorted(tuple(r) for r in Q.rank_candidates(proteins, rewards).select(*cols).collect())
+    old = Q.WINDOW_GROUP_LIMIT
+    try:
+        Q.WINDOW_GROUP_LIMIT = 0  # force the distributed running rank
+        running = sorted(tuple(r) for r in Q.rank_candidates(proteins, rewards).select(*cols).collect())
+    finally:
+        Q.WINDOW_GROUP_LIMIT = old
+    assert window == running and len(window) > 0
