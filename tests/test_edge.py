@@ -59,3 +59,17 @@ def test_candidate_rank_paths_agree(spark, proteins):
     finally:
         Q.WINDOW_GROUP_LIMIT = old
     assert window == running and len(window) > 0
+
+
+def test_screen_hot_key_many_rows(spark, proteins):
+    """One protein key repeated over many rows (spread over many tasks):
+    partial aggregation merges them into one exact summary per enzyme."""
+    lf = proteins.where("protein = 'lactoferrin'")
+    many = lf.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(40)))).drop("copy").repartition(16)
+    one = {r.enzyme: r for r in screen_combinations(lf).collect()}
+    hot = {r.enzyme: r for r in screen_combinations(many).collect()}
+    for e, r in one.items():
+        h = hot[e]
+        assert h.num_peptides == 40 * r.num_peptides
+        assert (h.max_score, h.top_peptide) == (r.max_score, r.top_peptide)
+        assert h.num_score_ge_3 == 40 * r.num_score_ge_3 and abs(h.avg_score - r.avg_score) < 1e-12
