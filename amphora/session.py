@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,22 +43,38 @@ def get_spark(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``. Only when nothing is configured (local tests)
-    a fresh scratch folder is created and set."""
+    ``spark.checkpoint.dir``. Where nothing is configured, a session with a
+    ``local`` master gets a fresh scratch folder (driver and executors are one
+    process there); any other master raises, because a folder of one machine
+    could not be read by the others."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    except Exception as err:  # noqa: BLE001 - Spark Connect: the server owns the context
+        if configured:
+            return configured
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share") from err
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="amphora-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def pin_table(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a reader of it: cuts lineage, survives lost executors, keeps column
+    pruning, and gives every later branch the same rows."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition ``df`` only when the scan produced fewer
     partitions than 8 x the cores.
