@@ -78,3 +78,48 @@ def per_slice(column: str, schema: pa.Schema, work: Callable[[pa.RecordBatch], d
                 yield from to_batches(work(piece), schema)
 
     return run
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (runs of anything but ASCII white space) of the texts: the
+    distinct ones, the number of each word of all texts, where each text's begin."""
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
+    starts = lists.offsets.to_numpy().astype(np.int64)
+    flat = lists.values.slice(starts[0], starts[-1] - starts[0])
+    starts = starts - starts[0]
+    coded = flat.dictionary_encode()
+    words, codes = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy().astype(np.int64)
+    empty = np.flatnonzero(words == "")
+    if len(empty):  # an empty text is split into one empty word
+        real = codes != empty[0]
+        starts = np.append(0, np.cumsum(real))[starts]
+        codes = codes[real]
+    return words, codes, starts
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """The array as compressed bytes; ``unsqueeze`` reads it back."""
+    raw = values.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+
+def unsqueeze(data: bytes, kind: str) -> np.ndarray:
+    raw = pa.Codec("zstd").decompress(memoryview(data)[8:], decompressed_size=int.from_bytes(data[:8], "little"))
+    return np.frombuffer(raw, dtype=kind)
+
+
+def by_group(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A stable order that brings equal groups together, the groups, and where each begins."""
+    order = np.argsort(groups, kind="stable")
+    sorted_ = groups[order]
+    firsts = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])) if len(sorted_) else np.zeros(0, dtype=np.int64)
+    return order, sorted_[firsts], np.append(firsts, len(sorted_))
+
+
+def doc_keys(column: pa.Array) -> np.ndarray:
+    """Integer ids in an order where null is the smallest."""
+    return pc.fill_null(column.cast(pa.int64()), NULL_ID).to_numpy(zero_copy_only=False)
+
+
+#: Stands for a null id inside tasks.
+NULL_ID = -(1 << 63)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amphora.llm import byte_bpe, id_shards, packing
+from amphora.llm import byte_bpe, id_shards, packing, pivots, quality, sharding, simhash, substring, token_counts
 from amphora.llm.encoders import EncoderSpec
 from amphora.session import ensure_checkpoint_dir
 
@@ -44,8 +44,49 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", _sha256(F.col("decoded")).alias("decoded_sha256"), "n_split")
 
 
+def op2_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
+    return sharded.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    screened = quality.screen(table(spark, sf_dir, "documents"), measured=measured)
+    failed = quality.cascade(quality.BASE_RULES, F.col).isNotNull()
+    return screened.select("doc_id", *measured, failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
+
+
+def words_joined(text: Column) -> Column:
+    """The words of a text (runs of anything but ASCII white space) joined by one space."""
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))
+
+
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring.remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed", _sha256(words_joined(F.col("text")).cast("binary")).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_pivot_index": op2_pivot_index,
     "op3_id_shards": op3_id_shards,
+    "op4_token_counts": op4_token_counts,
+    "op6_simhash": op6_simhash,
+    "op7_sharding": op7_sharding,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality": op9_quality,
+    "op10_substring": op10_substring,
 }
