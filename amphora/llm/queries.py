@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amphora.llm import byte_bpe, id_shards, packing, pivots, quality, sharding, simhash, substring, token_counts
+from amphora.llm import byte_bpe, id_shards, line_dedup, packing, pivots, quality, sharding, simhash, substring, token_counts
 from amphora.llm.encoders import EncoderSpec
 from amphora.session import ensure_checkpoint_dir
 
@@ -53,6 +53,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line that counts, with the first line of its class."""
+    classes = line_dedup.line_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "line_no", "n_links", F.col("first_id").alias("class_doc_id"), F.col("first_line_no").alias("class_line_no"), "kept")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -84,6 +90,7 @@ QUERIES = {
     "op2_pivot_index": op2_pivot_index,
     "op3_id_shards": op3_id_shards,
     "op4_token_counts": op4_token_counts,
+    "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
     "op8_byte_bpe": op8_byte_bpe,
