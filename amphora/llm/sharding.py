@@ -2,7 +2,8 @@
 
 A size-weighted sample of keys is drawn, its quantiles are the boundaries of
 many small ranges, and the records are counted exactly by range. A range that
-came out too large is subdivided by a sample of its own. Shards are runs of
+came out too large, or inside which a shard should end, is subdivided by a
+sample of its own. Shards are runs of
 neighbouring ranges cut where the running size is nearest to each equal share.
 Ranges are over (key, place of the row), so one key may be cut in two.
 
@@ -31,6 +32,10 @@ N_SHARDS = 24
 #: is bounded by their product and the number of shards.
 RANGES, DRAWS = 128, 4
 
+#: A range inside which a shard should end is cut into so many, until the end
+#: is within this fraction of a share.
+FINER, CLOSE = 16, 0.001
+
 
 def _weighted_draws(rows: DataFrame, draws: float, salt: int) -> list[tuple[int, int, float]]:
     """(key, place, weight): a row is drawn with a probability in proportion to
@@ -93,7 +98,16 @@ def cuts_of(sizes: np.ndarray, n_shards: int) -> np.ndarray:
     return np.searchsorted(nearer, np.arange(len(sizes)), "right")
 
 
-def shard_by_bytes(docs: DataFrame, n_shards: int = N_SHARDS, key_col: str = "doc_id", text_col: str = "text", extra: int = 8, ranges: int = RANGES, rounds: int = 4) -> DataFrame:
+def _cut_ranges(sizes: np.ndarray, n_shards: int) -> np.ndarray:
+    """Ranges inside which a share ends, unless it ends within ``CLOSE`` of a share of their bounds."""
+    ends = np.append(0, np.cumsum(sizes))
+    shares = ends[-1] * np.arange(1, n_shards) / n_shards
+    at = np.clip(np.searchsorted(ends, shares), 1, max(1, len(sizes)))
+    off = np.minimum(np.abs(ends[at] - shares), np.abs(shares - ends[at - 1]))
+    return np.unique(at[off > CLOSE * ends[-1] / n_shards] - 1)
+
+
+def shard_by_bytes(docs: DataFrame, n_shards: int = N_SHARDS, key_col: str = "doc_id", text_col: str = "text", extra: int = 8, ranges: int = RANGES, rounds: int = 5) -> DataFrame:
     """(``key_col``, size, text_crc32, shard, slot): size is the text's UTF-8
     bytes plus ``extra``; slots are gapless from 0 in key order."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
@@ -106,13 +120,15 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = N_SHARDS, key_col: str = "do
     for turn in range(1, rounds + 1):
         dealt = _with_ranges(rows, bounds)
         sizes, counts = _totals(dealt, len(bounds) + 1)
-        most = 2 * sizes.sum() / parts
-        over = np.flatnonzero((sizes > most) & (counts > 1))
+        most = max(1.0, 2 * sizes.sum() / parts)
+        wanted = np.where(sizes > most, np.ceil(2 * sizes / most), 0)
+        wanted[_cut_ranges(sizes, n_shards)] += FINER
+        over = np.flatnonzero((wanted > 0) & (counts > 1))
         if not len(over):
             break
-        drawn = _weighted_draws(dealt.where(F.col("range").isin([int(r) for r in over])), float(sizes[over].sum()) / sizes.sum() * parts * DRAWS * 2, turn)
+        drawn = _weighted_draws(dealt.where(F.col("range").isin([int(r) for r in over])), float(wanted[over].sum() * DRAWS * 2), turn)
         own = range_numbers(np.array([d[0] for d in drawn], dtype=np.int64), np.array([d[1] for d in drawn], dtype=np.int64), bounds)
-        more = {b for r in over for b in _quantiles([d for d, k in zip(drawn, own) if k == r], int(np.ceil(2 * sizes[r] / most)))}
+        more = {b for r in over for b in _quantiles([d for d, k in zip(drawn, own) if k == r], int(wanted[r]))}
         if more <= set(bounds):
             break
         bounds = sorted(set(bounds) | more)
