@@ -68,8 +68,8 @@ def _atom_counts(c: Column) -> dict[str, Column]:
 
 
 def net_charge(c: ColumnOrName) -> Column:
-    """#{K,R,H} - #{D,E}; 0 for the empty string."""
-    c = _c(c)
+    """#{K,R,H} - #{D,E} in either case; 0 for the empty string."""
+    c = F.upper(_c(c))
     return count_residues(c, fixed.POSITIVE_RESIDUES) - count_residues(
         c, fixed.NEGATIVE_RESIDUES
     )
@@ -84,13 +84,13 @@ def _fraction(c: Column, letters: str) -> Column:
 
 
 def hydrophobic_fraction(c: ColumnOrName) -> Column:
-    """Share of AVILMFWY; 0 for the empty string."""
-    return _fraction(_c(c), fixed.HYDROPHOBIC_RESIDUES)
+    """Share of AVILMFWY in either case; 0 for the empty string."""
+    return _fraction(F.upper(_c(c)), fixed.HYDROPHOBIC_RESIDUES)
 
 
 def aromatic_fraction(c: ColumnOrName) -> Column:
-    """Share of FWY; 0 for the empty string."""
-    return _fraction(_c(c), fixed.AROMATIC_RESIDUES)
+    """Share of FWY in either case; 0 for the empty string."""
+    return _fraction(F.upper(_c(c)), fixed.AROMATIC_RESIDUES)
 
 
 def _score_from(n: Column, counts: dict[str, Column]) -> tuple[Column, ...]:
@@ -108,7 +108,13 @@ def _score_from(n: Column, counts: dict[str, Column]) -> tuple[Column, ...]:
 
 
 def simple_amp_score(c: ColumnOrName) -> Column:
-    """P5: rule score 0-5 (length, charge twice, hydrophobicity, aromatic)."""
+    """P5: rule score 0-5 (length, charge twice, hydrophobicity, aromatic),
+    residues in either case."""
+    return upper_amp_score(F.upper(_c(c)))
+
+
+def upper_amp_score(c: ColumnOrName) -> Column:
+    """P5 of a string known to be upper-case (digest output)."""
     c = _c(c)
     return _score_from(F.length(c), _atom_counts(c))[3]
 

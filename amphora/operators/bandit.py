@@ -138,30 +138,41 @@ def label_actions(values: DataFrame, actions: DataFrame) -> DataFrame:
 
 def assign_actions(requests: DataFrame, values: DataFrame, epsilon: float | Column,
                    seed: int = 42, keys: Sequence[str] = ("run_id",),
-                   request_id: str = "request_id") -> DataFrame:
+                   request_id: str = "request_id", action_ids: Sequence | None = None) -> DataFrame:
     """B1: epsilon-greedy assignment per request: with probability epsilon
-    a uniformly random action of the run, else the run's best action.
-    Randomness is a hash of (request id, seed): reproducible on retries."""
-    best = _best_action(values, keys).select(*keys, "best_action")
-    pool = values.groupBy(*keys).agg(F.array_sort(F.collect_set("action_id")).alias("_actions"))
+    a uniformly random action, else the run's best action. Every request is
+    answered. ``action_ids`` is the action space: exploration draws from all
+    of it, and a run without history has its first action as the best one.
+    Without it, the actions that a run has tried are its space, and a run
+    without history gets a null action. Randomness is a hash of (request id,
+    seed): reproducible on retries."""
+    known = _greedy(values, keys)
+    space = F.array(*[F.lit(a) for a in action_ids]) if action_ids is not None else F.col("_tried")
     eps = F.lit(epsilon) if not isinstance(epsilon, Column) else epsilon
     u = uniform01(F.col(request_id), F.lit(seed), F.lit("explore"))
-    pick = uniform_int(F.size("_actions"), F.col(request_id), F.lit(seed), F.lit("action"))
+    pick = uniform_int(F.greatest(F.size("_space"), F.lit(1)), F.col(request_id), F.lit(seed), F.lit("action"))
+    default = F.lit(action_ids[0]) if action_ids else F.lit(None)
     return (
-        requests.join(best, list(keys)).join(pool, list(keys))
-        .select(
-            "*",
-            (u < eps).alias("explore"),
-        )
+        requests.join(known, list(keys), "left")
+        .select("*", space.alias("_space"), (u < eps).alias("explore"))
         .select(
             *[c for c in requests.columns],
             "explore",
-            F.when(F.col("explore"), F.element_at("_actions", (pick + 1).cast("int")))
-            .otherwise(F.col("best_action")).alias("action_id"),
+            F.when(F.col("explore"), F.get("_space", pick.cast("int")))
+            .otherwise(F.coalesce("best_action", default)).alias("action_id"),
         )
     )
 
 
+def _greedy(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per run: its best action (lowest id on ties) and the sorted
+    actions it has tried, in one aggregation."""
+    tried = values.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("value")).alias("v"), "action_id"))).alias("_ranked"))
+    return tried.select(*keys, F.get(F.col("_ranked"), F.lit(0))["action_id"].alias("best_action"),
+                        F.array_sort(F.array_distinct(F.col("_ranked")["action_id"])).alias("_tried"))
+
+
 def training_summary(log: DataFrame, keys: Sequence[str] = ("run_id",)) -> DataFrame:
     """B2: per run: episodes, total and mean episode reward, best action and
     its value, number of updates and final epsilon."""

@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 
 from amphora import fixed
 from amphora.functions.hashing import hash32, uniform_int
-from amphora.functions.residues import class_counts, count_residues, predict_label
+from amphora.functions.residues import class_counts, count_residues, peptide_features, predict_label
 from amphora.operators.ranking import global_rank
+from amphora.session import pin_table
 
 ALPHABET = fixed.STANDARD_RESIDUES
 
@@ -52,8 +53,8 @@ class LinearScorer:
     computed as ``b + (sum_w w * count(residues with weight w)) / length``:
     residues with equal weight form one class, and ``class_counts`` counts
     all classes with one ``translate`` plus one ``replace`` per class (the
-    prior has 4 classes instead of 20 terms). Input must be upper-case
-    (digest output is)."""
+    prior has 4 classes instead of 20 terms). Residues count in either case;
+    ``upper_logit`` is for strings known to be upper-case (digest output)."""
 
     weights: tuple[float, ...]
     bias: float
@@ -68,6 +69,9 @@ class LinearScorer:
         return list(classes.items())
 
     def logit(self, seq: str | Column) -> Column:
+        return self.upper_logit(F.upper(F.col(seq) if isinstance(seq, str) else seq))
+
+    def upper_logit(self, seq: str | Column) -> Column:
         seq = F.col(seq) if isinstance(seq, str) else seq
         classes = self.weight_classes()
         counts = class_counts(seq, [letters for _, letters in classes])
@@ -98,28 +102,68 @@ def prior_scorer() -> LinearScorer:
     return LinearScorer(tuple(w), -2.0)
 
 
-def score_peptides(peptides: DataFrame, scorer: LinearScorer, peptide_col: str = "peptide",
-                   threshold: float = fixed.PREDICT_THRESHOLD, keep_logit: bool = False) -> DataFrame:
-    """``amp_probability`` and ``amp_prediction`` per peptide row.
-    The logit is projected first and reused (Spark does not collapse a
-    projection whose expensive column is referenced twice)."""
-    z = peptides.select("*", scorer.logit(peptide_col).alias("_z"))
-    out = z.select("*", _sigmoid(F.col("_z")).alias("amp_probability")).withColumn(
-        "amp_prediction", predict_label("amp_probability", threshold))
+#: What scores peptides: a linear model over composition, or any function
+#: from a table of distinct peptides (one column) to that column and
+#: ``amp_probability`` (an embedder with a fitted classifier, say).
+Scorer = LinearScorer | Callable[[DataFrame], DataFrame]
+
+
+def score_peptides(peptides: DataFrame, scorer: Scorer, peptide_col: str = "peptide",
+                   threshold: float = fixed.PREDICT_THRESHOLD, keep_logit: bool = False,
+                   upper: bool = False) -> DataFrame:
+    """``amp_probability`` and ``amp_prediction`` per peptide row; a
+    null peptide has null scores. A linear scorer is one projection: the logit
+    comes first and is reused (Spark does not collapse a projection whose
+    expensive column is referenced twice); ``upper`` says that the peptides
+    are upper-case already. Any other scorer sees each distinct peptide once."""
+    if isinstance(scorer, LinearScorer):
+        logit = scorer.upper_logit(peptide_col) if upper else scorer.logit(peptide_col)
+        z = peptides.select("*", logit.alias("_z"))
+        out = z.select("*", _sigmoid(F.col("_z")).alias("amp_probability"))
+    else:
+        p = F.col("amp_probability")
+        out = score_distinct(peptides, scorer, peptide_col, "left").select(
+            *peptides.columns,
+            F.when(p >= 1, F.lit(float("inf"))).when(p <= 0, F.lit(float("-inf")))
+            .otherwise(F.log(p / (1 - p))).alias("_z"), "amp_probability")
+    out = out.withColumn("amp_prediction", predict_label("amp_probability", threshold))
     return out if keep_logit else out.drop("_z")
 
 
 def score_distinct(peptides: DataFrame, score: Callable[[DataFrame], DataFrame],
-                   peptide_col: str = "peptide") -> DataFrame:
+                   peptide_col: str = "peptide", how: str = "inner") -> DataFrame:
     """Score each distinct peptide once and join the scores back. Worth
     its two shuffles only for an expensive scorer (a Python embedder); the
     distinct has partial aggregation, so hot peptides collapse map-side."""
-    distinct = peptides.select(peptide_col).distinct()
+    distinct = peptides.select(peptide_col).where(F.col(peptide_col).isNotNull()).distinct()
     scored = score(distinct)
-    return peptides.join(scored, peptide_col, "inner")
+    return peptides.join(scored, peptide_col, how)
+
+
+def embedding_scorer(make_embedder: Callable[[], Callable], dim: int, weights: Sequence[float], bias: float,
+                     peptide_col: str = "peptide") -> Callable[[DataFrame], DataFrame]:
+    """A scorer from an embedder (E1) and the coefficients of a fitted
+    classifier over its vectors."""
+    def score(distinct: DataFrame) -> DataFrame:
+        embedded = embed_with(distinct, peptide_col, make_embedder, dim)
+        return embedded.select(peptide_col, dot_probability("embedding", weights, bias).alias("amp_probability"))
+
+    return score
+
+
+def peptide_features_ml(peptides: DataFrame, scorer: Scorer, peptide_col: str = "peptide",
+                        threshold: float = fixed.PREDICT_THRESHOLD) -> DataFrame:
+    """C4: the columns of ``peptides``, the five P6 features, and the scorer's
+    ``amp_probability`` and ``amp_prediction``."""
+    scored = score_peptides(peptides, scorer, peptide_col, threshold)
+    return scored.select(*peptides.columns, *peptide_features(peptide_col)[1:], "amp_probability", "amp_prediction")
 
 
 # ------------------------------------------------------------------ E1 / E2
+#: Residues handed to a Python embedder at once.
+EMBED_CHARS = 1 << 20
+
+
 def _ship_package_code() -> None:
     """Pickle this package's functions by value, so Python workers run them
     without the package being installed on the executors."""
@@ -135,16 +179,28 @@ def _ship_package_code() -> None:
 def embed_with(df: DataFrame, seq_col: str, make_embedder: Callable[[], Callable],
                dim: int, out_col: str = "embedding") -> DataFrame:
     """``make_embedder()`` is called once per task and returns a function
-    ``list[str] -> np.ndarray (n, dim)``; batches are Arrow record batches
-    (size: ``spark.sql.execution.arrow.maxRecordsPerBatch``)."""
+    ``list[str] -> np.ndarray (n, dim)``; a call gets at most about
+    ``EMBED_CHARS`` residues. A null sequence has a null vector."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
     _ship_package_code()
 
     def run(batches):
         embed = make_embedder()
         for pdf in batches:
-            vecs = np.asarray(embed(pdf[seq_col].tolist()), dtype="float64").reshape(len(pdf), dim)
-            yield pdf.assign(**{out_col: list(vecs)})
+            known = pdf[seq_col].notna().to_numpy()
+            out = np.full(len(pdf), None, dtype=object)
+            rows = np.flatnonzero(known)
+            ends = np.cumsum(pdf[seq_col].str.len().to_numpy()[rows]) if len(rows) else rows
+            start = 0
+            while start < len(rows):  # about EMBED_CHARS residues a call
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + EMBED_CHARS, side="right")))
+                some = rows[start:stop]
+                vecs = np.asarray(embed(pdf[seq_col].iloc[some].tolist()), dtype="float64").reshape(len(some), dim)
+                for row, vec in zip(some, vecs):
+                    out[row] = vec
+                start = stop
+            yield pdf.assign(**{out_col: out})
 
     return df.mapInPandas(run, schema)
 
@@ -194,11 +250,12 @@ def mean_pool_tokens(df: DataFrame, tokens_col: str, length_col: str,
     with it the end token, which follows the L residues). Per-row arrays are
     bounded by the sequence length times the vector width."""
     toks = F.slice(F.col(tokens_col), 2, F.col(length_col))
-    dim = F.size(toks[0])
+    dim = F.coalesce(F.size(F.get(F.col(tokens_col), F.lit(0))), F.lit(0))
     summed = F.aggregate(
         toks, F.array_repeat(F.lit(0.0), dim),
         lambda acc, v: F.zip_with(acc, v, lambda a, b: a + b.cast("double")))
-    return df.withColumn(out_col, F.transform(summed, lambda x: x / F.size(toks)))
+    # A sequence without residues has no mean: zeros, as for the empty composition.
+    return df.withColumn(out_col, F.transform(summed, lambda x: x / F.greatest(F.size(toks), F.lit(1))))
 
 
 # ------------------------------------------------------------------ C1 / G5
@@ -234,9 +291,11 @@ def generate_negatives(spark: SparkSession, positives: DataFrame, n: int, seed:
                        bounds: tuple[int, int] | None = None) -> DataFrame:
     """G5 + J4: ``n`` random sequences not among the positives, lengths
     uniform between the positives' shortest and longest, residues uniform.
-    Candidates are ``range(oversample * n)``; each is a pure function of
-    (id, seed). Known sequences are removed with an anti join, repeats keep
-    the lowest id, and the ``n`` lowest ids are kept (distributed rank)."""
+    Candidates are a range of ids; each is a pure function of (id, seed).
+    Known sequences are removed with an anti join, repeats keep the lowest
+    id, and the ``n`` lowest ids are kept (distributed rank). The range starts
+    at ``oversample * n`` and doubles until ``n`` are found; it is an error
+    only if fewer than ``n`` such sequences exist."""
     # Two scalars (the length range) come back to the driver as literals.
     if bounds is None:
         _, lo, hi = positive_bounds(positives, seq_col)
@@ -244,21 +303,31 @@ def generate_negatives(spark: SparkSession, positives: DataFrame, n: int, seed:
         lo, hi = bounds
     if lo is None:
         raise ValueError("no positives")
-    cand = spark.range(oversample * n)
-    length = F.lit(lo) + uniform_int(hi - lo + 1, F.col("id"), F.lit(seed), F.lit("len"))
-    letters = F.transform(
-        F.sequence(F.lit(1), length.cast("int")),
-        lambda k: F.substr(F.lit(ALPHABET),
-                           (uniform_int(len(ALPHABET), F.col("id"), F.lit(seed), k) + 1).cast("int"),
-                           F.lit(1)))
-    cand = cand.select("id", F.array_join(letters, "").alias(seq_col))
-    fresh = cand.join(positives.select(seq_col), seq_col, "left_anti")
-    first = fresh.groupBy(seq_col).agg(F.min("id").alias("id"))
-    ranked = global_rank(first, [F.col("id").asc()], "_r")
-    # The ranked rows are checkpointed, so counting them is a cheap read.
-    available = ranked.count()
-    if available < n:
-        raise ValueError(f"only {available} fresh negatives for {n} requested; raise oversample")
+    known = positives.select(seq_col).distinct()
+    width = len(ALPHABET)
+    # All sequences of these lengths, less the known ones among them; only
+    # short ranges can be too few.
+    exist = sum(width**k for k in range(lo, min(hi, lo + 20) + 1))
+    if exist < 16 * n + 16 * width**4:
+        exist -= known.where(F.length(seq_col).between(lo, hi) & F.col(seq_col).rlike(f"^[{ALPHABET}]*$")).count()
+        if exist < n:
+            raise ValueError(f"only {exist} sequences are free, {n} were asked for")
+    ids = max(1, oversample * n)
+    while True:
+        length = F.lit(lo) + uniform_int(hi - lo + 1, F.col("id"), F.lit(seed), F.lit("len"))
+        letters = F.transform(
+            F.sequence(F.lit(1), length.cast("int")),
+            lambda k: F.substr(F.lit(ALPHABET),
+                               (uniform_int(width, F.col("id"), F.lit(seed), k) + 1).cast("int"),
+                               F.lit(1)))
+        cand = spark.range(ids).select("id", F.array_join(letters, "").alias(seq_col))
+        fresh = cand.join(known, seq_col, "left_anti")
+        first = fresh.groupBy(seq_col).agg(F.min("id").alias("id"))
+        ranked = global_rank(first, [F.col("id").asc()], "_r")
+        # The ranked rows are checkpointed, so counting them is a cheap read.
+        if ranked.count() >= n:
+            break
+        ids *= 2
     return ranked.where(F.col("_r") <= n).select(seq_col, F.lit("negative").alias("source"),
                                                   F.lit(0).alias("label"))
 
@@ -311,13 +380,18 @@ def predict(model, df: DataFrame, features: str) -> DataFrame:
         "features", "rawPrediction", "probability")
 
 
-def dot_probability(vec: str | Column, weights: Sequence[float], bias: float = 0.0) -> Column:
-    """C3 pure-SQL twin: sigmoid(bias + sum_i w_i x_i) for ARRAY<FLOAT|DOUBLE>."""
+def dot_logit(vec: str | Column, weights: Sequence[float], bias: float = 0.0) -> Column:
+    """bias + sum_i w_i x_i, added in the order of the weights."""
     vec = F.col(vec) if isinstance(vec, str) else vec
     z = F.lit(float(bias))
     for i, w in enumerate(weights):
         z = z + vec.getItem(i).cast("double") * F.lit(float(w))
-    return _sigmoid(z)
+    return z
+
+
+def dot_probability(vec: str | Column, weights: Sequence[float], bias: float = 0.0) -> Column:
+    """C3 pure-SQL twin: sigmoid(bias + sum_i w_i x_i) for ARRAY<FLOAT|DOUBLE>."""
+    return _sigmoid(dot_logit(vec, weights, bias))
 
 
 # ------------------------------------------------------------------ A13-A15
@@ -377,7 +451,7 @@ def roc_curve(pred: DataFrame, label: str = "label", score: str = "score") -> Da
     distributed running sum (no single-partition window)."""
     from amphora.operators.running import running
 
-    counts = _score_counts(pred, label, score)
+    counts = pin_table(_score_counts(pred, label, score), "score-counts")  # read twice
     cum = running(counts, [F.col("score").desc()],
                   {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))})
     # Class totals are two scalars, used as literals (no join needed).

@@ -112,7 +112,7 @@ def pivot_matrix(results: DataFrame, row: str, col: str, value: str,
     A duplicated (row, col) pair or a missing listed label raises: the
     checks are folded into the same aggregation with ``raise_error``."""
     checked = results.groupBy(row, col).agg(
-        F.count(F.lit(1)).alias("_n"), F.first(value).alias("_v")
+        F.count(F.lit(1)).alias("_n"), F.max(value).alias("_v")
     ).select(
         row,
         col,
@@ -120,7 +120,20 @@ def pivot_matrix(results: DataFrame, row: str, col: str, value: str,
                F.col(row).cast("string"), F.lit("/"), F.col(col).cast("string"))))
         .otherwise(F.col("_v")).alias("_v"),
     )
-    out = checked.groupBy(row).pivot(col, list(col_values)).agg(F.first("_v"))
+    # Every label, listed or found, is in the pivot or raises: a value of an
+    # unlisted column, a listed column or row without any value.
+    listed = F.col(col).isin(list(col_values))
+    named = lambda what: F.raise_error(F.concat(F.lit(f"{what}: "), F.col(col).cast("string")))
+    checked = checked.withColumn(col, F.when(listed, F.col(col)).otherwise(named("unlisted column")))
+    out = checked.groupBy(row).pivot(col, list(col_values)).agg(F.max("_v"))
+    found = checked.agg(F.collect_set(F.when(F.col("_v").isNotNull(), F.col(col))).alias("_cols"), F.collect_set(F.col(row)).alias("_rows"))
+    absent = F.array_except(F.array(*[F.lit(c) for c in col_values]), F.col("_cols"))
+    checks = F.when(F.size(absent) > 0, F.raise_error(F.concat(F.lit("no value in column: "), F.array_join(absent, ", "))))
+    if row_order is not None:
+        lost = F.array_except(F.array(*[F.lit(r) for r in row_order]), F.col("_rows"))
+        checks = checks.when(F.size(lost) > 0, F.raise_error(F.concat(F.lit("no value in row: "), F.array_join(lost, ", "))))
+    told = found.select(F.coalesce(checks.cast("boolean"), F.lit(True)).alias("_complete"))
+    out = out.where(told.scalar())
     if row_order is not None:
         pos = F.array_position(F.array(*[F.lit(r) for r in row_order]), F.col(row))
         out = out.withColumn(

@@ -39,7 +39,8 @@ def running(
     """Add one column per ``aggs`` entry ``name -> (kind, value)`` with the
     inclusive running ``kind`` (sum/max/min) of ``value`` over ``order``
     within ``keys``. ``order`` must be a total order inside a key for a
-    deterministic result."""
+    deterministic result. Null keys are one key; null values add nothing, and
+    the result is null until the key's first value, as with a plain window."""
     ensure_checkpoint_dir(df.sparkSession)
     vals = {f"_v{i}": v for i, (_, (_, v)) in enumerate(aggs.items())}
     kinds = {f"_v{i}": k for i, (_, (k, _)) in enumerate(aggs.items())}
@@ -61,16 +62,24 @@ def running(
         *[_KINDS[kinds[n]](n).alias(f"{n}_tot") for n in vals]
     )
     prior = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # A slice without a predecessor of its key has no carry row; one whose
+    # predecessors hold only nulls in some column has a null carry there.
     carry = totals.select(
-        "_pid", *keys, *[_KINDS[kinds[n]](f"{n}_tot").over(prior).alias(f"{n}_carry") for n in vals]
-    ).where(F.coalesce(*[F.col(f"{n}_carry").isNotNull() for n in vals]))
+        F.col("_pid").alias("_cpid"), *[F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)],
+        F.count(F.lit(1)).over(prior).alias("_before"),
+        *[_KINDS[kinds[n]](f"{n}_tot").over(prior).alias(f"{n}_carry") for n in vals]
+    ).where("_before > 0").drop("_before")
 
-    joined = local.join(F.broadcast(carry), ["_pid", *keys], "left")
+    same = F.col("_pid") == F.col("_cpid")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_ck{i}"))
+    joined = local.join(F.broadcast(carry), same, "left")
     out = []
     for n in vals:
         loc, car = F.col(f"{n}_loc"), F.col(f"{n}_carry")
         if kinds[n] == "sum":
-            expr = loc + F.coalesce(car, F.lit(0))
+            # Null on either side: nothing to add from there yet.
+            expr = F.when(loc.isNull(), car).otherwise(loc + F.coalesce(car, F.lit(0)))
         elif kinds[n] == "max":
             expr = F.greatest(loc, car)
         else:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amphora import fixed
-from amphora.functions.residues import peptide_features, simple_amp_score
+from amphora.functions.residues import peptide_features, upper_amp_score
 
 
 def first_at_max(value: str | Column, score: str | Column, pos: str | Column = "pos") -> Column:
@@ -46,7 +46,7 @@ def screen(
 ) -> DataFrame:
     """A1: rule-score summary per (keys, enzyme). Input: digest output
     ``(*keys, enzyme, pos, peptide)``. Pairs without peptides have no row."""
-    score = simple_amp_score("peptide")
+    score = upper_amp_score("peptide")  # digest output is upper-case
     scored = peptides.select(*keys, group, "pos", "peptide", score.alias("score"))
     agg = scored.groupBy(*keys, group).agg(
         F.count(F.lit(1)).alias("num_peptides"),

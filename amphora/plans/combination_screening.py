@@ -7,41 +7,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from amphora import fixed
 from amphora.fixed import Combo
 from amphora.functions.residues import reward
-from amphora.operators.classifier import LinearScorer, prior_scorer, score_peptides
+from amphora.operators.classifier import Scorer, prior_scorer, score_peptides
 from amphora.functions.cleavage import resolve_enzyme, sequential_fragments
 from amphora.operators.digest import resolve_combos, digest, explode_peptides
 from amphora.operators.ranking import rank_screening_ml, rank_within
 from amphora.operators.screening import screen_ml
-from amphora.session import ensure_checkpoint_dir, spread
+from amphora.session import pin_table
 
 KEYS = ("protein", "accession_id")
-# Largest number of candidate rows one task may rank for a single protein
-# with a plain window; beyond it the distributed running rank is used.
-WINDOW_GROUP_LIMIT = 1_000_000
 
 
-def screen_combinations_ml(sequences: DataFrame, scorer: LinearScorer | None = None,
+def screen_combinations_ml(sequences: DataFrame, scorer: Scorer | None = None,
                            enzymes=None, keys: Sequence[str] = KEYS,
                            min_length: int = fixed.DEFAULT_MIN_LENGTH,
                            max_length: int = fixed.DEFAULT_MAX_LENGTH,
                            ranked: bool = True) -> DataFrame:
     """A2 (+C4, T2): classifier summary per (protein, enzyme)."""
     scorer = scorer or prior_scorer()
-    seqs = spread(sequences.select(*keys, "sequence"))
+    seqs = sequences.select(*keys, "sequence")
     peps = digest(seqs, "sequence", enzymes, min_length, max_length, keep=list(keys))
-    scored = score_peptides(peps, scorer, keep_logit=True)
+    scored = score_peptides(peps, scorer, keep_logit=True, upper=True)
     out = screen_ml(scored, keys, "enzyme", "amp_probability", min_length, max_length,
                     order_col="_z")
     return rank_screening_ml(out) if ranked else out
 
 
-def combo_rewards(sequences: DataFrame, scorer: LinearScorer | None = None,
+def combo_rewards(sequences: DataFrame, scorer: Scorer | None = None,
                   combos: Sequence[Combo] | None = None, keys: Sequence[str] = KEYS,
                   min_length: int = fixed.DEFAULT_MIN_LENGTH,
                   max_length: int = fixed.DEFAULT_MAX_LENGTH) -> DataFrame:
@@ -56,7 +53,7 @@ def combo_rewards(sequences: DataFrame, scorer: LinearScorer | None = None,
     """
     scorer = scorer or prior_scorer()
     combos = resolve_combos(combos)
-    seqs = spread(sequences.select(*keys, "sequence"))
+    seqs = sequences.select(*keys, "sequence")
     seq = F.upper(F.col("sequence"))
     per_combo = F.array(*[
         F.struct(F.lit(c.action_id).alias("action_id"),
@@ -68,7 +65,7 @@ def combo_rewards(sequences: DataFrame, scorer: LinearScorer | None = None,
     peps = peps.where(F.col("peptide").isNull()
                       | F.length("peptide").between(min_length, max_length))
     p = F.col("amp_probability")
-    agg = score_peptides(peps, scorer).groupBy(*keys, "action_id").agg(
+    agg = score_peptides(peps, scorer, upper=True).groupBy(*keys, "action_id").agg(
         F.count("peptide").alias("num_peptides"), F.avg(p).alias("avg_probability"),
         F.max(p).alias("max_probability"))
     labels = F.create_map(*[x for c in combos for x in (F.lit(c.action_id), F.lit(c.label))])
@@ -85,7 +82,7 @@ def best_combination(rewards: DataFrame, keys: Sequence[str] = KEYS) -> DataFram
         F.max("reward").alias("best_reward"))
 
 
-def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: LinearScorer | None = None,
+def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: Scorer | None = None,
                     combos: Sequence[Combo] | None = None, keys: Sequence[str] = KEYS,
                     min_length: int = fixed.DEFAULT_MIN_LENGTH,
                     max_length: int = fixed.DEFAULT_MAX_LENGTH) -> DataFrame:
@@ -94,22 +91,10 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: LinearScor
 
     Only the best combination is digested again: the sequence row is joined
     to its best action (one row per protein) and a lazy ``CASE`` evaluates
-    just that combination's cut expression. The per-protein rank uses a
-    window only below a proven group size (read from the reward table),
-    else a distributed running count, so a hot protein is never ranked in
-    one task."""
+    just that combination's cut expression."""
     scorer = scorer or prior_scorer()
     combos = resolve_combos(combos)
-    seqs = spread(sequences.select(*keys, "sequence"))
-    largest = None
-    if "num_peptides" in rewards.columns:
-        # The reward table is small (one row per protein and combination):
-        # pin it, and read the proven largest candidate group from it.
-        ensure_checkpoint_dir(rewards.sparkSession)
-        rewards = rewards.checkpoint(eager=True)
-        largest = rewards.groupBy(*keys).agg(
-            F.max_by("num_peptides", F.struct(F.col("reward"), -F.col("action_id"))).alias("n")
-        ).agg(F.max("n")).first()[0] or 0
+    seqs = sequences.select(*keys, "sequence")
     best = best_combination(rewards, keys).select(*keys, F.col("best_action").alias("action_id"))
     seq = F.upper(F.col("sequence"))
     frags = F.lit(None).cast("array<string>")
@@ -119,18 +104,15 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: LinearScor
                        ).otherwise(frags)
     picked = seqs.join(best, list(keys), "inner").select(*keys, "action_id", frags.alias("frags"))
     peps = explode_peptides(picked, "frags", [*keys, "action_id"], min_length, max_length)
-    cand = peps.select(*keys, "action_id", "pos", F.col("peptide").alias("sequence"),
-                       scorer.logit("peptide").alias("_z"))
+    cand = score_peptides(peps, scorer, keep_logit=True, upper=True).select(
+        *keys, "action_id", "pos", F.col("peptide").alias("sequence"), "_z")
     # Rank on the logit: same order as the probability, but free of the
-    # last-bit differences of exp() between math libraries. A plain window
-    # only when every protein's group is proven small; otherwise the
-    # distributed running count (a hot protein never ranked in one task).
+    # last-bit differences of exp() between math libraries. The rank is a
+    # distributed running count, so a hot protein is never one task's. The
+    # slim rows are pinned first: the sort samples them and must not digest
+    # the sequences again.
     order = [F.col("_z").desc(), F.col("pos").asc(), F.col("sequence").asc()]
-    if largest is not None and largest <= WINDOW_GROUP_LIMIT:
-        ranked = cand.withColumn(
-            "rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
-    else:
-        ranked = rank_within(cand, list(keys), order)
+    ranked = rank_within(pin_table(cand, "candidates"), list(keys), order)
     return ranked.select(
         *keys, "action_id", "pos", "sequence",
         (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z")))).alias("probability"), "rank")

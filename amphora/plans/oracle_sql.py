@@ -128,8 +128,12 @@ def linear_prob_sql(col: str, weights, bias: float) -> str:
     return f"(1.0 / (1.0 + exp(-{linear_logit_sql(col, weights, bias)})))"
 
 
-def dot_prob_sql(vec: str, weights, bias: float) -> str:
-    z = f"{float(bias)!r}"
+def dot_sql(vec: str, weights, bias: float) -> str:
+    z = f"{float(bias)!r}::DOUBLE"
     for i, w in enumerate(weights):
-        z = f"({z} + {vec}[{i + 1}]::DOUBLE * {float(w)!r})"
-    return f"(1.0 / (1.0 + exp(-{z})))"
+        z = f"({z} + {vec}[{i + 1}]::DOUBLE * {float(w)!r}::DOUBLE)"
+    return z
+
+
+def dot_prob_sql(vec: str, weights, bias: float) -> str:
+    return f"(1.0 / (1.0 + exp(-{dot_sql(vec, weights, bias)})))"

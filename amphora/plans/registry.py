@@ -20,7 +20,7 @@ from amphora.operators.digest import digest
 from amphora.operators.ranking import rank_screening
 from amphora.operators.screening import score_peptides, screen
 from amphora.plans import oracle_sql as O
-from amphora.session import spread
+from amphora.session import pin_table, spread
 from amphora.sources.sequences import document_sequences
 
 KEYS = ["protein", "accession_id"]
@@ -44,7 +44,7 @@ def register(name: str, sql: str | None):
 
 
 def _doc_seqs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(document_sequences(spark, sf_dir))
+    return document_sequences(spark, sf_dir)
 
 
 def _doc_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -585,12 +585,14 @@ def q_classification_report(spark, sf_dir):
     return _round_cols(out, ["precision", "recall", "f1"])
 
 
-_SCORES_SQL = f"(SELECT y AS label, round(probability, 6) AS score FROM {_EMB_PRED_SQL})"
+# The unrounded logit: the order and ties of the probability, without the last
+# bits of exp().
+_SCORES_SQL = f"""(SELECT (label >= 5)::INTEGER AS label, {O.dot_sql("embedding", EMB_W, EMB_B)} AS score FROM embeddings)"""
 
 
 def _scores(spark, sf_dir):
-    return _emb_pred(spark, sf_dir).select(F.col("y").alias("label"),
-                                           F.round("probability", 6).alias("score"))
+    emb = load_table(spark, sf_dir, "embeddings")
+    return emb.select((F.col("label") >= 5).cast("int").alias("label"), C.dot_logit("embedding", EMB_W, EMB_B).alias("score"))
 
 
 @register("roc_auc", f"""
@@ -607,9 +609,9 @@ def q_roc_auc(spark, sf_dir):
     t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM c),
     r AS (SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM c
           WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-    SELECT score AS threshold, round(fp::DOUBLE / N, 9) AS fpr, round(tp::DOUBLE / P, 9) AS tpr FROM r, t""")
+    SELECT round(score, 9) AS threshold, round(fp::DOUBLE / N, 9) AS fpr, round(tp::DOUBLE / P, 9) AS tpr FROM r, t""")
 def q_roc_curve(spark, sf_dir):
-    return _round_cols(C.roc_curve(_scores(spark, sf_dir)), ["fpr", "tpr"])
+    return _round_cols(C.roc_curve(_scores(spark, sf_dir)), ["threshold", "fpr", "tpr"])
 
 
 @register("mean_pool", """
@@ -705,29 +707,39 @@ def q_negatives(spark, sf_dir):
     return C.generate_negatives(spark, pos, n, seed=42, bounds=(lo, hi))
 
 
-@register("classifier_fit", None)
+_SPLIT_SQL = """CASE WHEN (('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '|42|split'), 1, 8))::BIGINT % 100) < 20
+                 THEN 'test' ELSE 'train' END"""
+
+
+# The fit is checked by a property of its objective: the intercept is not
+# penalised, so the mean fitted probability of the training rows is their base rate.
+@register("classifier_fit", f"""
+    SELECT count(*) AS n, sum((label >= 5)::INTEGER)::BIGINT AS positives,
+           round(avg((label >= 5)::INTEGER), 4) AS mean_probability
+    FROM embeddings WHERE {_SPLIT_SQL} = 'train'""")
 def q_classifier_fit(spark, sf_dir):
     emb = load_table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("embedding"),
         (F.col("label") >= 5).cast("int").alias("label"))
     data = C.split_dataset(emb, "vec_id", 20, 42)
-    model = C.fit_logistic(data.where("split = 'train'"), "embedding", "label", max_iter=200)
-    return C.predict(model, data.where("split = 'test'"), "embedding").select(
-        "vec_id", "label", "prediction", "probability_1")
+    train = data.where("split = 'train'")
+    model = C.fit_logistic(train, "embedding", "label")
+    return C.predict(model, train, "embedding").agg(
+        F.count("*").alias("n"), F.sum("label").alias("positives"), F.round(F.avg("probability_1"), 4).alias("mean_probability"))
 
 
-@register("classifier_eval", None)
-def q_classifier_eval(spark, sf_dir):
-    """The corpus-to-classifier flow on driver data: AMP corpus positives,
-    generated negatives, hash split, composition features, MLlib logistic
-    regression, report on the test split."""
-    pos = _amp_positives(spark, sf_dir).withColumn("source", F.lit("corpus"))
-    data = C.prepare_dataset(spark, pos, C.positive_bounds(pos)[0], seed=42)
-    feats = data.withColumn("features", C.composition("sequence"))
-    model = C.fit_logistic(feats.where("split = 'train'"), "features", "label", max_iter=200)
-    pred = C.predict(model, feats.where("split = 'test'"), "features")
-    return C.classification_report(pred.withColumn("prediction", F.col("prediction").cast("int")),
-                                   "label", "prediction")
+@register("classifier_predict", f"""
+    SELECT vec_id, (label >= 5)::INTEGER AS label FROM embeddings WHERE {_SPLIT_SQL} = 'test'""")
+def q_classifier_predict(spark, sf_dir):
+    """C2 + C3 on the test rows; a row is returned if its probability is one
+    and its prediction follows from it."""
+    emb = load_table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("embedding"),
+        (F.col("label") >= 5).cast("int").alias("label"))
+    data = C.split_dataset(emb, "vec_id", 20, 42)
+    model = C.fit_logistic(data.where("split = 'train'"), "embedding", "label")
+    out = C.predict(model, data.where("split = 'test'"), "embedding")
+    return out.where("probability_1 BETWEEN 0 AND 1 AND (probability_1 > 0.5) = (prediction = 1)").select("vec_id", "label")
 
 
 # ================================================================ P15/P16/P18/P19
@@ -766,3 +778,117 @@ def q_prepare_dataset(spark, sf_dir):
     negatives with label 0, and the hash split on the sequence."""
     pos = _amp_positives(spark, sf_dir)
     return C.prepare_dataset(spark, pos, C.positive_bounds(pos)[0], seed=42)
+
+
+_EVAL_SPLIT = "CASE WHEN (('0x' || substr(md5(sequence || '|42|split'), 1, 8))::BIGINT % 100) < 20 THEN 'test' ELSE 'train' END"
+
+
+# Checked by what does not depend on the optimiser: the supports of the report,
+# and the mean fitted probability of the training rows, which is their base rate.
+@register("classifier_eval", f"""
+    WITH pos AS ({_AMP_DB_SQL}), neg AS ({_NEG_SQL}),
+    lab AS (SELECT sequence, 1 AS label FROM pos UNION ALL SELECT sequence, label FROM neg),
+    s AS (SELECT label, {_EVAL_SPLIT} AS split FROM lab),
+    c AS (SELECT count_if(split = 'test' AND label = 0)::BIGINT AS s0, count_if(split = 'test' AND label = 1)::BIGINT AS s1,
+                 round(avg(label) FILTER (split = 'train'), 3) AS base FROM s)
+    SELECT '0' AS metric, s0 AS support, base AS mean_probability FROM c
+    UNION ALL SELECT '1', s1, base FROM c
+    UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), s0 + s1, base FROM c""")
+def q_classifier_eval(spark, sf_dir):
+    """The corpus-to-classifier flow on driver data: AMP corpus positives,
+    generated negatives, hash split, composition features, MLlib logistic
+    regression, report on the test split."""
+    report, fitted = classifier_flow(spark, sf_dir)
+    mean = fitted.where("split = 'train'").agg(F.round(F.avg("probability_1"), 3).alias("mean_probability"))
+    return report.select("metric", "support", mean.scalar().alias("mean_probability"))
+
+
+def classifier_flow(spark, sf_dir):
+    """(report on the test split, all rows with split, label and probability_1)."""
+    pos = _amp_positives(spark, sf_dir).withColumn("source", F.lit("corpus"))
+    data = C.prepare_dataset(spark, pos, C.positive_bounds(pos)[0], seed=42)
+    feats = pin_table(data.withColumn("features", C.composition("sequence")), "dataset")
+    model = C.fit_logistic(feats.where("split = 'train'"), "features", "label")
+    fitted = pin_table(C.predict(model, feats, "features").select("sequence", "split", "label", F.col("prediction").cast("int").alias("prediction"), "probability_1"), "fitted")
+    return C.classification_report(fitted.where("split = 'test'"), "label", "prediction"), fitted
+
+
+# ================================================================ checks of wider inputs
+_MIXED = "(SELECT DISTINCT unnest(string_split_regex(text, '\\s+')) AS peptide FROM documents)"
+_MIXED_F = O.features_sql("upper(peptide)")
+
+
+@register("features_lowercase", f"""
+    SELECT peptide, {_MIXED_F['net_charge']} AS net_charge, round({_MIXED_F['hydrophobic_fraction']}, 9) AS hydrophobic_fraction,
+           round({_MIXED_F['aromatic_fraction']}, 9) AS aromatic_fraction, {_MIXED_F['score']} AS simple_amp_score
+    FROM {_MIXED} WHERE regexp_matches(peptide, '^[A-Za-z]+$')""")
+def q_features_lowercase(spark, sf_dir):
+    """P2-P5 on words in either case."""
+    from amphora.functions import residues as R
+
+    docs = spread(load_table(spark, sf_dir, "documents").select("text"))
+    words = docs.select(F.explode(F.split("text", r"\s+")).alias("peptide")).where(F.col("peptide").rlike("^[A-Za-z]+$")).distinct()
+    return words.select(
+        "peptide", R.net_charge("peptide").alias("net_charge"), F.round(R.hydrophobic_fraction("peptide"), 9).alias("hydrophobic_fraction"),
+        F.round(R.aromatic_fraction("peptide"), 9).alias("aromatic_fraction"), R.simple_amp_score("peptide").alias("simple_amp_score"))
+
+
+EVENT_ACTIONS = ["click", "error", "purchase", "signup", "view"]
+
+
+@register("assign_actions_all", f"""
+    WITH best AS ({_BEST_SQL}), req AS (SELECT c_custkey AS request_id, c_custkey AS run_id FROM customer)
+    SELECT r.request_id, r.run_id, explore,
+           CASE WHEN explore THEN {EVENT_ACTIONS}[(('0x' || substr(md5(CAST(r.request_id AS VARCHAR) || '|42|action'), 1, 8))::BIGINT % 5)::INTEGER + 1]
+                ELSE coalesce(b.best_action, '{EVENT_ACTIONS[0]}') END AS action_id
+    FROM (SELECT r.*, (('0x' || substr(md5(CAST(r.request_id AS VARCHAR) || '|42|explore'), 1, 8))::BIGINT
+                       / 4294967296.0) < 0.2 AS explore FROM req r) r
+    LEFT JOIN best b ON r.run_id = b.run_id""")
+def q_assign_actions_all(spark, sf_dir):
+    """B1 with the whole action space and runs that have no history."""
+    key = F.col("c_custkey")
+    requests = load_table(spark, sf_dir, "customer").select(key.alias("request_id"), key.alias("run_id"))
+    return B.assign_actions(requests, B.action_values(_log(spark, sf_dir)), 0.2, seed=42, action_ids=EVENT_ACTIONS)
+
+
+_GAPS = "(SELECT *, CASE WHEN epoch_us(ts) % 3 = 0 THEN NULL ELSE value END AS own FROM events)"
+
+
+@register("value_trajectory_nulls", f"""
+    SELECT user_id % 7 AS run_id, event_id, sum(own) OVER w AS total, max(own) OVER w AS best, min(own) OVER w AS least, count(*) OVER w AS n
+    FROM {_GAPS} WINDOW w AS (PARTITION BY user_id % 7 ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""".replace(
+        "sum(own) OVER w", "round(sum(own) OVER w, 6)"))
+def q_value_trajectory_nulls(spark, sf_dir):
+    """The running aggregates over few hot keys and values with gaps."""
+    from amphora.operators.running import running
+
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    log = load_table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 7).alias("run_id"), "event_id", F.when(micros % 3 != 0, F.col("value")).alias("own"))
+    out = running(log, [F.col("event_id").asc()], {
+        "total": ("sum", F.col("own")), "best": ("max", F.col("own")), "least": ("min", F.col("own")), "n": ("sum", F.lit(1).cast("bigint"))}, keys=["run_id"])
+    return out.withColumn("total", F.round("total", 6)).drop("own")
+
+
+_FEATS_ML = O.features_sql("peptide")
+
+
+@register("peptide_features_ml", f"""
+    SELECT protein, accession_id, enzyme, pos, peptide, {_FEATS_ML['length']} AS length, {_FEATS_ML['net_charge']} AS net_charge,
+           round({_FEATS_ML['hydrophobic_fraction']}, 9) AS hydrophobic_fraction, round({_FEATS_ML['aromatic_fraction']}, 9) AS aromatic_fraction,
+           {_FEATS_ML['score']} AS simple_amp_score, round({_PRIOR_P}, 9) AS amp_probability,
+           ({O.linear_logit_sql("peptide", PRIOR.weights, PRIOR.bias)} > 0)::INTEGER AS amp_prediction
+    FROM ({O.digest_sql(_DOC)})""")
+def q_peptide_features_ml(spark, sf_dir):
+    out = C.peptide_features_ml(_doc_peptides(spark, sf_dir), PRIOR)
+    return _round_cols(out, ["hydrophobic_fraction", "aromatic_fraction", "amp_probability"])
+
+
+# The embedder's fractions are added in another order than the SQL's counts, so
+# what is compared is rounded and ranks nothing.
+@register("combo_rewards_embedder", REGISTRY["combo_rewards"].sql)
+def q_combo_rewards_embedder(spark, sf_dir):
+    """A6 through an embedder and a fitted model's coefficients (E1 + C3)."""
+    scorer = C.embedding_scorer(C.numpy_composition_embedder, len(fixed.STANDARD_RESIDUES), list(PRIOR.weights), PRIOR.bias)
+    out = Q.combo_rewards(_doc_seqs(spark, sf_dir), scorer)
+    return _round_cols(out, ["avg_probability", "max_probability", "reward"])

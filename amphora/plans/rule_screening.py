@@ -11,7 +11,6 @@ from amphora.fixed import EnzymeRule
 from amphora.operators.digest import digest
 from amphora.operators.ranking import rank_screening
 from amphora.operators.screening import screen
-from amphora.session import spread
 
 
 def screen_combinations(
@@ -24,10 +23,10 @@ def screen_combinations(
     """A1 end to end: one summary row per (protein, enzyme) pair that yields
     at least one peptide. ``sequences`` has ``keys`` and ``sequence``.
 
-    Plan: scan -> (spread) -> Generate (enzymes x fragments) -> Filter
+    Plan: scan -> Generate (enzymes x fragments) -> Filter
     (length) -> partial aggregate -> exchange on the pair -> final aggregate.
     """
-    seqs = spread(sequences.select(*keys, "sequence"))
+    seqs = sequences.select(*keys, "sequence")
     peptides = digest(seqs, "sequence", enzymes, min_length, max_length, keep=list(keys))
     return screen(peptides, keys, "enzyme", min_length, max_length)
 

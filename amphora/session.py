@@ -32,6 +32,8 @@ def get_spark(
         .config("spark.driver.memory", os.environ.get("AMPHORA_DRIVER_MEMORY", "16g"))
         # Checkpoints pin ranked/running results; drop them once unreferenced.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # The given tables are single-split files; see ``spread``.
+        .config("spark.amphora.inputPartitions", str(8 * int(cpus)))
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
@@ -75,27 +77,14 @@ def pin_table(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition ``df`` only when the scan produced fewer
-    partitions than 8 x the cores.
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt round robin into ``spark.amphora.inputPartitions``
+    partitions, or ``df`` itself where that is not set.
 
-    Every generator in this package turns one sequence row into hundreds of
-    peptide rows, so a single-split input (one small parquet file) would put
-    the whole explosion in one task. On a large input the scan already yields
-    thousands of splits and this is a no-op, so no shuffle of raw text is paid
-    where it is not needed. Round robin (not hashing a key) spreads a hot key
-    and exact copies as evenly as anything else; Spark sorts locally before a
-    round-robin repartition, which keeps it deterministic under task retries,
-    and that sort is only ever paid on the small inputs this applies to.
-    """
-    spark = df.sparkSession
-    try:
-        # Several tasks per core: sequence lengths are skewed (a few very long
-        # documents), and smaller tasks even out the explode stage.
-        want = min_partitions or 8 * spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (Spark Connect): leave as is
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want)
+    The generators turn one sequence row into hundreds of peptide rows, so an
+    input of a single split would be one task. A large input has splits enough
+    and needs no shuffle of its text; whoever runs a small one (tests, bench)
+    sets the number. The plan depends on that setting alone, and building it
+    starts no job."""
+    wanted = df.sparkSession.conf.get("spark.amphora.inputPartitions", None)
+    return df.repartition(int(wanted)) if wanted else df

@@ -14,19 +14,29 @@ def read_fasta(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
     Records are read with the record separator ``\\n>`` so the reader stays
     splittable and never assembles a file on the driver. The first line of a
-    record is its header (a leading '>' of a file's first record is
-    stripped); body lines are stripped of blanks and concatenated. Records
-    without body (e.g. a one-line preamble) are dropped. A file without any
-    '>' is a single record whose first line is taken as the header: read
-    plain one-sequence-per-line files with ``read_sequence_lines``."""
+    record is its header; body lines are stripped of blanks and concatenated.
+    Text before the first '>' of a file (the record at offset 0 that does not
+    start with '>') is a record without header: all of its lines are body, so
+    a file without any '>' is one sequence. Records without body are dropped.
+    Files of one sequence per line are read with ``read_sequence_lines``."""
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.option("lineSep", "\n>").text(paths)
+    raw = spark.read.option("lineSep", "\n>").text(paths).select(
+        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"))
     lines = F.split(F.regexp_replace("value", "\r", ""), "\n")
+    # Only a file's first record still has its '>' (or has none: a preamble);
+    # the separator has taken that of all others.
+    headed = F.trim(lines[0]).startswith(">")
     header = F.regexp_replace(F.trim(lines[0]), "^>", "")
-    body = F.array_join(
-        F.transform(F.slice(lines, 2, 1 << 30), lambda x: F.regexp_replace(x, r"\s+", "")), "")
-    return raw.select(
-        F.col("_metadata.file_name").alias("file"), header.alias("header"), body.alias("sequence"),
+    joined = lambda rows: F.array_join(F.transform(rows, lambda x: F.regexp_replace(x, r"\s+", "")), "")
+    # The files without a '>' at their start, and the first row of each: one row a file.
+    bare = raw.where("_at = 0").groupBy("_path").agg(F.min("_id").alias("_first"), F.min_by(headed, "_id").alias("_headed"))
+    bare = bare.where("NOT _headed").select(F.col("_path").alias("_bare"), "_first")
+    rows = raw.join(bare, (F.col("_path") == F.col("_bare")) & (F.col("_id") == F.col("_first")), "left")
+    preamble = F.col("_bare").isNotNull()
+    return rows.select(
+        "file", F.when(preamble, F.lit("")).otherwise(header).alias("header"),
+        F.when(preamble, joined(lines)).otherwise(joined(F.slice(lines, 2, 1 << 30))).alias("sequence"),
     ).where(F.length("sequence") > 0)
 
 

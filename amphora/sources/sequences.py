@@ -48,8 +48,7 @@ def document_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-proteins from ``documents``: the residue letters of ``text``,
     upper-cased; ``protein = 'doc_' || doc_id``, ``accession_id = doc_id``.
     Documents without any residue letter are dropped (P10)."""
-    # Spread the raw rows first: on a single-split input the text clean-up
-    # would otherwise run in one task (a no-op on a many-split input).
+    # Where a number of input partitions is set, before the text clean-up.
     docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
     seq = protein_like("text")
     # "Has a residue letter" is tested with an early-exit rlike: Catalyst

@@ -2,9 +2,10 @@
 
 State is one row per action (count and reward sum), so no watermark is
 needed and the state store stays tiny however long the stream runs. The
-sink is ``foreachBatch`` writing the complete result table to a folder:
-each epoch overwrites it, which is idempotent when an epoch is replayed
-after a failure; progress is in the checkpoint location."""
+sink is ``foreachBatch`` writing the complete result table of each epoch to
+a folder of its own, ``epoch=<id>``: a replayed epoch writes the same folder
+again, and a reader of the last complete one (it has ``_SUCCESS``) never sees
+a table that is being written; progress is in the checkpoint location."""
 
 from __future__ import annotations
 
@@ -27,6 +28,17 @@ def running_action_values(log: DataFrame, keys: tuple[str, ...] = ()) -> DataFra
     )
 
 
+def read_action_values(spark: SparkSession, out_path: str) -> DataFrame:
+    """The table of the last epoch that was written completely."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{out_path}/epoch=*/_SUCCESS")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+    epochs = [int(f.getPath().getParent().getName().split("=")[1]) for f in found]
+    if not epochs:
+        raise FileNotFoundError(f"no epoch has been written to {out_path}")
+    return spark.read.parquet(f"{out_path}/epoch={max(epochs)}")
+
+
 def stream_action_values(
     spark: SparkSession,
     source_path: str,
@@ -54,7 +66,7 @@ def stream_action_values(
     agg = running_action_values(to_log(stream), keys)
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
 
     writer = (
         agg.writeStream.outputMode("complete")
@@ -67,4 +79,4 @@ def stream_action_values(
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return spark.read.parquet(out_path)
+    return read_action_values(spark, out_path)

@@ -106,14 +106,14 @@ def test_exact_split_size(spark):
     assert sorted(r.id for r in again.collect()) == sorted(r.id for r in out.where("split = 'test'").collect())
 
 
-def test_negatives_raise_when_short(spark):
+def test_negatives_raise_when_too_few_exist(spark):
     import pytest
 
-    pos = spark.createDataFrame([("AAAA",)], "sequence string")
-    # 300 000 draws over 20^4 = 160 000 sequences leave ~135 000 distinct
+    pos = spark.createDataFrame([("AAA",)], "sequence string")
+    # 20^3 - 1 sequences are free: more draws find 7 000 of them, 8 000 do not exist
+    assert C.generate_negatives(spark, pos, 7_000, seed=1).select("sequence").distinct().count() == 7_000
     with pytest.raises(ValueError):
-        C.generate_negatives(spark, pos, 150000, oversample=2)
-
+        C.generate_negatives(spark, pos, 8_000, seed=1)
 
 def test_mean_pool_tokens(spark):
     # start token, two residues, end token; width 2

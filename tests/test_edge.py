@@ -1,3 +1,4 @@
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from amphora.operators.corpus import length_stats
@@ -46,19 +47,13 @@ def test_hot_key_rank_within(spark):
     assert [v for _, v in hot] == sorted((v for _, v in hot), reverse=True)
 
 
-def test_candidate_rank_paths_agree(spark, proteins):
+def test_candidate_ranks_equal_a_window(spark, proteins):
     from amphora.plans import combination_screening as Q
 
-    rewards = Q.combo_rewards(proteins)
-    cols = ["protein", "action_id", "pos", "sequence", "rank"]
-    window = sorted(tuple(r) for r in Q.rank_candidates(proteins, rewards).select(*cols).collect())
-    old = Q.WINDOW_GROUP_LIMIT
-    try:
-        Q.WINDOW_GROUP_LIMIT = 0  # force the distributed running rank
-        running = sorted(tuple(r) for r in Q.rank_candidates(proteins, rewards).select(*cols).collect())
-    finally:
-        Q.WINDOW_GROUP_LIMIT = old
-    assert window == running and len(window) > 0
+    ranked = Q.rank_candidates(proteins, Q.combo_rewards(proteins))
+    w = Window.partitionBy("protein").orderBy(F.col("probability").desc(), "pos", "sequence")
+    rows = ranked.withColumn("expected", F.row_number().over(w)).collect()
+    assert rows and all(r["rank"] == r["expected"] for r in rows)
 
 
 def test_screen_hot_key_many_rows(spark, proteins):

@@ -1,12 +1,13 @@
-import __spark_entry__ as E
+import re
 
-ROWS_ONLY = {"classifier_fit", "classifier_eval"}
+import __spark_entry__ as E
 
 
 def test_contract_keys():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert set(q) - set(s) == ROWS_ONLY
+    # Every query of the library proper has its SQL.
+    assert {n for n in set(q) - set(s) if not re.match(r"op\d+_|pipeline$", n)} == set()
 
 
 def test_entry_runs(spark):
