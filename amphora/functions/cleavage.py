@@ -96,22 +96,28 @@ def sequential_fragments(seq: Column, rules: list[EnzymeRule]) -> Column:
 
 
 def _prefix_sums():
-    """Arrow-batched prefix sums of int arrays (numpy ``cumsum`` per row):
-    the one step Spark's built-ins cannot do in linear time."""
+    """Prefix sums of int arrays, the one step Spark's built-ins cannot do in
+    linear time: one ``cumsum`` over all values of an Arrow batch, less what
+    came before each row."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
     from amphora.operators.classifier import _ship_package_code
 
     _ship_package_code()
 
     def prefix_sums(lengths):
-        return lengths.map(
-            lambda a: None if a is None else np.cumsum(np.asarray(a, dtype=np.int64)).astype(np.int32))
-
-    # Real (not postponed) annotations: pandas_udf reads them to pick the kind.
-    prefix_sums.__annotations__ = {"lengths": pd.Series, "return": pd.Series}
-    return F.pandas_udf(prefix_sums, "array<int>")
+        ends = lengths.offsets.to_numpy().astype(np.int64)
+        ends -= ends[0]
+        values = lengths.flatten().to_numpy(zero_copy_only=False)
+        sums = np.append(0, np.cumsum(values, dtype=np.int64))
+        out = sums[1:] - np.repeat(sums[ends[:-1]], np.diff(ends))
+        nulls = lengths.is_null() if lengths.null_count else None
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out.astype(np.int32)), mask=nulls)
+
+    # Real (not postponed) annotations: arrow_udf reads them to pick the kind.
+    prefix_sums.__annotations__ = {"lengths": pa.Array, "return": pa.Array}
+    return F.arrow_udf(prefix_sums, "array<int>")
 
 
 def cut_sites(seq: Column, rule: EnzymeRule) -> Column:

@@ -61,35 +61,17 @@ def source_breakdown(corpus: DataFrame) -> DataFrame:
 def length_stats(corpus: DataFrame, seq_col: str = "sequence") -> DataFrame:
     """Count, min, max, mean, exact median and sample std of lengths.
 
-    Everything is derived from the length histogram (one row per distinct
-    length, bounded by the longest sequence), so the exact median needs no
-    exact-percentile buffer holding every value of the table."""
-    hist = corpus.groupBy(F.length(seq_col).alias("len")).agg(F.count(F.lit(1)).alias("c"))
-    h = hist.agg(F.array_sort(F.collect_list(F.struct("len", "c"))).alias("h"))
-
-    def total(f):
-        return F.aggregate("h", F.lit(0.0), lambda acc, x: acc + f(x))
-
-    n = F.aggregate("h", F.lit(0).cast("bigint"), lambda acc, x: acc + x["c"])
-    cum = F.transform("h", lambda s, i: F.struct(
-        s["len"].alias("len"),
-        F.aggregate(F.slice("h", 1, i + 1), F.lit(0).cast("bigint"),
-                    lambda acc, x: acc + x["c"]).alias("cum")))
-    stats = h.select(
-        n.alias("n"), cum.alias("cum"),
-        total(lambda x: x["len"].cast("double") * x["c"]).alias("s1"),
-        total(lambda x: x["len"].cast("double") * x["len"] * x["c"]).alias("s2"),
-        F.col("h")[0]["len"].alias("min_length"),
-        F.element_at("h", -1)["len"].alias("max_length"))
-
-    def at(rank):
-        return F.filter("cum", lambda s: s["cum"] >= rank)[0]["len"]
-
-    lo_rank = F.floor((F.col("n") + 1) / 2)
-    hi_rank = F.ceil((F.col("n") + 1) / 2)
-    mean = F.col("s1") / F.col("n")
-    var = F.try_divide(F.col("s2") - F.col("n") * mean * mean, F.col("n") - 1)
-    return stats.where(F.col("n") > 0).select(
-        "n", "min_length", "max_length", mean.alias("mean_length"),
-        ((at(lo_rank) + at(hi_rank)) / 2.0).alias("median_length"),
-        F.sqrt(F.greatest(var, F.lit(0.0))).alias("std_length"))
+    All come from the length histogram (one row per distinct length, bounded
+    by the longest sequence): the exact median is its weighted percentile, and
+    the variance is taken from whole numbers, so no digits are lost."""
+    hist = corpus.groupBy(F.length(seq_col).alias("len")).agg(F.count(F.lit(1)).alias("c")).where("len IS NOT NULL")
+    whole = F.col("len").cast("decimal(18,0)")
+    sums = hist.agg(
+        F.sum("c").alias("n"), F.min("len").alias("min_length"), F.max("len").alias("max_length"),
+        F.sum(F.col("len") * F.col("c")).alias("s1"), F.sum((whole * F.col("len") * F.col("c")).cast("decimal(38,0)")).alias("s2"),
+        F.percentile("len", F.lit(0.5), F.col("c")).alias("median_length"))
+    n, s1 = F.col("n"), F.col("s1")
+    spread = n.cast("decimal(19,0)") * F.col("s2").cast("decimal(19,0)") - s1.cast("decimal(19,0)") * s1.cast("decimal(19,0)")
+    var = F.try_divide(spread.cast("double"), n.cast("double") * (n - 1))
+    return sums.where("n > 0").select(
+        "n", "min_length", "max_length", (s1.cast("double") / n).alias("mean_length"), "median_length", F.sqrt(var).alias("std_length"))

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from amphora.session import ensure_checkpoint_dir
+from amphora.session import ensure_checkpoint_dir, pin_table
 
 _KINDS = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -45,7 +45,9 @@ def running(
     vals = {f"_v{i}": v for i, (_, (_, v)) in enumerate(aggs.items())}
     kinds = {f"_v{i}": k for i, (_, (k, _)) in enumerate(aggs.items())}
     names = {f"_v{i}": n for i, n in enumerate(aggs)}
-    base = df.select("*", *[c.alias(n) for n, c in vals.items()])
+    # The sort samples its input before it shuffles it: pinned rows are read
+    # twice, an input that multiplies rows would be computed twice.
+    base = pin_table(df.select("*", *[c.alias(n) for n, c in vals.items()]), "running")
     pinned = base.orderBy(*[F.col(k).asc() for k in keys], *order).checkpoint(eager=True)
     tagged = pinned.withColumn("_pid", F.spark_partition_id())
 

@@ -18,7 +18,6 @@ from amphora.functions.cleavage import resolve_enzyme, sequential_fragments
 from amphora.operators.digest import resolve_combos, digest, explode_peptides
 from amphora.operators.ranking import rank_screening_ml, rank_within
 from amphora.operators.screening import screen_ml
-from amphora.session import pin_table
 
 KEYS = ("protein", "accession_id")
 
@@ -108,11 +107,9 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: Scorer | N
         *keys, "action_id", "pos", F.col("peptide").alias("sequence"), "_z")
     # Rank on the logit: same order as the probability, but free of the
     # last-bit differences of exp() between math libraries. The rank is a
-    # distributed running count, so a hot protein is never one task's. The
-    # slim rows are pinned first: the sort samples them and must not digest
-    # the sequences again.
+    # distributed running count, so a hot protein is never one task's.
     order = [F.col("_z").desc(), F.col("pos").asc(), F.col("sequence").asc()]
-    ranked = rank_within(pin_table(cand, "candidates"), list(keys), order)
+    ranked = rank_within(cand, list(keys), order)
     return ranked.select(
         *keys, "action_id", "pos", "sequence",
         (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z")))).alias("probability"), "rank")
