@@ -464,11 +464,14 @@ def _label_catalogue(spark, sf_dir):
 
 
 @register("missing_sequences", f"""
-    SELECT * FROM {_LABEL_CAT} c WHERE NOT EXISTS (
+    SELECT * FROM (SELECT 'doc_' || c_custkey AS protein, c_custkey::VARCHAR AS accession_id FROM customer) c WHERE NOT EXISTS (
       SELECT 1 FROM {_DOC} d WHERE d.accession_id = c.accession_id)""")
 def q_missing_sequences(spark, sf_dir):
+    """S2 on a catalogue with gaps: customer keys beyond the documents' ids."""
+    key = F.col("c_custkey").cast("string")
+    catalogue = load_table(spark, sf_dir, "customer").select(F.concat(F.lit("doc_"), key).alias("protein"), key.alias("accession_id"))
     seqs = document_sequences(spark, sf_dir).select("accession_id", "sequence")
-    return missing_sequences(_label_catalogue(spark, sf_dir), seqs)
+    return missing_sequences(catalogue, seqs)
 
 
 @register("attach_sequences", f"""
@@ -892,3 +895,21 @@ def q_combo_rewards_embedder(spark, sf_dir):
     scorer = C.embedding_scorer(C.numpy_composition_embedder, len(fixed.STANDARD_RESIDUES), list(PRIOR.weights), PRIOR.bias)
     out = Q.combo_rewards(_doc_seqs(spark, sf_dir), scorer)
     return _round_cols(out, ["avg_probability", "max_probability", "reward"])
+
+
+@register("dataset_split_exact", """
+    SELECT vec_id, CASE WHEN row_number() OVER (ORDER BY h, vec_id::VARCHAR) <= ceil(n * 0.2) THEN 'test' ELSE 'train' END AS split
+    FROM (SELECT vec_id, ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '|42|split'), 1, 8))::BIGINT AS h, count(*) OVER () AS n FROM embeddings)""")
+def q_dataset_split_exact(spark, sf_dir):
+    """C1 with exactly the fifth of the rows that a ceiling of the share gives."""
+    return C.split_dataset(load_table(spark, sf_dir, "embeddings").select("vec_id"), "vec_id", 20, 42, exact=True)
+
+
+@register("mean_pool_tokens", """
+    SELECT vec_id, [round(list_avg([embedding[4 * i + d]::DOUBLE for i in range(1, 15)]), 9) for d in range(1, 5)] AS pooled FROM embeddings""")
+def q_mean_pool_tokens(spark, sf_dir):
+    """E2 per sequence: a vector of 64 read as start token, 14 residues and end token of width 4."""
+    emb = load_table(spark, sf_dir, "embeddings")
+    tokens = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.slice("embedding", i * 4 + 1, F.lit(4)))
+    out = C.mean_pool_tokens(emb.select("vec_id", tokens.alias("tokens"), F.lit(14).alias("n")), "tokens", "n")
+    return out.select("vec_id", F.transform("pooled", lambda x: F.round(x, 9)).alias("pooled"))
