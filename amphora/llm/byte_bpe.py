@@ -27,6 +27,10 @@ from amphora.llm.arrays import as_bytes, filled, offsets_of, process_cache, ragg
 from amphora.llm.encoders import EncoderSpec, read_ranks
 
 
+#: Ids that are decoded at once inside a task.
+SLICE_IDS = 1 << 20
+
+
 def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of every token by id, as a ragged array; ids without a token are empty."""
     cache = process_cache()
@@ -45,7 +49,7 @@ def character_offsets(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
     character that the span only has a part of counts. Third: whether the span
     ends inside a character."""
     leads = np.append((text & 0xC0) != 0x80, True)
-    before = np.cumsum(leads)  # characters begun at or before a byte
+    before = np.cumsum(leads, dtype=np.int32)  # characters begun at or before a byte
     return before[starts] - 1, np.where(leads[ends], before[ends] - 1, before[ends]), ~leads[ends]
 
 
@@ -88,6 +92,16 @@ def encode(docs: DataFrame, spec: EncoderSpec, text_col: str = "text", with_offs
     return docs.select(*own).mapInArrow(run, schema)
 
 
+def _id_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of about ``SLICE_IDS`` ids."""
+    ends, start = batch.column(column).offsets.to_numpy()[1:].astype(np.int64), 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else batch.column(column).offsets[0].as_py()
+        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_IDS, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def decode(df: DataFrame, path: str, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (all but ``decoded``) and ``decoded``: the bytes of the
     ids, null where the ids are null. An id without a token is an error."""
@@ -97,17 +111,17 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", keep: list[str] | Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, at = token_bytes(path)
-        for batch in batches:
-            lists = batch.column(ids_col)
-            places = lists.offsets.to_numpy().astype(np.int64)
-            ids = lists.values.to_numpy(zero_copy_only=False)[places[0] : places[-1]].astype(np.int64)
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(at) - 1):
-                raise ValueError("an id that the vocabulary does not have")
-            raw, ends = ragged_take(flat, at, ids)
-            bounds = ends[places - places[0]].tolist()
-            whole = raw.tobytes()
-            decoded = pa.array([whole[a:b] for a, b in zip(bounds, bounds[1:])], pa.binary(), mask=lists.is_null().to_numpy(zero_copy_only=False))
-            yield from to_batches({c: batch.column(c) for c in own} | {"decoded": decoded}, arrow)
+        for whole in batches:
+            for batch in _id_slices(whole, ids_col):
+                lists = batch.column(ids_col)
+                places = lists.offsets.to_numpy().astype(np.int64)
+                ids = lists.values.slice(places[0], places[-1] - places[0]).to_numpy(zero_copy_only=False).astype(np.int64)
+                if len(ids) and (ids.min() < 0 or ids.max() >= len(at) - 1):
+                    raise ValueError("an id that the vocabulary does not have")
+                raw, ends = ragged_take(flat, at, ids)
+                bounds, text = ends[places - places[0]].tolist(), raw.tobytes()
+                decoded = pa.array([text[a:b] for a, b in zip(bounds, bounds[1:])], pa.binary(), mask=lists.is_null().to_numpy(zero_copy_only=False))
+                yield from to_batches({c: batch.column(c) for c in own} | {"decoded": decoded}, arrow)
 
     return df.select(*dict.fromkeys([*own, ids_col])).mapInArrow(run, schema)
 
