@@ -188,10 +188,27 @@ def cascade(order: Sequence[Rule], measure: Callable[[str], Column]) -> Column:
     return out
 
 
+#: Measures that several rules read: taken once a text, before the cascade.
+SHARED = ("n_words", "word_chars")
+
+
 def screen(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text", measured: Sequence[str] = ()) -> DataFrame:
     """``docs`` with ``rejected_by``: the rule that rejects the text, null where
     it is kept. ``measured`` adds these measures as columns and lets the rules
     read them."""
     order = [e.rule for e in estimate(docs, rules, text_col)]
-    own = docs.drop("rejected_by", *measured).withColumns({name: MEASURES[name](F.col(text_col)) for name in measured})
-    return own.withColumn("rejected_by", cascade(order, lambda name: F.col(name) if name in measured else MEASURES[name](F.col(text_col))))
+    text = F.col(text_col)
+    own = docs.drop("rejected_by", *measured).withColumns({name: MEASURES[name](text) for name in measured})
+    shared = [name for name in SHARED if name not in measured]
+
+    def verdict(once: Column | None) -> Column:
+        def measure(name: str) -> Column:
+            if name in measured:
+                return F.col(name)
+            return once.getField(name) if name in shared else MEASURES[name](text)
+
+        return cascade(order, measure)
+
+    if not shared:
+        return own.withColumn("rejected_by", verdict(None))
+    return own.withColumn("rejected_by", let(F.struct(*(MEASURES[name](text).alias(name) for name in shared)), verdict))
