@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at once inside a task; a longer document is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 
 
 def process_cache() -> dict:
@@ -20,6 +21,42 @@ def process_cache() -> dict:
     return pyspark.__dict__.setdefault("_amphora_llm_cache", {})
 
 
+def release() -> None:
+    """Give memory back at the end of a task or group: Python workers are used
+    again, and what one holds on to is missing elsewhere on its executor."""
+    for held in process_cache().values():
+        if hasattr(held, "forget"):
+            held.forget()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A ``mapInArrow`` function that gives memory back when its task ends."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
+def tidy_group(run: Callable[[tuple, pa.Table], pa.Table]):
+    """An ``applyInArrow`` function that gives memory back after each group."""
+
+    def wrapped(key: tuple, table: pa.Table) -> pa.Table:
+        try:
+            return run(key, table)
+        finally:
+            release()
+
+    return wrapped
+
+
 def text_slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of ``batch`` whose ``column`` holds about ``most`` bytes."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -52,8 +89,9 @@ def ragged_take(flat: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tupl
     """Rows of a ragged array one after the other, and the offsets of the result."""
     lengths = (offsets[1:] - offsets[:-1])[rows]
     out = offsets_of(lengths)
-    at = np.repeat(offsets[:-1][rows] - out[:-1], lengths)
-    at += np.arange(out[-1], dtype=np.int64)
+    kind = np.int32 if max(out[-1], offsets[-1]) < 1 << 31 else np.int64
+    at = np.repeat((offsets[:-1][rows] - out[:-1]).astype(kind), lengths)
+    at += np.arange(out[-1], dtype=kind)
     return flat[at], out
 
 
@@ -69,17 +107,6 @@ def to_batches(columns: dict[str, object], schema: pa.Schema, most: int = 32 <<
         yield batch.slice(start, rows)
 
 
-def per_slice(column: str, schema: pa.Schema, work: Callable[[pa.RecordBatch], dict]):
-    """A ``mapInArrow`` function that runs ``work`` on bounded slices."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in text_slices(batch, column):
-                yield from to_batches(work(piece), schema)
-
-    return run
-
-
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words (runs of anything but ASCII white space) of the texts: the
     distinct ones, the number of each word of all texts, where each text's begin."""

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from amphora.llm.arrays import as_bytes, filled, offsets_of, process_cache, ragged_take, text_slices, to_batches
+from amphora.llm.arrays import as_bytes, filled, offsets_of, process_cache, ragged_take, text_slices, tidy, to_batches
 from amphora.llm.encoders import EncoderSpec, read_ranks
 
 
@@ -84,6 +84,7 @@ def encode(docs: DataFrame, spec: EncoderSpec, text_col: str = "text", with_offs
             out |= {"starts": lists(start - begin), "ends": lists(stop - begin)}
         return out | {c: piece.column(c) for c in own}
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch, text_col):
@@ -109,6 +110,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", keep: list[str] | Non
     schema = T.StructType([df.schema[c] for c in own] + [T.StructField("decoded", T.BinaryType())])
     arrow = to_arrow_schema(schema)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, at = token_bytes(path)
         for whole in batches:

@@ -31,7 +31,7 @@ LOOSE_SPACE = r"(?:\A|[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}]) | (?:\z|[\s\p{Z}\x{0b}
 WORD = "( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]?)"
 
 #: Entries of a worker's tables of known chunks and pieces; a full table starts anew.
-CHUNK_ENTRIES, PIECE_ENTRIES = 200_000, 400_000
+CHUNK_ENTRIES, PIECE_ENTRIES = 100_000, 350_000
 
 
 def byte_characters() -> list[str]:
@@ -128,6 +128,11 @@ class ChunkEncoder:
         self.known: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Drop the tables, not the tokenizer."""
+        self.known.clear()
+        self.pieces.clear()
+
     def pre_tokens(self, chunk: str) -> list[str] | None:
         """The pre-tokens of a plain chunk; None: only the library itself can tell."""
         if self.lower:

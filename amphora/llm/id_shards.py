@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
-from amphora.llm.arrays import offsets_of, text_slices, to_batches
+from amphora.llm.arrays import offsets_of, text_slices, tidy, to_batches
 from amphora.llm.encoders import EncoderSpec
 
 #: A shard is closed when it holds this many ids.
@@ -143,6 +143,7 @@ def write_id_shards(
     at ``path``. A hot key is spread over tasks by a hash of its text."""
     schema = to_arrow_schema(SHARDS)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = spec.load(), TaskContext.get().partitionId()
         id_bytes = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
@@ -186,6 +187,7 @@ def _documents(row: dict, keys: np.ndarray, nulls: np.ndarray, occurrence: np.nd
 
 
 def _read(wanted: Sequence[int] | None, schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):

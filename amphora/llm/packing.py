@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from amphora.llm.arrays import text_slices, to_batches
+from amphora.llm.arrays import text_slices, tidy, tidy_group, to_batches
 from amphora.llm.encoders import EncoderSpec
 from amphora.session import pin_table
 
@@ -71,6 +71,7 @@ def _schema(id_type: T.DataType, id_col: str) -> T.StructType:
 
 
 def _place(spec: EncoderSpec, id_col: str, window: int, limit: int, fan_in: int, end_id: int, schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = spec.load(), TaskContext.get().partitionId()
         windows, held = OpenWindows(window, limit), {}
@@ -111,6 +112,7 @@ def _place(spec: EncoderSpec, id_col: str, window: int, limit: int, fan_in: int,
 def _merge(window: int, limit: int):
     """Best fit over the leftover pieces of one merge group, longest first."""
 
+    @tidy_group
     def run(key: tuple, table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_numpy()
         order = np.lexsort((table.column("offset").to_numpy(), table.column("sequence_id").to_numpy(), -lengths))

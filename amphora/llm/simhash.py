@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from amphora.llm.arrays import as_bytes, by_group, squeeze, text_slices, to_batches, unsqueeze
+from amphora.llm.arrays import as_bytes, by_group, squeeze, text_slices, tidy, tidy_group, to_batches, unsqueeze
 from amphora.llm.components import components, smallest_reachable
 from amphora.session import pin_table
 
@@ -66,6 +66,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     schema = T.StructType([own.schema["id"], T.StructField("fingerprint", T.LongType())])
     arrow = to_arrow_schema(schema)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch, "text"):
@@ -83,6 +84,7 @@ def flips(low: int, high: int, most: int) -> list[np.ndarray]:
 def _deal(prefix: int, half: int):
     """Send each fingerprint to the buckets (leading bits) of its variants."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = np.concatenate(flips(64 - prefix, 64, half))
         for batch in batches:
@@ -98,6 +100,7 @@ def _deal(prefix: int, half: int):
 def _meet(prefix: int, half: int):
     """Write out the variants that fall into one bucket and link what meets."""
 
+    @tidy_group
     def run(key: tuple, table: pa.Table) -> pa.Table:
         prints = np.unique(np.concatenate([unsqueeze(x, "<u8") for x in table.column("prints").to_pylist()]))
         used = np.bitwise_count((prints >> np.uint64(64 - prefix)) ^ np.uint64(key[0].as_py()))

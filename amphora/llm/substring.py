@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from amphora.llm.arrays import NULL_ID, as_bytes, by_group, doc_keys, filled, squeeze, text_slices, to_batches, unsqueeze, words_of
+from amphora.llm.arrays import NULL_ID, as_bytes, by_group, doc_keys, filled, squeeze, text_slices, tidy, tidy_group, to_batches, unsqueeze, words_of
 from amphora.session import pin_table
 
 WINDOW = 20
@@ -108,6 +108,7 @@ def _mark_parcels(docs: np.ndarray, tags: np.ndarray, starts: np.ndarray, blocks
 def _scan(window: int, prefix: int, blocks: int, schema: pa.Schema):
     """Windows of each slice: marks for repeats inside it, the rest to the buckets."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch, "text"):
@@ -168,6 +169,7 @@ def _parcels(rows: list[tuple[int, int, list[bytes]]], schema: pa.Schema) -> Ite
 def _meet(prefix: int, blocks: int, schema: pa.Schema):
     """Mark all but the first of equal windows in one bucket; marks pass through."""
 
+    @tidy_group
     def run(key: tuple, table: pa.Table) -> pa.Table:
         told, rows, out = prefix // 8, [], []
         for block, parts in zip(table.column("block").to_pylist(), table.column("parts").to_pylist()):
@@ -208,6 +210,7 @@ SPANS = "id long, tag long, begins array<long>, ends array<long>"
 
 
 def _spans(window: int):
+    @tidy_group
     def run(key: tuple, table: pa.Table) -> pa.Table:
         parts = table.column("parts").to_pylist()
         docs, tags, starts = (np.concatenate([x(unsqueeze(p[k], "<i8")) for p in parts]) for k, x in enumerate((np.cumsum, np.asarray, np.asarray)))
@@ -232,6 +235,7 @@ WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 def _apply(columns: list[str], schema: pa.Schema):
     """Cut the intervals' words out of the texts."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch, "text"):
@@ -287,7 +291,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         marked = twice.withColumn("twice", F.lit(True)).withColumnRenamed("id", "twice_id")
         tagged = own.join(marked, F.col("id").eqNullSafe(F.col("twice_id")), "left").withColumn("tag", F.when(F.col("twice"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))).drop("twice", "twice_id")
     spans = pin_table(repeated_spans(tagged, window), "spans").withColumnsRenamed({"id": "span_id", "tag": "span_tag"})
-    size = spans.agg(F.coalesce(F.sum(16 * (1 + F.size("begins"))), F.lit(0))).first()[0]
+    size = spans.agg(F.coalesce(F.sum(16 * (6 + F.size("begins"))), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
         spans = F.broadcast(spans)
     joined = tagged.join(spans, F.col("id").eqNullSafe(F.col("span_id")) & (F.col("tag") == F.col("span_tag")), "left").select("id", "others", "text", "begins", "ends")

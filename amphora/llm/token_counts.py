@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from amphora.llm.arrays import by_group, offsets_of, ragged_take, squeeze, text_slices, to_batches, unsqueeze
+from amphora.llm.arrays import by_group, offsets_of, ragged_take, squeeze, text_slices, tidy, tidy_group, to_batches, unsqueeze
 from amphora.llm.encoders import ChunkEncoder, EncoderSpec
 
 #: Text bytes of a slice; a larger one repeats fewer pre-tokens.
-SLICE = 16 << 20
+SLICE = 12 << 20
 
 PARCELS = T.StructType([
     T.StructField("bucket", T.LongType()),
@@ -70,6 +70,7 @@ def frequencies(encoder: ChunkEncoder, column: pa.Array) -> tuple[list[str], np.
 
 
 def _scan(spec: EncoderSpec, buckets: int, schema: pa.Schema, id_schema: pa.Schema):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = spec.load(), TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -115,6 +116,7 @@ def _unpack_strings(data: bytes) -> pa.Array:
 def _count(spec: EncoderSpec, schema: pa.Schema):
     """Encode each distinct pre-token of a bucket once; sums per document of every slice."""
 
+    @tidy_group
     def run(key: tuple, table: pa.Table) -> pa.Table:
         out = [r for r in table.to_pylist() if r["pieces"] is None]
         rows = [r for r in table.to_pylist() if r["pieces"] is not None]
@@ -135,6 +137,7 @@ def _count(spec: EncoderSpec, schema: pa.Schema):
 
 
 def _add_up(id_schema: pa.Schema, schema: pa.Schema):
+    @tidy_group
     def run(key: tuple, table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         ids, sizes = next(r["parts"] for r in rows if r["pieces"] is None)
