@@ -55,7 +55,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line that counts, with the first line of its class."""
-    classes = line_dedup.line_classes(table(spark, sf_dir, "documents"))
+    classes = line_dedup.line_classes(table(spark, sf_dir, "documents"), edits=None)
     return classes.select("doc_id", "line_no", "n_links", F.col("first_id").alias("class_doc_id"), F.col("first_line_no").alias("class_line_no"), "kept")
 
 

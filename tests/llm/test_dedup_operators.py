@@ -216,6 +216,68 @@ def test_candidates_are_complete(edits, line, changes):
         assert pairs.tolist() == [[0, 1]]
 
 
+def grown_classes(rows):
+    """Every line with a word; two lines are linked within the edits that the shorter one allows."""
+    lines = sorted((d is not None, d or 0, n, x) for d, t in rows for n, x in line_dedup.lines_of((t or "").encode(), 1))
+    texts = sorted({x[3] for x in lines}, key=lambda t: (len(t), t))
+    bags, links = np.array([np.bincount(np.frombuffer(t, np.uint8), minlength=256) for t in texts]), []
+    for i, text in enumerate(texts):
+        most = line_dedup.reach(len(text))
+        stop = next((j for j in range(i + 1, len(texts)) if len(texts[j]) > len(text) + most), len(texts))
+        close = i + 1 + np.flatnonzero(np.abs(bags[i + 1 : stop] - bags[i]).sum(axis=1) <= 2 * most)
+        links += [(i, int(j)) for j in close if line_dedup._plain_distance(text, texts[j]) <= most]
+    roots, degree, number, first = groups_of(len(texts), links), Counter(i for x in links for i in x), {t: i for i, t in enumerate(texts)}, {}
+    for x in lines:
+        first.setdefault(roots[number[x[3]]], x[:3])
+    out = Counter()
+    for known, doc, n, text in lines:
+        f = first[roots[number[text]]]
+        out[doc if known else None, n, degree[number[text]], f[1] if f[0] else None, f[2], f == (known, doc, n)] += 1
+    return out
+
+
+def test_edits_grow_with_the_line():
+    assert [line_dedup.reach(n) for n in (1, 7, 8, 15, 16, 32, 42, 43, 330, 331, 5000)] == [0, 0, 1, 1, 2, 2, 2, 3, 29, 30, 30]
+    for n in range(8, 2000):  # pieces fit side by side, one more than the edits
+        places, edits = sorted(set(line_dedup._pieces(n)[0][:, 0].tolist())), line_dedup.reach(n)
+        size = int(line_dedup.SIZES[line_dedup._size(n)])
+        assert len(places) == edits + 1 and all(b - a >= size for a, b in zip(places, [*places[1:], n]))
+
+
+@pytest.mark.parametrize("table", ["documents", "edge"])
+def test_classes_of_every_line(request, spark, table):
+    df = request.getfixturevalue(table).select("doc_id", "text")
+    if table == "documents":
+        df = df.where("doc_id < 20")
+        words = "transform(split(text, '\\n'), x -> if(length(x) > 60, concat(substr(x, 1, 40), '#other#', substr(x, 45)), concat(x, ',')))"
+        df = df.union(df.selectExpr("doc_id + 1000", f"array_join({words}, '\\n')"))
+    planted = ["Les.", "Heti eror anesti.\nLes.", "Heti, eror anesti.", "un été passé à la mer près de là-bas, côté forêt, sans arrêt", "un ete passe a la mer pres de la-bas, cote foret, sans arret"]
+    df = df.union(spark.createDataFrame(list(enumerate(planted, 7000)), df.schema))
+    edits, near, exact = line_dedup.EVERY_LINE
+    got = line_dedup.line_classes(df, edits=edits, near_bytes=near, exact_bytes=exact).collect()
+    found = Counter((r["doc_id"], r["line_no"], r["n_links"], r["first_id"], r["first_line_no"], r["kept"]) for r in got)
+    assert found == grown_classes(rows_of(df))
+    assert (7001, 1, 0, 7000, 0, False) in found and (7002, 0, 1, 7001, 0, False) in found
+    if table == "documents":
+        assert sum(r["n_links"] > 0 for r in got) > 50
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(8, 900), st.randoms(use_true_random=False))
+def test_windows_are_complete(length, random):
+    line = bytes(random.choices(b"abcdefgh ", k=length))
+    other = bytearray(line)
+    for _ in range(random.randint(1, line_dedup.reach(length))):
+        at, kind = random.randrange(len(other)), random.choice("ids")
+        other[at : at + (kind != "i")] = b"" if kind == "d" else b"#"
+    pair = [line, bytes(other)]
+    if line != pair[1] and min(map(len, pair)) >= 8 and line_dedup._plain_distance(*pair) <= line_dedup.reach(min(map(len, pair))):
+        keys, owner, probe, _ = line_dedup.window_rows(pair)
+        lengths = np.array(list(map(len, pair)))
+        found = line_dedup.window_pairs(keys.astype(np.uint32), owner, probe, np.arange(2, dtype=np.uint64), line_dedup.histograms(pair), lengths)
+        assert found.tolist() == [[0, 1]] and line_dedup.within_reach(pair[:1], pair[1:]).tolist() == [True]
+
+
 # ------------------------------------------------------------ vectors
 
 
