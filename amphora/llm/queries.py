@@ -54,8 +54,9 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line that counts, with the first line of its class."""
-    classes = line_dedup.line_classes(table(spark, sf_dir, "documents"), edits=None)
+    """One row per line with a word, with the first line of its class."""
+    edits, near_bytes, exact_bytes = line_dedup.EVERY_LINE
+    classes = line_dedup.line_classes(table(spark, sf_dir, "documents"), edits=edits, near_bytes=near_bytes, exact_bytes=exact_bytes)
     return classes.select("doc_id", "line_no", "n_links", F.col("first_id").alias("class_doc_id"), F.col("first_line_no").alias("class_line_no"), "kept")
 
 

@@ -262,6 +262,14 @@ def test_classes_of_every_line(request, spark, table):
         assert sum(r["n_links"] > 0 for r in got) > 50
 
 
+def test_op5_takes_every_line(spark, tmp_path):
+    from amphora.llm import queries
+
+    spark.createDataFrame([(1, "Les.\nHeti eror anesti."), (2, "Les.\nHeti, eror anesti.")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r["doc_id"], r["line_no"], r["kept"]) for r in queries.op5_line_dedup(spark, str(tmp_path)).collect())
+    assert got == [(1, 0, True), (1, 1, True), (2, 0, False), (2, 1, False)]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.integers(8, 900), st.randoms(use_true_random=False))
 def test_windows_are_complete(length, random):
