@@ -149,6 +149,9 @@ RULES = (
     Rule("repeated_lines", lambda m: 2 * m("n_dup_lines") > m("n_lines")),
 )
 
+#: The rules without the cap on a text's length, which says nothing about its quality.
+ANY_LENGTH = tuple(rule for rule in RULES if rule.name != "many_words")
+
 
 @dataclass(frozen=True)
 class Estimate:

@@ -5,7 +5,7 @@ kept; ``run`` writes each result as Parquet under the shared checkpoint folder
 and reads it again as the next stage's documents. All stages but the last
 return the columns of ``documents``; ``n_chars`` follows a text that changes.
 
-1. quality_rules: documents that a rule rejects go.
+1. quality_rules: documents that a rule rejects go, none for its length.
 2. line_dedup: in each class of equal or nearly equal lines the first line of
    the corpus stays; a document whose every line with content went goes too.
 3. simhash_near_dedup: of the documents that link at four bits or fewer, the
@@ -38,7 +38,7 @@ def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.screen(docs).where("rejected_by IS NULL").select(*docs.columns)
+    return quality.screen(docs, quality.ANY_LENGTH).where("rejected_by IS NULL").select(*docs.columns)
 
 
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

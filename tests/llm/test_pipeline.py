@@ -48,6 +48,11 @@ def test_quality_rules(results):
     assert by_id(after) == {r["doc_id"]: r for r in before if not rejected(measures(r["text"]))}
 
 
+def test_quality_rules_keep_a_very_long_text(spark):
+    docs = spark.range(1).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 1050000), x -> concat('w', x)), ' ') AS text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    assert [r["doc_id"] for r in pipeline.quality_rules(spark, docs, None).select("doc_id").collect()] == [0]
+
+
 def test_line_dedup(spark, results):
     before, after, _ = results["line_dedup"]
     classes = line_dedup.line_classes(spark.createDataFrame(before)).collect()  # itself tested against a plain version
