@@ -230,19 +230,30 @@ def near_vectors(
 
 
 def recall(found: DataFrame, vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, every: int = 50) -> float:
-    """Share of the links of every ``every``-th id, against all rows, that
-    ``found`` has. The queries are compared with the table in blocks."""
-    own = vectors.where(linkable(F.col(vector_col))).select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    queries = own.where(F.col("id") % every == 0).collect()
-    ids, x = np.array([r["id"] for r in queries]), _unit(np.array([r["vector"] for r in queries], dtype=np.float64))
+    """Share of the links between different vectors of every ``every``-th id,
+    against all rows, that ``found`` has. Equal vectors are linked without the
+    index, so their links are left out. Queries and table are compared in blocks."""
+    own = vectors.where(linkable(F.col(vector_col))).select(F.col(id_col).alias("id"), F.transform(F.col(vector_col).cast("array<double>"), lambda x: x + 0.0).alias("vector"))
+    groups = pin_table(own.groupBy("vector").agg(F.count("*").alias("copies")).withColumn("gid", F.monotonically_increasing_id()), "recall-vectors")
+    queries = pin_table(own.where(F.col("id") % every == 0).join(groups, "vector").select("id", "gid", "copies"), "recall-queries")
+
+    def blocks(df: DataFrame, *columns: str) -> DataFrame:
+        rows = df.groupBy(F.size("vector").alias("width"), F.floor(F.col("gid") / BLOCK).alias("block"))
+        return rows.agg(F.collect_list(F.struct(*columns)).alias("rows"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = x @ _unit(_matrix(batch.column("vector"), x.shape[1])).T >= cosine
-            other = batch.column("id").to_numpy()
-            n = (near & (ids[:, None] != other[None, :])).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
-
-    true = own.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    both = true.join(found.select(F.col(id_col).alias("id"), "n_links"), "id").agg(F.sum("n"), F.sum("n_links")).first()
+            for left, right in zip(batch.column("left"), batch.column("right")):
+                left, right = left.values, right.values
+                width = len(left.field("vector")[0])
+                near = _unit(_matrix(left.field("vector"), width)) @ _unit(_matrix(right.field("vector"), width)).T >= cosine
+                other = left.field("gid").to_numpy()[:, None] != right.field("gid").to_numpy()[None, :]
+                yield pa.RecordBatch.from_arrays([left.field("gid"), pa.array((near & other) @ right.field("copies").to_numpy())], names=["gid", "n"])
+
+    sides = blocks(groups.join(queries, "gid", "left_semi"), "gid", "vector").select("width", F.col("rows").alias("left"))
+    pairs = sides.join(blocks(groups, "gid", "copies", "vector").select("width", F.col("rows").alias("right")), "width")
+    true = pairs.select("left", "right").mapInArrow(run, "gid long, n long").groupBy("gid").agg(F.sum("n").alias("n"))
+    named = queries.join(true, "gid").groupBy("id").agg(F.sum("n").alias("n"), F.sum(F.col("copies") - 1).alias("equal"))
+    got = found.select(F.col(id_col).alias("id"), "n_links").groupBy("id").agg(F.sum("n_links").alias("n_links"))
+    both = named.join(got, "id").agg(F.sum("n"), F.sum(F.col("n_links") - F.col("equal"))).first()
     return 1.0 if not both[0] else both[1] / both[0]

@@ -322,6 +322,14 @@ def test_near_vectors(spark):
     assert exact == expected
 
 
+def test_recall_leaves_out_equal_vectors(spark):
+    """Fifty copies of a vector are linked without the index; of its one other link none is found."""
+    df = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(50)] + [(50, [1.0, 0.01]), (51, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    counts = lambda missed: spark.createDataFrame([(i, 50 - missed) for i in range(50)] + [(50, 50 - 50 * missed), (51, 0)], "vec_id long, n_links long")
+    assert pivots.recall(counts(0), df, every=1) == 1.0
+    assert pivots.recall(counts(1), df, every=1) == 0.0
+
+
 def test_recall_on_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     assert pivots.recall(pivots.near_vectors(df), df, every=1) >= 0.9
