@@ -5,7 +5,8 @@ The interactive agent/environment loop is a simulator; what it produces is a
 log ``reward_log(run_id, episode, step, action_id, reward)``, and every
 quantity the loop tracks is a function of that log: the incremental mean
 update is exactly the running mean, epsilon after n updates is a closed
-form, the best action is an argmax with lowest-id ties.
+form, the best action is an argmax with lowest-id ties. Steps of a run that
+have the same number follow one another by ``event_id``, if the log has it.
 """
 
 from __future__ import annotations
@@ -17,13 +18,15 @@ from pyspark.sql import functions as F
 
 from amphora import fixed
 from amphora.functions.hashing import uniform01, uniform_int
+from amphora.operators.ranking import top_k_within
 from amphora.operators.running import running
 
 LOG_ORDER = ("episode", "step")
 
 
-def _order() -> list[Column]:
-    return [F.col(c).asc() for c in LOG_ORDER]
+def _order(log: DataFrame, first: Sequence[str] = LOG_ORDER) -> list[Column]:
+    """The order of a log's rows; ``event_id`` makes it total."""
+    return [F.col(c).asc() for c in (*first, "event_id") if c in (*first, *log.columns)]
 
 
 def action_values(log: DataFrame, action_ids: Sequence | None = None,
@@ -81,13 +84,16 @@ def moving_average(rewards: DataFrame, window: int = 10, keys: Sequence[str] = (
 
 def value_trajectory(log: DataFrame, keys: Sequence[str] = ("run_id",)) -> DataFrame:
     """The action's value estimate after each step (running mean per
-    run and action), without a per-action single-task window."""
+    run and action), without a per-action single-task window. A step without
+    a reward counts in ``n`` and leaves the mean alone (as in A10); the value
+    is null until the first reward."""
     out = running(
-        log, _order(),
-        {"cum_reward": ("sum", F.col("reward")), "n": ("sum", F.lit(1).cast("bigint"))},
+        log, _order(log),
+        {"cum_reward": ("sum", F.col("reward")), "n": ("sum", F.lit(1).cast("bigint")),
+         "n_rewards": ("sum", F.col("reward").isNotNull().cast("bigint"))},
         keys=[*keys, "action_id"],
     )
-    return out.withColumn("value", F.col("cum_reward") / F.col("n")).drop("cum_reward")
+    return out.withColumn("value", F.try_divide("cum_reward", "n_rewards")).drop("cum_reward", "n_rewards")
 
 
 def epsilon_schedule(log: DataFrame, keys: Sequence[str] = ("run_id",),
@@ -95,7 +101,7 @@ def epsilon_schedule(log: DataFrame, keys: Sequence[str] = ("run_id",),
                      decay: float = fixed.EPSILON_DECAY) -> DataFrame:
     """Epsilon after each update: max(floor, start * decay^n), n = number
     of updates so far in the run (a distributed running count)."""
-    out = running(log, _order(), {"n_updates": ("sum", F.lit(1).cast("bigint"))}, keys=list(keys))
+    out = running(log, _order(log), {"n_updates": ("sum", F.lit(1).cast("bigint"))}, keys=list(keys))
     return out.withColumn(
         "epsilon", F.greatest(F.lit(floor), F.lit(start) * F.pow(F.lit(decay), F.col("n_updates")))
     )
@@ -110,7 +116,7 @@ def epsilon_after(n: Column | int, start: float = fixed.EPSILON_START,
 
 def best_so_far(log: DataFrame, keys: Sequence[str] = ("run_id",)) -> DataFrame:
     """Running maximum reward inside each episode."""
-    return running(log, [F.col("step").asc()], {"best_so_far": ("max", F.col("reward"))},
+    return running(log, _order(log, ["step"]), {"best_so_far": ("max", F.col("reward"))},
                    keys=[*keys, "episode"])
 
 
@@ -126,7 +132,7 @@ def rank_actions(values: DataFrame, keys: Sequence[str] = ("run_id",)) -> DataFr
 def reward_history(log: DataFrame, keys: Sequence[str] = ("run_id",)) -> DataFrame:
     """The episode's history as ordered rows with a 1-based step index
     (a distributed running count, not a collected list)."""
-    return running(log, [F.col("step").asc()], {"step_index": ("sum", F.lit(1).cast("bigint"))},
+    return running(log, _order(log, ["step"]), {"step_index": ("sum", F.lit(1).cast("bigint"))},
                    keys=[*keys, "episode"])
 
 
@@ -173,11 +179,26 @@ def _greedy(values: DataFrame, keys: Sequence[str]) -> DataFrame:
                         F.array_sort(F.array_distinct(F.col("_ranked")["action_id"])).alias("_tried"))
 
 
-def training_summary(log: DataFrame, keys: Sequence[str] = ("run_id",)) -> DataFrame:
-    """B2: per run: episodes, total and mean episode reward, best action and
-    its value, number of updates and final epsilon."""
+def training_summary(log: DataFrame, actions: DataFrame | None = None,
+                     keys: Sequence[str] = ("run_id",)) -> DataFrame:
+    """B2: per run: episodes, total and mean episode reward, number of updates
+    and final epsilon; the tried actions in order with their n and value; the
+    best action, its value and, with ``actions`` (action_id, label), its label.
+
+    The values are one aggregate over the table of A10, which has one row per
+    run and action; the lowest action id wins ties, a value of null never does
+    unless there is no other."""
     vals = action_values(log, keys=keys)
-    best = _best_action(vals, keys)
+    row = F.struct("action_id", "n", "value")
+    worse = F.struct(F.col("value").isNull(), -F.col("value"), F.col("action_id"))
+    known = vals.groupBy(*keys).agg(
+        F.min_by(row, worse).alias("_best"), F.array_sort(F.collect_list(row)).alias("_all"))
+    best = known.select(
+        *keys, F.col("_best.value").alias("best_value"), F.col("_best.action_id").alias("best_action"),
+        F.col("_all.action_id").alias("actions"), F.col("_all.n").alias("action_n"), F.col("_all.value").alias("action_values"))
+    if actions is not None:
+        best = label_actions(best.withColumnRenamed("best_action", "action_id"),
+                             actions.select("action_id", F.col("label").alias("best_label"))).withColumnRenamed("action_id", "best_action")
     eps = episode_rewards(log, keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("num_episodes"),
         F.sum("total_reward").alias("total_reward"),
@@ -188,26 +209,19 @@ def training_summary(log: DataFrame, keys: Sequence[str] = ("run_id",)) -> DataF
 
 
 def discovery_report(values: DataFrame, combos: DataFrame, candidates: DataFrame,
-                     k: int = 5, keys: Sequence[str] = ("run_id",)) -> DataFrame:
+                     k: int = 5, keys: Sequence[str] = ("run_id",),
+                     order: Sequence[Column] | None = None) -> DataFrame:
     """One table ``(*keys, section, rank, label, value, ph, temp)``:
     the recommended combination with its conditions, every combination
     ranked, and the top-k candidates (``candidates``: keys, sequence,
-    probability)."""
+    probability; the best by ``order``, else by probability and sequence)."""
     ranked = rank_actions(values, keys).join(combos, "action_id", "left")
-    recommended = ranked.where("is_best").select(
-        *keys, F.lit("recommended").alias("section"), "rank", "label", "value", "ph", "temp")
-    combos_sec = ranked.select(*keys, F.lit("ranked").alias("section"), "rank", "label", "value",
-                               "ph", "temp")
-    # Top k per run: a precomputed candidate rank when given, else a
-    # group-limited row_number (at most k rows per task and run).
-    if "rank" in candidates.columns:
-        ranked_c = candidates
-    else:
-        w = Window.partitionBy(*keys).orderBy(F.col("probability").desc(), F.col("sequence"))
-        ranked_c = candidates.withColumn("rank", F.row_number().over(w))
-    top = (ranked_c.where(F.col("rank") <= k)
-           .select(*keys, F.lit("candidate").alias("section"), "rank",
-                   F.col("sequence").alias("label"), F.col("probability").alias("value"),
-                   F.lit(None).cast("array<double>").alias("ph"),
-                   F.lit(None).cast("array<int>").alias("temp")))
-    return recommended.unionByName(combos_sec).unionByName(top)
+    # One pass over the ranked combinations: the best one is in both sections.
+    sections = F.when(F.col("is_best"), F.array(F.lit("recommended"), F.lit("ranked"))).otherwise(F.array(F.lit("ranked")))
+    combos_sec = ranked.select(*keys, F.explode(sections).alias("section"), "rank", "label", "value", "ph", "temp")
+    order = order or (F.col("probability").desc(), F.col("sequence").asc())
+    top = top_k_within(candidates, k, keys, order).select(
+        *keys, F.lit("candidate").alias("section"), "rank", F.col("sequence").alias("label"),
+        F.col("probability").alias("value"), F.lit(None).cast("array<double>").alias("ph"),
+        F.lit(None).cast("array<int>").alias("temp"))
+    return combos_sec.unionByName(top)

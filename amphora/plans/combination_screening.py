@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amphora import fixed
@@ -15,9 +15,11 @@ from amphora.fixed import Combo
 from amphora.functions.residues import reward
 from amphora.operators.classifier import Scorer, prior_scorer, score_peptides
 from amphora.functions.cleavage import resolve_enzyme, sequential_fragments
+from amphora.operators.bandit import discovery_report
 from amphora.operators.digest import resolve_combos, digest, explode_peptides
 from amphora.operators.ranking import rank_screening_ml, rank_within
 from amphora.operators.screening import screen_ml
+from amphora.session import pin_table
 
 KEYS = ("protein", "accession_id")
 
@@ -81,16 +83,23 @@ def best_combination(rewards: DataFrame, keys: Sequence[str] = KEYS) -> DataFram
         F.max("reward").alias("best_reward"))
 
 
-def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: Scorer | None = None,
-                    combos: Sequence[Combo] | None = None, keys: Sequence[str] = KEYS,
-                    min_length: int = fixed.DEFAULT_MIN_LENGTH,
-                    max_length: int = fixed.DEFAULT_MAX_LENGTH) -> DataFrame:
-    """T4: peptides of each protein's best combination with their
-    probability, ranked by probability (ties: position).
+def candidate_order() -> list[Column]:
+    """T4's order: the logit orders as the probability does, but is free of
+    the last-bit differences of exp() between math libraries."""
+    return [F.col("_z").desc(), F.col("pos").asc(), F.col("sequence").asc()]
+
+
+def candidates(sequences: DataFrame, rewards: DataFrame, scorer: Scorer | None = None,
+               combos: Sequence[Combo] | None = None, keys: Sequence[str] = KEYS,
+               min_length: int = fixed.DEFAULT_MIN_LENGTH,
+               max_length: int = fixed.DEFAULT_MAX_LENGTH) -> DataFrame:
+    """The peptides of each protein's best combination with their probability
+    and logit ``_z``, in no order.
 
     Only the best combination is digested again: the sequence row is joined
     to its best action (one row per protein) and a lazy ``CASE`` evaluates
-    just that combination's cut expression."""
+    just that combination's cut expression. Pin ``rewards`` where it is used
+    more than once."""
     scorer = scorer or prior_scorer()
     combos = resolve_combos(combos)
     seqs = sequences.select(*keys, "sequence")
@@ -103,13 +112,32 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: Scorer | N
                        ).otherwise(frags)
     picked = seqs.join(best, list(keys), "inner").select(*keys, "action_id", frags.alias("frags"))
     peps = explode_peptides(picked, "frags", [*keys, "action_id"], min_length, max_length)
-    cand = score_peptides(peps, scorer, keep_logit=True, upper=True).select(
-        *keys, "action_id", "pos", F.col("peptide").alias("sequence"), "_z")
-    # Rank on the logit: same order as the probability, but free of the
-    # last-bit differences of exp() between math libraries. The rank is a
-    # distributed running count, so a hot protein is never one task's.
-    order = [F.col("_z").desc(), F.col("pos").asc(), F.col("sequence").asc()]
-    ranked = rank_within(cand, list(keys), order)
-    return ranked.select(
+    return score_peptides(peps, scorer, keep_logit=True, upper=True).select(
+        *keys, "action_id", "pos", F.col("peptide").alias("sequence"), "_z",
+        (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z")))).alias("probability"))
+
+
+def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: Scorer | None = None,
+                    combos: Sequence[Combo] | None = None, keys: Sequence[str] = KEYS,
+                    min_length: int = fixed.DEFAULT_MIN_LENGTH,
+                    max_length: int = fixed.DEFAULT_MAX_LENGTH) -> DataFrame:
+    """T4: ``candidates`` ranked by probability (ties: position). The rank is
+    a running count, so a hot protein is never one task's."""
+    found = candidates(sequences, pin_table(rewards, "rewards"), scorer, combos, keys, min_length, max_length)
+    return rank_within(found.drop("probability"), list(keys), candidate_order()).select(
         *keys, "action_id", "pos", "sequence",
         (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z")))).alias("probability"), "rank")
+
+
+def discover(sequences: DataFrame, actions: DataFrame, scorer: Scorer | None = None,
+             combos: Sequence[Combo] | None = None, k: int = 5, keys: Sequence[str] = KEYS) -> DataFrame:
+    """A6, T4 and B3 in one: the rewards of every combination are computed
+    once and pinned (a row per protein and combination), and the report and
+    the candidates read that table. Of the candidates only the ``k`` best of
+    a protein are wanted, so each task keeps ``k`` of a protein before the
+    shuffle and nothing is ranked in full. ``actions``: action_id, label, ph,
+    temp."""
+    rewards = pin_table(combo_rewards(sequences, scorer, combos, keys), "rewards")
+    values = rewards.select(*keys, "action_id", F.col("reward").alias("value"))
+    found = candidates(sequences, rewards, scorer, combos, keys)
+    return discovery_report(values, actions, found, k, keys=keys, order=candidate_order())

@@ -169,12 +169,10 @@ def q_moving_average(spark, sf_dir):
 
 
 @register("value_trajectory", f"""
-    SELECT run_id, episode, step, action_id, round(reward, 9) AS reward, n,
-           round(sum(reward) OVER w / n, 9) AS value
-    FROM (SELECT *, count(*) OVER w AS n FROM {_LOG}
-          WINDOW w AS (PARTITION BY run_id, action_id ORDER BY episode, step
-                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-    WINDOW w AS (PARTITION BY run_id, action_id ORDER BY episode, step
+    SELECT run_id, episode, step, action_id, round(reward, 9) AS reward, event_id, count(*) OVER w AS n,
+           round(avg(reward) OVER w, 9) AS value
+    FROM {_LOG}
+    WINDOW w AS (PARTITION BY run_id, action_id ORDER BY episode, step, event_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q_value_trajectory(spark, sf_dir):
     out = B.value_trajectory(_log(spark, sf_dir))
@@ -182,16 +180,16 @@ def q_value_trajectory(spark, sf_dir):
 
 
 @register("epsilon_schedule", f"""
-    SELECT run_id, episode, step, action_id, reward, n_updates,
+    SELECT run_id, episode, step, action_id, reward, event_id, n_updates,
            round(greatest(0.1, 1.0 * pow(0.995, n_updates)), 12) AS epsilon
-    FROM (SELECT *, count(*) OVER (PARTITION BY run_id ORDER BY episode, step
+    FROM (SELECT *, count(*) OVER (PARTITION BY run_id ORDER BY episode, step, event_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_updates FROM {_LOG})""")
 def q_epsilon_schedule(spark, sf_dir):
     return B.epsilon_schedule(_log(spark, sf_dir)).withColumn("epsilon", F.round("epsilon", 12))
 
 
 @register("best_so_far", f"""
-    SELECT *, max(reward) OVER (PARTITION BY run_id, episode ORDER BY step
+    SELECT *, max(reward) OVER (PARTITION BY run_id, episode ORDER BY step, event_id
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far FROM {_LOG}""")
 def q_best_so_far(spark, sf_dir):
     return B.best_so_far(_log(spark, sf_dir))
@@ -208,7 +206,7 @@ def q_rank_actions(spark, sf_dir):
 
 
 @register("reward_history", f"""
-    SELECT *, count(*) OVER (PARTITION BY run_id, episode ORDER BY step
+    SELECT *, count(*) OVER (PARTITION BY run_id, episode ORDER BY step, event_id
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS step_index FROM {_LOG}""")
 def q_reward_history(spark, sf_dir):
     return B.reward_history(_log(spark, sf_dir))
@@ -253,15 +251,24 @@ def q_assign_actions(spark, sf_dir):
                  FROM {_LOG} GROUP BY run_id, episode),
     agg AS (SELECT run_id, count(*) AS num_episodes, sum(total_reward) AS total_reward,
                    avg(total_reward) AS mean_episode_reward, sum(steps) AS num_updates
-            FROM eps GROUP BY run_id)
+            FROM eps GROUP BY run_id),
+    known AS (SELECT run_id, list(action_id ORDER BY action_id) AS actions, list(n ORDER BY action_id) AS action_n,
+                     list(round(value, 9) ORDER BY action_id) AS action_values FROM ({_VALUES_SQL}) GROUP BY run_id)
     SELECT a.run_id, a.num_episodes, round(a.total_reward, 9) AS total_reward,
            round(a.mean_episode_reward, 9) AS mean_episode_reward, a.num_updates::BIGINT AS num_updates,
            round(b.best_value, 9) AS best_value, b.best_action,
+           upper(substr(b.best_action, 1, 1)) || lower(substr(b.best_action, 2)) AS best_label,
+           k.actions, k.action_n, k.action_values,
            round(greatest(0.1, pow(0.995, a.num_updates)), 12) AS final_epsilon
-    FROM agg a JOIN ({_BEST_SQL}) b ON a.run_id = b.run_id""")
+    FROM agg a JOIN ({_BEST_SQL}) b ON a.run_id = b.run_id JOIN known k ON a.run_id = k.run_id""")
 def q_training_summary(spark, sf_dir):
-    out = B.training_summary(_log(spark, sf_dir))
+    from amphora.functions.residues import capitalise
+
+    labels = load_table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("action_id")).distinct().withColumn("label", capitalise("action_id"))
+    out = B.training_summary(_log(spark, sf_dir), labels)
     return out.withColumns({
+        "action_values": F.transform("action_values", lambda x: F.round(x, 9)),
         "total_reward": F.round("total_reward", 9),
         "mean_episode_reward": F.round("mean_episode_reward", 9),
         "best_value": F.round("best_value", 9),
@@ -379,11 +386,7 @@ def _combo_values_sql() -> str:
 def q_discovery_report(spark, sf_dir):
     from amphora.sources import catalog
 
-    seqs = _doc_seqs(spark, sf_dir)
-    rewards = Q.combo_rewards(seqs, PRIOR)
-    values = rewards.select(*KEYS, "action_id", F.col("reward").alias("value"))
-    cands = Q.rank_candidates(seqs, rewards, PRIOR).select(*KEYS, "sequence", "probability", "rank")
-    out = B.discovery_report(values, catalog.combos(spark).drop("enzymes"), cands, 5, keys=KEYS)
+    out = Q.discover(_doc_seqs(spark, sf_dir), catalog.combos(spark).drop("enzymes"), PRIOR, k=5, keys=KEYS)
     return _round_cols(out.withColumn("rank", F.col("rank").cast("bigint")), ["value"])
 
 
@@ -873,6 +876,19 @@ def q_value_trajectory_nulls(spark, sf_dir):
     return out.withColumn("total", F.round("total", 6)).drop("own")
 
 
+@register("value_trajectory_gaps", f"""
+    SELECT user_id % 7 AS run_id, event_type AS action_id, event_id, own AS reward, count(*) OVER w AS n, round(avg(own) OVER w, 9) AS value
+    FROM {_GAPS} WINDOW w AS (PARTITION BY user_id % 7, event_type ORDER BY event_id // 1000, event_id % 3, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def q_value_trajectory_gaps(spark, sf_dir):
+    """W2 on steps without a reward and with equal step numbers."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    log = load_table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 7).alias("run_id"), F.floor(F.col("event_id") / 1000).alias("episode"), (F.col("event_id") % 3).alias("step"),
+        F.col("event_type").alias("action_id"), F.when(micros % 3 != 0, F.col("value")).alias("reward"), "event_id")
+    return B.value_trajectory(log).drop("episode", "step").withColumn("value", F.round("value", 9))
+
+
 _FEATS_ML = O.features_sql("peptide")
 
 

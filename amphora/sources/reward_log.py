@@ -2,7 +2,8 @@
 
 The driver's ``events`` table stands in for a log of real trials: a user is
 a run, a UTC day an episode, the event time (microseconds) the step, the
-event type the action and ``value`` the reward."""
+event type the action and ``value`` the reward; ``event_id`` tells steps of the
+same time apart."""
 
 from __future__ import annotations
 
@@ -30,6 +31,7 @@ def reward_log_from_events(events: DataFrame) -> DataFrame:
         micros.alias("step"),
         F.col("event_type").alias("action_id"),
         F.col("value").alias("reward"),
+        "event_id",
     )
 
 
@@ -38,5 +40,6 @@ REWARD_LOG_SQL = """
            (CAST(ts AS DATE) - DATE '1970-01-01')::INTEGER AS episode,
            epoch_us(ts) AS step,
            event_type AS action_id,
-           value AS reward
+           value AS reward,
+           event_id
     FROM events"""
