@@ -80,14 +80,14 @@ def rank_screening_ml(results: DataFrame, with_rank: bool = True) -> DataFrame:
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
-                name: str = "rank") -> DataFrame:
+                name: str = "rank", key_rows: DataFrame | None = None) -> DataFrame:
     """T3 per group: 1-based position inside each group following ``order``
     (a total order inside the group). Computed as a distributed running
     count, so a hot group (a third of all rows under one key) is split over
     many tasks instead of being ranked by one ``row_number`` task."""
     from amphora.operators.running import running
 
-    return running(df, order, {name: ("sum", F.lit(1).cast("bigint"))}, keys=list(partition))
+    return running(df, order, {name: ("sum", F.lit(1).cast("bigint"))}, keys=list(partition), key_rows=key_rows)
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

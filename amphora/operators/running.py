@@ -157,17 +157,21 @@ def running(
     order: Sequence[Column],
     aggs: dict[str, tuple[str, Column]],
     keys: Sequence[str] = (),
+    key_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Add one column per ``aggs`` entry ``name -> (kind, value)`` with the
     inclusive running ``kind`` (sum/max/min) of ``value`` over ``order``
     within ``keys``. ``order`` must be a total order inside a key for a
     deterministic result. Null keys are one key; null values add nothing, and
-    the result is null until the key's first value, as with a plain window."""
+    the result is null until the key's first value, as with a plain window.
+    ``key_rows``: the keys with the number of their rows, ``n`` (or no less),
+    where that is known already; else it is counted."""
     ensure_checkpoint_dir(df.sparkSession)
     if not keys:
         return in_order(df, order, aggs)
     most = int(df.sparkSession.conf.get("spark.amphora.hotKeyRows", str(HOT_KEY_ROWS)))
-    hot = pin_table(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).drop("_n"), "hot-keys")
+    counted = key_rows if key_rows is not None else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = pin_table(counted.where(F.col("n") > most).select(*keys).distinct(), "hot-keys")
     so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     windowed = lambda rows: rows.select("*", *[_KINDS[k](v).over(so_far).alias(n) for n, (k, v) in aggs.items()])
     if hot.isEmpty():

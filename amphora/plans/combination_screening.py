@@ -110,7 +110,10 @@ def candidates(sequences: DataFrame, rewards: DataFrame, scorer: Scorer | None =
         frags = F.when(F.col("action_id") == c.action_id,
                        sequential_fragments(seq, [resolve_enzyme(e) for e in c.enzymes])
                        ).otherwise(frags)
-    picked = seqs.join(best, list(keys), "inner").select(*keys, "action_id", frags.alias("frags"))
+    # A one-row ``inline`` keeps the cut expression in one place: Spark would
+    # otherwise also put it into a filter (no empty arrays) below the explode.
+    picked = seqs.join(best, list(keys), "inner").select(
+        *keys, "action_id", F.inline(F.array(F.struct(frags.alias("frags")))))
     peps = explode_peptides(picked, "frags", [*keys, "action_id"], min_length, max_length)
     return score_peptides(peps, scorer, keep_logit=True, upper=True).select(
         *keys, "action_id", "pos", F.col("peptide").alias("sequence"), "_z",
@@ -122,9 +125,12 @@ def rank_candidates(sequences: DataFrame, rewards: DataFrame, scorer: Scorer | N
                     min_length: int = fixed.DEFAULT_MIN_LENGTH,
                     max_length: int = fixed.DEFAULT_MAX_LENGTH) -> DataFrame:
     """T4: ``candidates`` ranked by probability (ties: position). The rank is
-    a running count, so a hot protein is never one task's."""
-    found = candidates(sequences, pin_table(rewards, "rewards"), scorer, combos, keys, min_length, max_length)
-    return rank_within(found.drop("probability"), list(keys), candidate_order()).select(
+    a running count, so a hot protein is never one task's; how many peptides
+    a protein can have at most, the rewards tell."""
+    rewards = pin_table(rewards, "rewards")
+    found = candidates(sequences, rewards, scorer, combos, keys, min_length, max_length)
+    key_rows = rewards.groupBy(*keys).agg(F.max("num_peptides").alias("n"))
+    return rank_within(found.drop("probability"), list(keys), candidate_order(), key_rows=key_rows).select(
         *keys, "action_id", "pos", "sequence",
         (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z")))).alias("probability"), "rank")
 
