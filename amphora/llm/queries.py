@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amphora.llm import byte_bpe, id_shards, line_dedup, packing, pivots, quality, sharding, simhash, substring, token_counts
+from amphora.llm import byte_bpe, id_shards, line_dedup, packing, pivots, quality, sharding, simhash, substring, token_counts, warc
 from amphora.llm.encoders import EncoderSpec
 from amphora.session import ensure_checkpoint_dir
 
@@ -86,6 +86,13 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", _sha256(words_joined(F.col("text")).cast("binary")).alias("kept_sha256"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    found = warc.records(warc.read_chunks(spark, path, with_data=False))
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_holds")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_pivot_index": op2_pivot_index,
@@ -97,4 +104,5 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
     "op10_substring": op10_substring,
+    "op13_warc": op13_warc,
 }
