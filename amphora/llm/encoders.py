@@ -89,10 +89,12 @@ def tokenizer_from_ranks(path: str, pattern: str):
 @dataclass(frozen=True)
 class EncoderSpec:
     """path: a tokenizer file of the tokenizers library, or a rank file (then
-    ``pattern`` is what splits texts before the merges)."""
+    ``pattern`` is what splits texts before the merges). special_as_text: the
+    strings of special tokens inside texts are ordinary text."""
 
     path: str
     pattern: str | None = None
+    special_as_text: bool = False
 
     def load(self) -> ChunkEncoder:
         cache = process_cache()
@@ -115,7 +117,8 @@ class ChunkEncoder:
             self.tokenizer.no_truncation()
             self.tokenizer.no_padding()
             told = json.loads(self.tokenizer.to_str())
-            self.specials = [t["content"] for t in told["added_tokens"]]
+            self.tokenizer.encode_special_tokens = spec.special_as_text
+            self.specials = [] if spec.special_as_text else [t["content"] for t in told["added_tokens"]]
             self.lower = "Lowercase" in json.dumps(told["normalizer"])
             pattern = _pattern(told["pre_tokenizer"])
         #: White space is dropped by the pre-tokenizer, so any space or line feed is a cut.

@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amphora.llm import byte_bpe, id_shards, line_dedup, packing, pivots, quality, sharding, simhash, substring, token_counts, warc
+from amphora.llm import alignment, byte_bpe, id_shards, line_dedup, packing, pivots, quality, sharding, simhash, substring, token_counts, warc
 from amphora.llm.encoders import EncoderSpec
 from amphora.session import ensure_checkpoint_dir
 
 WORD_BPE = EncoderSpec(public_tokenizers.path("word_bpe_49k.json"))
 BYTE_BPE = EncoderSpec(public_tokenizers.path("byte_bpe_50k.json"))
+BYTE_BPE_TEXT = EncoderSpec(BYTE_BPE.path, special_as_text=True)
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = EncoderSpec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
@@ -86,6 +88,10 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", _sha256(words_joined(F.col("text")).cast("binary")).alias("kept_sha256"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE_TEXT, PIECES)
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
     warc.write_warc(table(spark, sf_dir, "pages"), path)
@@ -104,5 +110,6 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
     "op10_substring": op10_substring,
+    "op12_alignment": op12_alignment,
     "op13_warc": op13_warc,
 }
