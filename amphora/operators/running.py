@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from amphora.session import ensure_checkpoint_dir, pin_table
 
-_KINDS = {"sum": F.sum, "max": F.max, "min": F.min}
+_KINDS = {"sum": F.sum, "max": F.max, "min": F.min, "xor": F.bit_xor}
 
 #: A key with more rows is spread over tasks.
 HOT_KEY_ROWS = 1 << 20
@@ -64,8 +64,14 @@ def _differs(column: pa.Array, before: pa.Scalar | None) -> np.ndarray:
 
 
 def _numbers(values: pa.Array, slices: np.ndarray, kind: str) -> pa.Array:
-    """Running sum, max or min of a column of integers or doubles inside slices."""
+    """Running sum, max, min or exclusive or of a column of integers or doubles inside slices."""
     empty = pc.is_null(values).to_numpy(zero_copy_only=False)
+    if kind == "xor":
+        whole = np.bitwise_xor.accumulate(pc.fill_null(values, pa.scalar(0, values.type)).to_numpy(zero_copy_only=False))
+        firsts = np.flatnonzero(np.append(True, slices[1:] != slices[:-1]))
+        before = np.append(np.zeros(1, dtype=whole.dtype), whole)[firsts]
+        none_yet = pd.Series((~empty).astype(np.int8)).groupby(slices, sort=False).cummax().to_numpy() == 0 if empty.any() else None
+        return pa.array(whole ^ np.repeat(before, np.diff(np.append(firsts, len(whole)))), type=values.type, mask=none_yet)
     floating = pa.types.is_floating(values.type)
     if floating:
         least, most = -np.inf, np.inf
@@ -94,6 +100,8 @@ def _numbers(values: pa.Array, slices: np.ndarray, kind: str) -> pa.Array:
 def _combine(kind: str, a, b):
     if a is None or b is None:
         return b if a is None else a
+    if kind == "xor":
+        return a ^ b
     return a + b if kind == "sum" else max(a, b) if kind == "max" else min(a, b)
 
 
@@ -160,7 +168,7 @@ def running(
     key_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Add one column per ``aggs`` entry ``name -> (kind, value)`` with the
-    inclusive running ``kind`` (sum/max/min) of ``value`` over ``order``
+    inclusive running ``kind`` (sum/max/min/xor) of ``value`` over ``order``
     within ``keys``. ``order`` must be a total order inside a key for a
     deterministic result. Null keys are one key; null values add nothing, and
     the result is null until the key's first value, as with a plain window.
@@ -213,6 +221,8 @@ def in_order(df: DataFrame, order: Sequence[Column], aggs: dict[str, tuple[str,
         if kinds[n] == "sum":
             # Null on either side: nothing to add from there yet.
             both = F.when(own.isNull(), before).otherwise(own + F.coalesce(before, F.lit(0))).cast(made[n].dataType)
+        elif kinds[n] == "xor":
+            both = F.when(own.isNull(), before).otherwise(own.bitwiseXOR(F.coalesce(before, F.lit(0))))
         else:
             both = (F.greatest if kinds[n] == "max" else F.least)(own, before)
         out.append(both.alias(names[n]))

@@ -63,10 +63,10 @@ def test_running_any_types_and_edges(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "70")
     try:
         aggs = {"sv": ("sum", F.col("v")), "mv": ("max", F.col("v")), "lv": ("min", F.col("v")), "ms": ("max", F.col("s")),
-                "sd": ("sum", F.col("dec")), "sn": ("sum", F.col("n")), "ln": ("min", F.col("n"))}
+                "sd": ("sum", F.col("dec")), "sn": ("sum", F.col("n")), "ln": ("min", F.col("n")), "xn": ("xor", F.col("n").cast("long"))}
         got = running(df, [F.col("t").asc()], aggs, keys=["f", "g"])
         w = Window.partitionBy("f", "g").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-        fns = {"sum": F.sum, "max": F.max, "min": F.min}
+        fns = {"sum": F.sum, "max": F.max, "min": F.min, "xor": F.bit_xor}
         exp = df.select("*", *[fns[k](v).over(w).alias(n) for n, (k, v) in aggs.items()])
         assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in exp.schema]
         show = lambda d: sorted((r["t"], str([r[n] for n in aggs])) for r in d.collect())
