@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amphora.llm import alignment, byte_bpe, id_shards, line_dedup, packing, pivots, quality, sharding, simhash, substring, token_counts, warc
+from amphora.llm import alignment, byte_bpe, id_shards, line_dedup, packing, pivots, prefix_trie, quality, sharding, simhash, substring, token_counts, warc
 from amphora.llm.encoders import EncoderSpec
-from amphora.session import ensure_checkpoint_dir
+from amphora.session import ensure_checkpoint_dir, pin_table
 
 WORD_BPE = EncoderSpec(public_tokenizers.path("word_bpe_49k.json"))
 BYTE_BPE = EncoderSpec(public_tokenizers.path("byte_bpe_50k.json"))
@@ -88,6 +88,23 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", _sha256(words_joined(F.col("text")).cast("binary")).alias("kept_sha256"))
 
 
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and members of the rebuilt conversations: the first h turns of
+    conversation c - c % 100, then c's own turns after its first h."""
+    convs = turns.groupBy("conv_id").agg(F.count("*").alias("n"))
+    convs = pin_table(convs.withColumns({"base": F.col("conv_id") - F.col("conv_id") % 100, "h": F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6}), "convs")
+    bases = convs.where("conv_id = base").select("base", F.col("n").alias("n_base"))
+    heads = turns.where("pos < 5 AND conv_id % 100 = 0").withColumnRenamed("conv_id", "base")
+    led = convs.where("h > 0").select("conv_id", "base", "h").join(heads, "base").where("pos < h").select("conv_id", "pos", "id", "chars")
+    own = turns.withColumns({"base": F.col("conv_id") - F.col("conv_id") % 100, "h": F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6}).where("pos >= h").join(bases, "base", "left")
+    place = F.col("pos") - F.col("h") + F.least("h", F.coalesce("n_base", F.lit(0).cast("long")))
+    return led.unionAll(own.select("conv_id", place.alias("pos"), "id", "chars")), convs.select("conv_id")
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(*rebuilt(prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE_TEXT, PIECES)
 
@@ -110,6 +127,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality": op9_quality,
     "op10_substring": op10_substring,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_alignment": op12_alignment,
     "op13_warc": op13_warc,
 }
