@@ -40,3 +40,14 @@ def resolve_enzyme_name(name: str | Column, strict: bool = True) -> Column:
 def unknown_enzymes(df, name: str):
     """P11 non-strict report: rows whose enzyme name is not a known rule."""
     return df.where(resolve_enzyme_name(name, strict=False).isNull() & F.col(name).isNotNull())
+
+
+def resolve_combos(df, name: str):
+    """P11 on a combination column ARRAY<STRING>: ``enzymes`` (the known names
+    as the rule table has them, in order) and ``unknown`` (the names, as they
+    are given, that no rule has); a null combination stays null in both."""
+    known = lambda e: resolve_enzyme_name(e, strict=False)
+    given = F.col(name)
+    return df.withColumns({
+        "enzymes": F.filter(F.transform(given, known), lambda e: e.isNotNull()),
+        "unknown": F.filter(given, lambda e: known(e).isNull() & e.isNotNull())})

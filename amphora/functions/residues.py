@@ -147,7 +147,7 @@ def length_between(c: ColumnOrName, lo: int, hi: int) -> Column:
 
 def valid_alphabet(c: ColumnOrName) -> Column:
     """Whole string in the 20 standard residues (non-empty)."""
-    return _c(c).rlike(f"^[{fixed.STANDARD_RESIDUES}]+$")
+    return _c(c).rlike(f"^[{fixed.STANDARD_RESIDUES}]+\\z")
 
 
 def min_length(c: ColumnOrName, n: int = fixed.CORPUS_MIN_LENGTH) -> Column:

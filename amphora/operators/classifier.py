@@ -11,6 +11,7 @@ distinct peptides once (J6) pays for its shuffle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -24,6 +25,7 @@ from amphora.functions.hashing import hash32, uniform_int
 from amphora.functions.residues import class_counts, count_residues, peptide_features, predict_label
 from amphora.operators.ranking import global_rank
 from amphora.session import pin_table
+from amphora.sources.files import list_folders, path_exists
 
 ALPHABET = fixed.STANDARD_RESIDUES
 
@@ -131,15 +133,42 @@ def score_peptides(peptides: DataFrame, scorer: Scorer, peptide_col: str = "pept
 
 
 def score_distinct(peptides: DataFrame, score: Callable[[DataFrame], DataFrame],
-                   peptide_col: str = "peptide", how: str = "inner") -> DataFrame:
-    """Score each distinct peptide once and join the scores back. Worth
-    its two shuffles only for an expensive scorer (a Python embedder); the
-    distinct has partial aggregation, so hot peptides collapse map-side."""
+                   peptide_col: str = "peptide", how: str = "left") -> DataFrame:
+    """Score each distinct peptide once and join the scores back; a null
+    peptide has a null score. Worth its two shuffles only for an expensive
+    scorer (a Python embedder); the distinct has partial aggregation, so hot
+    peptides collapse map-side."""
     distinct = peptides.select(peptide_col).where(F.col(peptide_col).isNotNull()).distinct()
     scored = score(distinct)
     return peptides.join(scored, peptide_col, how)
 
 
+def stored_scorer(score: Callable[[DataFrame], DataFrame], path: str, model: str,
+                  peptide_col: str = "peptide") -> Callable[[DataFrame], DataFrame]:
+    """A scorer that keeps its scores: a Parquet table at ``path`` holds
+    ``amp_probability`` by peptide, one folder for each ``model``, and only
+    peptides that are not in it are given to ``score`` and added. A run's new
+    scores are one committed folder of their own, named by what it read, so a
+    run that fails leaves nothing behind and the store holds every peptide
+    once for a single writer (two runs at a time may both add a peptide;
+    readers keep one)."""
+    columns = f"{peptide_col} string, amp_probability double"
+
+    def run(distinct: DataFrame) -> DataFrame:
+        spark, own = distinct.sparkSession, f"{path}/model={model}"
+        held = [f for f in list_folders(spark, own) if path_exists(spark, f"{f}/_SUCCESS")]
+        # The store's folders are read as they are, never by a partition's name.
+        before = spark.read.schema(columns).parquet(*held) if held else spark.createDataFrame([], columns)
+        unseen = distinct.join(before, peptide_col, "left_anti")
+        target = f"{own}/run-{uuid.uuid4().hex}"
+        score(unseen).select(peptide_col, "amp_probability").write.parquet(target)
+        known = spark.read.schema(columns).parquet(*held, target).groupBy(peptide_col).agg(
+            F.max("amp_probability").alias("amp_probability"))
+        return distinct.join(known, peptide_col)
+
+    return run
+
+
 def embedding_scorer(make_embedder: Callable[[], Callable], dim: int, weights: Sequence[float], bias: float,
                      peptide_col: str = "peptide") -> Callable[[DataFrame], DataFrame]:
     """A scorer from an embedder (E1) and the coefficients of a fitted
@@ -286,6 +315,38 @@ def positive_bounds(positives: DataFrame, seq_col: str = "sequence"):
     return int(b.n), b.lo, b.hi
 
 
+def nth_smallest(df: DataFrame, column: str, n: int, below: int) -> int:
+    """The n-th smallest value of a column of distinct whole numbers from 0 to
+    ``below`` - 1: counts in 4 096 ranges, then in the ranges of the one that
+    holds it, and so on (two passes up to 2**24, no sort). ``df`` is read
+    again in each; pin it."""
+    low = 0
+    while below - low > 1:
+        width = -(-(below - low) // 4096)
+        place = F.floor((F.col(column) - low) / width)
+        counts = df.where(F.col(column).between(low, below - 1)).groupBy(place.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()
+        for row in sorted(counts, key=lambda r: r["p"]):
+            if n <= row["c"]:
+                low, below = low + row["p"] * width, min(below, low + (row["p"] + 1) * width)
+                break
+            n -= row["c"]
+        else:
+            raise ValueError("fewer values than asked for")
+    return low
+
+
+def _random_sequences(spark: SparkSession, first: int, last: int, lo: int, hi: int, seed: int, seq_col: str) -> DataFrame:
+    """Ids ``first`` to ``last`` - 1, each with a sequence that is a pure function of (id, seed)."""
+    width = len(ALPHABET)
+    length = F.lit(lo) + uniform_int(hi - lo + 1, F.col("id"), F.lit(seed), F.lit("len"))
+    letters = F.transform(
+        F.sequence(F.lit(1), length.cast("int")),
+        lambda k: F.substr(F.lit(ALPHABET),
+                           (uniform_int(width, F.col("id"), F.lit(seed), k) + 1).cast("int"),
+                           F.lit(1)))
+    return spark.range(first, last).select("id", F.array_join(letters, "").alias(seq_col))
+
+
 def generate_negatives(spark: SparkSession, positives: DataFrame, n: int, seed: int = 42,
                        oversample: int = 2, seq_col: str = "sequence",
                        bounds: tuple[int, int] | None = None) -> DataFrame:
@@ -293,9 +354,10 @@ def generate_negatives(spark: SparkSession, positives: DataFrame, n: int, seed:
     uniform between the positives' shortest and longest, residues uniform.
     Candidates are a range of ids; each is a pure function of (id, seed).
     Known sequences are removed with an anti join, repeats keep the lowest
-    id, and the ``n`` lowest ids are kept (distributed rank). The range starts
-    at ``oversample * n`` and doubles until ``n`` are found; it is an error
-    only if fewer than ``n`` such sequences exist."""
+    id, and the ``n`` lowest ids are kept: a cut-off that is found by counting
+    (``nth_smallest``), not by a sort. The range starts at ``oversample * n``
+    and doubles until ``n`` are found, only the new ids being drawn; it is an
+    error only if fewer than ``n`` such sequences exist."""
     # Two scalars (the length range) come back to the driver as literals.
     if bounds is None:
         _, lo, hi = positive_bounds(positives, seq_col)
@@ -312,24 +374,18 @@ def generate_negatives(spark: SparkSession, positives: DataFrame, n: int, seed:
         exist -= known.where(F.length(seq_col).between(lo, hi) & F.col(seq_col).rlike(f"^[{ALPHABET}]*$")).count()
         if exist < n:
             raise ValueError(f"only {exist} sequences are free, {n} were asked for")
-    ids = max(1, oversample * n)
+    first, ids, firsts = 0, max(1, oversample * n), None
     while True:
-        length = F.lit(lo) + uniform_int(hi - lo + 1, F.col("id"), F.lit(seed), F.lit("len"))
-        letters = F.transform(
-            F.sequence(F.lit(1), length.cast("int")),
-            lambda k: F.substr(F.lit(ALPHABET),
-                               (uniform_int(width, F.col("id"), F.lit(seed), k) + 1).cast("int"),
-                               F.lit(1)))
-        cand = spark.range(ids).select("id", F.array_join(letters, "").alias(seq_col))
-        fresh = cand.join(known, seq_col, "left_anti")
-        first = fresh.groupBy(seq_col).agg(F.min("id").alias("id"))
-        ranked = global_rank(first, [F.col("id").asc()], "_r")
-        # The ranked rows are checkpointed, so counting them is a cheap read.
-        if ranked.count() >= n:
+        fresh = _random_sequences(spark, first, ids, lo, hi, seed, seq_col).join(known, seq_col, "left_anti")
+        if firsts is not None:  # earlier ids win
+            fresh = fresh.join(firsts.select(seq_col), seq_col, "left_anti")
+        new = pin_table(fresh.groupBy(seq_col).agg(F.min("id").alias("id")), "negatives")
+        firsts = new if firsts is None else firsts.unionByName(new)
+        if firsts.count() >= n:
             break
-        ids *= 2
-    return ranked.where(F.col("_r") <= n).select(seq_col, F.lit("negative").alias("source"),
-                                                  F.lit(0).alias("label"))
+        first, ids = ids, ids * 2
+    kept = firsts.where(F.col("id") <= nth_smallest(firsts, "id", n, ids)) if n else firsts.limit(0)
+    return kept.select(seq_col, F.lit("negative").alias("source"), F.lit(0).alias("label"))
 
 
 def union_labelled(positives: DataFrame, negatives: DataFrame, seq_col: str = "sequence") -> DataFrame:
@@ -375,9 +431,29 @@ def predict(model, df: DataFrame, features: str) -> DataFrame:
     """C3 through MLlib: probability of class 1 and the 0/1 prediction."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    out = model.transform(df.withColumn("features", array_to_vector(features)))
-    return out.withColumn("probability_1", vector_to_array("probability")[1]).drop(
-        "features", "rawPrediction", "probability")
+    # Columns of the caller keep their names: the model's go by names of their own.
+    own = model.copy()
+    own.setFeaturesCol("_features").setProbabilityCol("_probability").setRawPredictionCol("_raw")
+    out = own.transform(df.withColumn("_features", array_to_vector(features)))
+    return out.withColumn("probability_1", vector_to_array("_probability")[1]).drop("_features", "_raw", "_probability")
+
+
+def penalised_gradient(df: DataFrame, features: str, label: str, weights: Sequence[float], bias: float,
+                       reg: float | None = None) -> DataFrame:
+    """Certificate of C2: the gradient of mean log loss + reg / 2 * |w|^2
+    (``reg`` None: 1 / n) at the given coefficients, ``(feature, gradient)``
+    with feature -1 for the intercept, which is not penalised. The objective
+    is strictly convex in the weights, so a gradient of zero is the optimum
+    and no other is. One pass, one row of sums a task."""
+    residual = dot_probability(features, weights, bias) - F.col(label).cast("double")
+    rows = df.select(residual.alias("_r"), F.col(features).alias("_x"))
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("_r").alias("s"),
+                    *[F.sum(F.col("_r") * F.col("_x")[i].cast("double")).alias(f"s{i}") for i in range(len(weights))])
+    n = F.col("n")
+    strength = F.lit(1.0) / n if reg is None else F.lit(float(reg))
+    parts = [F.struct(F.lit(-1).alias("feature"), (F.col("s") / n).alias("gradient"))]
+    parts += [F.struct(F.lit(i).alias("feature"), (F.col(f"s{i}") / n + strength * F.lit(float(w))).alias("gradient")) for i, w in enumerate(weights)]
+    return sums.select(F.inline(F.array(*parts)))
 
 
 def dot_logit(vec: str | Column, weights: Sequence[float], bias: float = 0.0) -> Column:

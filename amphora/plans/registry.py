@@ -20,7 +20,7 @@ from amphora.operators.digest import digest
 from amphora.operators.ranking import rank_screening
 from amphora.operators.screening import score_peptides, screen
 from amphora.plans import oracle_sql as O
-from amphora.session import pin_table, spread
+from amphora.session import pin_table, scratch_path, spread
 from amphora.sources.sequences import document_sequences
 
 KEYS = ["protein", "accession_id"]
@@ -929,3 +929,132 @@ def q_mean_pool_tokens(spark, sf_dir):
     tokens = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.slice("embedding", i * 4 + 1, F.lit(4)))
     out = C.mean_pool_tokens(emb.select("vec_id", tokens.alias("tokens"), F.lit(14).alias("n")), "tokens", "n")
     return out.select("vec_id", F.transform("pooled", lambda x: F.round(x, 9)).alias("pooled"))
+
+
+# ================================================================ C2 certified, S3-S9 round trips, P11, P12
+def _labelled_vectors(spark, sf_dir):
+    emb = load_table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("embedding"), (F.col("label") >= 5).cast("int").alias("label"))
+    return C.split_dataset(emb, "vec_id", 20, 42)
+
+
+def _certificate(model, train):
+    out = C.penalised_gradient(train, "embedding", "label", [float(w) for w in model.coefficients], float(model.intercept))
+    return out.select("feature", (F.round("gradient", 5) + 0.0).alias("gradient"))
+
+
+_ZERO_GRADIENT = "SELECT feature::INTEGER AS feature, 0.0::DOUBLE AS gradient FROM (SELECT unnest(range(-1, (SELECT max(len(embedding)) FROM embeddings))) AS feature)"
+
+
+@register("classifier_gradient", _ZERO_GRADIENT)
+def q_classifier_gradient(spark, sf_dir):
+    """At the fitted coefficients the penalised loss has no slope in any direction."""
+    train = _labelled_vectors(spark, sf_dir).where("split = 'train'")
+    return _certificate(C.fit_logistic(train, "embedding", "label"), train)
+
+
+@register("model_roundtrip", _ZERO_GRADIENT)
+def q_model_roundtrip(spark, sf_dir):
+    """Trained and saved, then found and loaded: the loaded model is the optimum too."""
+    from amphora.sources.models import load_or_train
+
+    train = _labelled_vectors(spark, sf_dir).where("split = 'train'")
+    path = scratch_path(spark, "model")
+    load_or_train(path, lambda: C.fit_logistic(train, "embedding", "label"))
+
+    def again():
+        raise RuntimeError("the saved model was not found")
+
+    return _certificate(load_or_train(path, again), train)
+
+
+# One feature and an intercept: small enough for Newton's method in SQL, which
+# gives the coefficients themselves.
+@register("classifier_newton", f"""
+    WITH RECURSIVE own AS (SELECT vec_id, embedding[1]::DOUBLE AS x, (label >= 5)::INTEGER AS y, {_SPLIT_SQL} AS split FROM embeddings),
+    steps AS (
+      SELECT 0 AS k, 0.0::DOUBLE AS w, 0.0::DOUBLE AS b
+      UNION ALL
+      SELECT k + 1, w - (gw * hbb - gb * hwb) / (hww * hbb - hwb * hwb), b - (gb * hww - gw * hwb) / (hww * hbb - hwb * hwb)
+      FROM (SELECT k, w, b, sum((p - y) * x) + w AS gw, sum(p - y) AS gb, sum(p * (1 - p) * x * x) + 1 AS hww, sum(p * (1 - p) * x) AS hwb, sum(p * (1 - p)) AS hbb
+            FROM (SELECT k, w, b, x, y, 1 / (1 + exp(-(w * x + b))) AS p FROM steps, own WHERE k < 20 AND split = 'train') GROUP BY k, w, b)
+    ), fitted AS (SELECT w, b FROM steps WHERE k = 20)
+    SELECT vec_id, label, (w * x + b > 0)::INTEGER AS prediction, round(1 / (1 + exp(-(w * x + b))), 2) AS probability
+    FROM (SELECT own.*, y AS label FROM own WHERE split = 'test'), fitted""")
+def q_classifier_newton(spark, sf_dir):
+    """Fitted on one feature, predictions of the test rows."""
+    data = _labelled_vectors(spark, sf_dir).withColumn("features", F.slice("embedding", 1, 1)).drop("embedding")
+    model = C.fit_logistic(data.where("split = 'train'"), "features", "label")
+    out = C.predict(model, data.where("split = 'test'"), "features")
+    return out.select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"), F.round("probability_1", 2).alias("probability"))
+
+
+@register("results_roundtrip", REGISTRY["rule_screening"].sql)
+def q_results_roundtrip(spark, sf_dir):
+    """The ranked screening table, published and read by its manifest."""
+    from amphora.sources.fasta import publish_results, read_published
+
+    path = scratch_path(spark, "results")
+    publish_results(REGISTRY["rule_screening"].run(spark, sf_dir), path)
+    return read_published(spark, path)
+
+
+@register("embeddings_roundtrip", f"""
+    SELECT vec_id, label, round(list_sum(embedding::DOUBLE[]), 6) AS total, len(embedding)::INTEGER AS width FROM embeddings WHERE {_SPLIT_SQL} = 'test'""")
+def q_embeddings_roundtrip(spark, sf_dir):
+    """Vectors saved by split; only the folder of one split is read."""
+    from amphora.sources.fasta import load_embeddings, save_embeddings
+
+    path = scratch_path(spark, "embeddings")
+    save_embeddings(C.split_dataset(load_table(spark, sf_dir, "embeddings"), "vec_id", 20, 42), path)
+    total = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
+    return load_embeddings(spark, path, "test").select("vec_id", "label", F.round(total, 6).alias("total"), F.size("embedding").alias("width"))
+
+
+@register("fasta_roundtrip", f"SELECT protein AS header, upper(sequence) AS sequence FROM {_DOC} WHERE length(sequence) > 0")
+def q_fasta_roundtrip(spark, sf_dir):
+    """S3: sequences written as FASTA in lines of 60 letters, and read."""
+    from amphora.sources.fasta import read_fasta
+
+    path = scratch_path(spark, "fasta")
+    body = F.regexp_replace(F.upper("sequence"), "(.{60})", "$1\n")
+    _doc_seqs(spark, sf_dir).select(F.concat(F.lit(">"), "protein", F.lit("\n"), body)).write.text(path)
+    return read_fasta(spark, path).select("header", "sequence")
+
+
+@register("peptide_csvs_roundtrip", """
+    SELECT trim(regexp_replace(text, '[\\r\\n]+', ' ', 'g')) AS sequence, 'csv' AS source FROM documents
+    WHERE trim(regexp_replace(text, '[\\r\\n]+', ' ', 'g')) <> ''""")
+def q_peptide_csvs_roundtrip(spark, sf_dir):
+    """One export with the column first, one with it last, read as one."""
+    from amphora.sources.fasta import read_peptide_csvs
+
+    path = scratch_path(spark, "csvs")
+    docs = load_table(spark, sf_dir, "documents").withColumn("SEQUENCE", F.trim(F.regexp_replace("text", r"[\r\n]+", " ")))
+    plain = {"header": True, "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.where("doc_id % 2 = 0 OR doc_id IS NULL").select("SEQUENCE", "doc_id").write.options(**plain).csv(f"{path}/a")
+    docs.where("doc_id % 2 <> 0").select("lang", "source", "SEQUENCE").write.options(**plain).csv(f"{path}/b")
+    return read_peptide_csvs(spark, f"{path}/*/*.csv", source="csv")
+
+
+_GIVEN_NAMES = [*_ENZ[:3], *[e.upper() for e in _ENZ[3:]], "Subtilisin"]
+
+
+@register("enzyme_names", f"""
+    WITH own AS (SELECT doc_id, [lang, names[(doc_id % 7 + 1)::INTEGER], names[(doc_id // 7 % 7 + 1)::INTEGER]] AS given FROM documents, (SELECT {_GIVEN_NAMES} AS names))
+    SELECT doc_id, list_filter(list_transform(given, lambda e: lower(e)), lambda e: e IN {tuple(_ENZ)}) AS enzymes,
+           list_filter(given, lambda e: lower(e) NOT IN {tuple(_ENZ)}) AS unknown,
+           list_transform(list_filter(list_transform(given, lambda e: lower(e)), lambda e: e IN {tuple(_ENZ)}),
+                          lambda e: CASE e {' '.join(f"WHEN '{e.name}' THEN {float(e.ph_optimum)}::DOUBLE" for e in fixed.ENZYMES)} END) AS ph,
+           list_transform(list_filter(list_transform(given, lambda e: lower(e)), lambda e: e IN {tuple(_ENZ)}),
+                          lambda e: CASE e {' '.join(f"WHEN '{e.name}' THEN {int(e.temp_optimum_celsius)}" for e in fixed.ENZYMES)} END) AS temp
+    FROM own""")
+def q_enzyme_names(spark, sf_dir):
+    """P11 and P12 on a table's combinations: known names, unknown ones, conditions."""
+    from amphora.functions.enzymes import conditions, resolve_combos
+
+    names = F.array(*[F.lit(n) for n in _GIVEN_NAMES])
+    pick = lambda i: F.get(names, (i % 7).cast("int"))
+    given = F.array("lang", pick(F.col("doc_id")), pick(F.floor(F.col("doc_id") / 7)))
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", given.alias("given"))
+    return resolve_combos(docs, "given").select("doc_id", "enzymes", "unknown", *conditions("enzymes"))

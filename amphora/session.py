@@ -68,11 +68,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder's name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def pin_table(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     return a reader of it: cuts lineage, survives lost executors, keeps column
     pruning, and gives every later branch the same rows."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

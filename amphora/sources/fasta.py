@@ -2,42 +2,62 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import csv
+import json
+import uuid
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from amphora.sources.files import list_files, publish_text, read_small_text
+
+
+def _fasta_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Header and sequence of raw records, which come in the order of a file.
+    Only the first record of a file can be without a header."""
+    before = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        files, begins = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("at", "begins"))
+        first = np.append(True, (files[1:] != files[:-1]) | (begins[1:] != begins[:-1]))
+        first[0] = before != (files[0], begins[0])
+        before = (files[-1], begins[-1])
+        value = pc.replace_substring(batch.column("value"), "\r", "")
+        parts = pc.split_pattern(value, "\n", max_splits=1)
+        starts = parts.offsets.to_numpy()
+        flat, starts, two = parts.values, starts[:-1], np.diff(starts) == 2
+        line = pc.utf8_trim(flat.take(pa.array(starts)), " ")
+        bare = first & begins & ~pc.starts_with(line, ">").to_numpy(zero_copy_only=False)
+        body = pc.if_else(pa.array(two), flat.take(pa.array(starts + two)), "")
+        body = pc.replace_substring_regex(pc.if_else(pa.array(bare), value, body), r"[\s\x0b]+", "")
+        header = pc.if_else(pa.array(bare), "", pc.replace_substring_regex(line, "^>", ""))
+        out = pa.RecordBatch.from_arrays([batch.column("file"), header.cast(pa.string()), body.cast(pa.string())], names=["file", "header", "sequence"])
+        yield out.filter(pc.greater(pc.binary_length(body), 0))
+
 
 def read_fasta(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """S3: ``(file, header, sequence)``, one row per record.
 
     Records are read with the record separator ``\\n>`` so the reader stays
-    splittable and never assembles a file on the driver. The first line of a
-    record is its header; body lines are stripped of blanks and concatenated.
-    Text before the first '>' of a file (the record at offset 0 that does not
-    start with '>') is a record without header: all of its lines are body, so
-    a file without any '>' is one sequence. Records without body are dropped.
-    Files of one sequence per line are read with ``read_sequence_lines``."""
+    splittable, never assembles a file on the driver, and is one scan. The
+    first line of a record is its header; body lines are stripped of blanks
+    and concatenated. Text before the first '>' of a file (the record at
+    offset 0 that does not start with '>') is a record without header: all of
+    its lines are body, so a file without any '>' is one sequence. The pass
+    over a split's records knows which one that is, as they come in order.
+    Records without body are dropped. Files of one sequence per line are read
+    with ``read_sequence_lines``."""
     paths = [path] if isinstance(path, str) else list(path)
+    meta = F.col("_metadata")
     raw = spark.read.option("lineSep", "\n>").text(paths).select(
-        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"))
-    lines = F.split(F.regexp_replace("value", "\r", ""), "\n")
-    # Only a file's first record still has its '>' (or has none: a preamble);
-    # the separator has taken that of all others.
-    headed = F.trim(lines[0]).startswith(">")
-    header = F.regexp_replace(F.trim(lines[0]), "^>", "")
-    joined = lambda rows: F.array_join(F.transform(rows, lambda x: F.regexp_replace(x, r"\s+", "")), "")
-    # The files without a '>' at their start, and the first row of each: one row a file.
-    bare = raw.where("_at = 0").groupBy("_path").agg(F.min("_id").alias("_first"), F.min_by(headed, "_id").alias("_headed"))
-    bare = bare.where("NOT _headed").select(F.col("_path").alias("_bare"), "_first")
-    rows = raw.join(bare, (F.col("_path") == F.col("_bare")) & (F.col("_id") == F.col("_first")), "left")
-    preamble = F.col("_bare").isNotNull()
-    return rows.select(
-        "file", F.when(preamble, F.lit("")).otherwise(header).alias("header"),
-        F.when(preamble, joined(lines)).otherwise(joined(F.slice(lines, 2, 1 << 30))).alias("sequence"),
-    ).where(F.length("sequence") > 0)
+        F.xxhash64(meta["file_path"]).alias("at"), (meta["file_block_start"] == 0).alias("begins"), meta["file_name"].alias("file"), "value")
+    return raw.mapInArrow(_fasta_records, "file string, header string, sequence string")
 
 
 def read_sequence_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -60,14 +80,13 @@ def read_apd(spark: SparkSession, paths: Sequence[str], source: str = "APD6") ->
     return out
 
 
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
-    """File names matching ``pattern`` on any Hadoop file system (names
-    only; no data passes through the driver)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(path)
-    return sorted(str(st.getPath().toString()) for st in (found or []) if st.isFile())
+def csv_headers(spark: SparkSession, files: Sequence[str]) -> list[tuple[str, list[str]]]:
+    """Each file's path and the names of its columns, from one job over the
+    first lines (of every file one line comes to the driver)."""
+    lines = spark.read.text(list(files)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"), "value")
+    first = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    return [(r["path"], next(csv.reader([r["line"].removeprefix("\ufeff")]), [])) for r in first.collect()]
 
 
 def read_peptide_csvs(spark: SparkSession, path: str, source: str = "DBAASP",
@@ -75,20 +94,30 @@ def read_peptide_csvs(spark: SparkSession, path: str, source: str = "DBAASP",
     """All CSV files matching ``path`` (each with its own header row),
     united by column name like a pandas concat: only ``column`` is kept,
     renamed to ``sequence`` and tagged; null and empty sequences dropped
-    (P10). No file at all gives an empty table with the schema. Spark's
-    multi-file CSV read would apply one header to every file by position,
-    so files are read one by one (a small, known set of exports)."""
-    schema = "sequence string, source string"
-    out = None
-    for f in _glob(spark, path):
-        df = spark.read.option("header", True).csv(f)
-        if column not in df.columns:
-            continue
-        part = df.select(F.col(column).alias("sequence"), F.lit(source).alias("source"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], schema)
-    return out.where(F.col("sequence").isNotNull() & (F.col("sequence") != ""))
+    (P10). No file at all gives an empty table with the schema; a file
+    without the column raises and is named.
+
+    One job reads the files' headers. The rows are one scan of all files by
+    position (Spark drops every file's header line), from which each file's
+    own place of the column is taken."""
+    files = list_files(spark, path)
+    if not files:
+        return spark.createDataFrame([], "sequence string, source string")
+    headers = csv_headers(spark, files)
+    lacking = sorted(p for p, names in headers if column not in names)
+    if lacking or len(headers) < len(files):
+        raise ValueError(f"no column {column} in {', '.join(lacking) or 'an empty file'}")
+    width = max(len(names) for _, names in headers)
+    rows = spark.read.schema(", ".join(f"c{i} string" for i in range(width))).option("header", True).option("enforceSchema", True).option("escape", "\"").csv(files)
+    places = {p: names.index(column) for p, names in headers}
+    if len(set(places.values())) == 1:
+        found = rows.select(F.col(f"c{next(iter(places.values()))}").alias("sequence"))
+    else:
+        own = spark.createDataFrame(list(places.items()), "path string, place int")  # a row for each file
+        cells = F.array(*[F.col(f"c{i}") for i in range(width)])
+        found = rows.select(F.col("_metadata.file_path").alias("path"), cells.alias("cells")).join(own, "path").select(
+            F.get("cells", F.col("place")).alias("sequence"))
+    return found.select("sequence", F.lit(source).alias("source")).where(F.col("sequence").isNotNull() & (F.col("sequence") != ""))
 
 
 SCREENING_SCHEMA = T.StructType([
@@ -119,6 +148,23 @@ def read_results(spark: SparkSession, path: str, schema: T.StructType = SCREENIN
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def publish_results(df: DataFrame, path: str, order: Sequence[str] = ("rank",)) -> None:
+    """S6 for readers that must not see a part: the table is written in the
+    order of its rank (range-partitioned, so files follow one another) to a
+    folder of its own under ``path``, and a manifest that names the folder and
+    the schema is put in place when all of it is there. Earlier results stay
+    until somebody removes them, so readers of them are not cut off."""
+    spark, folder = df.sparkSession, f"results-{uuid.uuid4().hex}"
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{path}/{folder}")
+    publish_text(spark, f"{path}/manifest.json", json.dumps({"folder": folder, "schema": df.schema.jsonValue()}))
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The results that the manifest names, with their declared schema."""
+    told = json.loads(read_small_text(spark, f"{path}/manifest.json"))
+    return spark.read.schema(T.StructType.fromJson(told["schema"])).parquet(f"{path}/{told['folder']}")
+
+
 def save_embeddings(df: DataFrame, path: str, partition: str = "split") -> None:
     """Vectors as ARRAY<FLOAT/DOUBLE> in parquet, partitioned by split."""
     df.write.mode("overwrite").partitionBy(partition).parquet(path)

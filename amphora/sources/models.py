@@ -5,6 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.sql import SparkSession
+
+from amphora.sources.files import path_exists
+
 
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
@@ -17,12 +21,11 @@ def load_model(path: str):
 
 
 def load_or_train(path: str, train: Callable[[], object]):
-    try:
+    """The model at ``path`` if one was saved there whole, else a trained and
+    saved one. The file system tells whether it is there; any other failure to
+    load is an error."""
+    if path_exists(SparkSession.active(), f"{path}/metadata/_SUCCESS"):
         return load_model(path)
-    except Exception as e:  # noqa: BLE001
-        if "does not exist" not in str(e) and "PATH_NOT_FOUND" not in str(e) \
-                and "Input path" not in str(e):
-            raise
     model = train()
     save_model(model, path)
     return model
