@@ -134,14 +134,14 @@ class Rule:
     rejects: Callable[[Callable[[str], Column]], Column]
 
 
-#: The first two are the base rules; the others are wide enough for prose in any of the corpus's languages.
+#: The first two are the base rules; the others are wide enough for prose in any of
+#: the corpus's languages. None rejects a text for being long, which says nothing about its quality.
 BASE_RULES = (
     Rule("few_words", lambda m: m("n_words") < 50),
     Rule("repeated_words", lambda m: 100 * m("n_repeat_words") > 50 * m("n_words")),
 )
 RULES = (
     *BASE_RULES,
-    Rule("many_words", lambda m: m("n_words") > 1_000_000),
     Rule("word_length", lambda m: (m("word_chars") < 3 * m("n_words")) | (m("word_chars") > 12 * m("n_words"))),
     Rule("symbols", lambda m: 10 * m("n_symbols") > m("n_words")),
     Rule("capitals", lambda m: 2 * m("n_upper") > m("word_chars")),
@@ -149,9 +149,6 @@ RULES = (
     Rule("repeated_lines", lambda m: 2 * m("n_dup_lines") > m("n_lines")),
 )
 
-#: The rules without the cap on a text's length, which says nothing about its quality.
-ANY_LENGTH = tuple(rule for rule in RULES if rule.name != "many_words")
-
 
 @dataclass(frozen=True)
 class Estimate:

@@ -41,7 +41,7 @@ WITH own AS (
   FROM own LEFT JOIN covered USING (doc_id)
 ), judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR n_words > 1000000 OR word_chars < 3 * n_words OR word_chars > 12 * n_words OR 10 * n_symbols > n_words
+       NOT (base_failed OR word_chars < 3 * n_words OR word_chars > 12 * n_words OR 10 * n_symbols > n_words
             OR 2 * n_upper > word_chars OR 2 * n_marks > n_words OR 2 * n_dup_lines > n_lines) AS kept
 FROM judged
 """

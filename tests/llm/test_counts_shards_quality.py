@@ -93,7 +93,7 @@ def measures(text):
 
 def rejected(m):
     return (
-        m["n_words"] < 50 or 100 * m["n_repeat_words"] > 50 * m["n_words"] or m["n_words"] > 1_000_000 or not 3 * m["n_words"] <= m["word_chars"] <= 12 * m["n_words"]
+        m["n_words"] < 50 or 100 * m["n_repeat_words"] > 50 * m["n_words"] or not 3 * m["n_words"] <= m["word_chars"] <= 12 * m["n_words"]
         or 10 * m["n_symbols"] > m["n_words"] or 2 * m["n_upper"] > m["word_chars"] or 2 * m["n_marks"] > m["n_words"] or 2 * m["n_dup_lines"] > m["n_lines"]
     )
 
@@ -126,6 +126,12 @@ def test_order_is_by_rejections_per_cost(documents):
     assert quality.screen(documents.limit(0)).collect() == []
 
 
+def test_a_very_long_text_is_kept(spark):
+    df = spark.createDataFrame([(1, " ".join(f"word{i}" for i in range(1_000_001)))], "doc_id long, text string")
+    got = quality.screen(df, measured=["n_words", "n_repeat_words"]).collect()
+    assert [(r["n_words"], r["n_repeat_words"], r["rejected_by"]) for r in got] == [(1_000_001, 0, None)]
+
+
 def test_rules_keep_documents_of_good_quality(spark):
     sf_dir = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
