@@ -970,7 +970,7 @@ def q_model_roundtrip(spark, sf_dir):
 
 # One feature and an intercept: small enough for Newton's method in SQL, which
 # gives the coefficients themselves.
-@register("classifier_newton", f"""
+_NEWTON_SQL = f"""
     WITH RECURSIVE own AS (SELECT vec_id, embedding[1]::DOUBLE AS x, (label >= 5)::INTEGER AS y, {_SPLIT_SQL} AS split FROM embeddings),
     steps AS (
       SELECT 0 AS k, 0.0::DOUBLE AS w, 0.0::DOUBLE AS b
@@ -979,14 +979,34 @@ def q_model_roundtrip(spark, sf_dir):
       FROM (SELECT k, w, b, sum((p - y) * x) + w AS gw, sum(p - y) AS gb, sum(p * (1 - p) * x * x) + 1 AS hww, sum(p * (1 - p) * x) AS hwb, sum(p * (1 - p)) AS hbb
             FROM (SELECT k, w, b, x, y, 1 / (1 + exp(-(w * x + b))) AS p FROM steps, own WHERE k < 20 AND split = 'train') GROUP BY k, w, b)
     ), fitted AS (SELECT w, b FROM steps WHERE k = 20)
-    SELECT vec_id, label, (w * x + b > 0)::INTEGER AS prediction, round(1 / (1 + exp(-(w * x + b))), 2) AS probability
-    FROM (SELECT own.*, y AS label FROM own WHERE split = 'test'), fitted""")
-def q_classifier_newton(spark, sf_dir):
-    """Fitted on one feature, predictions of the test rows."""
+    SELECT vec_id, label, (w * x + b > 0)::INTEGER AS prediction, 1 / (1 + exp(-(w * x + b))) AS probability
+    FROM (SELECT own.*, y AS label FROM own WHERE split = 'test'), fitted"""
+
+
+def _newton_predictions(spark, sf_dir):
     data = _labelled_vectors(spark, sf_dir).withColumn("features", F.slice("embedding", 1, 1)).drop("embedding")
     model = C.fit_logistic(data.where("split = 'train'"), "features", "label")
     out = C.predict(model, data.where("split = 'test'"), "features")
-    return out.select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"), F.round("probability_1", 2).alias("probability"))
+    return out.select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"), F.col("probability_1").alias("probability"))
+
+
+@register("classifier_newton", f"SELECT vec_id, label, prediction, round(probability, 2) AS probability FROM ({_NEWTON_SQL})")
+def q_classifier_newton(spark, sf_dir):
+    """Fitted on one feature, predictions of the test rows."""
+    return _newton_predictions(spark, sf_dir).withColumn("probability", F.round("probability", 2))
+
+
+@register("classifier_metrics", f"""
+    WITH r AS ({_REPORT_SQL.replace(_EMB_PRED_SQL, "(SELECT label AS y, prediction FROM newton)").replace("WITH p AS", f"WITH RECURSIVE newton AS ({_NEWTON_SQL}), p AS", 1)}),
+    ranked AS (SELECT label, rank() OVER (ORDER BY probability) + (count(*) OVER (PARTITION BY probability) - 1) / 2.0 AS place FROM ({_NEWTON_SQL})),
+    area AS (SELECT (sum(place) FILTER (label = 1) - count_if(label = 1) * (count_if(label = 1) + 1) / 2.0) / (count_if(label = 1) * count_if(label = 0)) AS auc FROM ranked)
+    SELECT metric, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support::BIGINT AS support, round(auc, 6) AS auc FROM r, area""")
+def q_classifier_metrics(spark, sf_dir):
+    """A13 and A14 of a fitted model on its test rows."""
+    found = pin_table(_newton_predictions(spark, sf_dir), "predictions")
+    auc = C.roc_auc(found, "label", "probability").select(F.round("auc", 6)).scalar()
+    report = C.classification_report(found, "label", "prediction")
+    return report.select("metric", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support", auc.alias("auc"))
 
 
 @register("results_roundtrip", REGISTRY["rule_screening"].sql)
