@@ -136,6 +136,23 @@ def _postings(rank: np.ndarray, blocks: np.ndarray, kept: int, odd_blocks: dict[
     return run
 
 
+def _bits(places: np.ndarray, n: int) -> np.ndarray:
+    """Sets of places below ``n`` as rows of 64-bit words; -1 is no place."""
+    out = np.zeros((len(places), -(-n // 64)), dtype=np.uint64)
+    rows, columns = np.nonzero(places >= 0)
+    at = places[rows, columns]
+    np.bitwise_or.at(out, (rows, at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
+    return out
+
+
+def _common(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many places each set of the left has in common with each of the right."""
+    out = np.zeros((len(left), len(right)), dtype=np.uint8)
+    for word in range(left.shape[1]):
+        out += np.bitwise_count(left[:, word, None] & right[None, :, word])
+    return out
+
+
 def _verify(rank: np.ndarray, blocks: np.ndarray, odd_blocks: dict[int, int], kept: int, shared: int, cosine: float):
     """Links of one pair of blocks: numbers of links and a forest."""
 
@@ -151,23 +168,29 @@ def _verify(rank: np.ndarray, blocks: np.ndarray, odd_blocks: dict[int, int], ke
         block = table.column("mixed").to_numpy() % n
         if number >= 0:
             used, local = np.unique(pivots, return_inverse=True)
-            has = np.zeros((len(gid), len(used)), dtype=np.float32)
-            has[np.repeat(np.arange(len(gid)), pivots.shape[1]), local.ravel()] = 1
-            order = np.argsort(rank[pivots], axis=1)
-            rarer = np.zeros_like(has)  # the lists that hold a vector and are rarer than this one
-            for column in range(kept):
-                at = np.take_along_axis(local.reshape(pivots.shape), order[:, [column]], axis=1)[:, 0]
-                rarer[np.arange(len(gid)), at] = rank[used[at]] < rank[number]
+            local = local.reshape(pivots.shape)
+            has = _bits(local, len(used))
+            # The lists that hold a vector and are rarer than this one.
+            order = np.argsort(rank[pivots], axis=1)[:, :kept]
+            lists = np.take_along_axis(local, order, axis=1)
+            rarer = _bits(np.where(rank[used[lists]] < rank[number], lists, -1), len(used))
         degree = np.zeros(len(gid), dtype=np.int64)
         pairs = [np.zeros((0, 2), dtype=np.int64)]
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
         for at in range(0, len(left), 256):
             rows = left[at : at + 256]
-            met = x[rows] @ x[right].T >= cosine
-            if number >= 0:  # enough pivots in common, and no rarer list in common that counts the pair
-                met &= (has[rows] @ has[right].T >= shared) & (rarer[rows] @ rarer[right].T == 0)
-            if low == high:
-                met &= rows[:, None] < right[None, :]
+            if number >= 0:
+                # Candidates: enough pivots in common, and no rarer list in
+                # common that counts the pair. Only these are verified.
+                met = (_common(has[rows], has[right]) >= shared) & (_common(rarer[rows], rarer[right]) == 0)
+                if low == high:
+                    met &= rows[:, None] < right[None, :]
+                i, j = np.nonzero(met)
+                met[i, j] = np.einsum("ij,ij->i", x[rows[i]], x[right[j]]) >= cosine
+            else:
+                met = x[rows] @ x[right].T >= cosine
+                if low == high:
+                    met &= rows[:, None] < right[None, :]
             degree[rows] += met @ copies[right]
             degree[right] += met.T @ copies[rows]
             i, j = np.nonzero(met)
@@ -229,10 +252,11 @@ def near_vectors(
     return linked.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def recall(found: DataFrame, vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, every: int = 50) -> float:
+def recall(found: DataFrame, vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, every: int = 50) -> float | None:
     """Share of the links between different vectors of every ``every``-th id,
     against all rows, that ``found`` has. Equal vectors are linked without the
-    index, so their links are left out. Queries and table are compared in blocks."""
+    index, so their links are left out; None where there are no others. Queries
+    and table are compared in blocks."""
     own = vectors.where(linkable(F.col(vector_col))).select(F.col(id_col).alias("id"), F.transform(F.col(vector_col).cast("array<double>"), lambda x: x + 0.0).alias("vector"))
     groups = pin_table(own.groupBy("vector").agg(F.count("*").alias("copies")).withColumn("gid", F.monotonically_increasing_id()), "recall-vectors")
     queries = pin_table(own.where(F.col("id") % every == 0).join(groups, "vector").select("id", "gid", "copies"), "recall-queries")
@@ -256,4 +280,4 @@ def recall(found: DataFrame, vectors: DataFrame, id_col: str = "vec_id", vector_
     named = queries.join(true, "gid").groupBy("id").agg(F.sum("n").alias("n"), F.sum(F.col("copies") - 1).alias("equal"))
     got = found.select(F.col(id_col).alias("id"), "n_links").groupBy("id").agg(F.sum("n_links").alias("n_links"))
     both = named.join(got, "id").agg(F.sum("n"), F.sum(F.col("n_links") - F.col("equal"))).first()
-    return 1.0 if not both[0] else both[1] / both[0]
+    return both[1] / both[0] if both[0] else None
