@@ -128,5 +128,5 @@ def test_edge_cases(spark, edge):
 
 def test_registered_queries(spark):
     names = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
