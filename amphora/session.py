@@ -6,9 +6,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from amphora.sources.files import remove_folder
+
 
 def get_spark(
     app: str = "amphora",
@@ -73,11 +78,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders that ``pin_table`` has made inside ``dropping_pins``.
+_MADE: ContextVar[list[str] | None] = ContextVar("_MADE", default=None)
+
+
+@contextmanager
+def dropping_pins(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, every table that operators pinned
+    inside it. Use it around a job that writes its own result: a frame that
+    still reads pinned tables must be written before the block ends. Frames
+    from before the block keep theirs."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            remove_folder(spark, path)
+
+
 def pin_table(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     return a reader of it: cuts lineage, survives lost executors, keeps column
     pruning, and gives every later branch the same rows."""
     path = scratch_path(df.sparkSession, name)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -31,6 +31,11 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in fs.listStatus(at) if s.isDirectory())
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
     """Put a small file in place in one step: readers see the old one or the
     new one, never a part."""

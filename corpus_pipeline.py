@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept; ``run`` writes each result as Parquet under the shared checkpoint folder
-and reads it again as the next stage's documents. All stages but the last
+and reads it again as the next stage's documents; the last one stays there. All stages but the last
 return the columns of ``documents``; ``n_chars`` follows a text that changes.
 
 1. quality_rules: documents that a rule rejects go, none for its length.
@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amphora.llm import line_dedup, packing, quality, queries, simhash, substring
-from amphora.session import pin_table
+from amphora.session import dropping_pins, pin_table, scratch_path
+from amphora.sources.files import remove_folder
 
 #: SQL has neither the fingerprints of stage 3 nor the token ids of stage 5;
 #: tests hold the pipeline against a plain Python version.
@@ -74,7 +75,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = pin_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # What a stage pinned on its way goes when its result is written, and
+        # the result before it with that.
+        with dropping_pins(spark):
+            out, path = stage(spark, docs, sf_dir), scratch_path(spark, f"pipeline-{name}")
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs

@@ -98,3 +98,16 @@ def test_predict_keeps_the_callers_columns(spark):
     df = spark.createDataFrame(rows, "v array<double>, label int, features string")
     out = C.predict(C.fit_logistic(df, "v", "label"), df, "v")
     assert {r["features"] for r in out.collect()} == {"kept"} and set(out.columns) == {"v", "label", "features", "prediction", "probability_1"}
+
+
+def test_dropping_pins(spark):
+    from amphora.session import dropping_pins, pin_table
+
+    place = lambda df: df.inputFiles()[0].rpartition("/")[0]
+    kept = pin_table(spark.range(5))
+    with dropping_pins(spark):
+        inner = place(pin_table(spark.range(5)))
+        assert path_exists(spark, inner)
+    assert not path_exists(spark, inner) and kept.count() == 5
+    after = pin_table(spark.range(3))
+    assert after.count() == 3
