@@ -59,6 +59,21 @@ def explode_peptides(
     )
 
 
+def peptide_bounds(
+    df: DataFrame,
+    seq_col: str = "sequence",
+    enzymes: Iterable[EnzymeRule | str] | None = None,
+    min_length: int = fixed.DEFAULT_MIN_LENGTH,
+    keys: Sequence[str] | None = None,
+) -> DataFrame:
+    """``(*keys, enzyme, n)``: no more than ``n`` peptides come from the key's
+    sequences. Peptides do not overlap, so their lengths tell, and nothing is
+    cut; ``running`` finds hot keys by it without a second digest."""
+    keys = _keep(df, seq_col, keys)
+    most = df.groupBy(*keys).agg(F.sum(F.floor(F.length(seq_col) / min_length)).alias("n"))
+    return most.select(*keys, F.explode(F.array(*[F.lit(r.name) for r in _rules(enzymes)])).alias("enzyme"), "n")
+
+
 def digest(
     df: DataFrame,
     seq_col: str = "sequence",

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amphora import fixed
-from amphora.operators.digest import digest
+from amphora.operators.digest import digest, peptide_bounds
 from amphora.operators.ranking import rank_screening
 from amphora.operators.screening import score_peptides, screen
 from amphora.plans import oracle_sql as O
@@ -439,8 +439,9 @@ def q_rank_peptides(spark, sf_dir):
 
     peps = _doc_peptides(spark, sf_dir).select("protein", "enzyme", "pos", "peptide",
                                                simple_amp_score("peptide").alias("simple_amp_score"))
+    bounds = peptide_bounds(_doc_seqs(spark, sf_dir), keys=["protein"])
     return rank_within(peps, ["protein", "enzyme"],
-                       [F.col("simple_amp_score").desc(), F.col("pos").asc()])
+                       [F.col("simple_amp_score").desc(), F.col("pos").asc()], key_rows=bounds)
 
 
 @register("top_peptides", f"""

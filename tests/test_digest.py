@@ -138,3 +138,12 @@ def test_cut_sites(spark):
 def test_min_length_guard(spark, proteins):
     with pytest.raises(ValueError):
         digest(proteins, "sequence", min_length=0)
+
+
+def test_peptide_bounds(spark, proteins):
+    from amphora.operators.digest import digest, peptide_bounds
+
+    seqs = proteins.select("protein", "sequence")
+    found = {(r["protein"], r["enzyme"]): r["c"] for r in digest(seqs, min_length=2, max_length=50).groupBy("protein", "enzyme").agg(F.count("*").alias("c")).collect()}
+    bounds = {(r["protein"], r["enzyme"]): r["n"] for r in peptide_bounds(seqs, min_length=2).collect()}
+    assert len(bounds) == 24 and all(n <= bounds[k] for k, n in found.items())
