@@ -13,6 +13,7 @@ other columns stay as they are; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,13 +54,17 @@ def character_offsets(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) ->
     return before[starts] - 1, np.where(leads[ends], before[ends] - 1, before[ends]), ~leads[ends]
 
 
-def encode(docs: DataFrame, spec: EncoderSpec, text_col: str = "text", with_offsets: bool = False, null_as_empty: bool = True) -> DataFrame:
+def encode(docs: DataFrame, spec: EncoderSpec, text_col: str = "text", with_offsets: bool = False, null_as_empty: bool = True, offsets_digest: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (array of int) and ``n_split`` (tokens that end
     inside a character); ``with_offsets`` adds ``starts`` and ``ends``, the
-    tokens' characters (an end is past the last). Columns of ``docs`` with such
-    names are replaced."""
-    own = [c for c in docs.columns if c.lower() not in ("ids", "n_split", "starts", "ends")]
+    tokens' characters (an end is past the last), ``offsets_digest`` adds
+    ``offsets_crc32``, the unsigned CRC-32 of all starts and then all ends as
+    little-endian unsigned 32-bit numbers. Columns of ``docs`` with such names
+    are replaced."""
+    own = [c for c in docs.columns if c.lower() not in ("ids", "n_split", "starts", "ends", "offsets_crc32")]
     added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_split", T.LongType())]
+    if offsets_digest:
+        added.append(T.StructField("offsets_crc32", T.LongType()))
     if with_offsets:
         added += [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("starts", "ends")]
     schema = T.StructType([docs.schema[c] for c in own] + added)
@@ -78,10 +83,16 @@ def encode(docs: DataFrame, spec: EncoderSpec, text_col: str = "text", with_offs
         mask = None if null_as_empty else pc.is_null(texts)
         lists = lambda values: pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.astype(np.int32)), mask=mask)
         out = {"ids": lists(ids), "n_split": marks[ends[1:]] - marks[ends[:-1]]}
-        if with_offsets:
+        if with_offsets or offsets_digest:
             chars = pc.utf8_length(filled(texts)).to_numpy()
             begin = np.repeat(offsets_of(chars)[:-1], np.diff(ends))
-            out |= {"starts": lists(start - begin), "ends": lists(stop - begin)}
+            start, stop = start - begin, stop - begin
+        if with_offsets:
+            out |= {"starts": lists(start), "ends": lists(stop)}
+        if offsets_digest:
+            packed, bounds = [memoryview(x.astype("<u4")).cast("B") for x in (start, stop)], (4 * ends).tolist()
+            digests = [zlib.crc32(packed[1][a:b], zlib.crc32(packed[0][a:b])) for a, b in zip(bounds, bounds[1:])]
+            out["offsets_crc32"] = pa.array(np.array(digests, dtype=np.int64), mask=mask and mask.to_numpy(zero_copy_only=False))
         return out | {c: piece.column(c) for c in own}
 
     @tidy

@@ -40,10 +40,12 @@ def _sha256(column: Column) -> Column:
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_RANKS).drop("text")
-    digested = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "n_split", _sha256(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary")).alias("ids_sha256"), "ids")
-    decoded = byte_bpe.decode(digested, BYTE_RANKS.path, keep=["doc_id", "n_tokens", "ids_sha256", "n_split"])
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", _sha256(F.col("decoded")).alias("decoded_sha256"), "n_split")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_RANKS, offsets_digest=True).drop("text")
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary")
+    digested = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "n_split", "offsets_crc32", _sha256(ids).alias("ids_sha256"), "ids")
+    kept = ["doc_id", "n_tokens", "ids_sha256", "n_split", "offsets_crc32"]
+    decoded = byte_bpe.decode(digested, BYTE_RANKS.path, keep=kept)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", _sha256(F.col("decoded")).alias("decoded_sha256"), "n_split", "offsets_crc32")
 
 
 def op2_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,13 +121,14 @@ def test_id_shards_empty(spark, edge, tmp_path):
 @pytest.mark.parametrize("table", ["documents", "edge"])
 def test_byte_bpe(request, tik, table):
     df = request.getfixturevalue(table)
-    encoded = byte_bpe.encode(df, RANKS, with_offsets=True)
+    encoded = byte_bpe.encode(df, RANKS, with_offsets=True, offsets_digest=True)
     assert encoded.columns[:2] == ["doc_id", "text"]
-    got = byte_bpe.decode(encoded, RANKS.path).select("text", "ids", "decoded", "starts", "ends", "n_split").collect()
+    got = byte_bpe.decode(encoded, RANKS.path).select("text", "ids", "decoded", "starts", "ends", "n_split", "offsets_crc32").collect()
     assert len(got) == df.count()
     for r in got:
         text = r["text"] or ""
         assert r["ids"] == tik.encode_ordinary(text)
+        assert r["offsets_crc32"] == zlib.crc32(packed(r["starts"] + r["ends"]))
         assert bytes(r["decoded"]).decode() == text
         at = split = 0
         for i, a, b in zip(r["ids"], r["starts"], r["ends"]):
@@ -149,7 +150,8 @@ def test_byte_bpe_split_characters(spark):
 
 
 def test_byte_bpe_nulls(spark):
-    df = byte_bpe.encode(spark.createDataFrame([(None,), ("a",)], "text string"), RANKS, null_as_empty=False)
+    df = byte_bpe.encode(spark.createDataFrame([(None,), ("a",)], "text string"), RANKS, null_as_empty=False, offsets_digest=True)
+    assert {r["offsets_crc32"] for r in df.collect()} == {None, zlib.crc32(packed([0, 1]))}
     assert {r["decoded"] and bytes(r["decoded"]) for r in byte_bpe.decode(df, RANKS.path).collect()} == {None, b"a"}
 
 
