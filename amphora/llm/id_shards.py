@@ -4,15 +4,25 @@ Documents are range-partitioned and sorted by key, encoded, and written as
 shards: one row of a Parquet table holds the raw little-endian ids of its
 documents one after the other, and an index from key to place. The index is a
 minimal perfect hash: every key sets a bit of its own in the first level where
-no other key hits that bit, and the rank of the bit is the key's slot. A slot
-stores a fingerprint of the key, so that keys which were never stored are told
-apart, and where the ids begin and how many they are. A look-up reads a few
-bits and one slot, whatever the number of keys.
-
-Nulls and edges: a null text is empty (its end id alone is stored); null keys
-come first; rows that share a key are all stored, as occurrences 0, 1, ... of
-the key in a shard; a key that fills more than one shard is in several; an
-empty table gives a table without shards.
+no other key hits that bit, and the rank of the bit is the key's slot, told by
+the bits set before its block and those before it in the block. A slot stores
+a fingerprint of the key, so that keys which were never stored are told apart,
+and where the ids begin and how many they are.
+
+A look-up reads the index columns of the shards whose key range holds the key,
+tests one bit a level and compares one slot's fingerprint, and then reads the
+payload of the shards that have it: every row is a data page of its own, so
+Parquet's page index leads to those pages, and only the document's own bytes
+are cut out of them. Both reads are bounded by ``shard_ids`` (and by the
+longest document), whatever the number of shards.
+
+Nulls and edges: keys are integers (other types are cast, and what is none
+raises); a null text is empty (its end id alone is stored); null keys come
+first and are read with all others, not looked up; rows that share a key are
+all stored, as occurrences 0, 1, ... of the key in a shard; a key that fills
+more than one shard is in several; a text longer than a shard is a shard of its
+own; an empty table gives a table without shards; other columns are not read,
+so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -34,6 +44,19 @@ from amphora.llm.encoders import EncoderSpec
 #: A shard is closed when it holds this many ids.
 SHARD_IDS = 1 << 20
 
+#: Bytes of a block of bits, before which the bits set are stored.
+BLOCK = 32
+
+#: Ranges of keys, and shards, that are named in a predicate for the scan; more
+#: are merged into wider ranges and told apart by the join.
+NAMED = 256
+
+#: Every row a data page of its own, found by the page index.
+PARQUET = {
+    "compression": "none", "parquet.enable.dictionary": "false",
+    "parquet.page.row.count.limit": "1", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1",
+}
+
 SHARDS = T.StructType([
     T.StructField("part", T.IntegerType()),
     T.StructField("shard", T.IntegerType()),
@@ -46,6 +69,7 @@ SHARDS = T.StructType([
     T.StructField("id_bytes", T.IntegerType()),
     T.StructField("keys", T.BinaryType()),
     T.StructField("levels", T.ArrayType(T.BinaryType())),
+    T.StructField("ranks", T.ArrayType(T.BinaryType())),  # of each level: bits set before each block, those of earlier levels too
     T.StructField("fingerprints", T.BinaryType()),
     T.StructField("starts", T.BinaryType()),
     T.StructField("lengths", T.BinaryType()),
@@ -67,15 +91,21 @@ def hash_keys(keys: np.ndarray, nulls: np.ndarray, occurrence: np.ndarray) -> np
 
 
 class PerfectHash:
-    """Bits of each level, packed; level sizes are multiples of 8."""
+    """Bits of each level, packed, with the bits set before each block of them."""
+
+    def __init__(self, levels: list[bytes], ranks: list[bytes] | None = None):
+        self.bits = [np.frombuffer(x, dtype=np.uint8) for x in levels]
+        self.ranks = [np.frombuffer(x, dtype="<u4") for x in (self.count(levels) if ranks is None else ranks)]
 
-    def __init__(self, levels: list[bytes]):
-        self.bits = [np.unpackbits(np.frombuffer(x, dtype=np.uint8)) for x in levels]
-        before, self.ranks = 0, []
-        for bits in self.bits:
-            ranks = np.cumsum(bits, dtype=np.int64) - bits + before
-            self.ranks.append(ranks)
-            before += int(bits.sum())
+    @staticmethod
+    def count(levels: list[bytes]) -> list[bytes]:
+        before, out = 0, []
+        for level in levels:
+            ones = np.bitwise_count(np.frombuffer(level, dtype=np.uint8)).astype(np.int64)
+            blocks = np.add.reduceat(ones, np.arange(0, len(ones), BLOCK))
+            out.append((before + np.cumsum(blocks) - blocks).astype("<u4").tobytes())
+            before += int(ones.sum())
+        return out
 
     @staticmethod
     def build(hashes: np.ndarray, load: float = 2.0, most: int = 64) -> list[bytes]:
@@ -97,9 +127,16 @@ class PerfectHash:
         out = np.full(len(hashes), -1, dtype=np.int64)
         for number, (bits, ranks) in enumerate(zip(self.bits, self.ranks)):
             open_ = np.flatnonzero(out < 0)
-            at = (mix(hashes[open_], 3 + number) % np.uint64(len(bits))).astype(np.int64)
-            hit = bits[at] == 1
-            out[open_[hit]] = ranks[at[hit]]
+            at = (mix(hashes[open_], 3 + number) % np.uint64(8 * len(bits))).astype(np.int64)
+            hit = np.flatnonzero(bits[at >> 3] >> (7 - at & 7) & 1)
+            for some in np.array_split(hit, len(hit) // 4096 + 1):
+                byte, block = at[some] >> 3, (at[some] >> 3) // BLOCK
+                # The block's bytes up to the key's own, of which only the bits before it count.
+                near = block[:, None] * BLOCK + np.arange(BLOCK)
+                held = bits[np.minimum(near, len(bits) - 1)] * (near <= byte[:, None])
+                own = np.arange(len(some)), byte % BLOCK
+                held[own] >>= (8 - (at[some] & 7)).astype(np.uint8)
+                out[open_[some]] = ranks[block] + np.bitwise_count(held).sum(axis=1, dtype=np.int64)
         return out
 
 
@@ -120,7 +157,8 @@ def _shard(part: int, shard: int, base: int, keys: list, ids: list[np.ndarray],
     values = np.array([k or 0 for k in keys], dtype=np.int64)
     hashes = hash_keys(values, nulls, _occurrences(values, nulls))
     levels = PerfectHash.build(hashes)
-    slots = PerfectHash(levels).slots(hashes)
+    ranks = PerfectHash.count(levels)
+    slots = PerfectHash(levels, ranks).slots(hashes)
     lengths = np.array([len(x) for x in ids], dtype=np.int64)
     stored = {"fingerprints": fingerprints_of(hashes), "starts": offsets_of(lengths)[:-1].astype("<u4"), "lengths": lengths.astype("<u4")}
     for name, column in stored.items():
@@ -131,7 +169,7 @@ def _shard(part: int, shard: int, base: int, keys: list, ids: list[np.ndarray],
     return stored | {
         "part": part, "shard": shard, "base": base, "n_docs": len(keys), "n_null_keys": int(nulls.sum()), "n_ids": int(lengths.sum()),
         "first_key": known[0] if known else None, "last_key": known[-1] if known else None, "id_bytes": id_bytes,
-        "keys": values.astype("<i8").tobytes(), "levels": levels,
+        "keys": values.astype("<i8").tobytes(), "levels": levels, "ranks": ranks,
         "payload": np.concatenate(ids).astype(f"<u{id_bytes}").tobytes(),
     }
 
@@ -174,40 +212,30 @@ def write_id_shards(
     own = docs.select(F.col(key_col).cast("long").alias("key"), F.col(text_col).alias("text"))
     spread = F.xxhash64("text")
     dealt = own.repartitionByRange("key", spread).sortWithinPartitions("key", spread)
-    dealt.mapInArrow(run, SHARDS).write.option("compression", "none").parquet(path)
+    dealt.mapInArrow(run, SHARDS).write.options(**PARQUET).parquet(path)
 
 
 def _documents(row: dict, keys: np.ndarray, nulls: np.ndarray, occurrence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Look-up of keys in one shard: which are there, their starts and lengths."""
     hashes = hash_keys(keys, nulls, occurrence)
-    slots = PerfectHash(row["levels"]).slots(hashes)
+    slots = PerfectHash(row["levels"], row["ranks"]).slots(hashes)
     slots_of = np.maximum(slots, 0)
     there = (slots >= 0) & (np.frombuffer(row["fingerprints"], "<u4")[slots_of] == fingerprints_of(hashes))
     return there, np.frombuffer(row["starts"], "<u4")[slots_of].astype(np.int64), np.frombuffer(row["lengths"], "<u4")[slots_of].astype(np.int64)
 
 
-def _read(wanted: Sequence[int] | None, schema: pa.Schema):
+def _read(schema: pa.Schema):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                if wanted is None:
-                    keys = np.frombuffer(row["keys"], "<i8")
-                    nulls = np.arange(len(keys)) < row["n_null_keys"]
-                    occurrence = _occurrences(keys, nulls)
-                    there, starts, lengths = _documents(row, keys, nulls, occurrence)
-                    if not there.all():
-                        raise ValueError("a stored key is not in its index")
-                else:
-                    found, occ = [np.zeros((4, 0), dtype=np.int64)], 0
-                    asked = np.array(sorted(set(wanted)), dtype=np.int64)
-                    while len(asked):  # the next occurrence of the keys that had this one
-                        there, starts, lengths = _documents(row, asked, np.zeros(len(asked), bool), np.full(len(asked), occ))
-                        found.append(np.stack([asked, np.full(len(asked), occ), starts, lengths])[:, there])
-                        asked, occ = asked[there], occ + 1
-                    keys, occurrence, starts, lengths = np.concatenate(found, axis=1)
-                    nulls = np.zeros(len(keys), bool)
+                keys = np.frombuffer(row["keys"], "<i8")
+                nulls = np.arange(len(keys)) < row["n_null_keys"]
+                occurrence = _occurrences(keys, nulls)
+                there, starts, lengths = _documents(row, keys, nulls, occurrence)
+                if not there.all():
+                    raise ValueError("a stored key is not in its index")
                 ids = np.frombuffer(row["payload"], f"<u{row['id_bytes']}").astype("<u4")
                 yield from to_batches({
                     "key": pa.array(keys, pa.int64(), mask=nulls), "occurrence": occurrence, "start": row["base"] + row["part_base"] + starts, "n_tokens": lengths,
@@ -217,6 +245,40 @@ def _read(wanted: Sequence[int] | None, schema: pa.Schema):
     return run
 
 
+def _find(wanted: np.ndarray, schema: pa.Schema):
+    """Places of the wanted keys, by the index columns alone."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                asked, occ = wanted[np.searchsorted(wanted, row["first_key"]) : np.searchsorted(wanted, row["last_key"], side="right")], 0
+                while len(asked):  # the next occurrence of the keys that had this one
+                    there, starts, lengths = _documents(row, asked, np.zeros(len(asked), bool), np.full(len(asked), occ))
+                    n = int(there.sum())
+                    yield from to_batches({
+                        "part": [row["part"]] * n, "shard": [row["shard"]] * n, "base": [row["base"]] * n, "id_bytes": [row["id_bytes"]] * n,
+                        "key": asked[there], "occurrence": [occ] * n, "at": starts[there], "n_tokens": lengths[there],
+                    }, schema)
+                    asked, occ = asked[there], occ + 1
+
+    return run
+
+
+def _widen(schema: pa.Schema):
+    """Ids of 32 bits from the stored ones."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("id_bytes").to_pylist()
+            ids = [np.frombuffer(raw, f"<u{n}").astype("<u4").tobytes() for raw, n in zip(batch.column("raw").to_pylist(), sizes)]
+            yield from to_batches({c: batch.column(c) for c in ("key", "occurrence", "start", "n_tokens")} | {"ids": ids}, schema)
+
+    return run
+
+
 READ = T.StructType([
     T.StructField("key", T.LongType()),
     T.StructField("occurrence", T.LongType()),
@@ -225,20 +287,56 @@ READ = T.StructType([
     T.StructField("ids", T.BinaryType()),
 ])
 
+FOUND = T.StructType([
+    *(SHARDS[c] for c in ("part", "shard", "base", "id_bytes")),
+    *(READ[c] for c in ("key", "occurrence", "n_tokens")),
+    T.StructField("at", T.LongType()),  # ids of the shard before it
+])
+
+
+def _part_bases(shards: DataFrame) -> DataFrame:
+    """Ids of all parts before each: one row for each task that wrote."""
+    totals = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_base"))
+
+
+def find_keys(spark: SparkSession, path: str, keys: Sequence[int]) -> DataFrame:
+    """Places of ``keys``: part, shard, base, id_bytes, key, occurrence,
+    n_tokens, at. No payload is read."""
+    wanted = np.unique(np.array(list(keys), dtype=np.int64))
+    in_range = F.lit(False)
+    for some in np.array_split(wanted, min(len(wanted), NAMED)) if len(wanted) else ():
+        in_range = in_range | ((F.col("first_key") <= int(some[-1])) & (F.col("last_key") >= int(some[0])))
+    index = spark.read.schema(SHARDS).parquet(path).where(in_range)
+    columns = ["part", "shard", "base", "id_bytes", "first_key", "last_key", "levels", "ranks", "fingerprints", "starts", "lengths"]
+    return index.select(*columns).mapInArrow(_find(wanted, to_arrow_schema(FOUND)), FOUND)
+
+
+def payloads(spark: SparkSession, path: str, found: DataFrame) -> DataFrame:
+    """part, shard and payload of the shards that ``found`` names. Up to
+    ``NAMED`` shards are named to the scan, whose page index leads to them."""
+    shards = spark.read.schema(SHARDS).parquet(path).select("part", "shard", "payload")
+    named = found.select("part", "shard").distinct().limit(NAMED + 1).collect()
+    if len(named) > NAMED:
+        return shards
+    either = F.lit(False)
+    for part in sorted({r["part"] for r in named}):
+        either = either | ((F.col("part") == part) & F.col("shard").isin(sorted(r["shard"] for r in named if r["part"] == part)))
+    return shards.where(either)
+
 
 def read_id_shards(spark: SparkSession, path: str, keys: Sequence[int] | None = None) -> DataFrame:
     """Every stored document (or those of ``keys``), found through the index of
     its shard: key, occurrence, start (ids stored before it), n_tokens, ids
-    (little-endian unsigned 32-bit). Only shards whose key range holds a wanted
-    key are opened. The places where the parts begin (one row for each task
-    that wrote) are joined by broadcast."""
+    (little-endian unsigned 32-bit). For ``keys`` the index of the shards whose
+    key range holds one is read first, then the payload of those that have one."""
     shards = spark.read.schema(SHARDS).parquet(path)
-    totals = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_base"))
-    if keys is not None:
-        in_range = F.lit(False)
-        for key in keys:
-            in_range = in_range | F.lit(key).between(F.col("first_key"), F.col("last_key"))
-        shards = shards.where(in_range)
-    return shards.join(F.broadcast(bases), "part").mapInArrow(_read(keys, to_arrow_schema(READ)), READ)
+    bases = F.broadcast(_part_bases(shards))
+    if keys is None:
+        return shards.join(bases, "part").mapInArrow(_read(to_arrow_schema(READ)), READ)
+    found = find_keys(spark, path, keys)
+    raw = F.substring("payload", (F.col("at") * F.col("id_bytes") + 1).cast("int"), (F.col("n_tokens") * F.col("id_bytes")).cast("int"))
+    cut = found.join(bases, "part").join(payloads(spark, path, found), ["part", "shard"])
+    cut = cut.select("key", "occurrence", (F.col("part_base") + F.col("base") + F.col("at")).alias("start"), "n_tokens", "id_bytes", raw.alias("raw"))
+    return cut.mapInArrow(_widen(to_arrow_schema(READ)), READ)

@@ -98,6 +98,66 @@ def test_id_shards(request, spark, library, table, tmp_path):
     assert sorted((r["key"], r["ids"]) for r in some) == sorted((e[1], e[2]) for e in expected if e[0] and e[1] in (4, 9))
 
 
+def scans_of(df):
+    """Rows that each file scan of an executed plan has given, and what it read."""
+    def walk(node):
+        if "AdaptiveSparkPlan" in node.nodeName():
+            node = node.executedPlan()
+        elif "QueryStage" in node.nodeName():
+            node = node.plan()
+        if node.nodeName().startswith("Scan parquet"):
+            yield node.metrics().apply("numOutputRows").value(), node.requiredSchema().fieldNames()
+        children = node.children()
+        for i in range(children.size()):
+            yield from walk(children.apply(i))
+    return [(rows, list(names)) for rows, names in walk(df._jdf.queryExecution().executedPlan())]
+
+
+def test_one_key_reads_one_payload(spark, documents, tmp_path):
+    path = str(tmp_path / "shards")
+    id_shards.write_id_shards(documents.coalesce(1), WORD, path, shard_ids=3000)
+    stored = {r["key"]: r for r in id_shards.read_id_shards(spark, path).collect()}
+    assert spark.read.parquet(path).count() > 20
+    for key in sorted(stored)[:: len(stored) // 4]:
+        found = id_shards.find_keys(spark, path, [key])
+        place = found.collect()
+        assert [(r["key"], r["occurrence"], r["n_tokens"]) for r in place] == [(key, 0, stored[key]["n_tokens"])]
+        assert all("payload" not in names and "keys" not in names for _, names in scans_of(found))
+        payload = id_shards.payloads(spark, path, found)
+        assert len(payload.collect()) == 1
+        assert [rows for rows, names in scans_of(payload) if "payload" in names] == [1]
+        assert id_shards.read_id_shards(spark, path, keys=[key]).collect() == [stored[key]]
+    every = id_shards.read_id_shards(spark, path, keys=[k for k in stored if k is not None]).collect()
+    assert sorted(every) == sorted(r for k, r in stored.items() if k is not None)
+    assert id_shards.read_id_shards(spark, path, keys=[]).collect() == []
+
+
+def test_more_shards_than_named(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(id_shards, "NAMED", 2)
+    path = str(tmp_path / "shards")
+    id_shards.write_id_shards(documents, WORD, path, shard_ids=3000)
+    stored = {r["key"]: r for r in id_shards.read_id_shards(spark, path).collect()}
+    some = sorted(k for k in stored if k is not None)[::7]
+    assert sorted(id_shards.read_id_shards(spark, path, keys=[*some, -5]).collect()) == [stored[k] for k in some]
+
+
+def test_ranks_of_blocks():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 300, 20_000):
+        hashes = id_shards.mix(rng.integers(0, 1 << 62, n), 1)
+        levels = id_shards.PerfectHash.build(hashes)
+        before, plain = 0, np.full(n, -1)
+        for number, level in enumerate(levels):
+            bits = np.unpackbits(np.frombuffer(level, dtype=np.uint8))
+            at = (id_shards.mix(hashes, 3 + number) % np.uint64(len(bits))).astype(int)
+            hit = (plain < 0) & (bits[at] == 1)
+            plain[hit] = (before + np.cumsum(bits) - bits)[at[hit]]
+            before += int(bits.sum())
+        assert (id_shards.PerfectHash(levels).slots(hashes) == plain).all()
+
+
 def test_perfect_hash_is_minimal():
     import numpy as np
 
