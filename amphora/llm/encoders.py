@@ -146,6 +146,24 @@ class ChunkEncoder:
             return None
         return self.find(chunk)
 
+    def every_pre_token(self, chunk: str) -> list[str] | None:
+        """The pre-tokens of any chunk: where it is not plain, by the library's
+        own normalizer and pre-tokenizer; None: it holds a special token's string."""
+        found = self.pre_tokens(chunk)
+        if found is not None:
+            return found
+        normalizer = self.tokenizer.normalizer
+        text = normalizer.normalize_str(chunk) if normalizer else chunk
+        if any(s in chunk or s in text for s in self.specials):
+            return None
+        return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+    def tokens_of(self, piece: str) -> int:
+        """Tokens of one of ``every_pre_token``, or of a chunk for which that is None."""
+        if any(s in piece for s in self.specials):
+            return len(self.encode_chunk(piece)) // 4
+        return len(self.model.tokenize("".join([self.chars[b] for b in piece.encode()])))
+
     def _piece(self, piece: str) -> bytes:
         """Ids of one pre-token by the library's BPE model."""
         if piece.isascii() and "\n" not in piece:

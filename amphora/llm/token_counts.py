@@ -5,11 +5,15 @@ each document, how often it has them. Both are packed and sent to the bucket
 of the pre-token's hash. There every distinct pre-token of the corpus is
 encoded once, and its number of tokens is multiplied with the frequencies of
 each document; the sums per document of a slice go back to the slice's header
-and are added up. No ids are kept and no text is shuffled.
-
-Nulls and edges: a null or empty text has 0 bytes and 0 tokens; each row is
-counted by itself, so rows with equal ids or texts keep a row each; a null id
-is carried; an empty table gives no rows.
+and are added up. No ids are kept, and of the texts only each slice's distinct
+pre-tokens are shuffled. Text that is not plain Latin is split by the library's
+own normalizer and pre-tokenizer; a chunk between two spaces that holds the
+string of a special token is one pre-token as a whole.
+
+Nulls and edges: a null or empty text has 0 bytes and 0 tokens; a very long text
+is a slice of its own; each row is counted by itself, so rows with equal ids or
+texts keep a row each; a null id is carried; an empty table gives no rows; other
+columns are not read; an ``id_col`` named n_bytes or n_tokens raises.
 """
 
 from __future__ import annotations
@@ -42,11 +46,11 @@ PARCELS = T.StructType([
 
 def piece_table(encoder: ChunkEncoder, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct pre-tokens of the chunks, and those of each chunk as a ragged
-    array. A chunk that only the library can split counts as one."""
+    array. A chunk that holds the string of a special token counts as one."""
     number: dict[str, int] = {}
     flat, lengths = [], np.zeros(len(chunks), dtype=np.int64)
     for i, chunk in enumerate(chunks):
-        found = encoder.pre_tokens(chunk)
+        found = encoder.every_pre_token(chunk)
         if found is None:
             found = [chunk]
         lengths[i] = len(found)
@@ -118,12 +122,12 @@ def _count(spec: EncoderSpec, schema: pa.Schema):
 
     @tidy_group
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        out = [r for r in table.to_pylist() if r["pieces"] is None]
-        rows = [r for r in table.to_pylist() if r["pieces"] is not None]
+        held = table.to_pylist()
+        out, rows = [r for r in held if r["pieces"] is None], [r for r in held if r["pieces"] is not None]
         if rows:
             encoder = spec.load()
             found = pa.chunked_array([_unpack_strings(r["pieces"]) for r in rows]).combine_chunks().dictionary_encode()
-            tokens = np.array([len(encoder.encode_chunk(p)) // 4 for p in found.dictionary.to_pylist()], dtype=np.int64)
+            tokens = np.array([encoder.tokens_of(p) for p in found.dictionary.to_pylist()], dtype=np.int64)
             counts, at = tokens[found.indices.to_numpy()], 0
             for r in rows:
                 doc, local, often = (unsqueeze(x, "<u4").astype(np.int64) for x in r["parts"])
@@ -155,6 +159,8 @@ def _add_up(id_schema: pa.Schema, schema: pa.Schema):
 
 def count_tokens(docs: DataFrame, spec: EncoderSpec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``id_col``, n_bytes, n_tokens), one row for each of ``docs``."""
+    if id_col.lower() in ("n_bytes", "n_tokens"):
+        raise ValueError(f"{id_col} is a column of the result")
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = T.StructType([T.StructField(id_col, own.schema["id"].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
     id_schema = to_arrow_schema(T.StructType([own.schema["id"]]))

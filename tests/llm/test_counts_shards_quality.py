@@ -1,5 +1,6 @@
 """Token counts, shards and quality rules against plain Python versions."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -30,6 +31,45 @@ def test_token_counts(request, table, name):
     assert Counter(tuple(r) for r in got.collect()) == expected
 
 
+ODD_TEXTS = [
+    "Съешь ещё этих мягких французских булок, да выпей чаю.",
+    "没有空格的文本，也有标点。" * 200,
+    "tab\tin\tthe middle\x00and a zero, \x7f\x0b too",
+    "“curly quotes” — and it’s an ellipsis…don't",
+    "e\u0301 a\u0308o\u0308 ﬁn\u200d\u00a0no-break  two\n\n \t spaces \u2003em",
+    "<|endoftext|>glued<|endoftext|>на</s> <s>[UNK] русском<unk>",
+    "🙂🙃👩‍👩‍👧 नमस्ते दुनिया ٣٤٥ ½ Ⅷ",
+]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_token_counts_beyond_latin(spark, name, special_as_text):
+    spec = EncoderSpec(P.path(name), special_as_text=special_as_text)
+    rng = random.Random(5)
+    alphabet = "".join(ODD_TEXTS)
+    texts = ODD_TEXTS + ["".join(rng.choices(alphabet, k=rng.randrange(1, 60))) for _ in range(300)]
+    got = token_counts.count_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spec).collect()
+    library = Tokenizer.from_file(P.path(name))
+    library.no_truncation()
+    library.no_padding()
+    library.encode_special_tokens = special_as_text
+    expected = {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == expected
+
+
+def test_pieces_of_text_without_spaces():
+    text = ODD_TEXTS[1]
+    pieces, flat, at = token_counts.piece_table(queries.BYTE_BPE.load(), [text])
+    assert len(pieces) <= 6 and at.tolist() == [0, len(flat)] and len(flat) >= 400
+    assert "".join(pieces[i] for i in flat) == text
+
+
+def test_token_counts_names(edge):
+    with pytest.raises(ValueError):
+        token_counts.count_tokens(edge.withColumnRenamed("doc_id", "n_tokens"), queries.BYTE_BPE, "n_tokens")
+
+
 def test_token_counts_empty(edge):
     assert token_counts.count_tokens(edge.limit(0), queries.BYTE_BPE).collect() == []
 
