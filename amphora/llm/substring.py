@@ -47,6 +47,10 @@ EXTRA_BITS = 24
 #: A side of this many bytes at most, as Parquet, is broadcast; a larger one is shuffled.
 BROADCAST_BYTES = 16 << 20
 
+#: Text bytes of a slice whose windows are hashed and sorted at once: a worker
+#: holds about 25 times as much.
+SLICE = 3 << 20
+
 PARCELS = T.StructType([
     T.StructField("goes_to", T.LongType()),
     T.StructField("block", T.LongType()),
@@ -111,7 +115,7 @@ def _scan(window: int, prefix: int, blocks: int, schema: pa.Schema):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in text_slices(batch, "text"):
+            for piece in text_slices(batch, "text", SLICE):
                 keys, tags = doc_keys(piece.column("id")), piece.column("tag").to_numpy(zero_copy_only=False)
                 rank = np.lexsort((tags, keys))
                 piece, keys, tags = piece.take(pa.array(rank)), keys[rank], tags[rank]
