@@ -47,8 +47,8 @@ EXTRA_BITS = 24
 #: A side of this many bytes at most, as Parquet, is broadcast; a larger one is shuffled.
 BROADCAST_BYTES = 16 << 20
 
-#: Text bytes of a slice whose windows are hashed and sorted at once: a worker
-#: holds about 25 times as much.
+#: Text bytes of a slice whose windows are hashed and sorted at once; a worker
+#: holds several numbers of eight bytes for each of its words.
 SLICE = 3 << 20
 
 PARCELS = T.StructType([
