@@ -4,9 +4,9 @@
 The built-in embedder is residue composition (20 fractions), a JVM
 expression; a scorer is a linear model over it, so scoring a peptide is one
 codegen'd projection. ``embed_with`` is the hook for a Python embedder
-(a protein language model, say): it runs as ``mapInPandas`` over Arrow
+(a protein language model, say): it runs as ``mapInArrow`` over Arrow
 batches with the model loaded once per task, and is the case where scoring
-distinct peptides once (J6) pays for its shuffle.
+distinct peptides once (J6) can pay for its shuffle.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,8 +55,8 @@ class LinearScorer:
     Since every composition term shares the denominator, the logit is
     computed as ``b + (sum_w w * count(residues with weight w)) / length``:
     residues with equal weight form one class, and ``class_counts`` counts
-    all classes with one ``translate`` plus one ``replace`` per class (the
-    prior has 4 classes instead of 20 terms). Residues count in either case;
+    all classes in one pass over an Arrow batch (the prior has 4 classes
+    instead of 20 terms). Residues count in either case;
     ``upper_logit`` is for strings known to be upper-case (digest output)."""
 
     weights: tuple[float, ...]
@@ -117,14 +118,16 @@ def score_peptides(peptides: DataFrame, scorer: Scorer, peptide_col: str = "pept
     null peptide has null scores. A linear scorer is one projection: the logit
     comes first and is reused (Spark does not collapse a projection whose
     expensive column is referenced twice); ``upper`` says that the peptides
-    are upper-case already. Any other scorer sees each distinct peptide once."""
+    are upper-case already. An ``EmbeddingScorer`` scores the rows where they
+    are; any other scorer sees each distinct peptide once."""
     if isinstance(scorer, LinearScorer):
         logit = scorer.upper_logit(peptide_col) if upper else scorer.logit(peptide_col)
         z = peptides.select("*", logit.alias("_z"))
         out = z.select("*", _sigmoid(F.col("_z")).alias("amp_probability"))
     else:
         p = F.col("amp_probability")
-        out = score_distinct(peptides, scorer, peptide_col, "left").select(
+        known = scorer.on_rows(peptides, peptide_col) if isinstance(scorer, EmbeddingScorer) else score_distinct(peptides, scorer, peptide_col, "left")
+        out = known.select(
             *peptides.columns,
             F.when(p >= 1, F.lit(float("inf"))).when(p <= 0, F.lit(float("-inf")))
             .otherwise(F.log(p / (1 - p))).alias("_z"), "amp_probability")
@@ -169,15 +172,39 @@ def stored_scorer(score: Callable[[DataFrame], DataFrame], path: str, model: str
     return run
 
 
-def embedding_scorer(make_embedder: Callable[[], Callable], dim: int, weights: Sequence[float], bias: float,
-                     peptide_col: str = "peptide") -> Callable[[DataFrame], DataFrame]:
+@dataclass(frozen=True)
+class EmbeddingScorer:
     """A scorer from an embedder (E1) and the coefficients of a fitted
-    classifier over its vectors."""
-    def score(distinct: DataFrame) -> DataFrame:
-        embedded = embed_with(distinct, peptide_col, make_embedder, dim)
-        return embedded.select(peptide_col, dot_probability("embedding", weights, bias).alias("amp_probability"))
+    classifier over its vectors. Called on a table of peptides it gives their
+    scores (J6); ``on_rows`` adds the scores to peptide rows where they are,
+    each Arrow batch's distinct peptides embedded once: no peptide is
+    shuffled, sorted or joined, and a digest is computed once."""
+
+    make_embedder: Callable[[], Callable]
+    dim: int
+    weights: tuple[float, ...]
+    bias: float
+    peptide_col: str = "peptide"
+
+    def __call__(self, distinct: DataFrame) -> DataFrame:
+        return self.on_rows(distinct.select(self.peptide_col), self.peptide_col)
 
-    return score
+    def on_rows(self, peptides: DataFrame, peptide_col: str) -> DataFrame:
+        def probability(vectors: np.ndarray) -> np.ndarray:
+            # C3 as ``dot_probability``, added in the order of the weights.
+            z = np.full(len(vectors), float(self.bias))
+            for i, w in enumerate(self.weights):
+                z = z + vectors[:, i] * float(w)
+            with np.errstate(over="ignore"):
+                return 1.0 / (1.0 + np.exp(-z))
+
+        return embed_with(peptides, peptide_col, self.make_embedder, self.dim, "amp_probability", probability)
+
+
+def embedding_scorer(make_embedder: Callable[[], Callable], dim: int, weights: Sequence[float], bias: float,
+                     peptide_col: str = "peptide") -> EmbeddingScorer:
+    """``EmbeddingScorer`` of these parts."""
+    return EmbeddingScorer(make_embedder, dim, tuple(weights), bias, peptide_col)
 
 
 def peptide_features_ml(peptides: DataFrame, scorer: Scorer, peptide_col: str = "peptide",
@@ -206,32 +233,44 @@ def _ship_package_code() -> None:
 
 
 def embed_with(df: DataFrame, seq_col: str, make_embedder: Callable[[], Callable],
-               dim: int, out_col: str = "embedding") -> DataFrame:
+               dim: int, out_col: str = "embedding", readout: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """``make_embedder()`` is called once per task and returns a function
     ``list[str] -> np.ndarray (n, dim)``; a call gets at most about
-    ``EMBED_CHARS`` residues. A null sequence has a null vector."""
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
+    ``EMBED_CHARS`` residues, and equal sequences of an Arrow batch once. A
+    null sequence has a null vector. With ``readout``, a function from
+    vectors to one number each, the column holds that number and no vector
+    leaves the Python worker."""
+    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.DoubleType() if readout else T.ArrayType(T.DoubleType()))])
     _ship_package_code()
 
+    def vectors(embed, seqs: list[str]) -> np.ndarray:
+        ends = np.cumsum([len(s) for s in seqs])
+        out, start = [np.zeros((0, dim))], 0
+        while start < len(seqs):  # about EMBED_CHARS residues a call
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + EMBED_CHARS, side="right")))
+            out.append(np.asarray(embed(seqs[start:stop]), dtype="float64").reshape(stop - start, dim))
+            start = stop
+        return np.concatenate(out)
+
     def run(batches):
         embed = make_embedder()
-        for pdf in batches:
-            known = pdf[seq_col].notna().to_numpy()
-            out = np.full(len(pdf), None, dtype=object)
-            rows = np.flatnonzero(known)
-            ends = np.cumsum(pdf[seq_col].str.len().to_numpy()[rows]) if len(rows) else rows
-            start = 0
-            while start < len(rows):  # about EMBED_CHARS residues a call
-                before = ends[start - 1] if start else 0
-                stop = max(start + 1, int(np.searchsorted(ends, before + EMBED_CHARS, side="right")))
-                some = rows[start:stop]
-                vecs = np.asarray(embed(pdf[seq_col].iloc[some].tolist()), dtype="float64").reshape(len(some), dim)
-                for row, vec in zip(some, vecs):
-                    out[row] = vec
-                start = stop
-            yield pdf.assign(**{out_col: out})
-
-    return df.mapInPandas(run, schema)
+        for batch in batches:
+            held = batch.column(seq_col).dictionary_encode()  # equal sequences of a batch are embedded once
+            known = held.is_valid().to_numpy(zero_copy_only=False)
+            place = held.indices.fill_null(0).to_numpy(zero_copy_only=False)
+            values = vectors(embed, held.dictionary.to_pylist())
+            if readout:
+                numbers = np.append(readout(values), np.nan)  # NaN stands in for the nulls, which are masked
+                out = pa.array(numbers[np.where(known, place, -1)], mask=~known, from_pandas=False)
+                yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, out_col])
+                continue
+            values = values[place[known]]
+            ends = np.append(0, np.cumsum(known, dtype=np.int32) * np.int32(dim)).astype(np.int32)
+            vecs = pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()), mask=pa.array(~known) if not known.all() else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, vecs], names=[*batch.schema.names, out_col])
+
+    return df.mapInArrow(run, schema)
 
 
 def numpy_composition_embedder() -> Callable[[list[str]], np.ndarray]:

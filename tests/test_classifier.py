@@ -120,3 +120,18 @@ def test_mean_pool_tokens(spark):
     df = spark.createDataFrame([([[9.0, 9.0], [1.0, 2.0], [3.0, 4.0], [7.0, 7.0]], 2)],
                                "tokens array<array<double>>, L int")
     assert C.mean_pool_tokens(df, "tokens", "L").first().pooled == [2.0, 3.0]
+
+
+def test_embedding_scorer_needs_no_shuffle(spark):
+    peps = spark.createDataFrame([("KKWW", 0), ("KKWW", 1), (None, 2), ("DDEE", 3), ("", 4)], "peptide string, i int")
+    prior = C.prior_scorer()
+    scorer = C.embedding_scorer(C.numpy_composition_embedder, 20, list(prior.weights), prior.bias)
+    out = C.score_peptides(peps, scorer)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.i: r.amp_probability for r in out.collect()}
+    want = {r.i: r.amp_probability for r in C.score_peptides(peps, prior).collect()}
+    assert got.keys() == want.keys() and got[2] is None and want[2] is None
+    assert all(abs(got[i] - want[i]) < 1e-12 for i in (0, 1, 3, 4))
+    plain = {r.peptide: r.amp_probability for r in scorer(peps.where("peptide IS NOT NULL").select("peptide").distinct()).collect()}
+    assert plain == {"KKWW": got[0], "DDEE": got[3], "": got[4]}
+    assert peps.count() == C.embed_with(peps, "peptide", C.numpy_composition_embedder, 20).where("embedding IS NOT NULL OR i = 2").count()
