@@ -1,8 +1,9 @@
 """Column -> Column functions over amino-acid strings.
 
 All are built from JVM string expressions (``translate``, ``replace``,
-``length``, ``rlike``) so they stay inside whole-stage codegen; none is a
-Python UDF.
+``length``, ``rlike``) so they stay inside whole-stage codegen, but for the
+counts of residue classes: those are taken from the bytes of a whole Arrow
+batch at once, which costs a fraction of a ``translate`` per peptide.
 """
 
 from __future__ import annotations
@@ -30,25 +31,53 @@ def count_residues(c: ColumnOrName, letters: str) -> Column:
     return F.length(c) - F.length(F.translate(c, letters, ""))
 
 
-# Private-use code points mark residue classes inside one translate().
-_CLASS_MARKS = [chr(0xE000 + i) for i in range(32)]
+def _count_classes(classes: list[str]):
+    """Arrow function: per string, how many of its characters each class has
+    (null for null), from one pass over the bytes of the batch and a class."""
+    import numpy as np
+    import pyarrow as pa
+
+    from amphora.operators.classifier import _ship_package_code
+
+    _ship_package_code()
+    member = np.zeros((len(classes), 256), dtype=np.int32)
+    for i, letters in enumerate(classes):
+        member[i, [ord(a) for a in letters]] = 1
+    width = len(classes)
+
+    def counts(strings):
+        wide = pa.types.is_large_string(strings.type)
+        ends = np.frombuffer(strings.buffers()[1], dtype=np.int64 if wide else np.int32)[strings.offset:strings.offset + len(strings) + 1]
+        held = strings.buffers()[2]
+        # Letters are ASCII, so no byte of a longer character is taken for one.
+        raw = (np.frombuffer(held, dtype=np.uint8) if held else np.zeros(0, dtype=np.uint8))[ends[0]:ends[-1]]
+        ends = ends - ends[0]
+        out = np.empty((len(strings), width), dtype=np.int32)
+        for i in range(width):
+            so_far = np.zeros(len(raw) + 1, dtype=np.int32)
+            np.cumsum(member[i][raw], out=so_far[1:])
+            out[:, i] = np.diff(so_far[ends])
+        starts = pa.array(np.arange(0, (len(strings) + 1) * width, width, dtype=np.int32))
+        return pa.ListArray.from_arrays(starts, pa.array(out.ravel()), mask=strings.is_null() if strings.null_count else None)
+
+    # Real (not postponed) annotations: arrow_udf reads them to pick the kind.
+    counts.__annotations__ = {"strings": pa.Array, "return": pa.Array}
+    return F.arrow_udf(counts, "array<int>")
 
 
 def class_counts(c: ColumnOrName, classes: list[str]) -> list[Column]:
-    """Counts of disjoint residue classes with one ``translate`` (each class
-    mapped to its own marker) and one byte-level ``replace`` per class,
-    instead of one dictionary-driven ``translate`` per class."""
+    """Counts of disjoint residue classes, letters of ASCII, in one pass over
+    the strings of an Arrow batch, instead of one ``translate`` per class."""
     c = _c(c)
-    if len(classes) > len(_CLASS_MARKS):
-        raise ValueError("too many residue classes")
     src = "".join(classes)
     if len(set(src)) != len(src):
         raise ValueError("residue classes must be disjoint")
-    dst = "".join(_CLASS_MARKS[i] * len(cls) for i, cls in enumerate(classes))
-    marked = F.translate(c, src, dst)
-    n = F.length(c)
-    return [n - F.length(F.replace(marked, F.lit(_CLASS_MARKS[i]), F.lit("")))
-            for i in range(len(classes))]
+    if not src.isascii():
+        return [count_residues(c, letters) for letters in classes]
+    if not classes:
+        return []
+    found = _count_classes(classes)(c)
+    return [found[i] for i in range(len(classes))]
 
 
 # Disjoint atoms of the score's residue classes: positive, negative,
