@@ -3,19 +3,26 @@
 Every summary is a ``groupBy`` with partial aggregation: the map side
 collapses all peptides of a group in a task to one buffer row before the
 exchange, so a hot key (one protein holding a third of all peptides) costs
-one row per task in the shuffle, not one row per peptide.
+one row per task in the shuffle, not one row per peptide. An aggregate that
+keeps a string (the top peptide) is sort-based in Spark, so peptide rows are
+first folded by runs (``fold_runs``) and only runs are sorted.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from amphora import fixed
 from amphora.functions.residues import peptide_features, upper_amp_score
+from amphora.operators.running import _differs
 
 
 def first_at_max(value: str | Column, score: str | Column, pos: str | Column = "pos") -> Column:
@@ -26,6 +33,77 @@ def first_at_max(value: str | Column, score: str | Column, pos: str | Column = "
     return F.max_by(value, F.struct(score, -pos))
 
 
+def _folded(groups: list[str], kinds: dict[str, str], schema: pa.Schema):
+    """``mapInArrow`` function of ``fold_runs``."""
+
+    def fold(batch: pa.RecordBatch) -> pa.RecordBatch:
+        new = np.zeros(batch.num_rows, dtype=bool)
+        new[0] = True
+        for name in groups:
+            new |= _differs(batch.column(name), None)
+        starts, run = np.flatnonzero(new), np.cumsum(new)
+        # First of each run by (score descending, pos ascending) as Spark
+        # orders them: NaN above all numbers, nulls last.
+        score, pos = batch.column("_score"), batch.column("pos")
+        key = pc.fill_null(score, pa.scalar(0, score.type)).to_numpy(zero_copy_only=False)
+        kind = np.where(score.is_null().to_numpy(zero_copy_only=False), 2, 1)
+        if pa.types.is_floating(score.type):
+            nan = np.isnan(key)
+            kind, key = np.where(nan, 0, kind), np.where(nan, 0, key)
+        place = pc.fill_null(pos, pa.scalar(0, pos.type)).to_numpy(zero_copy_only=False)
+        unplaced = pos.is_null().to_numpy(zero_copy_only=False)
+        rows = np.arange(batch.num_rows)
+        if kind.min() == kind.max():  # only rows at their run's highest score can be the first
+            rows = np.flatnonzero(key == np.maximum.reduceat(key, starts)[run - 1])
+        order = rows[np.lexsort((place[rows], unplaced[rows], -key[rows], kind[rows], run[rows]))]
+        order = order[np.append(True, np.diff(run[order]) > 0)]
+        columns = {name: batch.column(name).take(pa.array(starts)) for name in groups}
+        top = pa.array(order)
+        columns |= {name: batch.column(name).take(top) for name in ("_score", "pos", "peptide")}
+        columns["_n"] = pa.array(np.diff(np.append(starts, batch.num_rows)))
+        for name, how in kinds.items():
+            values = batch.column(name)
+            floating = pa.types.is_floating(values.type)
+            none = 0 if how == "sum" else -np.inf if floating else np.iinfo(values.type.to_pandas_dtype()).min
+            raw = pc.fill_null(values, pa.scalar(none, values.type)).to_numpy(zero_copy_only=False)
+            known = np.add.reduceat(values.is_valid().to_numpy(zero_copy_only=False).astype(np.int64), starts)
+            out = np.add.reduceat(raw.astype(np.float64 if floating else np.int64), starts) if how == "sum" else np.maximum.reduceat(raw, starts)
+            columns[name] = pa.array(out, mask=known == 0)
+            columns[f"{name}_n"] = pa.array(known)
+        return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in schema], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield fold(batch)
+
+    return run
+
+
+def fold_runs(peptides: DataFrame, groups: Sequence[str], score: Column, aggs: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Neighbouring peptide rows that agree in ``groups`` become one row (two
+    or more where an Arrow batch ends between them): ``_n`` rows, the ``pos``,
+    ``peptide`` and ``_score`` of the highest ``score`` (the lowest ``pos``
+    among equals), and for each ``name -> (sum | max, value)`` that value and
+    ``name_n``, how many were not null. A digest gives the peptides of a group
+    one after the other, so what is left to group is a few rows for each; rows
+    in any other order only fold less."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from amphora.operators.classifier import _ship_package_code
+
+    _ship_package_code()
+    rows = peptides.select(*groups, "pos", "peptide", score.alias("_score"), *[v.alias(n) for n, (_, v) in aggs.items()])
+    kinds = {n: kind for n, (kind, _) in aggs.items()}
+    fields = [T.StructField(n, rows.schema[n].dataType) for n in (*groups, "pos", "peptide", "_score")] + [T.StructField("_n", T.LongType())]
+    for n, kind in kinds.items():
+        own = rows.schema[n].dataType
+        total = T.DoubleType() if isinstance(own, (T.DoubleType, T.FloatType)) else T.LongType()
+        fields += [T.StructField(n, total if kind == "sum" else own), T.StructField(f"{n}_n", T.LongType())]
+    made = T.StructType(fields)
+    return rows.mapInArrow(_folded(list(groups), kinds, to_arrow_schema(made)), made)
+
+
 def count_at_least(score: str | Column, t: int) -> Column:
     """A4: number of rows with ``score >= t``."""
     score = F.col(score) if isinstance(score, str) else score
@@ -48,13 +126,16 @@ def screen(
     ``(*keys, enzyme, pos, peptide)``. Pairs without peptides have no row."""
     score = upper_amp_score("peptide")  # digest output is upper-case
     scored = peptides.select(*keys, group, "pos", "peptide", score.alias("score"))
-    agg = scored.groupBy(*keys, group).agg(
-        F.count(F.lit(1)).alias("num_peptides"),
-        F.max("score").alias("max_score"),
-        first_at_max("peptide", "score").alias("top_peptide"),
-        count_at_least("score", 3).alias("num_score_ge_3"),
-        count_at_least("score", 4).alias("num_score_ge_4"),
-        F.avg("score").alias("avg_score"),
+    at_least = lambda t: F.coalesce((F.col("score") >= t).cast("int"), F.lit(0))
+    runs = fold_runs(scored, [*keys, group], F.col("score"), {
+        "_sum": ("sum", F.col("score")), "_ge_3": ("sum", at_least(3)), "_ge_4": ("sum", at_least(4))})
+    agg = runs.groupBy(*keys, group).agg(
+        F.sum("_n").alias("num_peptides"),
+        F.max("_score").alias("max_score"),
+        first_at_max("peptide", "_score").alias("top_peptide"),
+        F.sum("_ge_3").alias("num_score_ge_3"),
+        F.sum("_ge_4").alias("num_score_ge_4"),
+        F.try_divide(F.sum("_sum").cast("double"), F.sum("_sum_n")).alias("avg_score"),
     )
     return agg.select(
         *keys,
@@ -86,16 +167,18 @@ def screen_ml(
     in the probability."""
     p = F.col(prob_col)
     top_key = F.col(order_col) if order_col else p
-    agg = scored.groupBy(*keys, group).agg(
-        F.count(F.lit(1)).alias("num_peptides"),
-        # With the logit at hand, p > t is decided as logit > log(t / (1 - t)):
-        # the same test, without the last-bit noise of exp().
-        F.count_if(F.col(order_col) > F.lit(math.log(threshold / (1 - threshold)))
-                   if order_col else p > threshold).alias("num_predicted_amp"),
-        F.avg(p).alias("avg_probability"),
-        F.max(p).alias("top_probability"),
-        first_at_max("peptide", top_key).alias("top_peptide"),
-        F.max(top_key).alias("_top_key"),
+    # With the logit at hand, p > t is decided as logit > log(t / (1 - t)):
+    # the same test, without the last-bit noise of exp().
+    predicted = F.col(order_col) > F.lit(math.log(threshold / (1 - threshold))) if order_col else p > threshold
+    runs = fold_runs(scored, [*keys, group], top_key, {
+        "_amp": ("sum", F.coalesce(predicted.cast("int"), F.lit(0))), "_sum": ("sum", p), "_most": ("max", p)})
+    agg = runs.groupBy(*keys, group).agg(
+        F.sum("_n").alias("num_peptides"),
+        F.sum("_amp").alias("num_predicted_amp"),
+        F.try_divide(F.sum("_sum"), F.sum("_sum_n")).alias("avg_probability"),
+        F.max("_most").alias("top_probability"),
+        first_at_max("peptide", "_score").alias("top_peptide"),
+        F.max("_score").alias("_top_key"),
     )
     return agg.select(
         *keys,

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from amphora.fixed import ENZYMES
 from amphora.functions.residues import peptide_features
 from amphora.plans.rule_screening import ranked_screening
@@ -142,3 +144,29 @@ def test_shipped_candidates_match_digest_and_reward(spark, proteins):
     assert {r.peptide for r in ours.collect()} == {r.sequence for r in shipped.collect()}
     r = shipped.agg(reward(F.avg("probability"), F.max("probability")).alias("r")).first().r
     assert round(r, 3) == 0.857
+
+
+def test_summaries_sort_runs_not_peptides(spark):
+    from amphora.operators.digest import digest
+    from amphora.operators.screening import fold_runs, screen
+
+    seqs = spark.createDataFrame([("p", "a", "MKWVTFISLLLLFSSAYSRGVFRRDTHKSEIAHRFKDLGE" * 40), ("p", "a", "KWKWKR" * 30), (None, None, "GGKWWAAKAAAAR")],
+                                 "protein string, accession_id string, sequence string").coalesce(1)
+    peps = digest(seqs, "sequence", keep=["protein", "accession_id"])
+    runs = fold_runs(peps, ["protein", "accession_id", "enzyme"], F.length("peptide"), {"most": ("max", F.length("peptide")), "s": ("sum", F.col("pos"))})
+    assert runs.count() < peps.count() / 10 and runs.agg(F.sum("_n")).first()[0] == peps.count()
+    plan = screen(peps)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortAggregate") < plan.index("MapInArrow")
+    mixed = spark.createDataFrame([("a", 1, "x", 2.0), ("a", 0, "y", 2.0), ("a", 2, "z", None), ("b", 0, "u", None), ("b", None, "v", float("nan")), ("b", 3, "w", 9.0)],
+                                  "g string, pos int, peptide string, p double").coalesce(1)
+    got = {r.g: r for r in fold_runs(mixed, ["g"], F.col("p"), {"s": ("sum", F.col("p"))}).collect()}
+    assert (got["a"].peptide, got["a"]._n, got["a"].s, got["a"].s_n) == ("y", 3, 4.0, 2) and got["b"].peptide == "v"
+
+
+def test_class_counts_in_one_pass(spark):
+    from amphora.functions.residues import class_counts, count_residues
+
+    rows = spark.createDataFrame([("KRAé\ue000DK",), ("",), (None,), ("ſKıA",)], "p string")
+    classes = ["KR", "DE", "A"]
+    got = rows.select(*[c.alias(f"a{i}") for i, c in enumerate(class_counts("p", classes))], *[count_residues("p", c).alias(f"b{i}") for i, c in enumerate(classes)])
+    assert all((r.a0, r.a1, r.a2) == (r.b0, r.b1, r.b2) for r in got.collect())
