@@ -95,6 +95,52 @@ def sequential_fragments(seq: Column, rules: list[EnzymeRule]) -> Column:
     return F.array_remove(F.split(marked, last), F.lit(""))
 
 
+def cutter(rules: list[EnzymeRule]):
+    """``sequential_fragments`` on the bytes of many sequences at once: a
+    function of the bytes (``raw``) and the sequences' offsets (``rows``) to
+    the starts and ends of all non-empty fragments, in order. What a rule
+    cuts at is looked up per byte; a fragment end of an earlier rule is a cut,
+    so the next rule sees it as the end of a sequence."""
+    import numpy as np
+
+    def letters(chosen):
+        table = np.zeros(256, dtype=bool)
+        table[[ord(a) for a in chosen]] = True
+        return table
+
+    tables, marked = [], sum(cleavage_regex(r) is not None for r in rules) > 1
+    for r in rules:
+        after, block, before = set(r.cleaves_after.upper()), set(r.not_before.upper()), set(r.cleaves_before.upper())
+        tables.append([letters(x) if x else None for x in (after, block, before - after, (before & after) if block else set())])
+
+    def cut(raw, rows):
+        n = len(raw)
+        ends = np.zeros(n + 1, dtype=bool)
+        ends[rows] = ends[n] = True
+        mark = raw == ord(MARK)
+        if marked:  # a marker in the sequence itself is a cut and no residue
+            ends[:-1] |= mark
+            ends[1:] |= mark
+        for after, block, before, blocked in tables:
+            now = ends.copy()
+            if after is not None:
+                now[1:-1] |= after[raw[:-1]] & ~block[raw[1:]] if block is not None else after[raw[:-1]]
+            inside = ~ends[1:-1]  # the next residue is of the same fragment
+            if before is not None:
+                now[:-2] |= before[raw[:-1]] & inside & ~mark[1:]
+            if blocked is not None:
+                now[:-2] |= blocked[raw[:-1]] & inside & block[raw[1:]]
+            ends = now
+        places = np.flatnonzero(ends)
+        starts, stops = places[:-1], places[1:]
+        if marked and mark.any():
+            residues = ~mark[starts]
+            starts, stops = starts[residues], stops[residues]
+        return starts, stops
+
+    return cut
+
+
 def _prefix_sums():
     """Prefix sums of int arrays, the one step Spark's built-ins cannot do in
     linear time: one ``cumsum`` over all values of an Arrow batch, less what

@@ -31,32 +31,49 @@ def count_residues(c: ColumnOrName, letters: str) -> Column:
     return F.length(c) - F.length(F.translate(c, letters, ""))
 
 
+def _members(classes: list[str]):
+    """For each class, which of the 256 byte values are letters of it."""
+    import numpy as np
+
+    member = np.zeros((len(classes), 256), dtype=np.int32)
+    for i, letters in enumerate(classes):
+        member[i, [ord(a) for a in letters]] = 1
+    return member
+
+
+def _count_members(strings, member):
+    """Array (strings, classes): how many of a string's characters each class
+    has, from one pass over the bytes of all strings and a class."""
+    import numpy as np
+    import pyarrow as pa
+
+    wide = pa.types.is_large_string(strings.type)
+    ends = np.frombuffer(strings.buffers()[1], dtype=np.int64 if wide else np.int32)[strings.offset:strings.offset + len(strings) + 1]
+    held = strings.buffers()[2]
+    # Letters are ASCII, so no byte of a longer character is taken for one.
+    raw = (np.frombuffer(held, dtype=np.uint8) if held else np.zeros(0, dtype=np.uint8))[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    out = np.empty((len(strings), len(member)), dtype=np.int32)
+    for i, of_class in enumerate(member):
+        so_far = np.zeros(len(raw) + 1, dtype=np.int32)
+        np.cumsum(of_class[raw], out=so_far[1:])
+        out[:, i] = np.diff(so_far[ends])
+    return out
+
+
 def _count_classes(classes: list[str]):
     """Arrow function: per string, how many of its characters each class has
-    (null for null), from one pass over the bytes of the batch and a class."""
+    (null for null)."""
     import numpy as np
     import pyarrow as pa
 
     from amphora.operators.classifier import _ship_package_code
 
     _ship_package_code()
-    member = np.zeros((len(classes), 256), dtype=np.int32)
-    for i, letters in enumerate(classes):
-        member[i, [ord(a) for a in letters]] = 1
-    width = len(classes)
+    member, width = _members(classes), len(classes)
 
     def counts(strings):
-        wide = pa.types.is_large_string(strings.type)
-        ends = np.frombuffer(strings.buffers()[1], dtype=np.int64 if wide else np.int32)[strings.offset:strings.offset + len(strings) + 1]
-        held = strings.buffers()[2]
-        # Letters are ASCII, so no byte of a longer character is taken for one.
-        raw = (np.frombuffer(held, dtype=np.uint8) if held else np.zeros(0, dtype=np.uint8))[ends[0]:ends[-1]]
-        ends = ends - ends[0]
-        out = np.empty((len(strings), width), dtype=np.int32)
-        for i in range(width):
-            so_far = np.zeros(len(raw) + 1, dtype=np.int32)
-            np.cumsum(member[i][raw], out=so_far[1:])
-            out[:, i] = np.diff(so_far[ends])
+        out = _count_members(strings, member)
         starts = pa.array(np.arange(0, (len(strings) + 1) * width, width, dtype=np.int32))
         return pa.ListArray.from_arrays(starts, pa.array(out.ravel()), mask=strings.is_null() if strings.null_count else None)
 

@@ -17,13 +17,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amphora import fixed
+from amphora.fixed import EnzymeRule
+from amphora.functions.cleavage import cutter
 from amphora.functions.hashing import hash32, uniform_int
-from amphora.functions.residues import class_counts, count_residues, peptide_features, predict_label
+from amphora.functions.residues import _count_members, _members, class_counts, count_residues, peptide_features, predict_label
 from amphora.operators.ranking import global_rank
 from amphora.session import pin_table
 from amphora.sources.files import list_folders, path_exists
@@ -90,6 +93,114 @@ class LinearScorer:
         return _sigmoid(self.logit(seq))
 
 
+#: Residues cut at once, so that what is made of them stays small.
+CUT_CHARS = 1 << 18
+
+#: Fragments whose residues are counted at once.
+SCORE_FRAGMENTS = 1 << 16
+
+
+def _fragment_logits(scorer: LinearScorer, min_length: int, max_length: int):
+    """Function of a list array of upper-case fragments: their number in each
+    list, which of all fragments are in the length range (a null one is not),
+    and the logits of those, as ``upper_logit`` gives them."""
+    classes = scorer.weight_classes()
+    weights, member, bias = [w for w, _ in classes], _members([letters for _, letters in classes]), float(scorer.bias)
+
+    def logits(lists: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        frags = lists.flatten()
+        lengths = pc.fill_null(pc.utf8_length(frags), -1).to_numpy(zero_copy_only=False)
+        kept = (lengths >= min_length) & (lengths <= max_length)
+        z = np.empty(len(frags))
+        for start in range(0, len(frags), SCORE_FRAGMENTS):
+            part = slice(start, start + SCORE_FRAGMENTS)
+            counts = _count_members(frags.slice(start, SCORE_FRAGMENTS), member)
+            num = np.zeros(len(counts))
+            for i, w in enumerate(weights):
+                num = num + w * counts[:, i]
+            z[part] = bias + num / np.maximum(lengths[part], 1)
+        return sizes, frags, kept, z[kept]
+
+    return logits
+
+
+def fragment_summaries(seq: Column, protocols: Sequence[list[EnzymeRule]], scorer: LinearScorer, min_length: int, max_length: int) -> Column:
+    """G3 and C3 of an upper-case sequence: for each protocol (rules in order)
+    a struct of the number ``n`` of its fragments in the length range, the
+    ``total`` of their probabilities and the highest, ``most`` (null where
+    there are none). The sequences of an Arrow batch are cut and scored on
+    their bytes, so no fragment becomes a string or a row."""
+    _ship_package_code()
+    classes, bias = scorer.weight_classes(), float(scorer.bias)
+    weights, member, cutters = [w for w, _ in classes], _members([letters for _, letters in classes]), [cutter(rules) for rules in protocols]
+
+    def summed(raw, rows):
+        """n, total and most, each (sequences, protocols)."""
+        so_far = [np.append(np.int32(0), np.cumsum(of_class[raw], dtype=np.int32)) for of_class in member]
+        chars = np.append(0, np.cumsum((raw & 0xC0) != 0x80)) if (raw > 127).any() else None
+        out = [np.zeros((len(rows) - 1, len(cutters)), dtype=t) for t in (np.int64, float, float)]
+        for i, cut in enumerate(cutters):
+            starts, stops = cut(raw, rows)
+            lengths = stops - starts if chars is None else chars[stops] - chars[starts]
+            kept = (lengths >= min_length) & (lengths <= max_length)
+            starts, stops, lengths = starts[kept], stops[kept], lengths[kept]
+            num = np.zeros(len(starts))
+            for w, held in zip(weights, so_far):
+                num = num + w * (held[stops] - held[starts])
+            p = 1.0 / (1.0 + np.exp(-(bias + num / np.maximum(lengths, 1))))
+            firsts = np.searchsorted(starts, rows)
+            n = np.diff(firsts)
+            out[0][:, i] = n
+            out[1][:, i] = np.bincount(np.repeat(np.arange(len(n)), n), weights=p, minlength=len(n))
+            if len(p):
+                out[2][n > 0, i] = np.maximum.reduceat(p, firsts[:-1][n > 0])
+        return out
+
+    def summaries(strings):
+        wide = pa.types.is_large_string(strings.type)
+        ends = np.frombuffer(strings.buffers()[1], dtype=np.int64 if wide else np.int32)[strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
+        held = strings.buffers()[2]
+        raw = np.frombuffer(held, dtype=np.uint8) if held else np.zeros(0, dtype=np.uint8)
+        parts, start = [], 0
+        while start < len(strings):  # about CUT_CHARS residues at once
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + CUT_CHARS, side="right")) - 1)
+            parts.append(summed(raw[ends[start]:ends[stop]], ends[start:stop + 1] - ends[start]))
+            start = stop
+        n, total, most = (np.concatenate(x).ravel() for x in zip(*parts)) if parts else (np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0))
+        none = n == 0
+        structs = pa.StructArray.from_arrays([pa.array(n), pa.array(total, mask=none), pa.array(most, mask=none)], names=["n", "total", "most"])
+        places = pa.array(np.arange(len(strings) + 1, dtype=np.int32) * np.int32(len(cutters)))
+        return pa.ListArray.from_arrays(places, structs, mask=strings.is_null() if strings.null_count else None)
+
+    summaries.__annotations__ = {"strings": pa.Array, "return": pa.Array}
+    return F.arrow_udf(summaries, "array<struct<n: bigint, total: double, most: double>>")(seq)
+
+
+def best_fragments(frags: str | Column, scorer: LinearScorer, k: int, min_length: int, max_length: int) -> Column:
+    """T5 over an array of upper-case fragments: array of ``(pos, peptide,
+    _z)`` of the ``k`` fragments in the length range with the highest logits,
+    the first ones among equals."""
+    _ship_package_code()
+    logits = _fragment_logits(scorer, min_length, max_length)
+
+    def best(lists):
+        sizes, frags, kept, z = logits(lists)
+        starts = np.cumsum(sizes) - sizes
+        owner, rows = np.repeat(np.arange(len(sizes)), sizes)[kept], np.flatnonzero(kept)
+        order = np.lexsort((rows, -z, owner))
+        n = np.bincount(owner, minlength=len(sizes))
+        place = np.arange(len(order)) - np.repeat(np.cumsum(n) - n, n)  # among its list's, best first
+        order = order[place < k]
+        ends = np.append(0, np.cumsum(np.minimum(n, k))).astype(np.int32)
+        pos = (rows[order] - starts[owner[order]]).astype(np.int32)
+        found = pa.StructArray.from_arrays([pa.array(pos), frags.take(pa.array(rows[order])), pa.array(z[order])], names=["pos", "peptide", "_z"])
+        return pa.ListArray.from_arrays(pa.array(ends), found)
+
+    best.__annotations__ = {"lists": pa.Array, "return": pa.Array}
+    return F.arrow_udf(best, "array<struct<pos: int, peptide: string, _z: double>>")(frags)
+
+
 def prior_scorer() -> LinearScorer:
     """Transparent default before a model is trained: positive residues up,
     acidic residues down, hydrophobic and aromatic residues up (the same

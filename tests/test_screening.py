@@ -170,3 +170,55 @@ def test_class_counts_in_one_pass(spark):
     classes = ["KR", "DE", "A"]
     got = rows.select(*[c.alias(f"a{i}") for i, c in enumerate(class_counts("p", classes))], *[count_residues("p", c).alias(f"b{i}") for i, c in enumerate(classes)])
     assert all((r.a0, r.a1, r.a2) == (r.b0, r.b1, r.b2) for r in got.collect())
+
+
+def test_cutter_cuts_as_the_patterns_do(spark):
+    """Bytes and patterns give the same fragments: every rule, odd rules,
+    sequential rules, letters beyond ASCII, markers and empty sequences."""
+    import dataclasses
+    import random
+
+    import numpy as np
+
+    from amphora.functions.cleavage import cutter, sequential_fragments
+
+    r = random.Random(3)
+    odd = [dataclasses.replace(ENZYMES[0], name=f"o{i}", cleaves_after=a, not_before=b, cleaves_before=c)
+           for i, (a, b, c) in enumerate([("KRF", "PK", "FLK"), ("", "P", "AP"), ("", "", "")])]
+    rules = [*ENZYMES, *odd]
+    protocols = [[x] for x in rules] + [[r.choice(rules) for _ in range(r.choice([2, 3]))] for _ in range(12)]
+    seqs = ["".join(r.choice("AKRPFLWYDé\x01漢G" if i % 3 == 0 else "AKRPFLG") for _ in range(r.randint(0, 40))) for i in range(90)]
+    seqs += ["", "K", "FF", "\x01"]
+    df = spark.createDataFrame(list(enumerate(seqs)), "i int, s string")
+    rows = df.select("i", *[sequential_fragments(F.col("s"), p).alias(f"c{j}") for j, p in enumerate(protocols)]).orderBy("i").collect()
+    raw = np.frombuffer("".join(seqs).encode(), dtype=np.uint8)
+    offsets = np.append(0, np.cumsum([len(s.encode()) for s in seqs]))
+    for j, p in enumerate(protocols):
+        got = [[] for _ in seqs]
+        for a, b in zip(*cutter(p)(raw, offsets)):
+            got[int(np.searchsorted(offsets, a, side="right")) - 1].append(raw[a:b].tobytes().decode())
+        assert got == [row[f"c{j}"] for row in rows], [x.name for x in p]
+
+
+def test_rewards_and_best_candidates_without_peptide_rows(spark):
+    """A linear scorer makes no peptide a row for the rewards, and of a
+    sequence's candidates only the best; both as peptide by peptide."""
+    from amphora.operators.classifier import prior_scorer
+    from amphora.plans import combination_screening as Q
+
+    seqs = spark.createDataFrame(
+        [("a", "1", "MKRWAFLLDEKPGGRYVAAKKWIFRLAGDEFK" * 3), ("a", "1", "GGGGGWKRRAAAAFFFFKLLLLK"), ("b", "2", "kkkkk"),
+         ("c", None, "ACDEFGHIKLMNPQRSTVWYé" * 4), (None, "4", "KRHAW" * 9), ("d", "5", ""), ("e", "6", None)],
+        "protein string, accession_id string, sequence string")
+    prior = prior_scorer()
+    rewards = Q.combo_rewards(seqs, prior)
+    assert "split(" not in rewards._jdf.queryExecution().toString()
+    by_rows = Q.combo_rewards(seqs, lambda peps: peps.select("peptide", prior.probability("peptide").alias("amp_probability")))
+    told = lambda df: sorted(([x if not isinstance(x, float) else round(x, 12) for x in r] for r in df.collect()), key=str)
+    assert told(rewards) == told(by_rows) and len(told(rewards)) == 5 * 8
+    best = Q.candidates(seqs, rewards, prior, k=2).collect()
+    every = Q.candidates(seqs, rewards, prior).collect()
+    assert len(every) > len(best) > 0
+    for acc in ("1", "2"):
+        order = lambda rows: sorted(((-r._z, r.pos, r.sequence) for r in rows if r.accession_id == acc))[:2]  # noqa: B023, E731
+        assert order(best) == order(every)
