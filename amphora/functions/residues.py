@@ -165,6 +165,18 @@ def upper_amp_score(c: ColumnOrName) -> Column:
     return _score_from(F.length(c), _atom_counts(c))[3]
 
 
+def amp_scores(strings, lengths):
+    """``upper_amp_score`` of the strings of an Arrow array, whose lengths are
+    at least 1, as a NumPy array."""
+    import numpy as np
+
+    pos, neg, other, aromatic = _count_members(strings, _members(_ATOMS)).T
+    (lo, hi), (c1, c2), (h_lo, h_hi) = fixed.SCORE_LENGTH_RANGE, fixed.SCORE_CHARGE_STEPS, fixed.SCORE_HYDROPHOBIC_RANGE
+    charge, hyd = pos - neg, (other + aromatic) / lengths
+    parts = [(lengths >= lo) & (lengths <= hi), charge >= c1, charge >= c2, (hyd >= h_lo) & (hyd <= h_hi), aromatic > 0]
+    return np.sum(parts, axis=0, dtype=np.int32)
+
+
 def peptide_features(c: ColumnOrName) -> list[Column]:
     """Upper-cased sequence plus the five features, as named columns
     (all from one class-count pass)."""

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from amphora import fixed
 from amphora.fixed import EnzymeRule
-from amphora.functions.cleavage import cutter
+from amphora.functions.cleavage import CUT_CHARS, cutter
 from amphora.functions.hashing import hash32, uniform_int
 from amphora.functions.residues import _count_members, _members, class_counts, count_residues, peptide_features, predict_label
 from amphora.operators.ranking import global_rank
@@ -93,9 +93,6 @@ class LinearScorer:
         return _sigmoid(self.logit(seq))
 
 
-#: Residues cut at once, so that what is made of them stays small.
-CUT_CHARS = 1 << 18
-
 #: Fragments whose residues are counted at once.
 SCORE_FRAGMENTS = 1 << 16
 

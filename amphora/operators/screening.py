@@ -21,8 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amphora import fixed
-from amphora.functions.residues import peptide_features, upper_amp_score
-from amphora.operators.running import _differs
+from amphora.fixed import EnzymeRule
+from amphora.functions.cleavage import peptide_cutter, slices_of, string_offsets
+from amphora.functions.residues import amp_scores, peptide_features, upper_amp_score
+from amphora.operators.digest import _rules, digest, peptide_bounds
+from amphora.operators.ranking import rank_within
+from amphora.operators.running import HOT_KEY_ROWS, _differs
+from amphora.session import pin_table
 
 
 def first_at_max(value: str | Column, score: str | Column, pos: str | Column = "pos") -> Column:
@@ -206,3 +211,75 @@ def peptide_counts(peptides: DataFrame, rows: str = "protein", cols: str = "enzy
         .agg(F.count(F.lit(1)))
         .na.fill(0, list(col_values))
     )
+
+
+def _ranked_rows(rules: list[EnzymeRule], min_length: int, max_length: int, names: list[str]):
+    """``mapInArrow`` function of ``rank_peptides``: (key, sequence) rows, those
+    of a key next to each other. The last key of a batch waits for the next."""
+    cut = peptide_cutter(rules, min_length, max_length)
+
+    def ranked(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        keys, seqs = batch.column(0), batch.column(1)
+        firsts = np.append(np.flatnonzero(_differs(keys, None)), len(keys))
+        for a, b in slices_of(string_offsets(seqs)[firsts]):  # whole keys
+            start, sizes = firsts[a], np.diff(firsts[a:b + 1])
+            key_of = np.repeat(np.arange(b - a), sizes)
+            for rule, (row, pos, lengths, peptides) in zip(rules, cut(seqs.slice(start, firsts[b] - start))):
+                score, key = amp_scores(peptides, lengths), key_of[row]
+                order = np.lexsort((pos, -score, key))
+                n = np.bincount(key, minlength=b - a)
+                rank = np.empty(len(order), dtype=np.int64)
+                rank[order] = np.arange(1, len(order) + 1) - np.repeat(np.cumsum(n) - n, n)
+                columns = [keys.take(pa.array(start + row)), pa.repeat(rule.name, len(row)), pa.array(pos), peptides, pa.array(score), pa.array(rank)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            last = int(np.flatnonzero(_differs(rows.column(0), None))[-1])
+            if last:
+                yield from ranked(rows.slice(0, last))
+            held = rows.slice(last)
+        if held is not None:
+            yield from ranked(held)
+
+    return run
+
+
+def rank_peptides(sequences: DataFrame, key: str, seq_col: str = "sequence", enzymes: Sequence[EnzymeRule | str] | None = None,
+                  min_length: int = fixed.DEFAULT_MIN_LENGTH, max_length: int = fixed.DEFAULT_MAX_LENGTH) -> DataFrame:
+    """``(key, enzyme, pos, peptide, simple_amp_score, rank)``,
+    the peptides of each key and enzyme ranked by score, the first ones among
+    equals.
+
+    The sequences of a key are brought together, not its peptides, which are
+    several times larger: cut, scored and ranked in one stage after that
+    shuffle, they become rows with their rank. A key with more peptides than
+    ``spark.amphora.hotKeyRows`` (by ``peptide_bounds``) is ranked as rows by
+    ``rank_within``, over many tasks. A null key is one key."""
+    from amphora.operators.classifier import _ship_package_code
+
+    if min_length < 1:
+        raise ValueError("min_length must be >= 1")
+    spark, rules = sequences.sparkSession, _rules(enzymes)
+    # A shorter sequence has no peptide; each other one counts in the bounds.
+    seqs = sequences.select(key, F.upper(seq_col).alias("_sequence")).where(F.length("_sequence") >= min_length)
+    bounds = peptide_bounds(seqs, "_sequence", rules, min_length, [key])
+    most = int(spark.conf.get("spark.amphora.hotKeyRows", str(HOT_KEY_ROWS)))
+    hot = pin_table(bounds.where(F.col("n") > most).select(F.col(key).alias("_hot")).distinct(), "hot-keys")
+    none_hot = hot.isEmpty()
+    few = seqs if none_hot else seqs.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left_anti")
+    made = [T.StructField("enzyme", T.StringType()), T.StructField("pos", T.IntegerType()), T.StructField("peptide", T.StringType()),
+            T.StructField("simple_amp_score", T.IntegerType()), T.StructField("rank", T.LongType())]
+    schema = T.StructType([seqs.schema[key], *made])
+    _ship_package_code()
+    out = few.repartition(key).sortWithinPartitions(key).mapInArrow(_ranked_rows(rules, min_length, max_length, schema.names), schema)
+    if none_hot:
+        return out
+    many = digest(seqs.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left_semi"), "_sequence", rules, min_length, max_length, [key])
+    scored = many.withColumn("simple_amp_score", upper_amp_score("peptide"))
+    order = [F.col("simple_amp_score").desc(), F.col("pos").asc()]
+    return out.unionAll(rank_within(scored, [key, "enzyme"], order, key_rows=bounds).select(*schema.names))

@@ -222,3 +222,54 @@ def test_rewards_and_best_candidates_without_peptide_rows(spark):
     for acc in ("1", "2"):
         order = lambda rows: sorted(((-r._z, r.pos, r.sequence) for r in rows if r.accession_id == acc))[:2]  # noqa: B023, E731
         assert order(best) == order(every)
+
+
+def _odd_sequences(spark):
+    """Repeated and null keys, a key over many rows, odd letters, no peptides."""
+    rows = [("a", "MKRWAFLLDEKPGGRYVAAKKWIFRLAGDEFK" * 3), ("a", "GGGGGWKRRAAAAFFFFKLLLLK"), ("b", "kkkkk"), ("c", "ACDEFGHIKLMNPQRSTVWYé" * 4),
+            (None, "KRHAW" * 9), (None, "MWWAAKLLLLK"), ("d", ""), ("e", None), ("f", "KKK")]
+    rows += [("h", f"{'AGLMWK' * (i % 7)}DEFPGR{'WWAAK' * (i % 5)}") for i in range(200)]
+    return spark.createDataFrame(rows, "protein string, sequence string").repartition(5)
+
+
+def test_digest_on_bytes_gives_the_same_rows(spark):
+    from amphora.operators.digest import digest
+
+    seqs = _odd_sequences(spark)
+    told = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    by_patterns, on_bytes = (digest(seqs, min_length=3, max_length=12, on_bytes=x) for x in (False, True))
+    assert by_patterns.dtypes == on_bytes.dtypes
+    assert told(by_patterns) == told(on_bytes) and on_bytes.count() > 500
+
+
+def test_peptides_are_ranked_without_a_shuffle_of_peptides(spark):
+    from pyspark.sql import Window
+
+    from amphora.functions.residues import simple_amp_score
+    from amphora.operators.digest import digest
+    from amphora.operators.screening import rank_peptides
+    from amphora.plans import registry
+
+    seqs = _odd_sequences(spark)
+    scored = digest(seqs).withColumn("score", simple_amp_score("peptide"))
+    order = Window.partitionBy("protein", "enzyme").orderBy(F.col("score").desc(), "pos")
+    # Rows of a key that share score and position are equal in rank order whichever comes first.
+    want = scored.withColumn("rank", F.row_number().over(order))
+    told = lambda df, *c: sorted((tuple(r) for r in df.select("protein", "enzyme", *c).collect()), key=str)
+    columns = lambda s: ("pos", s, "rank")
+    got = rank_peptides(seqs, "protein")
+    assert told(got, *columns("simple_amp_score")) == told(want, *columns("score"))
+    assert told(got, "pos", "peptide", "simple_amp_score") == told(want, "pos", "peptide", "score")
+    before = spark.conf.get("spark.amphora.hotKeyRows", None)
+    spark.conf.set("spark.amphora.hotKeyRows", "100")  # some keys are hot
+    try:
+        hot = rank_peptides(seqs, "protein")
+        assert told(hot, *columns("simple_amp_score")) == told(want, *columns("score"))
+        assert told(hot, "pos", "peptide", "simple_amp_score") == told(want, "pos", "peptide", "score")
+    finally:
+        if before is None:
+            spark.conf.unset("spark.amphora.hotKeyRows")
+        else:
+            spark.conf.set("spark.amphora.hotKeyRows", before)
+    plan = registry.q_rank_peptides(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "simple_amp_score" not in plan[plan.index("Exchange"):]
