@@ -252,11 +252,37 @@ def round_for_display(c: ColumnOrName, digits: int) -> Column:
     return F.round(_c(c), digits)
 
 
+def _letters_only():
+    """Arrow function: the standard residue letters of each string, upper-cased."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from amphora.functions.cleavage import slices_of, string_offsets
+    from amphora.operators.classifier import _ship_package_code
+
+    _ship_package_code()
+    upper = np.zeros(256, dtype=np.uint8)  # 0: no residue letter
+    for a in fixed.STANDARD_RESIDUES:
+        upper[[ord(a), ord(a.lower())]] = ord(a)
+
+    def letters(strings):
+        ends, held = string_offsets(strings), strings.buffers()[2]
+        parts = []
+        for a, b in slices_of(ends):
+            found = upper[np.frombuffer(held, dtype=np.uint8)[ends[a]:ends[b]]] if held else upper[:0]
+            kept = found != 0
+            offsets = np.append(0, np.cumsum(kept))[ends[a:b + 1] - ends[a]].astype(np.int32)
+            parts.append(pa.StringArray.from_buffers(b - a, pa.py_buffer(offsets), pa.py_buffer(found[kept])))
+        out = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+        return pc.if_else(strings.is_valid(), out, None) if strings.null_count else out
+
+    letters.__annotations__ = {"strings": pa.Array, "return": pa.Array}
+    return F.arrow_udf(letters, "string")
+
+
 def protein_like(text: ColumnOrName) -> Column:
     """Stand-in sequence from free text: keep the 20 residue letters (either
-    case) and upper-case them. Removing first, then upper-casing, avoids
-    locale-dependent case mappings (e.g. one character becoming two)."""
-    lower = fixed.STANDARD_RESIDUES.lower()
-    return F.upper(
-        F.regexp_replace(_c(text), f"[^{fixed.STANDARD_RESIDUES}{lower}]", "")
-    )
+    case) and upper-case them, on the bytes of an Arrow batch (letters are
+    ASCII, so no byte of a longer character is taken for one)."""
+    return _letters_only()(_c(text))

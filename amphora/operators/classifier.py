@@ -246,9 +246,19 @@ def score_peptides(peptides: DataFrame, scorer: Scorer, peptide_col: str = "pept
 def score_distinct(peptides: DataFrame, score: Callable[[DataFrame], DataFrame],
                    peptide_col: str = "peptide", how: str = "left") -> DataFrame:
     """Score each distinct peptide once and join the scores back; a null
-    peptide has a null score. Worth its two shuffles only for an expensive
-    scorer (a Python embedder); the distinct has partial aggregation, so hot
-    peptides collapse map-side."""
+    peptide has a null score (``how`` "inner" drops it). Worth its two shuffles
+    only for an expensive scorer (a Python embedder); the distinct has partial
+    aggregation, so hot peptides collapse map-side.
+
+    An ``EmbeddingScorer`` needs one shuffle and no join: the rows of a peptide
+    are brought together, sorted by a hash of it (a number, so no strings are
+    compared), and the first of them is embedded for all. ``peptides`` is
+    computed once."""
+    if isinstance(score, EmbeddingScorer) and how in ("left", "inner"):
+        rows = peptides if how == "left" else peptides.where(F.col(peptide_col).isNotNull())
+        together = rows.repartition(peptide_col).sortWithinPartitions(F.xxhash64(peptide_col))
+        scored = score.on_rows(together, peptide_col, together=True)
+        return scored.select(peptide_col, *[c for c in scored.columns if c != peptide_col])
     distinct = peptides.select(peptide_col).where(F.col(peptide_col).isNotNull()).distinct()
     scored = score(distinct)
     return peptides.join(scored, peptide_col, how)
@@ -286,7 +296,9 @@ class EmbeddingScorer:
     classifier over its vectors. Called on a table of peptides it gives their
     scores (J6); ``on_rows`` adds the scores to peptide rows where they are,
     each Arrow batch's distinct peptides embedded once: no peptide is
-    shuffled, sorted or joined, and a digest is computed once."""
+    shuffled, sorted or joined, and a digest is computed once. ``score_distinct``
+    puts equal peptides next to each other first (``together``), so that each
+    is embedded once in all."""
 
     make_embedder: Callable[[], Callable]
     dim: int
@@ -297,7 +309,7 @@ class EmbeddingScorer:
     def __call__(self, distinct: DataFrame) -> DataFrame:
         return self.on_rows(distinct.select(self.peptide_col), self.peptide_col)
 
-    def on_rows(self, peptides: DataFrame, peptide_col: str) -> DataFrame:
+    def on_rows(self, peptides: DataFrame, peptide_col: str, together: bool = False) -> DataFrame:
         def probability(vectors: np.ndarray) -> np.ndarray:
             # C3 as ``dot_probability``, added in the order of the weights.
             z = np.full(len(vectors), float(self.bias))
@@ -306,7 +318,7 @@ class EmbeddingScorer:
             with np.errstate(over="ignore"):
                 return 1.0 / (1.0 + np.exp(-z))
 
-        return embed_with(peptides, peptide_col, self.make_embedder, self.dim, "amp_probability", probability)
+        return embed_with(peptides, peptide_col, self.make_embedder, self.dim, "amp_probability", probability, together)
 
 
 def embedding_scorer(make_embedder: Callable[[], Callable], dim: int, weights: Sequence[float], bias: float,
@@ -341,13 +353,16 @@ def _ship_package_code() -> None:
 
 
 def embed_with(df: DataFrame, seq_col: str, make_embedder: Callable[[], Callable],
-               dim: int, out_col: str = "embedding", readout: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+               dim: int, out_col: str = "embedding", readout: Callable[[np.ndarray], np.ndarray] | None = None,
+               together: bool = False) -> DataFrame:
     """``make_embedder()`` is called once per task and returns a function
     ``list[str] -> np.ndarray (n, dim)``; a call gets at most about
     ``EMBED_CHARS`` residues, and equal sequences of an Arrow batch once. A
     null sequence has a null vector. With ``readout``, a function from
     vectors to one number each, the column holds that number and no vector
-    leaves the Python worker."""
+    leaves the Python worker. ``together`` says that equal sequences of a
+    partition follow each other: the last one's vector is kept for the next
+    batch, so each is embedded once."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.DoubleType() if readout else T.ArrayType(T.DoubleType()))])
     _ship_package_code()
 
@@ -362,12 +377,18 @@ def embed_with(df: DataFrame, seq_col: str, make_embedder: Callable[[], Callable
         return np.concatenate(out)
 
     def run(batches):
-        embed = make_embedder()
+        embed, last = make_embedder(), None
         for batch in batches:
             held = batch.column(seq_col).dictionary_encode()  # equal sequences of a batch are embedded once
             known = held.is_valid().to_numpy(zero_copy_only=False)
             place = held.indices.fill_null(0).to_numpy(zero_copy_only=False)
-            values = vectors(embed, held.dictionary.to_pylist())
+            seqs = held.dictionary.to_pylist()
+            if last and seqs and seqs[0] == last[0]:
+                values = np.concatenate([last[1], vectors(embed, seqs[1:])])
+            else:
+                values = vectors(embed, seqs)
+            if together and seqs:
+                last = seqs[-1], values[-1:].copy()
             if readout:
                 numbers = np.append(readout(values), np.nan)  # NaN stands in for the nulls, which are masked
                 out = pa.array(numbers[np.where(known, place, -1)], mask=~known, from_pandas=False)

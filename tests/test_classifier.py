@@ -135,3 +135,35 @@ def test_embedding_scorer_needs_no_shuffle(spark):
     plain = {r.peptide: r.amp_probability for r in scorer(peps.where("peptide IS NOT NULL").select("peptide").distinct()).collect()}
     assert plain == {"KKWW": got[0], "DDEE": got[3], "": got[4]}
     assert peps.count() == C.embed_with(peps, "peptide", C.numpy_composition_embedder, 20).where("embedding IS NOT NULL OR i = 2").count()
+
+
+def test_score_distinct_brings_peptides_together_once(spark):
+    """An embedder sees each distinct peptide once in all, whatever the
+    batches, and the rows are shuffled once and not joined."""
+    rows = [(i, None if i % 50 == 0 else "K" * (1 + i % 7) + "WADE"[: i % 5]) for i in range(3000)]
+    peps = spark.createDataFrame(rows, "i int, peptide string").repartition(6)
+    embedded, composition = spark.sparkContext.accumulator(0), C.numpy_composition_embedder
+
+    def make():
+        embed = composition()
+
+        def counted(seqs):
+            embedded.add(len(seqs))
+            return embed(seqs)
+
+        return counted
+
+    prior = C.prior_scorer()
+    scorer = C.embedding_scorer(make, 20, prior.weights, prior.bias)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # a peptide's rows span batches
+    try:
+        out = C.score_distinct(peps, scorer)
+        got = {r.i: r for r in out.collect()}
+        assert embedded.value == len({p for _, p in rows if p is not None})
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = {r.i: r for r in C.score_distinct(peps, lambda distinct: scorer(distinct)).collect()}
+    assert out.columns == ["peptide", "i", "amp_probability"] and got == want and len(got) == len(rows)
+    assert C.score_distinct(peps, scorer, how="inner").count() == sum(p is not None for _, p in rows)
+    assert "Join" not in out._jdf.queryExecution().toString()

@@ -232,16 +232,6 @@ def _odd_sequences(spark):
     return spark.createDataFrame(rows, "protein string, sequence string").repartition(5)
 
 
-def test_digest_on_bytes_gives_the_same_rows(spark):
-    from amphora.operators.digest import digest
-
-    seqs = _odd_sequences(spark)
-    told = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
-    by_patterns, on_bytes = (digest(seqs, min_length=3, max_length=12, on_bytes=x) for x in (False, True))
-    assert by_patterns.dtypes == on_bytes.dtypes
-    assert told(by_patterns) == told(on_bytes) and on_bytes.count() > 500
-
-
 def test_peptides_are_ranked_without_a_shuffle_of_peptides(spark):
     from pyspark.sql import Window
 
@@ -273,3 +263,14 @@ def test_peptides_are_ranked_without_a_shuffle_of_peptides(spark):
             spark.conf.set("spark.amphora.hotKeyRows", before)
     plan = registry.q_rank_peptides(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "simple_amp_score" not in plan[plan.index("Exchange"):]
+
+
+def test_letters_of_a_text_as_the_pattern_keeps_them(spark):
+    from amphora.functions.residues import protein_like
+
+    texts = ["Heti, eror\n anesti.", "", None, "é漢ſıKkxXzZ", "123", "b" * 7, "\x01aC\u00e9D" * 70000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    letters = "ACDEFGHIKLMNPQRSTVWY"
+    want = F.upper(F.regexp_replace("text", f"[^{letters}{letters.lower()}]", ""))
+    rows = df.select("i", protein_like("text").alias("got"), want.alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows] and len(rows) == len(texts)
