@@ -1,5 +1,6 @@
 """Deduplication operators against plain Python versions."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -288,6 +289,27 @@ def test_windows_are_complete(length, random):
         assert found.tolist() == [[0, 1]] and line_dedup.within_reach(pair[:1], pair[1:]).tolist() == [True]
 
 
+def test_few_keys_a_byte_and_bounded_histograms():
+    rng = random.Random(3)
+    lines = list({" ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(n)).encode() for n in range(5, 260)})
+    keys, owner, role, _ = line_dedup.window_rows(lines)
+    # Every window of a line was a key: more than one a byte.
+    assert len(keys) < 0.5 * sum(map(len, lines))
+    assert set(owner.tolist()) == set(range(len(lines))) and (np.bincount(owner[role != line_dedup.INDEXED]) > 0).all()
+    changed = []
+    for line in lines:
+        other = bytearray(line)
+        for _ in range(line_dedup.reach(len(line))):
+            at, kind = rng.randrange(len(other)), rng.choice("ids")
+            other[at : at + (kind != "i")] = b"" if kind == "d" else b"#"
+        changed.append(bytes(other))
+    a, b = line_dedup.bigram_histograms(lines), line_dedup.bigram_histograms(changed)
+    most = np.array([line_dedup.reach(len(x)) for x in lines])
+    assert (line_dedup.bigram_distance(a, b) <= 4 * most).all()
+    assert (line_dedup.bigram_distance(a, a[::-1]) > 4 * most).mean() > 0.9
+    assert (line_dedup.bigram_distance(line_dedup.bigram_histograms([b"", b"x", b"xy"]), line_dedup.bigram_histograms([b"", b"y", b"xz"])) == [0, 0, 2]).all()
+
+
 # ------------------------------------------------------------ vectors
 
 
