@@ -12,7 +12,7 @@ distinct peptides once (J6) can pay for its shuffle.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +26,7 @@ from amphora import fixed
 from amphora.fixed import EnzymeRule
 from amphora.functions.cleavage import CUT_CHARS, cutter
 from amphora.functions.hashing import hash32, uniform_int
+from amphora.functions.packed_rows import pack_rows, unpack_keys, unpack_rows
 from amphora.functions.residues import _count_members, _members, class_counts, count_residues, peptide_features, predict_label
 from amphora.operators.ranking import global_rank
 from amphora.session import pin_table
@@ -251,14 +252,11 @@ def score_distinct(peptides: DataFrame, score: Callable[[DataFrame], DataFrame],
     aggregation, so hot peptides collapse map-side.
 
     An ``EmbeddingScorer`` needs one shuffle and no join: the rows of a peptide
-    are brought together, sorted by a hash of it (a number, so no strings are
-    compared), and the first of them is embedded for all. ``peptides`` is
-    computed once."""
+    are brought together, packed (``on_distinct``), and each peptide is embedded
+    once for all. ``peptides`` is computed once."""
     if isinstance(score, EmbeddingScorer) and how in ("left", "inner"):
         rows = peptides if how == "left" else peptides.where(F.col(peptide_col).isNotNull())
-        together = rows.repartition(peptide_col).sortWithinPartitions(F.xxhash64(peptide_col))
-        scored = score.on_rows(together, peptide_col, together=True)
-        return scored.select(peptide_col, *[c for c in scored.columns if c != peptide_col])
+        return score.on_distinct(rows, peptide_col)
     distinct = peptides.select(peptide_col).where(F.col(peptide_col).isNotNull()).distinct()
     scored = score(distinct)
     return peptides.join(scored, peptide_col, how)
@@ -296,9 +294,8 @@ class EmbeddingScorer:
     classifier over its vectors. Called on a table of peptides it gives their
     scores (J6); ``on_rows`` adds the scores to peptide rows where they are,
     each Arrow batch's distinct peptides embedded once: no peptide is
-    shuffled, sorted or joined, and a digest is computed once. ``score_distinct``
-    puts equal peptides next to each other first (``together``), so that each
-    is embedded once in all."""
+    shuffled, sorted or joined, and a digest is computed once. ``on_distinct``
+    brings equal peptides together first, so that each is embedded once in all."""
 
     make_embedder: Callable[[], Callable]
     dim: int
@@ -309,16 +306,80 @@ class EmbeddingScorer:
     def __call__(self, distinct: DataFrame) -> DataFrame:
         return self.on_rows(distinct.select(self.peptide_col), self.peptide_col)
 
-    def on_rows(self, peptides: DataFrame, peptide_col: str, together: bool = False) -> DataFrame:
-        def probability(vectors: np.ndarray) -> np.ndarray:
-            # C3 as ``dot_probability``, added in the order of the weights.
-            z = np.full(len(vectors), float(self.bias))
-            for i, w in enumerate(self.weights):
-                z = z + vectors[:, i] * float(w)
-            with np.errstate(over="ignore"):
-                return 1.0 / (1.0 + np.exp(-z))
-
-        return embed_with(peptides, peptide_col, self.make_embedder, self.dim, "amp_probability", probability, together)
+    def probability(self, vectors: np.ndarray) -> np.ndarray:
+        # C3 as ``dot_probability``, added in the order of the weights.
+        z = np.full(len(vectors), float(self.bias))
+        for i, w in enumerate(self.weights):
+            z = z + vectors[:, i] * float(w)
+        with np.errstate(over="ignore"):
+            return 1.0 / (1.0 + np.exp(-z))
+
+    def on_rows(self, peptides: DataFrame, peptide_col: str) -> DataFrame:
+        return embed_with(peptides, peptide_col, self.make_embedder, self.dim, "amp_probability", self.probability)
+
+    def on_distinct(self, peptides: DataFrame, peptide_col: str) -> DataFrame:
+        """``peptide_col``, the other columns of ``peptides`` and the scores.
+
+        A task's rows are dealt to buckets by a hash of the peptide and packed,
+        about ``PACKED_BYTES`` at a time, so few bytes a row are shuffled. A
+        bucket's peptides are then embedded once each, and its rows unpacked one
+        chunk after the other. Rows without a peptide go to any bucket."""
+        conf = peptides.sparkSession.conf
+        buckets, at = max(LEAST_BUCKETS, 4 * int(conf.get("spark.sql.shuffle.partitions"))), "bucket"
+        while at.lower() in [c.lower() for c in peptides.columns]:
+            at = f"_{at}"
+        others = [c for c in peptides.columns if c != peptide_col]
+        schema = T.StructType([*(peptides.schema[c] for c in (peptide_col, *others)), T.StructField("amp_probability", T.DoubleType())])
+        make_embedder, dim, probability = self.make_embedder, self.dim, self.probability
+        _ship_package_code()
+
+        def pack(batches):
+            held, size = [], 0
+            for batch in batches:
+                held.append(batch)
+                size += batch.nbytes
+                if size >= PACKED_BYTES:
+                    yield from packed(held)
+                    held, size = [], 0
+            yield from packed(held)
+
+        def packed(held):
+            held = pa.Table.from_batches(held).combine_chunks().to_batches() if held else []
+            for rows in held:
+                known, bucket = rows.column(peptide_col).is_valid().to_numpy(zero_copy_only=False), rows.column(at).to_numpy(zero_copy_only=False)
+                bucket = np.where(known, bucket, np.arange(len(bucket)) % buckets)
+                for number, value in pack_rows(rows.select([peptide_col, *others]), peptide_col, bucket):
+                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([value], pa.binary())], names=["bucket", "held"])
+
+        def run(batches):
+            embed, number, parts = make_embedder(), None, []
+            for batch in batches:
+                for now, value in zip(batch.column("bucket").to_pylist(), batch.column("held")):
+                    if now != number:
+                        yield from scored(embed, parts)
+                        number, parts = now, []
+                    parts.append(value.as_py())
+            yield from scored(embed, parts)
+
+        def scored(embed, parts):
+            if not parts:
+                return
+            keys = [unpack_keys(x) for x in parts]
+            distinct = pa.concat_arrays(keys).dictionary_encode()
+            place, numbers = distinct.indices.to_numpy(zero_copy_only=False), [np.zeros(0)]
+            for seqs in _slices(distinct.dictionary):
+                numbers.append(probability(_vectors(embed, seqs, dim)))
+            numbers, first = np.append(np.concatenate(numbers), np.nan), 0  # NaN stands in for the nulls, which are masked
+            for own, value in zip(keys, parts):
+                codes, columns = unpack_rows(value)
+                null, mine = codes < 0, np.append(place[first:first + len(own)], len(numbers) - 1)
+                first += len(own)
+                out = [own.take(pa.array(codes, mask=null)), *columns, pa.array(numbers[mine[codes]], mask=null, from_pandas=False)]
+                yield pa.RecordBatch.from_arrays(out, names=schema.names)
+
+        dealt = peptides.select(peptide_col, *others, F.pmod(F.xxhash64(peptide_col), F.lit(buckets)).cast("int").alias(at))
+        together = dealt.mapInArrow(pack, "bucket int, held binary").repartition("bucket").sortWithinPartitions("bucket")
+        return together.mapInArrow(run, schema)
 
 
 def embedding_scorer(make_embedder: Callable[[], Callable], dim: int, weights: Sequence[float], bias: float,
@@ -339,6 +400,23 @@ def peptide_features_ml(peptides: DataFrame, scorer: Scorer, peptide_col: str =
 #: Residues handed to a Python embedder at once.
 EMBED_CHARS = 1 << 20
 
+#: Bytes of rows that a task deals to buckets at once, and the least number of buckets.
+PACKED_BYTES, LEAST_BUCKETS = 48 << 20, 256
+
+
+def _slices(strings: pa.Array) -> Iterator[list[str]]:
+    """The strings, about ``EMBED_CHARS`` residues at a time."""
+    ends, start = np.cumsum(pc.utf8_length(strings).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while start < len(strings):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + EMBED_CHARS, side="right")))
+        yield strings.slice(start, stop - start).to_pylist()
+        start = stop
+
+
+def _vectors(embed: Callable, seqs: list[str], dim: int) -> np.ndarray:
+    return np.asarray(embed(seqs), dtype="float64").reshape(len(seqs), dim)
+
 
 def _ship_package_code() -> None:
     """Pickle this package's functions by value, so Python workers run them
@@ -353,42 +431,23 @@ def _ship_package_code() -> None:
 
 
 def embed_with(df: DataFrame, seq_col: str, make_embedder: Callable[[], Callable],
-               dim: int, out_col: str = "embedding", readout: Callable[[np.ndarray], np.ndarray] | None = None,
-               together: bool = False) -> DataFrame:
+               dim: int, out_col: str = "embedding", readout: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """``make_embedder()`` is called once per task and returns a function
     ``list[str] -> np.ndarray (n, dim)``; a call gets at most about
     ``EMBED_CHARS`` residues, and equal sequences of an Arrow batch once. A
     null sequence has a null vector. With ``readout``, a function from
     vectors to one number each, the column holds that number and no vector
-    leaves the Python worker. ``together`` says that equal sequences of a
-    partition follow each other: the last one's vector is kept for the next
-    batch, so each is embedded once."""
+    leaves the Python worker."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.DoubleType() if readout else T.ArrayType(T.DoubleType()))])
     _ship_package_code()
 
-    def vectors(embed, seqs: list[str]) -> np.ndarray:
-        ends = np.cumsum([len(s) for s in seqs])
-        out, start = [np.zeros((0, dim))], 0
-        while start < len(seqs):  # about EMBED_CHARS residues a call
-            before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + EMBED_CHARS, side="right")))
-            out.append(np.asarray(embed(seqs[start:stop]), dtype="float64").reshape(stop - start, dim))
-            start = stop
-        return np.concatenate(out)
-
     def run(batches):
-        embed, last = make_embedder(), None
+        embed = make_embedder()
         for batch in batches:
             held = batch.column(seq_col).dictionary_encode()  # equal sequences of a batch are embedded once
             known = held.is_valid().to_numpy(zero_copy_only=False)
             place = held.indices.fill_null(0).to_numpy(zero_copy_only=False)
-            seqs = held.dictionary.to_pylist()
-            if last and seqs and seqs[0] == last[0]:
-                values = np.concatenate([last[1], vectors(embed, seqs[1:])])
-            else:
-                values = vectors(embed, seqs)
-            if together and seqs:
-                last = seqs[-1], values[-1:].copy()
+            values = np.concatenate([np.zeros((0, dim)), *(_vectors(embed, seqs, dim) for seqs in _slices(held.dictionary))])
             if readout:
                 numbers = np.append(readout(values), np.nan)  # NaN stands in for the nulls, which are masked
                 out = pa.array(numbers[np.where(known, place, -1)], mask=~known, from_pandas=False)

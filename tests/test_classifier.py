@@ -1,8 +1,14 @@
+import datetime
+import hashlib
 import random
+from collections import Counter
+from decimal import Decimal
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from amphora.functions.packed_rows import pack_rows, unpack_keys, unpack_rows
 from amphora.operators import classifier as C
 from amphora.operators.corpus import build_amp_database
 
@@ -167,3 +173,45 @@ def test_score_distinct_brings_peptides_together_once(spark):
     assert out.columns == ["peptide", "i", "amp_probability"] and got == want and len(got) == len(rows)
     assert C.score_distinct(peps, scorer, how="inner").count() == sum(p is not None for _, p in rows)
     assert "Join" not in out._jdf.queryExecution().toString()
+
+
+def test_score_distinct_shuffles_packed_rows(spark):
+    """A row takes a few bytes of the shuffle: one of its own was 20 and more."""
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("ACDEFGHIKLMNPQRSTVWY"), n)) for n in rng.integers(4, 30, 4000)]
+    peptide = [words[i] for i in rng.integers(0, len(words), 60_000)]
+    rows = pa.table({"accession_id": [f"doc_{i // 300}" for i in range(60_000)], "pos": pa.array([i % 300 for i in range(60_000)], pa.int32()), "peptide": peptide})
+    rows = rows.combine_chunks().to_batches()[0]
+    bucket = np.array([int(hashlib.md5(p.encode()).hexdigest(), 16) % 16 for p in peptide])
+    assert sum(len(held) for _, held in pack_rows(rows, "peptide", bucket)) < 6 * len(peptide)
+    prior = C.prior_scorer()
+    peps = spark.createDataFrame([("KKWW", 0)], "peptide string, i int")
+    out = C.score_distinct(peps, C.embedding_scorer(C.numpy_composition_embedder, 20, prior.weights, prior.bias))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(bucket" in plan and plan.count("Exchange") == 1
+
+
+def test_packed_rows_come_back(spark):
+    """Columns of any type, nulls, extremes and a clashing name; small chunks."""
+    kinds = "peptide string, bucket long, s string, b binary, f double, ok boolean, l array<string>, d date, n decimal(20,3), t timestamp"
+    day, now = datetime.date(2020, 2, 29), datetime.datetime(2020, 2, 29, 1, 2, 3, 4)
+    rows = [(None if i % 7 == 0 else ("ÄK", "", "KW" * (i % 5), f"D{i}")[i % 4], (-(1 << 63), (1 << 63) - 1, i, 0)[i % 4], None if i % 3 else f"s{i % 9}", None if i % 11 else bytes([i % 256, 0]),
+             None if i % 5 else i / 7, None if i % 2 else i % 4 == 0, None if i % 6 else ["x", None][: i % 3], None if i % 8 else day, None if i % 9 else Decimal(i) / 8, None if i % 10 else now) for i in range(700)]
+    rows += [(None,) * 10, *rows[:5]]
+    peps = spark.createDataFrame(rows, kinds).repartition(3)
+    prior = C.prior_scorer()
+    scorer = C.embedding_scorer(C.numpy_composition_embedder, 20, prior.weights, prior.bias)
+    for df in (peps, peps.where("peptide IS NULL"), peps.where("false")):
+        got, want = C.score_distinct(df, scorer), scorer.on_rows(df, "peptide")
+        assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+        assert Counter(map(repr, got.collect())) == Counter(map(repr, want.collect()))
+    batch = pa.RecordBatch.from_pydict({"peptide": pa.array([r[0] for r in rows]), "s": pa.array([r[2] for r in rows])})
+    bucket = np.array([0 if r[0] is None else len(r[0]) for r in rows])
+    back = []
+    for number, held in pack_rows(batch, "peptide", bucket):
+        codes, (s,) = unpack_rows(held)
+        keys = unpack_keys(held).to_pylist()
+        assert len(set(keys)) == len(keys)
+        back += [(number, None if c < 0 else keys[c], x) for c, x in zip(codes, s.to_pylist())]
+    want = sorted(range(len(rows)), key=lambda i: bucket[i])
+    assert back == [(bucket[i], rows[i][0], rows[i][2]) for i in want]
