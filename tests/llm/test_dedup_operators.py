@@ -273,6 +273,57 @@ def test_op5_takes_every_line(spark, tmp_path):
     assert got == [(1, 0, True), (1, 1, True), (2, 0, False), (2, 1, False)]
 
 
+def test_lines_are_not_named_more_often_in_more_turns():
+    """What tells a line's keys in a further turn is a fraction of a byte of text; its histograms came again for every bucket that more text brought."""
+    rng = random.Random(7)
+    lines = list({" ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(rng.randint(2, 120))).encode() for _ in range(1500)})
+    bytes_of, named = {}, {}
+    for turns in (1, 16):
+        rows = list(line_dedup._window_parts(lines, 12, turns))
+        bytes_of[turns] = sum(len(x) for _, _, parts in rows for x in parts)
+        named[turns] = sorted((bucket, parts[0]) for bucket, turn, parts in rows if turn == line_dedup.NAMES)
+        keys = Counter((bucket, turn) for bucket, turn, _ in rows if turn != line_dedup.NAMES)
+        assert set(keys.values()) == {1} and {turn for _, turn in keys} == set(range(turns))
+    assert named[1] == named[16] and sum(len(ids) // 8 for _, ids in named[1]) < 3 * len(lines)
+    assert bytes_of[16] < 1.25 * bytes_of[1] < 2.5 * sum(map(len, lines))
+
+
+@pytest.mark.parametrize("held", [1 << 20, 64])
+def test_turns_give_the_same_pairs(monkeypatch, held):
+    rng = random.Random(11)
+    lines = [" ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(rng.randint(2, 90))).encode() for _ in range(60)]
+    lines += [x[:5] + b"#" + x[5:] for x in lines]
+    lines += [b"a" * n for n in range(8, 1500, 7)]  # many equal keys
+    expected = {tuple(sorted((line_dedup.line_key(a)[:8], line_dedup.line_key(b)[:8]))) for a, b in zip(lines, lines[60:120])}
+    monkeypatch.setattr(line_dedup, "HELD_KEYS", held)
+    found = {}
+    for turns in (1, 2, 16):
+        by, names, out = {}, None, set()
+        for piece in (lines, lines[:100], lines):  # two tasks with the same lines, one with some of them
+            for bucket, turn, parts in line_dedup._window_parts(piece, 12, turns):
+                by.setdefault((bucket, turn), []).append(parts)
+        for bucket, turn in sorted(by):
+            if turn == line_dedup.NAMES:
+                names = line_dedup._named_lines(by[bucket, turn])
+            else:
+                out |= set(map(tuple, line_dedup._turn_pairs(names, by[bucket, turn]).tolist()))
+        found[turns] = out
+    assert found[1] >= {tuple(sorted(int.from_bytes(x, "little") for x in pair)) for pair in expected}
+    assert found[1] == found[2] == found[16]
+
+
+def test_classes_in_many_turns(spark, monkeypatch):
+    words = ["heti", "eror", "anesti", "lavo", "demu", "sirta", "okel", "pranu"]
+    rng = random.Random(5)
+    lines = [" ".join(rng.choices(words, k=rng.randint(1, 30))) for _ in range(150)]
+    rows = [(i, "\n".join([*rng.sample(lines, 4), rng.choice(lines)[1:]])) for i in range(60)]
+    df = spark.createDataFrame([*rows, (None, lines[0]), (70, None)], "doc_id long, text string").repartition(4)
+    edits, near, exact = line_dedup.EVERY_LINE
+    monkeypatch.setattr(line_dedup, "TURN_BYTES", 1 << 10)
+    got = line_dedup.line_classes(df, edits=edits, near_bytes=near, exact_bytes=exact).collect()
+    assert Counter((r["doc_id"], r["line_no"], r["n_links"], r["first_id"], r["first_line_no"], r["kept"]) for r in got) == grown_classes(rows_of(df))
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.integers(8, 900), st.randoms(use_true_random=False))
 def test_windows_are_complete(length, random):
